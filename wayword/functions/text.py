@@ -6,12 +6,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-from .lookup import in_words
+from .lookup import in_words, lookup
 
 # The delimiters between words of a text line. The vertical tab is not among them.
 WORD_DELIMITERS = r"[ \t\n\r\f]+"
 
-# What counts as blank at the ends of a post, as a regex class body.
+# The characters that count as blank at the ends of a post, and as a regex class body.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # Noise in a lower-case ASCII post is a mention, a link, or a run of other signs. The first
@@ -19,8 +23,16 @@ BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 NOT_BLANK_ASCII = r"[^\t-\r\x1c-\x20]"
 NOISE = rf"@{NOT_BLANK_ASCII}+|https?:{NOT_BLANK_ASCII}+|http?:{NOT_BLANK_ASCII}|[^A-Za-z0-9]+"
 
-# Words that the tokeniser cuts in two (cannot, gimme, gonna, gotta, lemme, wanna).
-FUSED = r"\b(can(?=not\b)|gim(?=me\b)|gon(?=na\b)|got(?=ta\b)|lem(?=me\b)|wan(?=na\b))"
+# Words that the tokeniser cuts in two.
+FUSED = {
+    "cannot": ("can", "not"),
+    "gimme": ("gim", "me"),
+    "gonna": ("gon", "na"),
+    "gotta": ("got", "ta"),
+    "lemme": ("lem", "me"),
+    "wanna": ("wan", "na"),
+}
+FUSED_HEAD = r"\b(" + "|".join(rf"{a}(?={b}\b)" for a, b in FUSED.values()) + ")"
 
 
 def words_of(line: Column | str) -> Column:
@@ -35,12 +47,11 @@ def tokenize_ws(line: Column | str) -> Column:
 
 def lower_trim(text: Column | str) -> Column:
     """Lower case, without blanks at either end."""
-    ends = rf"\A[{BLANK}]+|(?<![{BLANK}])[{BLANK}]+\z"
-    return F.regexp_replace(F.lower(text), ends, "")
+    return F.btrim(F.lower(text), F.lit(BLANKS))
 
 
 def newline_to_space(text: Column | str) -> Column:
-    return F.translate(text, "\n", " ")
+    return F.replace(F.col(text) if isinstance(text, str) else text, F.lit("\n"), F.lit(" "))
 
 
 def ascii_only(text: Column | str) -> Column:
@@ -64,7 +75,7 @@ def normalise(text: Column | str) -> Column:
 
 def tokenize_clean(text: Column | str) -> Column:
     """Tokens of a normalised text; the six fused words are cut in two."""
-    return F.split(F.regexp_replace(text, FUSED, "$1 "), " +")
+    return F.split(F.regexp_replace(text, FUSED_HEAD, "$1 "), " +")
 
 
 def split_on_space(text: Column | str) -> Column:
@@ -79,5 +90,15 @@ def remove_stopwords_text(tokens: Column, stop: Iterable[str]) -> Column:
 
 
 def cleanse(text: Column | str, stop: Iterable[str]) -> Column:
-    """The whole cleansing of a post."""
-    return remove_stopwords_text(tokenize_clean(normalise(text)), stop)
+    """The whole cleansing of a post.
+
+    Cutting fused words and dropping stop words is one lookup per word: both are known before the first post
+    is read.
+    """
+    stop = set(stop)
+    instead = dict.fromkeys(stop, "")
+    for word, pieces in FUSED.items():
+        instead[word] = " ".join(p for p in pieces if p not in stop)
+    words = F.split(normalise(text), " +")
+    kept = F.transform(words, lambda w: F.coalesce(lookup(w, instead, "string"), w))
+    return F.array_join(F.filter(kept, lambda w: w != ""), " ")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.lookup import lookup
 from ..functions.scores import MODEL_LENGTH, pad_pre, sentiment_from_score
 from ..functions.text import split_on_space
-from .per_text import per_text
+from .per_text import KEY, per_text
 from .skew import salted_join
 from .word_lists import LITERAL_BYTES, LITERAL_WORDS, small_rows
 
@@ -29,16 +29,16 @@ def _literal(vocabulary: Vocabulary) -> dict[str, int] | None:
 
 
 def _encode_by_join(posts: DataFrame, vocabulary: DataFrame, text: str) -> DataFrame:
-    def ids_of(texts: DataFrame) -> DataFrame:
-        tokens = texts.select(text, F.posexplode(split_on_space(text)).alias("pos", "word"))
+    def ids_of(words: DataFrame) -> DataFrame:
+        # A group is the words of one text, so it is no larger than the row it came from.
         found = (
-            salted_join(tokens, vocabulary.select("word", F.col("id").cast("int")), ["word"], "inner")
-            .groupBy(text)
+            salted_join(words, vocabulary.select("word", F.col("id").cast("int")), ["word"], "inner")
+            .groupBy(KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_found"))
         )
-        return found.select(text, F.col("_found.id").alias("ids"))
+        return found.select(KEY, F.col("_found.id").alias("ids"))
 
-    encoded = per_text(posts, text, ids_of, "left")
+    encoded = per_text(posts, text, split_on_space(text), ids_of, "left")
     return encoded.select(*posts.columns, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
 

@@ -35,12 +35,12 @@ def ways_to_edges(ways: DataFrame) -> DataFrame:
     """
     roads = ways.where(is_highway("tag")).select(
         is_oneway("tag").alias("oneway"),
-        F.explode(consecutive_pairs(F.col("nd._ref"))).alias("pair"),
-    )
+        F.explode_outer(consecutive_pairs(F.col("nd._ref"))).alias("pair"),
+    ).where("pair IS NOT NULL")
     forward = F.struct(F.col("pair.src").alias("src"), F.col("pair.dst").alias("dst"))
     back = F.struct(F.col("pair.dst").alias("src"), F.col("pair.src").alias("dst"))
     directions = F.when(F.col("oneway"), F.array(forward)).otherwise(F.array(forward, back))
-    return roads.select(F.inline(directions))
+    return roads.select(F.inline_outer(directions))
 
 
 def road_graph(nodes: DataFrame, ways: DataFrame) -> Graph:

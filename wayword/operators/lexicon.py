@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.lookup import lookup
 from ..functions.scores import sentiment_sign
 from ..functions.text import split_on_space
-from .per_text import per_text
+from .per_text import KEY, per_text
 from .skew import salted_join
 from .word_lists import LITERAL_BYTES, LITERAL_WORDS, small_rows
 
@@ -25,44 +25,47 @@ def mean_of(values: Column) -> Column:
     return F.when(F.size(values) > 0, total / F.size(values)).otherwise(0.0)
 
 
-def _literal(lexicon: Lexicon) -> dict[str, dict[str, float]] | None:
+def literal_lexicon(lexicon: Lexicon) -> dict[str, tuple[float, float]] | None:
+    """The lexicon as a Python mapping when it is small enough."""
     if isinstance(lexicon, DataFrame):
         rows = small_rows(lexicon.select("word", *MEASURES), "word")
-        return None if rows is None else {r["word"]: {m: r[m] for m in MEASURES} for r in rows}
-    if len(lexicon) > LITERAL_WORDS or sum(len(w.encode()) for w in lexicon) > LITERAL_BYTES:
-        return None
-    return {w: dict(zip(MEASURES, map(float, values))) for w, values in lexicon.items()}
-
-
-def _score_by_literal(posts: DataFrame, text: str, values: Mapping[str, Mapping[str, float]], measure: str):
-    known = {w: v[measure] for w, v in values.items()}
-    found = F.filter(
-        F.transform(split_on_space(text), lambda w: lookup(w, known, "double")), lambda v: v.isNotNull()
-    )
+        return None if rows is None else {r["word"]: tuple(r[m] for m in MEASURES) for r in rows}
+    small = len(lexicon) <= LITERAL_WORDS and sum(len(w.encode()) for w in lexicon) <= LITERAL_BYTES
+    return dict(lexicon) if small else None
+
+
+def _score_by_literal(
+    posts: DataFrame, text: str, lexicon: Mapping[str, tuple[float, float]], measure: str, where: Column | None
+) -> DataFrame:
+    known = {w: float(values[MEASURES.index(measure)]) for w, values in lexicon.items()}
+    found = F.array_compact(F.transform(split_on_space(text), lambda w: lookup(w, known, "double")))
+    if where is not None:
+        found = F.when(where, found)
     return posts.withColumn("_found", found).withColumn(measure, mean_of(F.col("_found"))).drop("_found")
 
 
 def _score_by_join(posts: DataFrame, text: str, lexicon: DataFrame, measure: str) -> DataFrame:
     values = lexicon.select("word", F.col(measure).alias("_value"))
 
-    def mean_of_text(texts: DataFrame) -> DataFrame:
-        tokens = texts.select(text, F.posexplode(split_on_space(text)).alias("pos", "word"))
+    def mean_of_text(words: DataFrame) -> DataFrame:
         # A group is the words of one text, so it is no larger than the row it came from.
         found = (
-            salted_join(tokens, values, ["word"], "inner")
-            .groupBy(text)
+            salted_join(words, values, ["word"], "inner")
+            .groupBy(KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "_value"))).alias("_found"))
         )
-        return found.select(text, mean_of(F.col("_found._value")).alias(measure))
+        return found.select(KEY, mean_of(F.col("_found._value")).alias(measure))
 
-    scored = per_text(posts, text, mean_of_text, "left")
+    scored = per_text(posts, text, split_on_space(text), mean_of_text, "left")
     return scored.select(*posts.columns, F.coalesce(measure, F.lit(0.0)).alias(measure))
 
 
-def _score(posts: DataFrame, lexicon: Lexicon, measure: str, text: str, by_join: bool) -> DataFrame:
-    values = None if by_join else _literal(lexicon)
+def _score(
+    posts: DataFrame, lexicon: Lexicon, measure: str, text: str, by_join: bool, where: Column | None = None
+) -> DataFrame:
+    values = None if by_join else literal_lexicon(lexicon)
     if values is not None:
-        return _score_by_literal(posts, text, values, measure)
+        return _score_by_literal(posts, text, values, measure, where)
     if not isinstance(lexicon, DataFrame):
         lexicon = posts.sparkSession.createDataFrame(
             [(w, float(p), float(s)) for w, (p, s) in lexicon.items()],
@@ -86,7 +89,12 @@ def subjectivity(posts: DataFrame, lexicon: Lexicon, text: str = "tweet", by_joi
     return _score(posts, lexicon, "subjectivity", text, by_join)
 
 
-def score_sentiment(posts: DataFrame, lexicon: Lexicon, text: str = "tweet") -> DataFrame:
-    """Add ``sentiment``: -1, 0 or 1 by the sign of the polarity."""
-    scored = polarity(posts, lexicon, text)
+def score_sentiment(
+    posts: DataFrame, lexicon: Lexicon, text: str = "tweet", where: Column | None = None
+) -> DataFrame:
+    """Add ``sentiment``: -1, 0 or 1 by the sign of the polarity.
+
+    Rows for which ``where`` does not hold need no score and may get 0 without a look at the text.
+    """
+    scored = _score(posts, lexicon, "polarity", text, False, where)
     return scored.withColumn("sentiment", sentiment_sign("polarity")).drop("polarity")

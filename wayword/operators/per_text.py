@@ -1,21 +1,33 @@
-"""Work on every distinct text once, then hand the outcome to all rows with that text."""
+"""Work on the words of every distinct text once, then hand the outcome to all rows with that text."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialise, scratch_path
 from .skew import salted_join
 
+KEY = "text_key"
+
+
+def text_key(text: str) -> Column:
+    """32 bytes that stand for a text, so that its words need not carry the text itself."""
+    return F.unhex(F.sha2(F.col(text), 256))
+
 
 def per_text(
-    df: DataFrame, text: str, work: Callable[[DataFrame], DataFrame], how: str = "inner"
+    df: DataFrame, text: str, split: Column, work: Callable[[DataFrame], DataFrame], how: str = "inner"
 ) -> DataFrame:
-    """Join ``df`` with ``work(distinct texts)`` on the text.
+    """Join ``df`` with ``work(words)`` on the text.
 
-    Copies of one text are worked on once. ``work`` gets a one-column table ``text`` and returns any number of
-    rows per text, with the text in the column of the same name.
+    ``words`` has the columns ``text_key, pos, word``: the words of each distinct text as ``split`` makes
+    them. ``work`` returns any number of rows per ``text_key``. Copies of a text are worked on once, and a text
+    that very many rows share is spread over several tasks in the final join. ``df`` is written down first, as
+    it is read several times.
     """
-    texts = df.select(text).where(df[text].isNotNull()).distinct()
-    return salted_join(df, work(texts), [text], how)
+    keyed = materialise(df.withColumn(KEY, text_key(text)), scratch_path(df.sparkSession, "per-text"))
+    texts = keyed.select(KEY, text).where(F.col(text).isNotNull()).distinct()
+    words = texts.select(KEY, F.posexplode_outer(split).alias("pos", "word"))
+    return salted_join(keyed, work(words), [KEY], how).drop(KEY)

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import has_valid_date, parse_post_time
-from ..functions.lookup import in_words
+from ..functions.lookup import lookup
 from ..functions.text import cleanse, normalise, split_on_space, tokenize_clean
-from .per_text import per_text
+from .lexicon import Lexicon, literal_lexicon, score_sentiment
+from .per_text import KEY, per_text
 from .skew import salted_join, sized_join
 from .word_lists import LITERAL_WORDS, WordList, as_literal, remove_stopwords, small_rows
 
@@ -29,16 +30,16 @@ def keep_dated_posts(df: DataFrame) -> DataFrame:
 def remove_stopwords_by_join(df: DataFrame, text: str, stop: DataFrame) -> DataFrame:
     """Replace a normalised text by its tokens that are in no stop list, for lists too long for a literal."""
 
-    def without_stop_words(texts: DataFrame) -> DataFrame:
-        tokens = texts.select(text, F.posexplode(tokenize_clean(F.col(text))).alias("pos", "word"))
+    def without_stop_words(words: DataFrame) -> DataFrame:
+        # A group is the words of one text, so it is no larger than the row it came from.
         kept = (
-            remove_stopwords(tokens.where("word <> ''"), stop)
-            .groupBy(text)
+            remove_stopwords(words.where("word <> ''"), stop)
+            .groupBy(KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("kept"))
         )
-        return kept.select(text, F.array_join(F.col("kept.word"), " ").alias("_kept"))
+        return kept.select(KEY, F.array_join(F.col("kept.word"), " ").alias("_kept"))
 
-    whole = per_text(df, text, without_stop_words, "left")
+    whole = per_text(df, text, tokenize_clean(F.col(text)), without_stop_words, "left")
     # A text of stop words alone is left empty; a missing text stays missing.
     left = F.when(F.col(text).isNotNull(), F.coalesce("_kept", F.lit("")))
     return whole.withColumn(text, left).select(df.columns)
@@ -79,46 +80,43 @@ def _topic_lists(topics: Topics) -> dict[str, list[str]] | None:
     return {t: sorted(set(terms)) for t, terms in lists.items()}
 
 
-def _tagged(posts: DataFrame, topic: Column, terms: Column) -> DataFrame:
-    return posts.select(
-        topic.alias("topic"), F.col("date").alias("time"), "user", "tweet", terms.alias("terms")
-    )
+def _match(posts: DataFrame, lists: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Add ``_topics``, the topics of a post; null or empty without any."""
+    topics_of: dict[str, list[str]] = {}
+    for topic, terms in lists.items():
+        for term in terms:
+            topics_of.setdefault(term, []).append(topic)
+    found = F.transform(split_on_space("tweet"), lambda w: lookup(w, topics_of, "array<string>"))
+    topics = F.array_distinct(F.flatten(F.array_compact(found)))
+    return posts.withColumn("_topics", F.when(F.col("tweet") != "", topics))
 
 
-def _any_of(tokens: str, terms: Sequence[str]) -> Column:
-    return F.exists(tokens, lambda w: in_words(w, terms))
+def _one_row_per_topic(matched: DataFrame, lists: Mapping[str, Sequence[str]]) -> DataFrame:
+    # Posts without a topic go after the outer explode. A filter on the tweet or its topics would be moved
+    # below them by Catalyst, and the post would be cleansed and matched twice.
+    rows = matched.withColumn("topic", F.explode_outer("_topics")).where("topic IS NOT NULL").drop("_topics")
+    return _tagged(rows, lookup(F.col("topic"), lists, "array<string>"))
 
 
-def _tag_by_literal(posts: DataFrame, lists: Mapping[str, Sequence[str]]) -> DataFrame:
-    every_term = [w for terms in lists.values() for w in terms]
-    hits = F.filter(split_on_space("tweet"), lambda w: in_words(w, every_term))
-    found = [F.when(_any_of("_hits", terms), F.lit(topic)) for topic, terms in lists.items()]
-    matched = (
-        posts.withColumn("_hits", F.array_distinct(hits))
-        .where(F.size("_hits") > 0)
-        .withColumn("_topic", F.explode(F.array_compact(F.array(*found))))
-    )
-    term_lists = F.create_map(*[
-        c for topic, terms in lists.items()
-        for c in (F.lit(topic), F.array(*map(F.lit, terms)).cast("array<string>"))
-    ])
-    return _tagged(matched, F.col("_topic"), F.element_at(term_lists, F.col("_topic")))
+def _tagged(rows: DataFrame, terms: Column) -> DataFrame:
+    named = ("topic", "date", "user", "tweet", "terms")
+    others = [c for c in rows.columns if c not in named]
+    return rows.select("topic", F.col("date").alias("time"), "user", "tweet", terms.alias("terms"), *others)
 
 
 def _tag_by_join(posts: DataFrame, topics: DataFrame) -> DataFrame:
-    flat = topics.select("topic", F.explode("terms").alias("term")).distinct()
+    flat = topics.select("topic", F.explode("terms").alias("word")).distinct()
 
-    def topics_of(texts: DataFrame) -> DataFrame:
-        tokens = texts.select("tweet", F.explode(F.array_distinct(split_on_space("tweet"))).alias("term"))
-        # Tokens of one text differ, so only the texts of a frequent word meet in one task; the dictionary
-        # side is repeated for those words.
-        return salted_join(tokens, flat, ["term"], "inner").select("tweet", "topic").distinct()
+    def topics_of(words: DataFrame) -> DataFrame:
+        return salted_join(words.drop("pos").distinct(), flat, ["word"], "inner").select(KEY, "topic").distinct()
 
-    matched = per_text(posts, "tweet", topics_of)
+    # Of an empty tweet no word is left to match.
+    words = F.filter(split_on_space("tweet"), lambda w: (w != "") | (F.col("tweet") != ""))
+    matched = per_text(posts, "tweet", words, topics_of)
     terms = topics.groupBy("topic").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms")
     )
-    return _tagged(sized_join(matched, terms, ["topic"], "inner"), F.col("topic"), F.col("terms"))
+    return _tagged(sized_join(matched, terms, ["topic"], "inner"), F.col("terms"))
 
 
 def tag_topics(posts: DataFrame, topics: Topics, by_join: bool = False) -> DataFrame:
@@ -128,10 +126,9 @@ def tag_topics(posts: DataFrame, topics: Topics, by_join: bool = False) -> DataF
     dictionary is part of the plan, so that a post is tagged where it is read. A longer one (or ``by_join``)
     is joined with the distinct tokens of the distinct texts.
     """
-    posts = posts.where("tweet <> ''")
     lists = None if by_join else _topic_lists(topics)
     if lists:
-        return _tag_by_literal(posts, lists)
+        return _one_row_per_topic(_match(posts, lists), lists)
     if not isinstance(topics, DataFrame):
         topics = posts.sparkSession.createDataFrame(
             [(t, list(terms)) for t, terms in topics.items()], "topic string, terms array<string>"
@@ -139,6 +136,19 @@ def tag_topics(posts: DataFrame, topics: Topics, by_join: bool = False) -> DataF
     return _tag_by_join(posts, topics)
 
 
+def tag_and_score(posts: DataFrame, topics: Topics, lexicon: Lexicon) -> DataFrame:
+    """``tag_topics`` with ``sentiment`` added: -1, 0 or 1 by the sign of the polarity.
+
+    Only posts with a topic are scored, and each of them once, whatever the number of its topics.
+    """
+    lists = _topic_lists(topics)
+    values = literal_lexicon(lexicon)
+    if lists and values is not None:
+        scored = score_sentiment(_match(posts, lists), values, where=F.size("_topics") > 0)
+        return _one_row_per_topic(scored, lists)
+    return score_sentiment(tag_topics(posts, topics), lexicon)
+
+
 def to_sink_rows(scored: DataFrame) -> DataFrame:
     """Columns ``posted_at, post, topic, sentiment`` of scored posts."""
     return scored.select(

@@ -51,7 +51,7 @@ def row_salt(df: DataFrame, salts: Column) -> Column:
 
 def replicate(df: DataFrame, salts: Column) -> DataFrame:
     """Repeat every row for each salt its key may have."""
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return df.withColumn("_salt", F.explode_outer(F.sequence(F.lit(0), salts - 1)))
 
 
 def salted_join(

@@ -12,6 +12,7 @@ from .skew import replicate, row_salt
 # A list within these limits becomes a literal of the plan; a longer one is joined.
 LITERAL_WORDS = 100_000
 LITERAL_BYTES = 4_000_000
+LITERAL_WORD_BYTES = 1_000
 
 # Over how many tasks the rows of one word are spread when the list is joined.
 LONG_LIST_SALTS = 16
@@ -28,12 +29,17 @@ def merge_word_lists(*lists: DataFrame) -> DataFrame:
 
 
 def small_rows(table: DataFrame, *text_columns: str) -> list | None:
-    """The rows of a table that was measured and found small, otherwise None."""
-    size = F.sum(sum((F.octet_length(F.col(c)) for c in text_columns), F.lit(0)))
-    rows, n_bytes = table.limit(LITERAL_WORDS + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
-    if rows > LITERAL_WORDS or n_bytes > LITERAL_BYTES:
+    """The rows of a table that turns out to be small, otherwise None.
+
+    One job fetches a bounded number of rows, and of an overlong text only its length.
+    """
+    lengths = [F.octet_length(c).alias(f"{c} bytes") for c in text_columns]
+    texts = {c: F.when(F.octet_length(c) <= LITERAL_WORD_BYTES, F.col(c)) for c in text_columns}
+    rows = table.limit(LITERAL_WORDS + 1).select("*", *lengths).withColumns(texts).collect()
+    sizes = [r[f"{c} bytes"] or 0 for r in rows for c in text_columns]
+    if len(rows) > LITERAL_WORDS or sum(sizes) > LITERAL_BYTES or max(sizes, default=0) > LITERAL_WORD_BYTES:
         return None
-    return table.collect()
+    return rows
 
 
 def as_literal(words: WordList) -> list[str] | None:

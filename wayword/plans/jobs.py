@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.graph import adjacency, drop_isolated, road_graph
-from ..operators.lexicon import Lexicon, score_sentiment
+from ..operators.lexicon import Lexicon
 from ..operators.paths import MAX_HOPS, shortest_paths
-from ..operators.posts import clean_posts, tag_topics, to_sink_rows
+from ..operators.posts import clean_posts, tag_and_score, to_sink_rows
 from ..operators.word_lists import merge_word_lists
 from ..operators.words import TOP_K, common_counts, word_count
 from ..session import materialise, scratch_path
@@ -58,8 +58,8 @@ def scored_posts(
 ) -> DataFrame:
     """Tagged and scored posts of a CSV file: ``topic, time, user, tweet, terms, sentiment``."""
     stop = merge_word_lists(*(read_word_list(spark, path) for path in stop_lists))
-    tagged = tag_topics(clean_posts(read_posts(spark, posts), stop), read_topics(spark, topic_file, topics))
-    return score_sentiment(tagged, lexicon)
+    clean = clean_posts(read_posts(spark, posts), stop)
+    return tag_and_score(clean, read_topics(spark, topic_file, topics), lexicon)
 
 
 def archive_posts(scored: DataFrame, target: str, mode: str = "overwrite", **options: str) -> None:

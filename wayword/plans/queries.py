@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import dates, scores, tags, text
 from ..operators import encode, graph as roads, lexicon, paths, posts as post_ops, word_lists, words
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources import osm, posts as post_files, sinks, text as text_files
 from ..streaming import posts as stream
 from . import jobs, standins as given
@@ -243,16 +243,15 @@ def numbered_sink_rows(spark, sf_dir):
 @query
 def archived_posts(spark, sf_dir):
     """Sink rows in a table: replaced by the first two topics, then the others appended."""
-    path = scratch_path(spark, "archive")
-    rows = _sink_rows(spark, sf_dir)
+    folder = scratch_path(spark, "archive")
+    rows = materialise(_sink_rows(spark, sf_dir), f"{folder}/rows")
     early = F.col("topic").isin("harbour", "market")
-    sinks.write_table(sinks.with_row_id(rows), path, "overwrite")
-    sinks.write_table(sinks.with_row_id(rows.where(early)), path, "overwrite")
-    largest = spark.read.parquet(path).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    sinks.write_table(sinks.with_row_id(rows.where(~early), largest + 1), path, "append")
-    archive = spark.read.parquet(path)
-    repeated = archive.groupBy("id").count().where("count > 1").select("id")
-    return archive.join(repeated, "id", "left_anti").drop("id")
+    archive = f"{folder}/archive"
+    sinks.write_table(sinks.with_row_id(rows.where(~early)), archive, "overwrite")
+    sinks.write_table(sinks.with_row_id(rows.where(early)), archive, "overwrite")
+    largest = spark.read.parquet(archive).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    sinks.write_table(sinks.with_row_id(rows.where(~early), largest + 1), archive, "append")
+    return spark.read.parquet(archive).drop("id")
 
 
 @query
@@ -269,6 +268,7 @@ def streamed_topic_posts(spark, sf_dir):
     folder = scratch_path(spark, "stream")
     reader = spark.readStream.schema(given.table(spark, sf_dir, "documents").schema)
     documents = reader.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    documents = documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
     rows = stream.sink_rows(given.as_posts(documents), given.STOP_WORDS, given.TOPICS, given.LEXICON)
     writer = stream.batch_folder_writer(f"{folder}/rows")
     stream.write_batches(rows, writer, f"{folder}/checkpoint", available_now=True).awaitTermination()
@@ -282,7 +282,7 @@ def streamed_topic_posts(spark, sf_dir):
 def way_pairs(spark, sf_dir):
     """Neighbouring nodes of every way, highway or not."""
     ways = given.map_ways(spark, sf_dir)
-    return ways.select(F.col("_id").alias("way_id"), F.inline(tags.consecutive_pairs(F.col("nd._ref"))))
+    return ways.select(F.col("_id").alias("way_id"), F.inline_outer(tags.consecutive_pairs(F.col("nd._ref")))).where("src IS NOT NULL")
 
 
 @query

@@ -47,8 +47,22 @@ LEXICON = {
 VOCABULARY_SIZE = 2000
 
 
+# A table below this size is one file with one row group, which a single task would have to work through.
+SMALL_TABLE_BYTES = 64_000_000
+KEYS = {"documents": "doc_id", "lineitem": "l_orderkey", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. A small one that takes some work per row is spread over the cores by its key."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if name in KEYS and table_bytes(spark, path) < SMALL_TABLE_BYTES:
+        return df.repartition(spark.sparkContext.defaultParallelism, KEYS[name])
+    return df
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
 
 
 def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

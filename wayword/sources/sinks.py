@@ -61,25 +61,28 @@ def with_row_id(rows: DataFrame, start: int = 1) -> DataFrame:
     return rows.select((F.monotonically_increasing_id() + start).alias("id"), *rows.columns)
 
 
-def with_dense_row_id(rows: DataFrame, order_by: list[str], start: int = 1) -> DataFrame:
-    """Add ``id`` without gaps, numbering the rows in the order of some columns.
+def with_dense_row_id(rows: DataFrame, order_by: list[str] | None = None, start: int = 1) -> DataFrame:
+    """Add ``id`` without gaps, in the order of some columns or in no particular order.
 
-    The rows are sorted over all tasks and written down. Only the row count of every task is then brought
-    together: each task adds the rows of those before it.
+    The rows are written down with their place in their task. Only the row count of every task is then brought
+    together: each task adds the rows of those before it. Sorting is spread over all tasks; the rows are written
+    down before it too, as the sort looks at them twice.
     """
+    spark = rows.sparkSession
     position = F.monotonically_increasing_id()
     low_bits = 33
-    sorted_rows = materialise(
-        rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by).select(
-            F.shiftright(position, low_bits).alias("_task"),
-            position.bitwiseAND((1 << low_bits) - 1).alias("_place"),
-            *rows.columns,
-        ),
-        scratch_path(rows.sparkSession, "row-ids"),
+    if order_by:
+        whole = materialise(rows, scratch_path(spark, "unsorted-rows"))
+        rows = whole.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    placed = rows.select(
+        F.shiftright(position, low_bits).alias("_task"),
+        position.bitwiseAND((1 << low_bits) - 1).alias("_place"),
+        *rows.columns,
     )
-    counts = sorted_rows.groupBy("_task").agg(F.count("*").alias("_rows"))
+    placed = materialise(placed, scratch_path(spark, "placed-rows"))
+    counts = placed.groupBy("_task").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    return sorted_rows.join(F.broadcast(starts), "_task").select(
+    return placed.join(F.broadcast(starts), "_task").select(
         (F.col("_before") + F.col("_place") + start).alias("id"), *rows.columns
     )

@@ -11,8 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.lexicon import score_sentiment
-from ..operators.posts import clean_posts, tag_topics, to_sink_rows
+from ..operators.posts import clean_posts, tag_and_score, to_sink_rows
 
 
 def sink_rows(
@@ -22,7 +21,7 @@ def sink_rows(
     lexicon: Mapping[str, tuple[float, float]],
 ) -> DataFrame:
     """From raw posts to the rows of the sink table, for a batch or a stream."""
-    return to_sink_rows(score_sentiment(tag_topics(clean_posts(posts, stop), topics), lexicon))
+    return to_sink_rows(tag_and_score(clean_posts(posts, stop), topics, lexicon))
 
 
 def write_batches(
