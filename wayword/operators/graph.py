@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.tags import consecutive_pairs, is_highway, is_oneway
+from ..session import materialise, scratch_path
 from .skew import BROADCAST_ROWS, sized_join
 
 # Neighbour lists longer than this are split into several rows.
@@ -48,6 +49,14 @@ def road_graph(nodes: DataFrame, ways: DataFrame) -> Graph:
     return Graph(to_vertices(nodes), ways_to_edges(ways))
 
 
+def written(graph: Graph) -> Graph:
+    """The same graph read from tables in the shared folder, for use in several passes."""
+    folder = scratch_path(graph.edges.sparkSession, "graph")
+    return Graph(
+        materialise(graph.vertices, f"{folder}/vertices"), materialise(graph.edges, f"{folder}/edges")
+    )
+
+
 def endpoints(edges: DataFrame) -> DataFrame:
     """Every id that starts or ends an edge, once."""
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()

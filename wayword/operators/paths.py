@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialise, scratch_path
+from ..session import materialise, materialise_counted, scratch_path
 from .graph import Graph, endpoints
 from .skew import BROADCAST_ROWS, hot_keys, n_salts, replicate, salted_join, sized_join
 
@@ -53,45 +53,43 @@ class _Search:
     def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int):
         self.spark = pairs.sparkSession
         self.folder = scratch_path(self.spark, "paths")
-        self.wanted = materialise(_wanted(graph, pairs), f"{self.folder}/wanted")
-        self.n_wanted = self.wanted.count()
+        self.wanted, self.n_wanted = materialise_counted(_wanted(graph, pairs), f"{self.folder}/wanted")
         self.n_levels = 0
         first = self.wanted.select("target").distinct()
-        self.write_level(
+        rows, found = self.add_level(
             first.select("target", F.col("target").alias("node"), F.lit(None).cast("bigint").alias("next"))
         )
-        rows, found = self.count_level()
         if found < self.n_wanted:
             self.grow(graph, max_hops, rows, found)
 
-    def level_path(self, k: int) -> str:
-        return f"{self.folder}/levels/hops={k}"
-
     def level(self, k: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.level_path(k))
-
-    def seen(self) -> DataFrame:
-        paths = [self.level_path(k) for k in range(self.n_levels)]
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def write_level(self, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(self.level_path(self.n_levels))
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/levels/hops={k}")
+
+    def levels(self) -> DataFrame:
+        """All rows reached so far, with their level in ``hops``."""
+        return self.spark.read.schema(f"{self.schema}, hops int").parquet(f"{self.folder}/levels")
+
+    def answered(self) -> DataFrame:
+        """The rows of all levels that answer a request."""
+        return self.spark.read.schema(f"{self.schema}, hops int").parquet(f"{self.folder}/answered")
+
+    def add_level(self, rows: DataFrame) -> tuple[int, int]:
+        """Write down the next level and the requests it answers; the row counts of both."""
+        k = self.n_levels
+        level, n_rows = materialise_counted(rows, f"{self.folder}/levels/hops={k}")
+        answers = sized_join(level, self.wanted, ["target", "node"], "left_semi", self.n_wanted)
+        _, n_answers = materialise_counted(answers, f"{self.folder}/answered/hops={k}")
         self.n_levels += 1
-
-    def count_level(self) -> tuple[int, int]:
-        """Rows of the last level, and the requests that it answers."""
-        asked = self.wanted.withColumn("asked", F.lit(1))
-        last = self.level(self.n_levels - 1).join(asked, ["target", "node"], "left")
-        return last.agg(F.count("*"), F.count("asked")).first()[:]
+        return n_rows, n_answers
 
     def frontier(self, found: int) -> DataFrame:
         """The last level without the targets that have answered all their requests."""
         last = self.level(self.n_levels - 1).select("target", "node")
         if found == 0:
             return last
-        open_requests = self.wanted.join(self.seen(), ["target", "node"], "left_anti")
-        targets = open_requests.select("target").distinct()
-        # There are no more open targets than requests.
+        unanswered = self.wanted.join(self.answered(), ["target", "node"], "left_anti")
+        targets = unanswered.select("target").distinct()
+        # There are no more such targets than requests.
         return sized_join(last, targets, ["target"], "left_semi", self.n_wanted)
 
     def grow(self, graph: Graph, max_hops: int, rows: int, found: int) -> None:
@@ -110,14 +108,16 @@ class _Search:
                     reached = into.join(F.broadcast(frontier), "node")
                 else:
                     reached = into.join(replicate(frontier, salts), ["node", "_salt"])
+                steps = reached.select("target", F.col("src").alias("node"), F.col("node").alias("next"))
+                # What was reached before goes through the same shuffle and drops out of the groups.
+                before = self.levels().select("target", "node", F.lit(True).alias("old"))
                 fresh = (
-                    reached.groupBy("target", F.col("src").alias("from"))
-                    .agg(F.min("node").alias("next"))
-                    .withColumnRenamed("from", "node")
-                    .join(self.seen().select("target", "node"), ["target", "node"], "left_anti")
+                    steps.unionByName(before, allowMissingColumns=True)
+                    .groupBy("target", "node")
+                    .agg(F.min("next").alias("next"), F.max("old").alias("old"))
+                    .where("old IS NULL")
                 )
-                self.write_level(fresh.select("target", "node", "next"))
-                rows, new = self.count_level()
+                rows, new = self.add_level(fresh.select("target", "node", "next"))
                 found += new
         finally:
             into.unpersist()
@@ -126,20 +126,17 @@ class _Search:
         """Path of every answered request: ``src, dst, path``."""
         walkers = None
         for k in reversed(range(self.n_levels)):
-            level = self.level(k)
-            if walkers is not None:
-                # Walkers may meet at a vertex, the rows of a level are unique.
-                if self.n_wanted <= BROADCAST_ROWS:
-                    moved = level.join(F.broadcast(walkers), ["target", "node"])
-                else:
-                    moved = salted_join(walkers, level, ["target", "node"], "inner")
-                walkers = self._step(moved)
-            starts = self._step(
-                self.wanted.join(level, ["target", "node"])
-                .withColumn("start", F.col("node"))
-                .withColumn("path", F.array("node"))
-            )
-            walkers = starts if walkers is None else walkers.unionByName(starts)
+            first = self.answered().where(F.col("hops") == k)
+            starts = self._step(first.withColumns({"start": F.col("node"), "path": F.array("node")}))
+            if walkers is None:
+                walkers = starts
+                continue
+            # Walkers may meet at a vertex, while the rows of a level are unique.
+            if self.n_wanted <= BROADCAST_ROWS:
+                moved = self.level(k).join(F.broadcast(walkers), ["target", "node"])
+            else:
+                moved = salted_join(walkers, self.level(k), ["target", "node"], "inner")
+            walkers = self._step(moved).unionByName(starts)
             if k and k % STEPS_PER_PLAN == 0:
                 walkers = materialise(walkers, f"{self.folder}/walk={k}")
         done = walkers.select(F.col("start").alias("src"), F.col("target").alias("dst"), "path")

@@ -17,22 +17,28 @@ BROADCAST_ROWS = 500_000
 # 1 / HOT_SHARE of them, which bounds the list that reaches the driver.
 HOT_SHARE = 1e-3
 
+# A key with fewer rows than this is never worth spreading.
+HOT_ROWS = 10_000
+
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> dict[str, int]:
-    """Hash of every key above ``HOT_SHARE``, with the number of tasks its rows should be spread over."""
+    """Hash of every hot key, with the number of tasks its rows should be spread over.
+
+    A hot key holds more than ``HOT_SHARE`` of the rows and more than ``HOT_ROWS`` of them.
+    """
     seen = Observation()
     rows = (
         df.select(F.xxhash64(*on).alias("key_hash"))
         .observe(seen, F.count(F.lit(1)).alias("rows"))
         .groupBy("key_hash")
         .count()
-        .where("count > 1")
+        .where(F.col("count") > HOT_ROWS)
         .orderBy(F.desc("count"), "key_hash")
         .limit(math.ceil(1 / HOT_SHARE))
         .collect()
     )
-    share = seen.get["rows"] * HOT_SHARE
-    return {str(r["key_hash"]): math.ceil(r["count"] / share) for r in rows if r["count"] > max(share, 1)}
+    share = max(seen.get["rows"] * HOT_SHARE, HOT_ROWS)
+    return {str(r["key_hash"]): math.ceil(r["count"] / share) for r in rows if r["count"] > share}
 
 
 def n_salts(on: Sequence[str], hot: Mapping[str, int]) -> Column:

@@ -6,13 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.graph import adjacency, drop_isolated, road_graph
+from ..operators.graph import adjacency, drop_isolated, road_graph, written
 from ..operators.lexicon import Lexicon
 from ..operators.paths import MAX_HOPS, shortest_paths
 from ..operators.posts import clean_posts, tag_and_score, to_sink_rows
 from ..operators.word_lists import merge_word_lists
 from ..operators.words import TOP_K, common_counts, word_count
-from ..session import materialise, scratch_path
 from ..sources.osm import read_nodes, read_ways
 from ..sources.posts import read_posts
 from ..sources.sinks import (
@@ -41,13 +40,7 @@ def map_roads(
 
     The map is parsed once: vertices and edges are written down and read from there.
     """
-    folder = scratch_path(spark, "roads")
-    parsed = road_graph(read_nodes(spark, osm), read_ways(spark, osm))
-    graph = drop_isolated(
-        type(parsed)(
-            materialise(parsed.vertices, f"{folder}/vertices"), materialise(parsed.edges, f"{folder}/edges")
-        )
-    )
+    graph = drop_isolated(written(road_graph(read_nodes(spark, osm), read_ways(spark, osm))))
     write_adjacency(adjacency(graph), adjacency_out)
     write_paths(shortest_paths(graph, read_pairs(spark, pairs), max_hops), paths_out)
 

@@ -281,8 +281,8 @@ def streamed_topic_posts(spark, sf_dir):
 @query
 def way_pairs(spark, sf_dir):
     """Neighbouring nodes of every way, highway or not."""
-    ways = given.map_ways(spark, sf_dir)
-    return ways.select(F.col("_id").alias("way_id"), F.inline_outer(tags.consecutive_pairs(F.col("nd._ref")))).where("src IS NOT NULL")
+    pairs = F.inline_outer(tags.consecutive_pairs(F.col("nd._ref")))
+    return given.map_ways(spark, sf_dir).select(F.col("_id").alias("way_id"), pairs).where("src IS NOT NULL")
 
 
 @query
@@ -302,7 +302,7 @@ def road_edges(spark, sf_dir):
 
 @query
 def connected_vertices(spark, sf_dir):
-    return given.connected_graph(spark, sf_dir).vertices
+    return roads.drop_isolated(given.graph(spark, sf_dir)).vertices
 
 
 @query
@@ -344,9 +344,10 @@ def osm_adjacency_lines(spark, sf_dir):
     """Adjacency file of a map that was written as XML and read back."""
     folder = scratch_path(spark, "osm-adjacency")
     _write_map(spark, sf_dir, folder)
-    graph = roads.drop_isolated(
-        roads.road_graph(osm.read_nodes(spark, f"{folder}/nodes"), osm.read_ways(spark, f"{folder}/ways"))
+    graph = roads.road_graph(
+        osm.read_nodes(spark, f"{folder}/nodes"), osm.read_ways(spark, f"{folder}/ways")
     )
+    graph = roads.drop_isolated(roads.written(graph))
     sinks.write_adjacency(roads.adjacency(graph), f"{folder}/adjacency")
     return text_files.read_lines(spark, f"{folder}/adjacency").select(F.col("value").alias("line"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.graph import Graph, drop_isolated, road_graph
+from ..operators.graph import Graph, drop_isolated, road_graph, written
 
 STOP_WORDS = [
     "a", "an", "and", "are", "as", "at", "be", "by", "das", "de", "der", "die", "en", "for", "from", "in",
@@ -145,7 +145,8 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
 
 
 def connected_graph(spark: SparkSession, sf_dir: str) -> Graph:
-    return drop_isolated(graph(spark, sf_dir))
+    """The graph without isolated vertices, written down as the road job does."""
+    return drop_isolated(written(graph(spark, sf_dir)))
 
 
 def path_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "wayword", **conf: str) -> SparkSession:
@@ -53,3 +53,11 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """``materialise``, with the number of rows, which the write counts on its way."""
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    table = materialise(counted, path)
+    return table, written.get["rows"]
