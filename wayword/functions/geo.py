@@ -14,5 +14,5 @@ def haversine_m(lat1: Column, lat2: Column, lon1: Column, lon2: Column) -> Colum
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
     # Rounding may carry the chord of two antipodes past 1, where the square root would have no value.
-    chord = F.least(chord, F.lit(1.0))
+    chord = F.when(chord > 1, 1.0).otherwise(chord)
     return 2 * F.atan2(F.sqrt(chord), F.sqrt(1 - chord)) * EARTH_RADIUS_KM * 1000

@@ -37,6 +37,8 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> dict[str, int]:
         .limit(math.ceil(1 / HOT_SHARE))
         .collect()
     )
+    if not rows:
+        return {}
     share = max(seen.get["rows"] * HOT_SHARE, HOT_ROWS)
     return {str(r["key_hash"]): math.ceil(r["count"] / share) for r in rows if r["count"] > share}
 

@@ -70,4 +70,4 @@ def remove_stopwords(tokens: DataFrame, stop: WordList, word: str = "word") -> D
     salts = F.lit(LONG_LIST_SALTS)
     table = as_table(stop, tokens).select(F.col("word").alias(word))
     salted = tokens.withColumn("_salt", row_salt(tokens, salts))
-    return salted.join(replicate(table, salts), [word, "_salt"], "left_anti").drop("_salt")
+    return salted.join(replicate(table, salts), [word, "_salt"], "left_anti").select(tokens.columns)

@@ -190,9 +190,9 @@ ADJACENCY = f"""
     FROM ({CONNECTED}) v LEFT JOIN ({EDGES}) e ON e.src = v.id
     GROUP BY v.id"""
 HAVERSINE = """
-    2 * 6371 * 1000 * asin(sqrt(least(1,
+    2 * 6371 * 1000 * asin(sqrt(
       pow(sin(radians(b.lat - a.lat) / 2), 2)
-      + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"""
+      + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))"""
 LENGTHS = f"""
     SELECT e.src, e.dst, round({HAVERSINE}, 2) AS length_m
     FROM ({EDGES}) e LEFT JOIN ({VERTICES}) a ON a.id = e.src LEFT JOIN ({VERTICES}) b ON b.id = e.dst"""
