@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
 from .graph import Graph, endpoints
-from .skew import BROADCAST_ROWS, hot_keys, n_salts, replicate, salted_join, sized_join
+from .skew import BROADCAST_ROWS, hot_keys, n_salts, replicate, row_salt, salted_join, sized_join
 
 # Fixed value: no path longer than this is looked for unless the caller asks for it.
 MAX_HOPS = 10
@@ -104,10 +104,7 @@ class _Search:
         try:
             while rows and found < self.n_wanted and self.n_levels <= max_hops:
                 frontier = self.frontier(found)
-                if rows <= BROADCAST_ROWS:
-                    reached = into.join(F.broadcast(frontier), "node")
-                else:
-                    reached = into.join(replicate(frontier, salts), ["node", "_salt"])
+                reached = self._expand(into, salts, frontier, rows)
                 steps = reached.select("target", F.col("src").alias("node"), F.col("node").alias("next"))
                 # What was reached before goes through the same shuffle and drops out of the groups.
                 before = self.levels().select("target", "node", F.lit(True).alias("old"))
@@ -122,6 +119,21 @@ class _Search:
         finally:
             into.unpersist()
 
+    @staticmethod
+    def _expand(into: DataFrame, salts: Column, frontier: DataFrame, rows: int) -> DataFrame:
+        """Edges that end at a vertex of the frontier, with its target."""
+        if rows <= BROADCAST_ROWS:
+            return into.join(F.broadcast(frontier), "node")
+        hot = hot_keys(frontier, ["node"])
+        if not hot:
+            return into.join(replicate(frontier, salts), ["node", "_salt"])
+        # Very many targets are searched through one vertex: its frontier rows are spread too, and its edges
+        # repeated for them.
+        turns = n_salts(["node"], hot)
+        spread = replicate(frontier.withColumn("_turn", row_salt(frontier, turns)), salts)
+        every_turn = F.explode_outer(F.sequence(F.lit(0), turns - 1))
+        return into.withColumn("_turn", every_turn).join(spread, ["node", "_salt", "_turn"])
+
     def walks(self) -> DataFrame:
         """Path of every answered request: ``src, dst, path``."""
         walkers = None

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.lookup import in_words
 from ..functions.text import words_of
-from .word_lists import WordList, as_literal, as_table, in_words
+from .word_lists import WordList, as_literal, as_table
 
 # Fixed value: how many common words are reported.
 TOP_K = 20
@@ -45,18 +46,16 @@ def counts_by_source(tagged: DataFrame, line: str = "value") -> DataFrame:
 def common_counts(tagged: DataFrame, stop: WordList | None = None, line: str = "value") -> DataFrame:
     """Words of both sources with the smaller of their two counts, without stop words.
 
-    Stop words go after counting: by then every word is a single row, so none of them is hot.
+    Stop words go after counting, when every word is a single row and none of them is hot. The check is part of
+    the count so that Catalyst does not move it down to every word of every line.
     """
-    common = (
-        counts_by_source(tagged, line)
-        .select(F.least("first_cnt", "second_cnt").alias("freq"), "word")
-        .where("freq > 0")
-    )
-    if stop is None:
-        return common
-    literal = as_literal(stop)
+    freq = F.least("first_cnt", "second_cnt")
+    literal = None if stop is None else as_literal(stop)
     if literal is not None:
-        return common.where(~in_words(F.col("word"), literal))
+        freq = F.when(~in_words(F.col("word"), literal), freq)
+    common = counts_by_source(tagged, line).select(freq.alias("freq"), "word").where("freq > 0")
+    if stop is None or literal is not None:
+        return common
     return common.join(as_table(stop, tagged), "word", "left_anti").select("freq", "word")
 
 

@@ -175,10 +175,8 @@ EDGES = f"""
     UNION ALL
     SELECT dst, src FROM ({PAIRS}) WHERE has_tags AND l_returnflag IN ('A', 'R') AND l_linestatus <> 'F'"""
 VERTICES = """
-    SELECT p_partkey AS id, p_size * CAST(1.5 AS DOUBLE) - 40 AS lat,
-           p_partkey % 3600 / CAST(10 AS DOUBLE) - 180 AS lon FROM part
-    UNION ALL
-    SELECT -1 - s_suppkey, CAST(s_nationkey AS DOUBLE), s_acctbal / 100 FROM supplier"""
+    SELECT unnest([p_partkey, -1 - p_partkey]) AS id, p_size * CAST(1.5 AS DOUBLE) - 40 AS lat,
+           p_partkey % 3600 / CAST(10 AS DOUBLE) - 180 AS lon FROM part"""
 CONNECTED = f"""
     SELECT v.* FROM ({VERTICES}) v
     WHERE EXISTS (SELECT 1 FROM ({EDGES}) e WHERE e.src = v.id)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import dates, scores, tags, text
 from ..operators import encode, graph as roads, lexicon, paths, posts as post_ops, word_lists, words
@@ -191,12 +191,11 @@ def score_classes(spark, sf_dir):
     return events.withColumn("sentiment", scores.sentiment_from_score(F.col("score")))
 
 
-def _vocabulary(clean: DataFrame) -> DataFrame:
+def _vocabulary(clean: DataFrame) -> dict[str, int]:
     """The most frequent words with their rank; the ranked list has a fixed number of rows."""
     counts = words.word_count(clean, "text", sorted=False)
-    ranked = counts.orderBy(F.desc("cnt"), "word").limit(given.VOCABULARY_SIZE)
-    rank = F.row_number().over(Window.orderBy(F.desc("cnt"), "word"))
-    return ranked.select("word", rank.alias("id"))
+    ranked = counts.orderBy(F.desc("cnt"), "word").limit(given.VOCABULARY_SIZE).collect()
+    return {r["word"]: rank for rank, r in enumerate(ranked, 1)}
 
 
 def _encoded(spark: SparkSession, sf_dir: str, by_join: bool = False) -> DataFrame:
@@ -268,7 +267,7 @@ def streamed_topic_posts(spark, sf_dir):
     folder = scratch_path(spark, "stream")
     reader = spark.readStream.schema(given.table(spark, sf_dir, "documents").schema)
     documents = reader.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    documents = documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    documents = given.spread_small(documents, sf_dir, "documents")
     rows = stream.sink_rows(given.as_posts(documents), given.STOP_WORDS, given.TOPICS, given.LEXICON)
     writer = stream.batch_folder_writer(f"{folder}/rows")
     stream.write_batches(rows, writer, f"{folder}/checkpoint", available_now=True).awaitTermination()

@@ -1,8 +1,8 @@
 """The inputs of the four jobs, derived from the test tables row by row.
 
 There are no posts and no road map among the tables. A document stands for a post, a line item for a way of
-three nodes, a part for a map node, a customer for a path request. Each stand-in is a projection of one table
-(or a union of two), so it adds no shuffle and grows with the table.
+three nodes, a part for two map nodes, a customer for a path request. Each stand-in is a projection of one
+table, so it needs no shuffle and grows with the table.
 """
 
 from __future__ import annotations
@@ -52,17 +52,19 @@ SMALL_TABLE_BYTES = 64_000_000
 KEYS = {"documents": "doc_id", "lineitem": "l_orderkey", "pages": "page_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. A small one that takes some work per row is spread over the cores by its key."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if name in KEYS and table_bytes(spark, path) < SMALL_TABLE_BYTES:
+def spread_small(df: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    """Spread a small table over the cores by its key; leave a larger one as it is read."""
+    spark = df.sparkSession
+    size = spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet").agg(F.sum("length")).first()[0]
+    if name in KEYS and size < SMALL_TABLE_BYTES:
         return df.repartition(spark.sparkContext.defaultParallelism, KEYS[name])
     return df
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table, spread over the cores if it is small and takes some work per row."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(df, sf_dir, name) if name in KEYS else df
 
 
 def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,14 +108,12 @@ def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as map nodes, and suppliers as nodes that no way touches."""
-    parts = table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS _id", "p_size * 1.5D - 40 AS _lat", "p_partkey % 3600 / 10D - 180 AS _lon"
-    )
-    suppliers = table(spark, sf_dir, "supplier").selectExpr(
-        "-1 - s_suppkey AS _id", "CAST(s_nationkey AS DOUBLE) AS _lat", "s_acctbal / 100 AS _lon"
+    """Two map nodes per part: one with its key, and one with a negative id that no way touches."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "explode(array(p_partkey, -1 - p_partkey)) AS _id",
+        "p_size * 1.5D - 40 AS _lat",
+        "p_partkey % 3600 / 10D - 180 AS _lon",
     )
-    return parts.unionByName(suppliers)
 
 
 def map_ways(spark: SparkSession, sf_dir: str) -> DataFrame:

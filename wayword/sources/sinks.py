@@ -38,17 +38,17 @@ def write_paths(paths: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 
 def write_table(
-    rows: DataFrame, target: str, mode: str = "append", format: str = "parquet", table: bool = False, **options: str
+    rows: DataFrame, target: str | None, mode: str = "append", format: str = "parquet", table: bool = False,
+    **options: str,
 ) -> None:
-    """Write rows to a path, to a catalog table (``table=True``) or through any connector (``format``).
+    """Write rows to a path, to a catalog table (``table=True``), or with a connector named by ``format``.
 
-    ``overwrite`` replaces the target whether or not it exists yet; ``append`` adds to it.
+    A connector that knows its target from ``options`` takes None for ``target``. ``overwrite`` replaces the
+    target whether or not it exists yet; ``append`` adds to it.
     """
     writer = rows.write.mode(mode).format(format).options(**options)
     if table:
         writer.saveAsTable(target)
-    elif format == "jdbc":
-        writer.option("dbtable", target).save()
     else:
         writer.save(target)
 
