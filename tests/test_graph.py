@@ -174,7 +174,8 @@ def brute_force(ids, edges, src, dst, max_hops):
 
 
 def check_paths(spark, ids, edges, requests, max_hops):
-    pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(requests)], "pair_id int, src bigint, dst bigint")
+    numbered = [(i, a, b) for i, (a, b) in enumerate(requests)]
+    pairs = spark.createDataFrame(numbered, "pair_id int, src bigint, dst bigint")
     got = paths.shortest_paths(make_graph(spark, ids, edges), pairs, max_hops).collect()
     assert len(got) == len(requests)
     for r in got:

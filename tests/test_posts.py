@@ -75,7 +75,8 @@ def test_tag_topics(clean, by_join, hot_rows, monkeypatch):
 
 @pytest.mark.parametrize("by_join", [False, True])
 def test_empty_and_missing_tweets_have_no_topic(spark, by_join):
-    df = spark.createDataFrame([("u", "d", ""), ("u", "d", None), ("u", "d", "x  y")], "user string, date string, tweet string")
+    tweets = [("u", "d", ""), ("u", "d", None), ("u", "d", "x  y")]
+    df = spark.createDataFrame(tweets, "user string, date string, tweet string")
     assert column(ops.tag_topics(df, {"t": [""]}, by_join), "tweet") == ["x  y"]
     assert ops.tag_topics(df.limit(0), {"t": ["x"]}, by_join).count() == 0
 
@@ -94,7 +95,8 @@ def test_lexicon_means(spark, clean, measure, monkeypatch):
     got = {r["user"]: r[measure] for r in score(clean, LEXICON).collect()}
     want = {"polarity": (0.5, -0.75, 0.0, -0.0625), "subjectivity": (0.25, 1.0, 0.0, 0.5625)}[measure]
     assert (got["ann"], got["bob"], got["cat"], got["hal"]) == want
-    table = spark.createDataFrame([(w, *v) for w, v in LEXICON.items()], "word string, polarity double, subjectivity double")
+    values = [(w, *v) for w, v in LEXICON.items()]
+    table = spark.createDataFrame(values, "word string, polarity double, subjectivity double")
     assert rows(score(clean, table)) == rows(score(clean, LEXICON))
     monkeypatch.setattr(skew, "HOT_ROWS", 0)
     assert rows(score(clean, table, by_join=True)) == rows(score(clean, LEXICON))
@@ -113,7 +115,7 @@ def test_signs_and_classes(spark):
 
 
 def test_pad_pre(spark):
-    df = spark.sql("SELECT * FROM VALUES (array(1, 2)), (array(1, 2, 3)), (array(1, 2, 3, 4)), (cast(array() AS array<int>)) AS t(n)")
+    df = spark.createDataFrame([([1, 2],), ([1, 2, 3],), ([1, 2, 3, 4],), ([],)], "n array<int>")
     assert column(df.select(scores.pad_pre(F.col("n"), 3))) == [[0, 1, 2], [1, 2, 3], [2, 3, 4], [0, 0, 0]]
 
 

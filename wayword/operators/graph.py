@@ -67,42 +67,45 @@ def drop_isolated(graph: Graph) -> Graph:
     return Graph(graph.vertices.join(endpoints(graph.edges), "id", "left_semi"), graph.edges)
 
 
-def _neighbour_rows(edges: DataFrame, part_size: int) -> DataFrame:
-    """Rows ``id, part, dsts`` with the distinct neighbours of every source.
+def _short_lists(ids: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row per id with all its neighbours."""
+    lists = edges.groupBy(F.col("src").alias("id")).agg(F.array_sort(F.collect_set("dst")).alias("dsts"))
+    dsts = F.coalesce("dsts", F.array().cast("array<bigint>")).alias("dsts")
+    return ids.join(lists, "id", "left").select("id", F.lit(0).alias("part"), dsts)
 
-    A source with at most ``part_size`` edges is collected in one group. The others, which were found by
-    counting, are split by the neighbour into parts of about that size, so no group grows with the data.
-    """
-    busy = edges.groupBy("src").count().where(F.col("count") > part_size).select("src")
-    n_busy = busy.limit(BROADCAST_ROWS + 1).count()
-    usual = edges if n_busy == 0 else sized_join(edges, busy, ["src"], "left_anti", n_busy)
-    rows = usual.groupBy("src").agg(F.array_sort(F.collect_set("dst")).alias("dsts")).select(
-        F.col("src").alias("id"), F.lit(0).alias("part"), "dsts"
-    )
-    if n_busy == 0:
-        return rows
+
+def _split_lists(busy: DataFrame, n_busy: int, edges: DataFrame, part_size: int) -> DataFrame:
+    """Rows for the busy sources, whose neighbours are split into parts of about ``part_size``."""
     pairs = sized_join(edges, busy, ["src"], "left_semi", n_busy).distinct()
     parts = pairs.groupBy("src").agg(F.ceil(F.count("*") / part_size).cast("int").alias("parts"))
-    split = (
+    return (
         sized_join(pairs, parts, ["src"], "inner", n_busy)
-        .groupBy(F.col("src").alias("id"), F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"))
+        .withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int"))
+        .groupBy(F.col("src").alias("id"), "part")
         .agg(F.array_sort(F.collect_list("dst")).alias("dsts"))
     )
-    return rows.unionByName(split)
 
 
 def adjacency(graph: Graph, part_size: int = PART_SIZE) -> DataFrame:
     """Distinct neighbours of every vertex in rows ``id, part, dsts``.
 
     A vertex has one row, sorted within, unless it has more than ``part_size`` neighbours; then there are
-    several rows, which share the neighbours out. A vertex without outgoing edges has an empty list. A neighbour need not be a vertex itself.
+    several rows, which share the neighbours out. A vertex without outgoing edges has an empty list. A
+    neighbour need not be a vertex itself.
+
+    Edges are counted per source first. A source with few edges is collected in one group; the others never
+    are, so no group grows with the data.
     """
-    rows = _neighbour_rows(graph.edges.select("src", "dst"), part_size)
-    return graph.vertices.select("id").distinct().join(rows, "id", "left").select(
-        "id",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("dsts", F.array().cast("array<bigint>")).alias("dsts"),
-    )
+    edges = graph.edges.select("src", "dst")
+    ids = graph.vertices.select("id").distinct()
+    busy = edges.groupBy("src").count().where(F.col("count") > part_size).select("src")
+    n_busy = busy.limit(BROADCAST_ROWS + 1).count()
+    if n_busy == 0:
+        return _short_lists(ids, edges)
+    usual_ids = sized_join(ids, busy.select(F.col("src").alias("id")), ["id"], "left_anti", n_busy)
+    usual_edges = sized_join(edges, busy, ["src"], "left_anti", n_busy)
+    busy = busy.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
+    return _short_lists(usual_ids, usual_edges).unionByName(_split_lists(busy, n_busy, edges, part_size))
 
 
 def adjacency_line(id: Column | str, dsts: Column) -> Column:

@@ -24,14 +24,13 @@ STEPS_PER_PLAN = 10
 
 def _inner_edges(graph: Graph) -> DataFrame:
     """Distinct edges between two different vertices of the graph."""
-    edges = graph.edges.select("src", "dst").where("src <> dst").distinct()
-    ids = graph.vertices.select("id")
-    loose = endpoints(edges).join(ids, "id", "left_anti")
+    loose = endpoints(graph.edges).join(graph.vertices.select("id"), "id", "left_anti")
     n_loose = loose.limit(BROADCAST_ROWS + 1).count()
+    edges = graph.edges.select("src", "dst").where("src <> dst")
     if n_loose:
         for end in ("src", "dst"):
             edges = sized_join(edges, loose.select(F.col("id").alias(end)), [end], "left_anti", n_loose)
-    return edges
+    return edges.select("src", "dst").distinct()
 
 
 def _wanted(graph: Graph, pairs: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def _wanted(graph: Graph, pairs: DataFrame) -> DataFrame:
 class _Search:
     """The levels of one search, each a table in the shared folder."""
 
-    schema = "target bigint, node bigint, next bigint"
+    schema = "target bigint, node bigint, next bigint, asked boolean"
 
     def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int):
         self.spark = pairs.sparkSession
@@ -71,16 +70,17 @@ class _Search:
 
     def answered(self) -> DataFrame:
         """The rows of all levels that answer a request."""
-        return self.spark.read.schema(f"{self.schema}, hops int").parquet(f"{self.folder}/answered")
+        return self.levels().where("asked")
 
     def add_level(self, rows: DataFrame) -> tuple[int, int]:
-        """Write down the next level and the requests it answers; the row counts of both."""
-        k = self.n_levels
-        level, n_rows = materialise_counted(rows, f"{self.folder}/levels/hops={k}")
-        answers = sized_join(level, self.wanted, ["target", "node"], "left_semi", self.n_wanted)
-        _, n_answers = materialise_counted(answers, f"{self.folder}/answered/hops={k}")
+        """Write down the next level; how many rows it has and how many requests it answers."""
+        asked = self.wanted.withColumn("asked", F.lit(True))
+        # Both sides are unique, so no key can be hot.
+        marked = sized_join(rows, asked, ["target", "node"], "left", self.n_wanted, hot={})
+        marked = marked.select("target", "node", "next", F.coalesce("asked", F.lit(False)).alias("asked"))
+        level = materialise(marked, f"{self.folder}/levels/hops={self.n_levels}")
         self.n_levels += 1
-        return n_rows, n_answers
+        return level.agg(F.count("*"), F.count_if("asked")).first()[:]
 
     def frontier(self, found: int) -> DataFrame:
         """The last level without the targets that have answered all their requests."""
@@ -144,10 +144,11 @@ class _Search:
                 walkers = starts
                 continue
             # Walkers may meet at a vertex, while the rows of a level are unique.
+            level = self.level(k).drop("asked")
             if self.n_wanted <= BROADCAST_ROWS:
-                moved = self.level(k).join(F.broadcast(walkers), ["target", "node"])
+                moved = level.join(F.broadcast(walkers), ["target", "node"])
             else:
-                moved = salted_join(walkers, self.level(k), ["target", "node"], "inner")
+                moved = salted_join(walkers, level, ["target", "node"], "inner")
             walkers = self._step(moved).unionByName(starts)
             if k and k % STEPS_PER_PLAN == 0:
                 walkers = materialise(walkers, f"{self.folder}/walk={k}")
