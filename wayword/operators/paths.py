@@ -100,8 +100,11 @@ class _Search:
         salts = n_salts(["node"], hot)
         into = into.withColumn("_salt", F.pmod(F.xxhash64("src"), salts).cast("int"))
         n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        into = into.repartition(n_parts, "node", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+        into = into.repartition(n_parts, "node", "_salt").sortWithinPartitions("node", "_salt")
+        into = into.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # Once the cache is filled Catalyst knows its layout and neither shuffles nor sorts it for a join.
+            into.count()
             while rows and found < self.n_wanted and self.n_levels <= max_hops:
                 frontier = self.frontier(found)
                 reached = self._expand(into, salts, frontier, rows)

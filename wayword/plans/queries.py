@@ -119,11 +119,11 @@ def epoch_dates(spark, sf_dir):
     """Order dates with two-digit years, some in a form that is not read."""
     orders = given.table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        """CASE o_orderkey % 4
-             WHEN 0 THEN date_format(o_orderdate, 'dd-MM-yy HH:mm')
-             WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yy HH:mm')
-             WHEN 2 THEN date_format(o_orderdate, 'd.M.yy H:mm')
-             ELSE date_format(o_orderdate, 'dd-MM-yyyy HH:mm') END AS date""",
+        f"""CASE o_orderkey % 4
+              WHEN 0 THEN {given.day_first('o_orderdate', '-', 2)}
+              WHEN 1 THEN {given.day_first('o_orderdate', '/', 2)}
+              WHEN 2 THEN {given.day_first('o_orderdate', '.', 2, padded=False)}
+              ELSE {given.day_first('o_orderdate', '-')} END AS date""",
     )
     return orders.select("o_orderkey", "date", dates.parse_epoch("date").alias("epoch"))
 

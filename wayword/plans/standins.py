@@ -74,15 +74,25 @@ def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def day_first(ts: str, sep: str, year_digits: int = 4, padded: bool = True) -> str:
+    """SQL for a time written ``d-m-Y H:M``. It is cut out of the text of the time, so no time zone matters."""
+    text = f"CAST({ts} AS STRING)"
+    day, month, hour = (f"substring({text}, {at}, 2)" for at in (9, 6, 12))
+    if not padded:
+        day, month, hour = (f"CAST({part} AS INT)" for part in (day, month, hour))
+    year = f"substring({text}, {5 - year_digits}, {year_digits})"
+    return f"concat({day}, '{sep}', {month}, '{sep}', {year}, ' ', {hour}, substring({text}, 14, 3))"
+
+
 def date_forms(key: str, ts: str) -> str:
     """SQL for a date in one of four forms, a form that is none of them, or null."""
     return f"""
         CASE {key} % 6
-          WHEN 0 THEN date_format({ts}, 'yyyy-MM-dd HH:mm:ss')
-          WHEN 1 THEN date_format({ts}, 'dd-MM-yyyy HH:mm')
-          WHEN 2 THEN date_format({ts}, 'dd/MM/yyyy HH:mm')
-          WHEN 3 THEN date_format({ts}, 'd.M.yyyy H:mm')
-          WHEN 4 THEN date_format({ts}, 'yyyy/MM/dd')
+          WHEN 0 THEN substring(CAST({ts} AS STRING), 1, 19)
+          WHEN 1 THEN {day_first(ts, '-')}
+          WHEN 2 THEN {day_first(ts, '/')}
+          WHEN 3 THEN {day_first(ts, '.', padded=False)}
+          WHEN 4 THEN replace(substring(CAST({ts} AS STRING), 1, 10), '-', '/')
         END"""
 
 
