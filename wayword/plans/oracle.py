@@ -64,13 +64,14 @@ def _cleansed(text: str) -> str:
 # Dates
 
 
-def _date_forms(key: str, ts: str) -> str:
-    return f"""CASE {key} % 6
-        WHEN 0 THEN strftime({ts}, '%Y-%m-%d %H:%M:%S')
-        WHEN 1 THEN strftime({ts}, '%d-%m-%Y %H:%M')
-        WHEN 2 THEN strftime({ts}, '%d/%m/%Y %H:%M')
-        WHEN 3 THEN strftime({ts}, '%-d.%-m.%Y %-H:%M')
-        WHEN 4 THEN strftime({ts}, '%Y/%m/%d') END"""
+def _date_forms(key: str, ts: str, unreadable: str, missing: str) -> str:
+    return f"""CASE
+        WHEN {missing} THEN NULL
+        WHEN {unreadable} THEN strftime({ts}, '%Y/%m/%d')
+        WHEN {key} % 4 = 0 THEN strftime({ts}, '%Y-%m-%d %H:%M:%S')
+        WHEN {key} % 4 = 1 THEN strftime({ts}, '%d-%m-%Y %H:%M')
+        WHEN {key} % 4 = 2 THEN strftime({ts}, '%d/%m/%Y %H:%M')
+        ELSE strftime({ts}, '%-d.%-m.%Y %-H:%M') END"""
 
 
 def _parsed(date: str) -> str:
@@ -87,13 +88,15 @@ def _parsed(date: str) -> str:
     return f"coalesce({tries})"
 
 
+EVENT_DATE = _date_forms("event_id", "ts", "user_id = 7", "user_id = 13")
 EVENT_POSTS = f"""
-    SELECT event_id, CAST(user_id AS VARCHAR) AS user_name, {_date_forms('event_id', 'ts')} AS date,
+    SELECT event_id, CAST(user_id AS VARCHAR) AS user_name, {EVENT_DATE} AS date,
            nullif(event_type, 'error') AS text
     FROM events"""
 
 POSTED = "TIMESTAMP '2010-01-01 00:00:00' + to_seconds(doc_id % 1000000 * 433)"
-POSTS = f"SELECT source AS user_name, {_date_forms('doc_id', POSTED)} AS date, text FROM documents"
+POST_DATE = _date_forms("doc_id", POSTED, "source = 'src7'", "source = 'src13'")
+POSTS = f"SELECT source AS user_name, {POST_DATE} AS date, text FROM documents"
 CLEAN = f"""
     SELECT user_name AS "user", date, {_cleansed('text')} AS tweet
     FROM ({POSTS}) WHERE text IS NOT NULL AND {_parsed('date')} IS NOT NULL"""

@@ -84,23 +84,25 @@ def day_first(ts: str, sep: str, year_digits: int = 4, padded: bool = True) -> s
     return f"concat({day}, '{sep}', {month}, '{sep}', {year}, ' ', {hour}, substring({text}, 14, 3))"
 
 
-def date_forms(key: str, ts: str) -> str:
-    """SQL for a date in one of four forms, a form that is none of them, or null."""
+def date_forms(key: str, ts: str, unreadable: str, missing: str) -> str:
+    """SQL for a date in one of four forms, or in a form that is none of them, or null."""
     return f"""
-        CASE {key} % 6
-          WHEN 0 THEN substring(CAST({ts} AS STRING), 1, 19)
-          WHEN 1 THEN {day_first(ts, '-')}
-          WHEN 2 THEN {day_first(ts, '/')}
-          WHEN 3 THEN {day_first(ts, '.', padded=False)}
-          WHEN 4 THEN replace(substring(CAST({ts} AS STRING), 1, 10), '-', '/')
+        CASE
+          WHEN {missing} THEN NULL
+          WHEN {unreadable} THEN replace(substring(CAST({ts} AS STRING), 1, 10), '-', '/')
+          WHEN {key} % 4 = 0 THEN substring(CAST({ts} AS STRING), 1, 19)
+          WHEN {key} % 4 = 1 THEN {day_first(ts, '-')}
+          WHEN {key} % 4 = 2 THEN {day_first(ts, '/')}
+          ELSE {day_first(ts, '.', padded=False)}
         END"""
 
 
 def as_posts(documents: DataFrame) -> DataFrame:
-    """Raw posts of the documents, a batch or a stream."""
+    """Raw posts of the documents, a batch or a stream. Two sources give no usable dates."""
     posted = "timestampadd(SECOND, CAST(doc_id % 1000000 * 433 AS INT), TIMESTAMP_NTZ '2010-01-01 00:00:00')"
+    date = date_forms("doc_id", posted, unreadable="source = 'src7'", missing="source = 'src13'")
     return documents.selectExpr(
-        "source AS user_name", "lang AS user_location", f"{date_forms('doc_id', posted)} AS date", "text",
+        "source AS user_name", "lang AS user_location", f"{date} AS date", "text",
         "CAST(n_chars AS STRING) AS user_followers",
     )
 
@@ -110,9 +112,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short posts with the real times of the events."""
+    """Short posts with the real times of the events. Two users give no usable dates, errors have no text."""
+    date = date_forms("event_id", "ts", unreadable="user_id = 7", missing="user_id = 13")
     return table(spark, sf_dir, "events").selectExpr(
-        "event_id", "CAST(user_id AS STRING) AS user_name", f"{date_forms('event_id', 'ts')} AS date",
+        "event_id", "CAST(user_id AS STRING) AS user_name", f"{date} AS date",
         "nullif(event_type, 'error') AS text",
     )
 
