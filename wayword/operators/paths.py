@@ -137,6 +137,10 @@ class _Search:
         every_turn = F.explode_outer(F.sequence(F.lit(0), turns - 1))
         return into.withColumn("_turn", every_turn).join(spread, ["node", "_salt", "_turn"])
 
+    def paths_are_small(self) -> bool:
+        """Whether all paths together may be broadcast; a path counts as many rows as it may have vertices."""
+        return self.n_wanted * self.n_levels <= BROADCAST_ROWS
+
     def walks(self) -> DataFrame:
         """Path of every answered request: ``src, dst, path``."""
         walkers = None
@@ -148,12 +152,13 @@ class _Search:
                 continue
             # Walkers may meet at a vertex, while the rows of a level are unique.
             level = self.level(k).drop("asked")
-            if self.n_wanted <= BROADCAST_ROWS:
+            if self.paths_are_small():
                 moved = level.join(F.broadcast(walkers), ["target", "node"])
             else:
                 moved = salted_join(walkers, level, ["target", "node"], "inner")
             walkers = self._step(moved).unionByName(starts)
-            if k and k % STEPS_PER_PLAN == 0:
+            # Walkers that are joined with salts are read twice per step, so they are written each time.
+            if k and (k % STEPS_PER_PLAN == 0 or not self.paths_are_small()):
                 walkers = materialise(walkers, f"{self.folder}/walk={k}")
         done = walkers.select(F.col("start").alias("src"), F.col("target").alias("dst"), "path")
         return materialise(done, f"{self.folder}/found")
@@ -175,9 +180,7 @@ def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int = MAX_HOPS) ->
     """
     search = _Search(graph, pairs, max_hops)
     found = search.walks()
-    # A path row holds an array, so the bound on broadcast rows is lowered by its length.
-    small = search.n_wanted * search.n_levels <= BROADCAST_ROWS
-    if small:
+    if search.paths_are_small():
         joined = pairs.join(F.broadcast(found), ["src", "dst"], "left")
     else:
         joined = salted_join(pairs, found, ["src", "dst"], "left")

@@ -11,7 +11,7 @@ from ..functions.lookup import lookup
 from ..functions.text import cleanse, normalise, split_on_space, tokenize_clean
 from .lexicon import Lexicon, literal_lexicon, score_sentiment
 from .per_text import KEY, per_text
-from .skew import salted_join, sized_join
+from .skew import BROADCAST_ROWS, salted_join, sized_join
 from .word_lists import LITERAL_WORDS, WordList, as_literal, remove_stopwords, small_rows
 
 Topics = Mapping[str, Sequence[str]] | DataFrame
@@ -116,7 +116,9 @@ def _tag_by_join(posts: DataFrame, topics: DataFrame) -> DataFrame:
     terms = topics.groupBy("topic").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms")
     )
-    return _tagged(sized_join(matched, terms, ["topic"], "inner"), F.col("terms"))
+    # A topic row is as wide as its terms are many, so the terms are what the broadcast bound counts.
+    n_terms = flat.limit(BROADCAST_ROWS + 1).count()
+    return _tagged(sized_join(matched, terms, ["topic"], "inner", n_terms), F.col("terms"))
 
 
 def tag_topics(posts: DataFrame, topics: Topics, by_join: bool = False) -> DataFrame:
