@@ -3,7 +3,7 @@
 Every vector is projected on many random lines. For each line a shard keeps its vectors in the order of their
 projections. A query opens a window around its own place on every line, and a vector collides with it wherever it lies
 in the window. The windows of all lines are widened together (virtual rehashing: the index stays as it is) until enough
-vectors of the shard collide on at least half of the lines; all of these are verified with the true inner product.
+vectors of the shard collide on three quarters of the lines; all of these are verified with the true inner product.
 
 The largest inner product is turned into the smallest distance with one more coordinate, which lifts all vectors of a
 shard to the norm of its longest one. Shards are ranges of the norm, so one long vector does not flatten the others.
@@ -28,15 +28,15 @@ from .vectors import BLOCK_SCHEMA, QUERY_BLOCK, SHARD, merge_top, pack, tile_lis
 
 # Random lines, and the share of them on which a vector must collide to be verified.
 LINES = 128
-COLLISIONS = 0.5
+COLLISIONS = 0.75
 
 # Windows are widened until so many times k vectors and this share of the shard are to be verified.
-SPARE = 4
-VERIFIED = 0.12
+SPARE = 6
+VERIFIED = 0.15
 
 # First half width of a window in units of the longest norm, and the factor by which windows grow.
-FIRST_WIDTH = 0.7
-GROWTH = 1.1
+FIRST_WIDTH = 1.0
+GROWTH = 1.07
 
 
 def lines(dim: int, n_lines: int, seed: int) -> np.ndarray:
