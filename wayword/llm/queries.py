@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, topk
+from . import ann, bpe, language, quality, topk
+
+# Where the installed vocabulary files are; an operator takes any path.
+VOCABULARY = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +30,42 @@ def op4_near_search(spark, sf_dir):
     return ann.near_search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op5_bpe(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_column(documents, vocabulary_path(), keep=["doc_id"], with_ids=False)
+
+
+@query
+def op6_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = held_out_rows(4, 2)
+    model = language.learn(documents.where(~held_out), "text", "lang", "doc_id")
+    scored = language.predict(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_quality(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = held_out_rows(3, 1)
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = quality.learn(documents, labels.select("doc_id", F.col("quality").alias("label")))
+    scored = quality.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def held_out_rows(parts: int, part: int) -> Column:
+    """Whether a document is kept back from learning; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts == part
+
+
 @query
 def op8_exact_top_k(spark, sf_dir):
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
