@@ -3,7 +3,7 @@
 Every vector is projected on many random lines. For each line a shard keeps its vectors in the order of their
 projections. A query opens a window around its own place on every line, and a vector collides with it wherever it lies
 in the window. The windows of all lines are widened together (virtual rehashing: the index stays as it is) until enough
-vectors of the shard collide on three quarters of the lines; all of these are verified with the true inner product.
+vectors of the shard collide on four fifths of the lines; all of these are verified with the true inner product.
 
 The largest inner product is turned into the smallest distance with one more coordinate, which lifts all vectors of a
 shard to the norm of its longest one. Shards are ranges of the norm, so one long vector does not flatten the others.
@@ -27,16 +27,16 @@ from .topk import best
 from .vectors import BLOCK_SCHEMA, QUERY_BLOCK, SHARD, merge_top, pack, tile_lists, tiles, unpack, usable_vectors
 
 # Random lines, and the share of them on which a vector must collide to be verified.
-LINES = 128
-COLLISIONS = 0.75
+LINES = 64
+COLLISIONS = 0.8
 
 # Windows are widened until so many times k vectors and this share of the shard are to be verified.
-SPARE = 6
-VERIFIED = 0.15
+SPARE = 8
+VERIFIED = 0.27
 
 # First half width of a window in units of the longest norm, and the factor by which windows grow.
-FIRST_WIDTH = 1.0
-GROWTH = 1.07
+FIRST_WIDTH = 1.3
+GROWTH = 1.06
 
 
 def lines(dim: int, n_lines: int, seed: int) -> np.ndarray:
@@ -58,7 +58,7 @@ def index_shards(shards: DataFrame, n_lines: int, seed: int) -> DataFrame:
                 row |= {
                     "longest": longest,
                     "places": np.take_along_axis(places, order, axis=1).tobytes(),
-                    "owners": order.astype(np.int32).tobytes(),
+                    "owners": order.astype(np.int64).tobytes(),
                 }
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
@@ -76,7 +76,7 @@ def colliding(places: np.ndarray, owners: np.ndarray, at: np.ndarray, least: int
     """
     n_lines, n = places.shape
     n_queries = len(at)
-    counts = np.zeros((n_queries, n), dtype=np.int32)
+    counts = np.zeros((n_queries, n), dtype=np.int64)
     low = np.zeros((n_queries, n_lines), dtype=np.int64)
     high = low.copy()
     for j in range(n_lines):
@@ -98,8 +98,8 @@ def colliding(places: np.ndarray, owners: np.ndarray, at: np.ndarray, least: int
                 [starts + left[row], starts + np.minimum(low[query], right[row]),
                  starts + np.maximum(high[query], left[row]), starts + right[row]]
             ).tolist()
-            parts = [flat[a:b] for a, b, _, _ in cuts] + [flat[c:d] for _, _, c, d in cuts]
-            counts[query] += np.bincount(np.concatenate(parts), minlength=n).astype(np.int32)
+            parts = [flat[a:b] for cut in cuts for a, b in (cut[:2], cut[2:])]
+            counts[query] += np.bincount(np.concatenate(parts), minlength=n)
             low[query], high[query] = left[row], right[row]
             met = np.flatnonzero(counts[query] >= least)
             if len(met) >= wanted:
@@ -137,7 +137,7 @@ def near_search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                 ids, x = unpack({"s_ids": row["ids"], "s_matrix": row["matrix"]}, "s")
                 n = len(ids)
                 places = np.frombuffer(row["places"], dtype=np.float64).reshape(n_lines, n)
-                owners = np.frombuffer(row["owners"], dtype=np.int32).reshape(n_lines, n)
+                owners = np.frombuffer(row["owners"], dtype=np.int64).reshape(n_lines, n)
                 longest = row["longest"]
                 # A query's length does not change the order of its neighbours.
                 unit = q / np.sqrt((q * q).sum(axis=1, keepdims=True))

@@ -1,7 +1,8 @@
 """Quality of texts by a vote of the most similar labelled texts.
 
-A text becomes the weights of its byte trigrams, hashed to ``TERMS`` places: the logarithm of the count times the
-rarity of the term among the labelled texts. A truncated singular value decomposition of the labelled texts maps these
+A text becomes the weights of its terms: byte trigrams, hashed to ``TERMS`` places, and how much of it repeats (words
+that follow themselves, words and lines that came before). A weight is the logarithm of the count times the rarity of
+the term among the labelled texts. A truncated singular value decomposition of the labelled texts maps these
 to ``TOPICS`` numbers. The cosine of every text with every labelled text is computed in blocks, and the ``NEIGHBOURS``
 most similar ones (and all that tie with the last of them) vote with their label, weighted by a power of the cosine.
 
@@ -15,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ from .arrow import with_columns_of_texts
 SAMPLE = 3000
 
 TERMS = 4096
+REPEATS = 3
+REPEAT_WEIGHT = 3.0
 TOPICS = 64
 NEIGHBOURS = 15
 POWER = 4
@@ -33,8 +38,25 @@ BLOCK = 512
 SEED = 42
 
 
+def repetition(text: str) -> list[float]:
+    """Shares, in thousandths: words that follow themselves, words and lines that came before."""
+    words, lines = text.split(), text.split("\n")
+    if not words:
+        return [0.0] * REPEATS
+    again = sum(map(eq, words, islice(words, 1, None)))
+    return [
+        1000 * again / len(words),
+        1000 * (1 - len(set(words)) / len(words)),
+        1000 * (1 - len(set(lines)) / len(lines)),
+    ]
+
+
 def term_counts(text: str | None) -> np.ndarray:
-    """How often each hashed byte trigram occurs."""
+    """How often each hashed byte trigram occurs, and the shares of what repeats."""
+    return np.concatenate([trigram_counts(text), repetition(text or "")])
+
+
+def trigram_counts(text: str | None) -> np.ndarray:
     data = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8).astype(np.uint32)
     if len(data) < 3:
         return np.zeros(TERMS)
@@ -73,7 +95,10 @@ class Model:
 
 
 def weights(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    return unit(np.log1p(counts) * rarity)
+    rows = np.log1p(counts) * rarity
+    # Nearly every text repeats some word, so its rarity says nothing.
+    rows[:, TERMS:] = np.log1p(counts[:, TERMS:]) * REPEAT_WEIGHT
+    return unit(rows)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -103,18 +128,18 @@ def learn(documents: DataFrame, labels: DataFrame, text_col: str = "text", key_c
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for label, text, turn in zip(*(batch.column(c).to_pylist() for c in ("label", "text", "turn"))):
-                counts = np.minimum(term_counts(text), 2**32 - 1).astype("<u4").tobytes()
+                counts = term_counts(text).astype("<f4").tobytes()
                 yield pa.RecordBatch.from_pydict({"label": [label], "counts": [counts], "turn": [turn]})
 
     # A key may stand for several rows; the limit holds for rows too.
     counted = rows.mapInArrow(count, "label double, counts binary, turn bigint")
     counted = counted.orderBy("turn", F.xxhash64("counts")).limit(sample).toArrow().to_pydict()
-    counts = np.frombuffer(b"".join(counted["counts"]), dtype="<u4").reshape(-1, TERMS).astype(np.float64)
+    counts = np.frombuffer(b"".join(counted["counts"]), dtype="<f4").reshape(-1, TERMS + REPEATS).astype(np.float64)
     known = (counts > 0).sum(axis=0)
     rarity = np.log((1 + len(counts)) / (1 + known))
     given = np.array(counted["label"], dtype=np.float64)
     if not len(given):
-        return Model(rarity, np.zeros((TERMS, 1)), np.zeros((0, 1)), given)
+        return Model(rarity, np.zeros((TERMS + REPEATS, 1)), np.zeros((0, 1)), given)
     rows_of = weights(counts, rarity)
     axes = main_axes(rows_of, TOPICS)
     return Model(rarity, axes, unit(rows_of @ axes), given)
