@@ -6,7 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, language, quality, topk
+from . import ann, bpe, language, mixing, quality, topk, urls
+
+# The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
+MIX_WEIGHTS = {
+    ("0",): 2.0,
+    ("0", "en"): 1.0,
+    ("0", "de"): 3.0,
+    ("1", "en"): 4.0,
+}
+MIX_SHARE = 0.5
+MIX_EPOCHS = 3
+
+
+def mix_levels() -> dict[str, Column]:
+    """Domain (every fourth source together), language and source."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]{1,9})$", 1)
+    domain = F.when(number != "", (F.try_to_number(number, F.lit("9" * 9)).cast("long") % 4).cast("string"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
 
 # Where the installed vocabulary files are; an operator takes any path.
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +43,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules that op2_url_filter is given.
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+@query
+def op2_url_filter(spark, sf_dir):
+    """The last number in a page's path is the document it shows, which may be labelled."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(urls.path_of(F.col("url")), r"([0-9]{1,18})[^0-9]*\z", 1)
+    shown = pages.select("url", F.try_to_number(number, F.lit("9" * 18)).cast("long").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).alias("bad"))
+    index = urls.mine(shown.join(labels, "doc_id"))
+    judged = urls.judge(pages, index, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.array_join("mined", " ").alias("mined"))
+
+
 @query
 def op4_near_search(spark, sf_dir):
     return ann.near_search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
@@ -71,6 +111,89 @@ def op8_exact_top_k(spark, sf_dir):
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
 
 
+@query
+def op9_mixing(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    planned = mixing.plan(documents, mix_levels(), MIX_SHARE, MIX_EPOCHS, MIX_WEIGHTS)
+    mixed = mixing.copies(documents, mix_levels(), planned)
+    return mixed.select("doc_id", mix_levels()["domain"].alias("domain"), "lang", "source", "n_tokens", "copies")
+
+
+ORACLE["op9_mixing"] = r"""
+WITH docs AS (
+  SELECT doc_id, lang, source,
+         CAST(CAST(nullif(regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1), '') AS BIGINT) % 4 AS VARCHAR) AS domain,
+         CAST(coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0) AS BIGINT) AS n_tokens
+  FROM documents
+),
+named AS (
+  SELECT *, coalesce(domain, 'none') AS d, coalesce(lang, 'none') AS l, coalesce(source, 'none') AS s FROM docs
+),
+leaves AS (SELECT d, l, s, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM named GROUP BY ALL),
+d1 AS (
+  SELECT d, CAST(sum(tokens) AS BIGINT) * 3 AS room, CASE d WHEN '0' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+         least((SELECT CAST(floor(sum(tokens) * 0.5::DOUBLE) AS BIGINT) FROM leaves),
+               CAST(sum(sum(tokens)) OVER () AS BIGINT) * 3) AS budget
+  FROM leaves GROUP BY d
+),
+d2 AS (
+  SELECT *, room * sum(weight) OVER (ORDER BY room / weight, d ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+            <= (budget - coalesce(sum(room) OVER (ORDER BY room / weight, d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS fills
+  FROM d1
+),
+d3 AS (
+  SELECT d, CASE WHEN fills THEN room ELSE greatest(0, least(room, CAST(floor(
+           (budget - sum(CASE WHEN fills THEN room ELSE 0 END) OVER ())::BIGINT * weight / sum(CASE WHEN fills THEN 0 ELSE weight END) OVER ()) AS BIGINT))) END AS budget
+  FROM d2
+),
+l1 AS (
+  SELECT leaves.d, l, CAST(sum(tokens) AS BIGINT) * 3 AS room, any_value(d3.budget) AS budget,
+         CASE WHEN leaves.d = '0' AND l = 'de' THEN 3.0::DOUBLE WHEN leaves.d = '1' AND l = 'en' THEN 4.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM leaves JOIN d3 USING (d) GROUP BY leaves.d, l
+),
+l2 AS (
+  SELECT *, room * sum(weight) OVER (PARTITION BY d ORDER BY room / weight, l ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+            <= (budget - coalesce(sum(room) OVER (PARTITION BY d ORDER BY room / weight, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS fills
+  FROM l1
+),
+l3 AS (
+  SELECT d, l, CASE WHEN fills THEN room ELSE greatest(0, least(room, CAST(floor(
+           (budget - sum(CASE WHEN fills THEN room ELSE 0 END) OVER f)::BIGINT * weight / sum(CASE WHEN fills THEN 0 ELSE weight END) OVER f) AS BIGINT))) END AS budget
+  FROM l2 WINDOW f AS (PARTITION BY d)
+),
+s1 AS (
+  SELECT leaves.d, leaves.l, s, tokens, tokens * 3 AS room, budget, 1.0::DOUBLE AS weight FROM leaves JOIN l3 USING (d, l)
+),
+s2 AS (
+  SELECT *, room * sum(weight) OVER (PARTITION BY d, l ORDER BY room / weight, s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+            <= (budget - coalesce(sum(room) OVER (PARTITION BY d, l ORDER BY room / weight, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS fills
+  FROM s1
+),
+s3 AS (
+  SELECT d, l, s, tokens, CASE WHEN fills THEN room ELSE greatest(0, least(room, CAST(floor(
+           (budget - sum(CASE WHEN fills THEN room ELSE 0 END) OVER f)::BIGINT * weight / sum(CASE WHEN fills THEN 0 ELSE weight END) OVER f) AS BIGINT))) END AS budget
+  FROM s2 WINDOW f AS (PARTITION BY d, l)
+),
+planned AS (
+  SELECT d, l, s, whole, budget - whole * tokens AS rest
+  FROM (SELECT *, CASE WHEN tokens > 0 THEN CAST(floor(budget / tokens) AS BIGINT) ELSE 0 END AS whole FROM s3)
+),
+placed AS (
+  SELECT named.*, whole, rest,
+         substr(md5('42|' || whole || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS spot
+  FROM named JOIN planned USING (d, l, s)
+),
+upto AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY d, l, s ORDER BY spot RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM placed
+)
+SELECT doc_id, domain, lang, source, n_tokens,
+       CAST(whole + CASE WHEN rest > 0 AND spot < (
+         SELECT min(x.spot) FROM upto x WHERE x.d = u.d AND x.l = u.l AND x.s = u.s AND x.upto > x.rest
+       ) THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM upto u
+"""
+
 ORACLE["op8_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
