@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, language, mixing, quality, topk, urls
+from . import ann, bpe, jaccard, language, mixing, quality, topk, urls
 
 # The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
 MIX_WEIGHTS = {
@@ -65,6 +65,13 @@ def op2_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict", F.array_join("mined", " ").alias("mined"))
 
 
+@query
+def op3_ngram_jaccard(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = jaccard.similar_texts(documents)
+    return joined.select("doc_id", "class_id", "copy_id", "n_links", "n_copies")
+
+
 @query
 def op4_near_search(spark, sf_dir):
     return ann.near_search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
