@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, jaccard, language, mixing, quality, topk, urls
+from . import ann, bpe, jaccard, language, lines, mixing, quality, topk, urls
 
 # The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
 MIX_WEIGHTS = {
@@ -43,6 +43,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = lines.near_line_dedup(documents)
+    return kept.select(
+        "doc_id", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 # The rules that op2_url_filter is given.
 URL_RULES = [
     ("org/", "allow"),
