@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, jaccard, language, lines, mixing, quality, topk, urls
+from . import ann, bpe, jaccard, language, lines, mixing, private, quality, topk, urls
 
 # The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
 MIX_WEIGHTS = {
@@ -233,3 +233,13 @@ ranked AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op10_private(spark, sf_dir):
+    marked = private.find_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [private.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in private.KINDS]
+    return marked.select(
+        "doc_id", *counts, F.sha2(private.span_list(F.col("base")), 256).alias("base_sha256"),
+        private.span_list(F.col("spans")).alias("spans"),
+    )
