@@ -2,8 +2,9 @@
 
 1. A line is normalised to its words (runs of letters and digits, in lower case). Lines of fewer than ``MIN_WORDS``
    words are left alone: they repeat by chance.
-2. Every line gets a 64-bit SimHash: each word's hash votes for every bit. The votes are counted in two lanes of one
-   number per pair of bits, so a line's words are summed up before anything is shuffled.
+2. Every line gets a SimHash of 60 bits: the hash of each word votes for every bit. Votes are counted in lanes, several
+   bits in one number, and compared with half of the words in all lanes at once. Lines are hashed where they are read;
+   no text is moved.
 3. The bits are cut into ``BLOCKS`` blocks. Two SimHashes that differ in at most ``BLOCKS - PICK`` bits agree on some
    ``PICK`` blocks, so distinct lines are joined on each choice of blocks (pigeonhole). Most pairs that differ in some
    more bits meet as well.
@@ -11,8 +12,8 @@
    ``SIMILARITY`` (one minus the edit distance, as a share of the longer line).
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
-Pairs inside a bucket are not all made. Each member meets a hub of its bucket; after two rounds of hubs, members that
-are still not connected to the hub's group meet all others of the bucket. Whatever all pairs would connect is connected.
+Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
+connected to the first hub's group meet all others of the bucket. Whatever all pairs would connect is connected.
 
 Null texts have no lines. Rows may share a key: they are told apart by their text, and equal rows lose the same lines,
 which keeps one of them whole at most as often as the row is repeated. Columns that are not named are passed on.
@@ -20,7 +21,6 @@ which keeps one of them whole at most as often as the row is repeated. Columns t
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,10 +32,13 @@ MIN_WORDS = 5
 SIMILARITY = 0.8
 BLOCKS = 5
 PICK = 2
-BITS = 12
-HUB_ROUNDS = 2
+BITS = 14
+HUBS = 3
+
+# Bits of the SimHash. Lines of up to NARROW words are counted in lanes of 10 bits, longer ones in lanes of 30.
+SIM_BITS = 60
+NARROW = 511
 
-LANES = 32
 BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
 
@@ -52,35 +55,52 @@ def coded(words: Column) -> Column:
     return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
 
 
+def majority(hashes: Column, width: int) -> Column:
+    """The bits that more than half of the hashes have, counted in lanes of ``width`` bits.
+
+    A lane must be able to hold the number of hashes twice.
+    """
+    lanes = sum(1 << at for at in range(0, SIM_BITS, width))
+    half = F.floor(F.size(hashes) / 2)
+    # Added to a lane, this carries into its highest bit exactly if the lane is above half.
+    carry = (F.lit((1 << (width - 1)) - 1) - half) * F.lit(lanes)
+
+    def count(i: int):
+        return lambda total, h: total + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(lanes))
+
+    sim = F.lit(0).cast("long")
+    for i in range(width):
+        votes = F.aggregate(hashes, F.lit(0).cast("long"), count(i))
+        above = F.shiftrightunsigned(votes + carry, width - 1).bitwiseAND(F.lit(lanes))
+        sim = sim.bitwiseOR(F.shiftleft(above, i))
+    return sim
+
+
+def simhash(words: Column) -> Column:
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    # The hashes are bound once and used for every lane.
+    bound = F.transform(
+        F.array(hashes), lambda h: F.when(F.size(h) <= NARROW, majority(h, 10)).otherwise(majority(h, 30))
+    )
+    return bound[0]
+
+
 def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``doc, place, pos, h1, h2, n_words, sim`` for every line that is long enough; one pass over the texts."""
+    """``doc, place, pos, h1, h2, n_words, sim`` for every line that is long enough. No shuffle."""
     rows = df.select(
         F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"),
         F.transform(F.split(F.col(text_col), BREAK), words_of).alias("lines"),
     )
     rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "words")).where(F.size("words") >= min_words)
-    rows = rows.select(
+    return rows.select(
         "doc", "place", "pos", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
-        F.explode("words").alias("word"),
+        F.size("words").alias("n_words"), simhash(F.col("words")).alias("sim"),
     )
-    keys = ["doc", "place", "pos", "h1", "h2"]
-    rows = rows.select(*keys, F.xxhash64("word").alias("hash"))
-    # Bit i votes in the lower lane of sum i, bit i + 32 in the upper one.
-    lane = F.lit((1 << LANES) + 1)
-    votes = [
-        F.sum(F.shiftrightunsigned("hash", i).bitwiseAND(lane)).alias(f"v{i}") for i in range(LANES)
-    ]
-    counted = rows.groupBy(*keys).agg(F.count("*").alias("n_words"), *votes)
-    lower = [(F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > F.col("n_words"), i) for i in range(LANES)]
-    upper = [(F.shiftrightunsigned(f"v{i}", LANES) * 2 > F.col("n_words"), i + LANES) for i in range(LANES)]
-    bits = [F.when(vote, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")) for vote, i in lower + upper]
-    sim = reduce(lambda a, b: a.bitwiseOR(b), bits)
-    return counted.select(*keys, "n_words", sim.alias("sim"))
 
 
 def block_keys(sim: Column, blocks: int, pick: int) -> Column:
     """An array with one number for each choice of ``pick`` of the blocks, made of their bits."""
-    edges = [round(64 * b / blocks) for b in range(blocks + 1)]
+    edges = [round(SIM_BITS * b / blocks) for b in range(blocks + 1)]
     parts = [
         F.shiftrightunsigned(sim, low).bitwiseAND(F.lit((1 << (high - low)) - 1)) for low, high in zip(edges, edges[1:])
     ]
@@ -95,26 +115,29 @@ def far(a: str, b: str) -> Column:
 
 
 class Lines:
-    """The steps, each a table in the shared folder."""
+    """The steps, each a table in the shared folder. A distinct line is named by its two hashes."""
 
     def __init__(self, df: DataFrame, key_col: str, text_col: str, min_words: int, similarity: float):
         self.df, self.key_col, self.text_col, self.similarity = df, key_col, text_col, similarity
         self.folder = scratch_path(df.sparkSession, "lines")
         self.rows = self.write(hashed_lines(df, key_col, text_col, min_words), "rows")
-        first = F.min(F.struct("doc", "place", "pos")).alias("first")
         lines = self.rows.groupBy("h1", "h2").agg(
-            first, F.count("*").alias("n"), F.min("n_words").alias("n_words"), F.min("sim").alias("sim")
+            F.count("*").alias("n"), F.min("n_words").alias("n_words"), F.min("sim").alias("sim")
         )
-        self.lines = self.write(lines.withColumn("id", F.concat_ws("-", F.hex("h1"), F.hex("h2"))), "distinct")
+        self.lines = self.write(lines, "distinct")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         return materialise(df, f"{self.folder}/{name}")
 
+    def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        return materialise_counted(df, f"{self.folder}/{name}")
+
     def buckets(self) -> DataFrame:
-        """``key, id, n_words, sim`` of all buckets with several lines."""
-        keyed = self.lines.select("id", "n_words", "sim", F.explode(block_keys(F.col("sim"), BLOCKS, PICK)).alias("key"))
-        shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        shared, n = materialise_counted(shared, f"{self.folder}/shared")
+        """``key, id, n_words, sim, size`` of all buckets with several lines."""
+        keys = F.explode(block_keys(F.col("sim"), BLOCKS, PICK)).alias("key")
+        shared = self.lines.select(keys).groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        shared, n = self.counted(shared, "shared")
+        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "sim", keys)
         return self.write(keyed.join(by_count(shared, n), "key"), "buckets")
 
     def may_match(self, pairs: DataFrame) -> DataFrame:
@@ -123,85 +146,91 @@ class Lines:
         pairs = pairs.where((far("sim", "sim2") <= BITS) & (shorter >= longer * F.lit(self.similarity)))
         return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs of ids whose words are similar. Only the documents of these lines are read again."""
-        pairs, n_pairs = materialise_counted(pairs, f"{self.folder}/pairs-{name}")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = self.lines.join(ids, "id", "left_semi").select("id", "first.doc", "first.place", "first.pos")
-        wanted, n_wanted = materialise_counted(wanted, f"{self.folder}/wanted-{name}")
+    def verified(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
+        """Pairs of lines whose words are similar. Only the documents of these lines are read again."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", "id.h1", "id.h2")
+        wanted = self.rows.join(by_count(ids, 2 * n_pairs), ["h1", "h2"]).groupBy("id").agg(
+            F.min(F.struct("doc", "place", "pos")).alias("at")
+        )
+        wanted, n_wanted = self.counted(wanted.select("id", "at.doc", "at.place", "at.pos"), f"wanted-{name}")
         texts = self.df.select(
             F.col(self.key_col).alias("doc2"), F.xxhash64(self.text_col).alias("place2"),
             F.col(self.text_col).alias("text"),
         )
-        # A document may have many wanted lines; its text is repeated for each of them only after the join.
         same = texts["doc2"].eqNullSafe(wanted["doc"]) & (texts["place2"] == wanted["place"])
         at = texts.join(by_count(wanted, n_wanted), same)
         line = F.element_at(F.split("text", BREAK), F.col("pos") + 1)
-        coded_lines = at.select("id", coded(words_of(line)).alias("line")).dropDuplicates(["id"])
-        coded_lines = self.write(coded_lines, f"coded-{name}")
-        both = pairs.join(coded_lines.withColumnRenamed("id", "a"), "a")
-        both = both.join(coded_lines.select(F.col("id").alias("b"), F.col("line").alias("line2")), "b")
+        # Rows that are equal give a line twice.
+        lines = self.write(at.select("id", coded(words_of(line)).alias("line")).distinct(), f"coded-{name}")
+        both = pairs.join(lines.withColumnRenamed("id", "a"), "a")
+        both = both.join(lines.select(F.col("id").alias("b"), F.col("line").alias("line2")), "b")
         longest = F.greatest(F.length("line"), F.length("line2"))
         most = F.floor(longest * F.lit(1 - self.similarity) + F.lit(1e-9)).cast("int")
-        distance = F.expr("levenshtein(line, line2)")
-        return self.write(both.where(distance <= most).select("a", "b"), f"verified-{name}")
+        # Beyond the threshold the function gives -1.
+        similar = both.withColumn("most", most).where(F.expr("levenshtein(line, line2, most) >= 0"))
+        return self.write(similar.select("a", "b"), f"verified-{name}")
 
     def groups(self) -> tuple[DataFrame, int]:
         """``id, root`` of all lines that are connected to another."""
         buckets = self.buckets()
-        edges, roots, n_roots = None, None, 0
-        for turn in range(HUB_ROUNDS + 1):
-            members = self.with_root(buckets, roots, n_roots)
-            sizes = members.groupBy("key").agg(
-                F.min("root").alias("low"), F.max("root").alias("high"),
-                F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "n_words", "sim", "root")).alias("hub"),
-            )
-            open_keys = sizes.where("low <> high").select(
-                "key", F.col("hub.id").alias("id2"), F.col("hub.n_words").alias("n_words2"),
-                F.col("hub.sim").alias("sim2"), F.col("hub.root").alias("root2"),
-            )
-            open_keys, n_open = materialise_counted(open_keys, f"{self.folder}/open-{turn}")
-            apart = members.join(by_count(open_keys, n_open // 4), "key").where("root <> root2")
-            if turn < HUB_ROUNDS:
-                pairs = apart
-            else:
-                # Members outside the hub's group, and all other members of their bucket.
-                apart = apart.select("key", "id", "n_words", "sim", "root")
-                others = members.select(
-                    "key", F.col("id").alias("id2"), F.col("n_words").alias("n_words2"), F.col("sim").alias("sim2"),
-                    F.col("root").alias("root2"),
-                )
-                pairs = apart.join(others, "key").where("root <> root2")
-            found = self.verified(self.may_match(pairs), str(turn))
-            edges = found if edges is None else edges.unionByName(found)
-            roots, n_roots = materialise_counted(connected(edges, "a", "b"), f"{self.folder}/roots-{turn}")
-        return roots, n_roots
-
-    @staticmethod
-    def with_root(buckets: DataFrame, roots: DataFrame | None, n_roots: int) -> DataFrame:
-        if roots is None:
-            return buckets.withColumn("root", F.col("id"))
-        known = by_count(roots, n_roots)
-        return buckets.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        hubs = [
+            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("turn"), "id", "n_words", "sim")).alias(f"hub{turn}")
+            for turn in range(HUBS)
+        ]
+        hubs = buckets.groupBy("key").agg(*hubs)
+        hubs, n_hubs = self.counted(
+            hubs.select("key", F.array(*[F.col(f"hub{turn}") for turn in range(HUBS)]).alias("hubs")), "hubs"
+        )
+        near = buckets.join(by_count(hubs, n_hubs * 2 * HUBS), "key")
+        near = near.select("id", "n_words", "sim", F.explode("hubs").alias("hub"))
+        near = near.select(
+            "id", "n_words", "sim", F.col("hub.id").alias("id2"), F.col("hub.n_words").alias("n_words2"),
+            F.col("hub.sim").alias("sim2"),
+        ).where("id <> id2")
+        pairs, n_pairs = self.counted(self.may_match(near), "pairs-hubs")
+        edges = self.verified(pairs, n_pairs, "hubs")
+        roots, n_roots = self.counted(connected(edges, "a", "b"), "roots-hubs")
+
+        # A bucket of two has met; of a larger one, what is not in the group of the first hub meets all others.
+        members = buckets.where("size > 2").join(by_count(roots, n_roots), "id", "left")
+        members = self.write(members.withColumn("root", F.coalesce("root", "id")), "members")
+        first = members.groupBy("key").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"),
+            F.min(F.struct(F.xxhash64("id", F.lit(0)), "root")).alias("hub"),
+        )
+        first, n_first = self.counted(first.where("low <> high").select("key", F.col("hub.root").alias("hub")), "apart")
+        open_members = members.join(by_count(first, n_first), "key")
+        others = open_members.select(
+            "key", F.col("id").alias("id2"), F.col("n_words").alias("n_words2"), F.col("sim").alias("sim2"),
+            F.col("root").alias("root2"),
+        )
+        rest = open_members.where("root <> hub").join(others, "key").where("root <> root2")
+        rest = self.may_match(rest).join(pairs, ["a", "b"], "left_anti")
+        rest, n_rest = self.counted(rest, "pairs-rest")
+        if not n_rest:
+            return roots, n_roots
+        edges = edges.unionByName(self.verified(rest, n_rest, "rest"))
+        return self.counted(connected(edges, "a", "b"), "roots-rest")
 
     def removed(self) -> DataFrame:
-        """``doc, place, pos`` of every line that goes, as one array ``removed`` per document."""
+        """``doc, place, removed``: the places of the lines that go."""
         roots, n_roots = self.groups()
-        known = by_count(roots, n_roots)
-        grouped = self.lines.join(known, "id", "left")
-        heads = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("head"))
-        several = grouped.where("n > 1 OR root IS NOT NULL").join(heads, "root", "left")
-        several = several.select("h1", "h2", F.coalesce("head", "first").alias("head"))
-        several, n = materialise_counted(several, f"{self.folder}/several")
+        ids = F.struct("h1", "h2").alias("id")
+        repeated = self.lines.where("n > 1").select(ids)
+        several = roots.join(repeated, "id", "full").select("id.h1", "id.h2", F.coalesce("root", "id").alias("root"))
+        several, n = self.counted(several, "several")
         rows = self.rows.select("doc", "place", "pos", "h1", "h2").join(by_count(several, n), ["h1", "h2"])
+        rows = self.write(rows.select("doc", "place", "pos", "root"), "repeats")
+        heads, n_heads = self.counted(
+            rows.groupBy("root").agg(F.min(F.struct("doc", "place", "pos")).alias("head")), "heads"
+        )
+        rows = rows.join(by_count(heads, n_heads), "root")
         head = F.col("head")
         stays = F.col("doc").eqNullSafe(head["doc"]) & (F.col("place") == head["place"]) & (F.col("pos") == head["pos"])
         gone = rows.where(~stays).groupBy("doc", "place").agg(F.collect_set("pos").alias("removed"))
         return self.write(gone, "removed")
 
 
-
-
 def near_line_dedup(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                     similarity: float = SIMILARITY) -> DataFrame:
     """All columns of ``df``, the text without repeated lines, and ``removed``: the places of lines that went, sorted.

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrow import with_columns_of_texts
+from .arrow import groups, with_columns_of_texts
 
 # The bound of the sample that is learnt from.
 SAMPLE = 3000
@@ -161,3 +161,20 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
 
     made = {"score": ("double", pa.float64()), "predicted": ("int", pa.int32())}
     return with_columns_of_texts(df, text_col, keep, made, start)
+
+
+def keep_good(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text is not predicted to be bad, with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            row = 0
+            for group in groups(texts):
+                good = model.scores(model.vectors_of(np.stack([term_counts(t) for t in group]))) >= 0.5
+                yield batch.slice(row, len(group)).filter(pa.array(good))
+                row += len(group)
+
+    return df.mapInArrow(keep, df.schema)
