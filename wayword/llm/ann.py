@@ -26,6 +26,9 @@ from ..session import materialise, scratch_path
 from .topk import best
 from .vectors import BLOCK_SCHEMA, QUERY_BLOCK, SHARD, merge_top, pack, tile_lists, tiles, unpack, usable_vectors
 
+# The longest vector of a shard is at most so many times as long as its shortest.
+STRETCH = 1.5
+
 # Random lines, and the share of them on which a vector must collide to be verified.
 LINES = 64
 COLLISIONS = 0.8
@@ -49,7 +52,7 @@ def index_shards(shards: DataFrame, n_lines: int, seed: int) -> DataFrame:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, x = unpack({"s_ids": row["ids"], "s_matrix": row["matrix"]}, "s")
+                _, x = unpack(row)
                 norms = np.sqrt((x * x).sum(axis=1))
                 longest = float(norms.max())
                 lift = np.sqrt(np.maximum(longest**2 - norms**2, 0))
@@ -126,15 +129,15 @@ def near_search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     queries = materialise(pack(vectors.where(is_query), QUERY_BLOCK), scratch_path(spark, "ann-queries"))
     ranges = vectors.repartitionByRange("norm", "id").sortWithinPartitions("norm", "id")
     shards = materialise(
-        index_shards(pack(ranges, SHARD), n_lines, seed), scratch_path(spark, "ann-shards")
+        index_shards(pack(ranges, SHARD, STRETCH), n_lines, seed), scratch_path(spark, "ann-shards")
     )
     least = max(1, int(n_lines * COLLISIONS))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, q = unpack(row, "q")
-                ids, x = unpack({"s_ids": row["ids"], "s_matrix": row["matrix"]}, "s")
+                q_ids, q = unpack(row, "q_")
+                ids, x = unpack(row)
                 n = len(ids)
                 places = np.frombuffer(row["places"], dtype=np.float64).reshape(n_lines, n)
                 owners = np.frombuffer(row["owners"], dtype=np.int64).reshape(n_lines, n)

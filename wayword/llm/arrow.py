@@ -29,6 +29,12 @@ def groups(texts: list[str | None], most: int = TEXTS, characters: int = CHARACT
         yield group
 
 
+def no_clash(df: DataFrame, made: list[str]) -> None:
+    """A column that is to be added must not be there already."""
+    if clash := set(df.columns) & set(made):
+        raise ValueError(f"columns {sorted(clash)} are there already")
+
+
 def with_columns_of_texts(
     df: DataFrame, text_col: str, keep: list[str], made: dict[str, tuple[str, pa.DataType]],
     start: Callable[[], Callable[[list[str | None]], dict[str, list]]],

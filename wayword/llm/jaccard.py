@@ -401,15 +401,17 @@ def one_of_each_group(df: DataFrame, key_col: str = "doc_id", text_col: str = "t
 
     Of equal rows one stays. Texts without words all stay.
     """
-    judged = similar_texts(df, key_col, text_col, similarity).where("first").select(
-        F.col(key_col).alias("_doc"), F.col("place").alias("_place"), "n_copies"
+    judged = similar_texts(df, key_col, text_col, similarity).where("first")
+    judged = judged.groupBy(F.col(key_col).alias("doc"), "place").agg(F.count("*").alias("n_rows"))
+    judged = materialise(judged, scratch_path(df.sparkSession, "jaccard-first"))
+    # The row is one column meanwhile, so that no name of it can be mistaken.
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(key_col).alias("key"),
+        F.xxhash64(text_col).alias("here"), F.coalesce(F.rlike(text_col, F.lit(r"\S")), F.lit(False)).alias("has_words"),
     )
-    judged = materialise(judged.groupBy("_doc", "_place").agg(F.count("*").alias("_n"), F.max("n_copies").alias("_c")),
-                         scratch_path(df.sparkSession, "jaccard-first"))
-    rows = df.withColumn("_here", F.xxhash64(text_col))
-    kept = rows.join(judged, rows[key_col].eqNullSafe(judged["_doc"]) & (F.col("_here") == F.col("_place")))
-    columns = [rows[c] for c in df.columns]
+    same = F.col("key").eqNullSafe(F.col("doc")) & (F.col("here") == F.col("place"))
+    kept = rows.join(by_count(judged, judged.count()), same)
     # Equal rows have their own branch, so that only they are moved to be made one.
-    repeated = (F.col("_n") > 1) & F.col(text_col).rlike(r"\S")
-    single = kept.where(F.coalesce(~repeated, F.lit(True))).select(*columns)
-    return single.unionByName(kept.where(repeated).dropDuplicates(["_doc", "_place"]).select(*columns))
+    repeated = (F.col("n_rows") > 1) & F.col("has_words")
+    single = kept.where(~repeated).select("row.*")
+    return single.unionByName(kept.where(repeated).dropDuplicates(["doc", "place"]).select("row.*"))

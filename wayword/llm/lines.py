@@ -1,6 +1,6 @@
 """Removal of lines that nearly repeat another line, without Python in the tasks.
 
-1. A line is normalised to its words (runs of letters and digits, in lower case). Lines of fewer than ``MIN_WORDS``
+1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``MIN_WORDS``
    words are left alone: they repeat by chance.
 2. Every line gets a SimHash of 60 bits: the hash of each word votes for every bit. Votes are counted in lanes, several
    bits in one number, and compared with half of the words in all lanes at once. Lines are hashed where they are read;
@@ -26,6 +26,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
+from .arrow import no_clash
 from .components import by_count, connected
 
 MIN_WORDS = 5
@@ -43,9 +44,16 @@ BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
 
 
+def lines_of(text: Column) -> Column:
+    """The lines of a text, with blanks only between words."""
+    for other in ("\t", "\r"):
+        text = F.replace(text, F.lit(other), F.lit(" "))
+    return F.split(text, BREAK)
+
+
 def words_of(line: Column) -> Column:
-    """The words of a line, in lower case."""
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
+    """The words of a line, in lower case. A single blank needs no pattern."""
+    return F.array_remove(F.split(F.lower(line), " "), "")
 
 
 def coded(words: Column) -> Column:
@@ -89,7 +97,7 @@ def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) ->
     """``doc, place, pos, h1, h2, n_words, sim`` for every line that is long enough. No shuffle."""
     rows = df.select(
         F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"),
-        F.transform(F.split(F.col(text_col), BREAK), words_of).alias("lines"),
+        F.transform(lines_of(F.col(text_col)), words_of).alias("lines"),
     )
     rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "words")).where(F.size("words") >= min_words)
     return rows.select(
@@ -159,7 +167,7 @@ class Lines:
         )
         same = texts["doc2"].eqNullSafe(wanted["doc"]) & (texts["place2"] == wanted["place"])
         at = texts.join(by_count(wanted, n_wanted), same)
-        line = F.element_at(F.split("text", BREAK), F.col("pos") + 1)
+        line = F.element_at(lines_of(F.col("text")), F.col("pos") + 1)
         # Rows that are equal give a line twice.
         lines = self.write(at.select("id", coded(words_of(line)).alias("line")).distinct(), f"coded-{name}")
         both = pairs.join(lines.withColumnRenamed("id", "a"), "a")
@@ -237,12 +245,18 @@ def near_line_dedup(df: DataFrame, key_col: str = "doc_id", text_col: str = "tex
 
     ``removed`` is null where nothing went; its places count from 0.
     """
+    no_clash(df, ["removed"])
     gone = Lines(df, key_col, text_col, min_words, similarity).removed()
     size = gone.agg(F.coalesce(F.sum(F.size("removed") * 4 + 64), F.lit(0)).alias("size")).first()[0]
     gone = F.broadcast(gone) if size <= BROADCAST_BYTES else gone
-    rows = df.withColumn("_here", F.xxhash64(text_col))
-    same = rows[key_col].eqNullSafe(gone["doc"]) & (rows["_here"] == gone["place"])
-    kept = F.filter(F.split(rows[text_col], BREAK), lambda x, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), rows[text_col]).otherwise(F.array_join(kept, BREAK))
-    columns = [text.alias(c) if c == text_col else rows[c] for c in df.columns]
+    # The other columns are one column meanwhile, so that no name of them can be mistaken.
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    rows = df.select(
+        F.struct(*others).alias("row"), F.col(text_col).alias("text"), F.col(key_col).alias("key"),
+        F.xxhash64(text_col).alias("here"),
+    )
+    same = F.col("key").eqNullSafe(F.col("doc")) & (F.col("here") == F.col("place"))
+    kept = F.filter(F.split("text", BREAK), lambda x, i: ~F.array_contains("removed", i))
+    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, BREAK))
+    columns = [text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in df.columns]
     return rows.join(gone, same, "left").select(*columns, F.array_sort("removed").alias("removed"))

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.skew import BROADCAST_ROWS
 from ..session import materialise, scratch_path
+from .arrow import no_clash
 
 # Hexadecimal digits of the hash that order the documents, and how many of them a bin takes.
 DIGITS = 13
@@ -150,9 +151,14 @@ def plan(df: DataFrame, levels: Mapping[str, Column], share: float, epochs: int
 def copies(df: DataFrame, levels: Mapping[str, Column], planned: DataFrame, key_col: str = "doc_id",
            text_col: str = "text", seed: int = 42) -> DataFrame:
     """Adds ``n_tokens`` and ``copies``: how often each row is taken. No row is moved for it."""
+    no_clash(df, ["n_tokens", "copies"])
     names = [f"_{n}" for n in levels]
-    path = {f"_{n}": F.coalesce(c.cast("string"), F.lit(MISSING)) for n, c in levels.items()}
-    rows = df.withColumns(path).join(small(planned.select(*names, "whole", "cut"), planned.count()), names, "left")
-    taken = F.col("whole") + (order_of(F.col(key_col), F.col("whole"), seed) < F.col("cut")).cast("long")
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    return rows.select(*columns, token_count(F.col(text_col)).alias("n_tokens"), taken.alias("copies"))
+    path = [F.coalesce(c.cast("string"), F.lit(MISSING)).alias(f"_{n}") for n, c in levels.items()]
+    # The row is one column meanwhile, so that no name of it can be mistaken.
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(key_col).alias("key"),
+        token_count(F.col(text_col)).alias("n_tokens"), *path,
+    )
+    rows = rows.join(small(planned.select(*names, "whole", "cut"), planned.count()), names, "left")
+    taken = F.col("whole") + (order_of(F.col("key"), F.col("whole"), seed) < F.col("cut")).cast("long")
+    return rows.select("row.*", "n_tokens", taken.alias("copies"))

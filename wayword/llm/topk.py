@@ -56,8 +56,8 @@ def exact_top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, q = unpack(row, "q")
-                ids, x = unpack({"s_ids": row["ids"], "s_matrix": row["matrix"]}, "s")
+                q_ids, q = unpack(row, "q_")
+                ids, x = unpack(row)
                 scores = products(q, x)
                 found = []
                 for i, query in enumerate(q_ids):

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.skew import BROADCAST_ROWS
 from ..session import materialise, scratch_path
+from .arrow import no_clash
 
 # Share of the labelled URLs that a rule and its label must hold for, and the share of its URLs that are labelled bad.
 MIN_SUPPORT = 0.005
@@ -154,15 +155,16 @@ def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_su
 
 def judge(df: DataFrame, index: DataFrame, rules: Sequence[tuple[str, str]], url_col: str = "url") -> DataFrame:
     """Adds ``host, path, rule, verdict`` and ``mined`` (the tokens of the mined rule that fits, the surest first)."""
-    parts = with_parts(df, url_col).withColumn("given", given_rule(F.col("host"), F.col("path"), rules))
-    sets = with_parts(df.select(url_col), url_col).where(F.col(url_col).isNotNull())
-    sets = sets.select(url_col, tokens_of(F.col("host"), F.col("path")).alias("tokens"))
-    found = matches(sets, url_col, index, index.count())
+    no_clash(df, ["host", "path", "rule", "verdict", "mined"])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    parts = with_parts(df.select(row, F.col(url_col).alias("url")), "url")
+    parts = parts.withColumn("given", given_rule(F.col("host"), F.col("path"), rules))
+    sets = with_parts(df.select(F.col(url_col).alias("url")), "url").where("url IS NOT NULL")
+    sets = sets.select("url", tokens_of(F.col("host"), F.col("path")).alias("tokens"))
+    found = matches(sets, "url", index, index.count())
     surest = F.min(F.struct(-F.col("confidence"), F.size("rule_tokens"), F.col("rule_tokens").alias("tokens")))
-    found = found.groupBy(url_col).agg(surest.alias("best")).select(url_col, F.col("best.tokens").alias("mined"))
+    found = found.groupBy("url").agg(surest.alias("best")).select("url", F.col("best.tokens").alias("mined"))
     verdict = F.coalesce(F.col("given.verdict"), F.when(F.col("mined").isNotNull(), "block").otherwise("allow"))
-    joined = parts.join(found, url_col, "left")
-    return joined.select(
-        *[F.col(f"`{c}`") for c in df.columns], "host", "path", F.col("given.rule").alias("rule"),
-        verdict.alias("verdict"), "mined",
+    return parts.join(found, "url", "left").select(
+        "row.*", "host", "path", F.col("given.rule").alias("rule"), verdict.alias("verdict"), "mined"
     )

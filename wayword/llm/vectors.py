@@ -37,8 +37,11 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return usable.groupBy("id").agg(F.min("vec").alias("vec"))
 
 
-def pack(vectors: DataFrame, block: int, dtype=np.float64) -> DataFrame:
-    """Blocks of at most ``block`` vectors of one length: ``dim, block, n, ids, matrix``. No shuffle."""
+def pack(vectors: DataFrame, block: int, stretch: float = float("inf")) -> DataFrame:
+    """Blocks of at most ``block`` vectors of one length: ``dim, block, n, ids, matrix``. No shuffle.
+
+    A block also ends before a vector whose norm is more than ``stretch`` times that of its first one.
+    """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[int, list[tuple[int, np.ndarray]]] = {}
@@ -48,7 +51,7 @@ def pack(vectors: DataFrame, block: int, dtype=np.float64) -> DataFrame:
             nonlocal made
             rows = waiting.pop(dim)
             ids = np.array([i for i, _ in rows], dtype=np.int64)
-            matrix = np.stack([v for _, v in rows]).astype(dtype)
+            matrix = np.stack([v for _, v in rows])
             number = (TaskContext.get().partitionId() << 32) + made
             made += 1
             return pa.RecordBatch.from_pydict(
@@ -66,6 +69,9 @@ def pack(vectors: DataFrame, block: int, dtype=np.float64) -> DataFrame:
             flat, ends = vecs.values.to_numpy(zero_copy_only=False), vecs.offsets.to_numpy()
             for row, key in enumerate(batch.column("id").to_pylist()):
                 vec = flat[ends[row] : ends[row + 1]]
+                first = waiting.get(len(vec))
+                if first and stretch < float("inf") and vec @ vec > stretch**2 * (first[0][1] @ first[0][1]):
+                    yield flush(len(vec))
                 waiting.setdefault(len(vec), []).append((key, vec))
                 if len(waiting[len(vec)]) == block:
                     yield flush(len(vec))
@@ -75,9 +81,9 @@ def pack(vectors: DataFrame, block: int, dtype=np.float64) -> DataFrame:
     return vectors.select("id", "vec").mapInArrow(blocks, BLOCK_SCHEMA)
 
 
-def unpack(row: dict, name: str, dtype=np.float64) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row[f"{name}_ids"], dtype=np.int64)
-    return ids, np.frombuffer(row[f"{name}_matrix"], dtype=dtype).reshape(len(ids), -1)
+def unpack(row: dict, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(row[f"{prefix}ids"], dtype=np.int64)
+    return ids, np.frombuffer(row[f"{prefix}matrix"], dtype=np.float64).reshape(len(ids), -1)
 
 
 def tiles(queries: DataFrame, shards: DataFrame) -> DataFrame:
