@@ -41,6 +41,9 @@ VERIFIED = 0.27
 FIRST_WIDTH = 1.3
 GROWTH = 1.06
 
+# Queries of a block that begin at the first width.
+SCOUTS = 16
+
 
 def lines(dim: int, n_lines: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, n_lines))
@@ -75,18 +78,20 @@ def index_shards(shards: DataFrame, n_lines: int, seed: int) -> DataFrame:
 def colliding(places: np.ndarray, owners: np.ndarray, at: np.ndarray, least: int, wanted: int, width: float):
     """For every query the vectors that collide with it on at least ``least`` lines, once there are ``wanted``.
 
-    ``places`` and ``owners`` have a row per line, ``at`` has the place of each query on each line.
+    ``places`` and ``owners`` have a row per line, ``at`` has the place of each query on each line. Gives the widths at
+    which the queries ended too.
     """
     n_lines, n = places.shape
     n_queries = len(at)
     counts = np.zeros((n_queries, n), dtype=np.int64)
     low = np.zeros((n_queries, n_lines), dtype=np.int64)
-    high = low.copy()
     for j in range(n_lines):
-        low[:, j] = high[:, j] = np.searchsorted(places[j], at[:, j])
+        low[:, j] = np.searchsorted(places[j], at[:, j])
+    high = low.copy()
     starts = np.arange(n_lines) * n
     flat = owners.reshape(-1)
     found: list = [None] * n_queries
+    ended = np.zeros(n_queries)
     open_queries = np.arange(n_queries)
     while len(open_queries):
         left = np.empty((len(open_queries), n_lines), dtype=np.int64)
@@ -97,20 +102,26 @@ def colliding(places: np.ndarray, owners: np.ndarray, at: np.ndarray, least: int
         still = []
         for row, query in enumerate(open_queries):
             # Only what the wider windows add is counted.
-            cuts = np.column_stack(
-                [starts + left[row], starts + np.minimum(low[query], right[row]),
-                 starts + np.maximum(high[query], left[row]), starts + right[row]]
-            ).tolist()
-            parts = [flat[a:b] for cut in cuts for a, b in (cut[:2], cut[2:])]
+            a, b = (starts + left[row]).tolist(), (starts + np.minimum(low[query], right[row])).tolist()
+            c, d = (starts + np.maximum(high[query], left[row])).tolist(), (starts + right[row]).tolist()
+            parts = [flat[x:y] for x, y in zip(a, b)] + [flat[x:y] for x, y in zip(c, d)]
             counts[query] += np.bincount(np.concatenate(parts), minlength=n)
             low[query], high[query] = left[row], right[row]
             met = np.flatnonzero(counts[query] >= least)
             if len(met) >= wanted:
-                found[query] = met
+                found[query], ended[query] = met, width
             else:
                 still.append(query)
         open_queries = np.array(still, dtype=np.int64)
         width *= GROWTH
+    return found, ended
+
+
+def collisions(places: np.ndarray, owners: np.ndarray, at: np.ndarray, least: int, wanted: int, width: float) -> list:
+    """``colliding`` for a block: the first queries show at which width the others may begin."""
+    found, ended = colliding(places, owners, at[:SCOUTS], least, wanted, width)
+    if len(at) > SCOUTS:
+        found += colliding(places, owners, at[SCOUTS:], least, wanted, float(np.median(ended)) / GROWTH)[0]
     return found
 
 
@@ -148,11 +159,18 @@ def near_search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                 # One more, as the query may be in the shard itself.
                 wanted = min(n, SPARE * k + 1 + int(np.ceil(verified * n)))
                 found = []
-                met = colliding(places, owners, at, least, wanted, FIRST_WIDTH * longest)
+                met = collisions(places, owners, at, least, wanted, FIRST_WIDTH * longest)
                 for i, query in enumerate(q_ids):
                     near = met[i][ids[met[i]] != query]
+                    vectors = x[near]
+                    rough = vectors @ q[i]
+                    if len(near) > k:
+                        # What can be among the best, whatever the last bits are.
+                        bound = np.partition(rough, len(near) - k)[len(near) - k]
+                        keep = rough >= bound - 1e-9 * (np.abs(rough).max() + longest * np.sqrt(q[i] @ q[i]))
+                        near, vectors = near[keep], vectors[keep]
                     # Summed row by row in one order, so that equal vectors have equal scores.
-                    scores = (x[near] * q[i]).sum(axis=1)
+                    scores = (vectors * q[i]).sum(axis=1)
                     chosen = best(scores, ids[near], k)
                     found.append((query, row["block"], ids[near][chosen], scores[chosen]))
                 yield pa.RecordBatch.from_pydict(tile_lists(found))

@@ -2,7 +2,7 @@
 
 1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``MIN_WORDS``
    words are left alone: they repeat by chance.
-2. Every line gets a SimHash of 60 bits: the hash of each word votes for every bit. Votes are counted in lanes, several
+2. Every line gets a SimHash of 60 bits: the hash of each distinct word votes for every bit. Votes are counted in lanes, several
    bits in one number, and compared with half of the words in all lanes at once. Lines are hashed where they are read;
    no text is moved.
 3. The bits are cut into ``BLOCKS`` blocks. Two SimHashes that differ in at most ``BLOCKS - PICK`` bits agree on some
@@ -34,7 +34,7 @@ SIMILARITY = 0.8
 BLOCKS = 5
 PICK = 2
 BITS = 14
-HUBS = 3
+HUBS = 2
 
 # Bits of the SimHash. Lines of up to NARROW words are counted in lanes of 10 bits, longer ones in lanes of 30.
 SIM_BITS = 60
@@ -85,7 +85,8 @@ def majority(hashes: Column, width: int) -> Column:
 
 
 def simhash(words: Column) -> Column:
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    # Each word votes once; else the frequent words of a language would make all its lines alike.
+    hashes = F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
     # The hashes are bound once and used for every lane.
     bound = F.transform(
         F.array(hashes), lambda h: F.when(F.size(h) <= NARROW, majority(h, 10)).otherwise(majority(h, 30))
@@ -152,26 +153,35 @@ class Lines:
         """Pairs that differ in few bits and whose lengths allow the similarity."""
         longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
         pairs = pairs.where((far("sim", "sim2") <= BITS) & (shorter >= longer * F.lit(self.similarity)))
-        return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+        return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
 
-    def verified(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
-        """Pairs of lines whose words are similar. Only the documents of these lines are read again."""
+    def coded_lines(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
+        """``id, line`` of every line of the pairs. Only the documents that hold one are read again."""
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", "id.h1", "id.h2")
-        wanted = self.rows.join(by_count(ids, 2 * n_pairs), ["h1", "h2"]).groupBy("id").agg(
-            F.min(F.struct("doc", "place", "pos")).alias("at")
+        wanted = self.rows.join(by_count(ids, 2 * n_pairs), ["h1", "h2"])
+        wanted = wanted.groupBy("id", "doc", "place", "pos").agg(F.count("*").alias("n")).groupBy("id").agg(
+            F.min(F.struct("doc", "place", "pos", "n")).alias("at")
         )
-        wanted, n_wanted = self.counted(wanted.select("id", "at.doc", "at.place", "at.pos"), f"wanted-{name}")
+        wanted, n_wanted = self.counted(wanted.select("id", "at.*"), f"wanted-{name}")
         texts = self.df.select(
             F.col(self.key_col).alias("doc2"), F.xxhash64(self.text_col).alias("place2"),
             F.col(self.text_col).alias("text"),
         )
         same = texts["doc2"].eqNullSafe(wanted["doc"]) & (texts["place2"] == wanted["place"])
         at = texts.join(by_count(wanted, n_wanted), same)
-        line = F.element_at(lines_of(F.col("text")), F.col("pos") + 1)
-        # Rows that are equal give a line twice.
-        lines = self.write(at.select("id", coded(words_of(line)).alias("line")).distinct(), f"coded-{name}")
-        both = pairs.join(lines.withColumnRenamed("id", "a"), "a")
-        both = both.join(lines.select(F.col("id").alias("b"), F.col("line").alias("line2")), "b")
+        line = coded(words_of(F.element_at(lines_of(F.col("text")), F.col("pos") + 1))).alias("line")
+        # A row that is there several times gives its lines as often; only these are moved to be made one.
+        once = at.where("n = 1").select("id", line)
+        return self.write(once.unionByName(at.where("n > 1").select("id", line).dropDuplicates(["id"])), f"coded-{name}")
+
+    def verified(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
+        """Pairs of lines whose words are similar."""
+        lines = self.coded_lines(pairs, n_pairs, name)
+        hubs = lines.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
+        hubs = hubs.select(F.col("id").alias("b"), F.col("line").alias("line2"))
+        size = hubs.agg(F.coalesce(F.sum(F.octet_length("line2") + 64), F.lit(0))).first()[0]
+        hubs = F.broadcast(hubs) if size <= BROADCAST_BYTES else hubs
+        both = lines.withColumnRenamed("id", "a").join(by_count(pairs, n_pairs), "a").join(hubs, "b")
         longest = F.greatest(F.length("line"), F.length("line2"))
         most = F.floor(longest * F.lit(1 - self.similarity) + F.lit(1e-9)).cast("int")
         # Beyond the threshold the function gives -1.
