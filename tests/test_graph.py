@@ -93,7 +93,7 @@ def test_drop_isolated_keeps_ends(spark):
     assert sorted(column(graph.vertices, "id")) == [1, 2, 3]
 
 
-@pytest.mark.parametrize("part_size", [100_000, 2])
+@pytest.mark.parametrize("part_size", [None, 2, 4])
 def test_adjacency(spark, part_size):
     edges = [(1, d) for d in (9, 3, 5, 7, 3, 2, 4)] + [(2, 1), (2, 1), (2, 1), (8, 1)]
     graph = make_graph(spark, [1, 2, 3], edges)
@@ -103,20 +103,9 @@ def test_adjacency(spark, part_size):
         assert r["dsts"] == sorted(r["dsts"])
         neighbours[r["id"]] += r["dsts"]
     assert {k: sorted(v) for k, v in neighbours.items()} == {1: [2, 3, 4, 5, 7, 9], 2: [1], 3: []}
-    if part_size == 100_000:
-        assert len(got) == 3
-    else:
-        assert sum(r["id"] == 1 for r in got) > 1 and sum(r["id"] == 2 for r in got) == 1
-
-
-def test_adjacency_over_the_broadcast_bound(spark, monkeypatch):
-    edges = [(s, d) for s in range(6) for d in range(10)]
-    graph = make_graph(spark, range(6), edges)
-    want = rows(roads.adjacency(graph, 3))
-    for module in (skew, roads):
-        monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
-    monkeypatch.setattr(skew, "HOT_ROWS", 2)
-    assert rows(roads.adjacency(graph, 3)) == want
+    sizes = [len(r["dsts"]) for r in sorted(got, key=lambda r: r["part"]) if r["id"] == 1]
+    assert sizes == {None: [6], 2: [2, 2, 2], 4: [4, 2]}[part_size]
+    assert len(got) == len(sizes) + 2 and all(r["part"] == 0 for r in got if r["id"] != 1)
 
 
 def test_adjacency_lines(spark, tmp_path):
@@ -137,8 +126,7 @@ def test_haversine(spark):
 
 @pytest.mark.parametrize("broadcast", [500_000, 1])
 def test_edge_lengths(spark, monkeypatch, broadcast):
-    for module in (skew, roads):
-        monkeypatch.setattr(module, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast)
     graph = roads.Graph(
         spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 1.0)], "id bigint, lat double, lon double"),
         spark.createDataFrame([(1, 2), (1, 2), (2, 2), (1, 3)], "src bigint, dst bigint"),
@@ -165,7 +153,7 @@ def brute_force(ids, edges, src, dst, max_hops):
             if n not in hops:
                 hops[n] = hops[node] + 1
                 queue.append(n)
-    if hops.get(dst, max_hops + 1) > max_hops:
+    if dst not in hops or (max_hops is not None and hops[dst] > max_hops):
         return None
     whole = [[src]]
     for _ in range(hops[dst]):
@@ -192,6 +180,11 @@ def test_paths_on_a_line(spark):
     check_paths(spark, range(14), edges, [(0, 2), (0, 1), (5, 5)], 1)
 
 
+def test_long_paths_have_no_limit(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(30, 0), (2, 40), (40, 4), (15, 41), (41, 17)]
+    check_paths(spark, [*range(31), 40, 41], edges, [(0, 30), (30, 29), (1, 25), (5, 5), (0, 30)], None)
+
+
 def test_no_requests_and_no_edges(spark):
     check_paths(spark, [1, 2], [(1, 2)], [], 10)
     check_paths(spark, [1, 2], [], [(1, 1), (1, 2)], 10)
@@ -205,10 +198,8 @@ def test_paths_on_random_graphs(spark, monkeypatch, small):
     edges = hub + [(rng.randrange(44), rng.randrange(44)) for _ in range(60)]
     requests = [(rng.randrange(42), rng.choice([3, 7, rng.randrange(42)])) for _ in range(40)]
     if not small:
-        for module in (skew, paths, roads):
-            monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
-        monkeypatch.setattr(skew, "HOT_ROWS", 2)
-    check_paths(spark, ids, edges, requests, 10)
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
+    check_paths(spark, ids, edges, requests, None)
 
 
 def test_pairs_file(spark, tmp_path):

@@ -108,6 +108,29 @@ def test_both_lexicon_forms_agree_to_the_last_bit(spark, texts):
     assert rows(lexicon.polarity(df, words)) == rows(lexicon.polarity(df, words, by_join=True))
 
 
+@pytest.mark.parametrize("words", [100_000, 0])
+def test_lists_with_repeats_and_nulls(spark, texts, words, monkeypatch):
+    """A list gives the same as a literal of the plan and as a join."""
+    monkeypatch.setattr(word_lists, "LITERAL_WORDS", words)
+    df = texts("a b c d", "d", "", None, name="tweet")
+    values = [("a", 0.5, None), ("a", -0.25, 1.0), ("b", None, 0.5), (None, 1.0, 1.0), ("c", 1.0, 0.0), ("c", None, None)]
+    table = spark.createDataFrame(values, "word string, polarity double, subjectivity double")
+    got = {r["tweet"]: (r["polarity"], r["subjectivity"]) for r in lexicon.subjectivity(lexicon.polarity(df, table), table).collect()}
+    assert got == {"a b c d": ((0.125 + 1.0) / 2, (1.0 + 0.5 + 0.0) / 3), "d": (0, 0), "": (0, 0), None: (0, 0)}
+    none = {"a": (None, None)}
+    assert rows(lexicon.polarity(df, none).select("polarity")) == [(0.0,)] * 4
+    ids = spark.createDataFrame([("a", 7), ("a", 3), ("b", None), (None, 1), ("d", 9)], "word string, id int")
+    assert {r["tweet"]: r["ids"] for r in encode.encode_tokens(df, ids).collect()} == {
+        "a b c d": [3, 9], "d": [9], "": [], None: [],
+    }
+    empty = table.limit(0)
+    assert rows(lexicon.polarity(df, empty).select("polarity")) == [(0.0,)] * 4
+    stop = spark.createDataFrame([("a",), ("a",), (None,), ("d",)], "word string")
+    kept = ops.cleanse_column(df.withColumnRenamed("tweet", "text"), "text", stop)
+    assert rows(kept) == rows(texts("b c", "", "", None))
+    assert rows(ops.cleanse_column(texts("x y"), "text", stop.limit(0))) == [("x y",)]
+
+
 def test_signs_and_classes(spark):
     df = spark.createDataFrame([(0.61,), (0.6,), (0.41,), (0.4,), (0.0,), (-0.1,)], "p double")
     assert column(df.select(scores.sentiment_sign("p"))) == [1, 1, 1, 1, 0, -1]
@@ -131,10 +154,11 @@ def test_model_hook(spark, texts):
         assert ids.shape[1] == 4
         return ids[:, -1:] / 10
 
-    encoded = encode.encode_tokens(texts("a", "b", "c", "d d d d d", name="tweet"), {"a": 4, "b": 5, "c": 7})
+    encoded = encode.encode_tokens(texts("a", "b", "c", "d d d d d", None, name="tweet"), {"a": 4, "b": 5, "c": 7})
+    encoded = encoded.withColumn("ids", F.when(F.col("tweet").isNotNull(), F.col("ids")))
     got = encode.score_with_model(encoded, predict, length=4)
     assert {r["tweet"]: (r["score"], r["sentiment"]) for r in got.collect()} == {
-        "a": (0.4, -1), "b": (0.5, 0), "c": (0.7, 1), "d d d d d": (0.0, -1),
+        "a": (0.4, -1), "b": (0.5, 0), "c": (0.7, 1), "d d d d d": (0.0, -1), None: (0.0, -1),
     }
 
 
@@ -172,6 +196,22 @@ def test_csv_to_archive(spark, raw, tmp_path):
     assert got.select("id").distinct().count() == got.count()
 
 
+def test_ids_go_on_over_appends(spark, raw, tmp_path):
+    archive = str(tmp_path / "archive")
+    scored = ops.tag_and_score(ops.clean_posts(raw, STOP), TOPICS, LEXICON)
+    jobs.archive_posts(scored, archive, "append")
+    first = column(spark.read.parquet(archive), "id")
+    jobs.archive_posts(scored, archive)
+    assert sorted(column(spark.read.parquet(archive), "id")) == sorted(first)
+    largest = max(first)
+    for n in (2, 3):
+        jobs.archive_posts(scored, archive, "append")
+        ids = column(spark.read.parquet(archive), "id")
+        assert len(set(ids)) == len(ids) == n * len(first)
+        assert sum(i > largest for i in ids) == len(first)
+        largest = max(ids)
+
+
 def test_csv_columns_by_name_and_quotes(spark, tmp_path):
     (tmp_path / "p.csv").write_text('text,x,date,user_name\n"he said ""hi""\nline two",1,2021-01-02 03:04:05,ann\n')
     got = post_files.read_posts(spark, str(tmp_path / "p.csv")).select("user_name", "date", "text")
@@ -212,7 +252,24 @@ def test_stream_equals_batch(spark, raw, tmp_path):
     query = stream.write_batches(sink_rows_of(posts), writer, checkpoint, available_now=True)
     query.awaitTermination()
     got = spark.read.parquet(out)
-    assert rows(got.drop("batch_id")) == rows(sink_rows_of(raw))
+    assert rows(got.drop("batch_id", "id")) == rows(sink_rows_of(raw))
+    assert got.select("id").distinct().count() == got.count()
+
+
+@pytest.mark.parametrize("words", [100_000, 1])
+@pytest.mark.parametrize("one_file", [True, False])
+def test_stream_job(spark, raw, tmp_path, monkeypatch, words, one_file):
+    """Word lists of any size, and a source that is one file or a folder of files."""
+    want = rows(sink_rows_of(raw))
+    monkeypatch.setattr(word_lists, "LITERAL_WORDS", words)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    raw.repartition(1 if one_file else 3).write.parquet(source)
+    if one_file:
+        (part,) = (tmp_path / "in").glob("part-*.parquet")
+        source = str(part)[:-1] + "[t]"
+    posts = spark.readStream.schema(raw.schema).parquet(source)
+    jobs.stream_posts(posts, STOP, TOPICS, LEXICON, out, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert rows(spark.read.parquet(out).drop("batch_id", "id")) == want
 
 
 def test_a_repeated_batch_replaces_itself(spark, raw, tmp_path):

@@ -12,16 +12,22 @@ from ..functions.lookup import lookup
 from ..functions.scores import MODEL_LENGTH, pad_pre, sentiment_from_score
 from ..functions.text import split_on_space
 from .per_text import KEY, per_text
-from .skew import salted_join
+from .skew import sized_join
 from .word_lists import LITERAL_BYTES, LITERAL_WORDS, small_rows
 
 # word -> id, or a table with the columns word, id
 Vocabulary = Mapping[str, int] | DataFrame
 
 
+def one_id_per_word(vocabulary: DataFrame) -> DataFrame:
+    """The vocabulary with each word once, with the smallest of its ids."""
+    known = vocabulary.where("word IS NOT NULL AND id IS NOT NULL")
+    return known.groupBy("word").agg(F.min(F.col("id").cast("int")).alias("id"))
+
+
 def _literal(vocabulary: Vocabulary) -> dict[str, int] | None:
     if isinstance(vocabulary, DataFrame):
-        rows = small_rows(vocabulary.select("word", "id"), "word")
+        rows = small_rows(one_id_per_word(vocabulary), "word")
         return None if rows is None else {r["word"]: r["id"] for r in rows}
     if len(vocabulary) > LITERAL_WORDS or sum(len(w.encode()) for w in vocabulary) > LITERAL_BYTES:
         return None
@@ -32,7 +38,7 @@ def _encode_by_join(posts: DataFrame, vocabulary: DataFrame, text: str) -> DataF
     def ids_of(words: DataFrame) -> DataFrame:
         # A group is the words of one text, so it is no larger than the row it came from.
         found = (
-            salted_join(words, vocabulary.select("word", F.col("id").cast("int")), ["word"], "inner")
+            sized_join(words, one_id_per_word(vocabulary), ["word"], "inner")
             .groupBy(KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_found"))
         )
@@ -45,11 +51,11 @@ def _encode_by_join(posts: DataFrame, vocabulary: DataFrame, text: str) -> DataF
 def encode_tokens(
     posts: DataFrame, vocabulary: Vocabulary, text: str = "tweet", by_join: bool = False
 ) -> DataFrame:
-    """Add ``ids``: the id of every word of the text in order; unknown words are left out."""
+    """Add ``ids``: the id of every word of the text in order; unknown words are left out. No text has no ids."""
     ids = None if by_join else _literal(vocabulary)
     if ids is not None:
         found = F.transform(split_on_space(text), lambda w: lookup(w, ids, "int"))
-        return posts.withColumn("ids", F.array_compact(found))
+        return posts.withColumn("ids", F.coalesce(F.array_compact(found), F.array().cast("array<int>")))
     if not isinstance(vocabulary, DataFrame):
         vocabulary = posts.sparkSession.createDataFrame(list(vocabulary.items()), "word string, id int")
     return _encode_by_join(posts, vocabulary, text)
@@ -70,5 +76,6 @@ def score_with_model(
             return pd.Series([], dtype="float64")
         return pd.Series(np.asarray(predict(np.stack(padded.to_numpy())), dtype="float64").reshape(-1))
 
-    scored = encoded.withColumn("score", score(pad_pre(F.col("ids"), length)))
+    ids = F.coalesce("ids", F.array().cast("array<int>"))
+    scored = encoded.withColumn("score", score(pad_pre(ids, length)))
     return scored.withColumn("sentiment", sentiment_from_score(F.col("score")))

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.tags import consecutive_pairs, is_highway, is_oneway
 from ..session import materialise, scratch_path
-from .skew import BROADCAST_ROWS, sized_join
-
-# Neighbour lists longer than this are split into several rows.
-PART_SIZE = 100_000
+from .skew import sized_join
 
 
 @dataclass(frozen=True)
@@ -67,45 +64,22 @@ def drop_isolated(graph: Graph) -> Graph:
     return Graph(graph.vertices.join(endpoints(graph.edges), "id", "left_semi"), graph.edges)
 
 
-def _short_lists(ids: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row per id with all its neighbours."""
-    lists = edges.groupBy(F.col("src").alias("id")).agg(F.array_sort(F.collect_set("dst")).alias("dsts"))
-    dsts = F.coalesce("dsts", F.array().cast("array<bigint>")).alias("dsts")
-    return ids.join(lists, "id", "left").select("id", F.lit(0).alias("part"), dsts)
-
-
-def _split_lists(busy: DataFrame, n_busy: int, edges: DataFrame, part_size: int) -> DataFrame:
-    """Rows for the busy sources, whose neighbours are split into parts of about ``part_size``."""
-    pairs = sized_join(edges, busy, ["src"], "left_semi", n_busy).distinct()
-    parts = pairs.groupBy("src").agg(F.ceil(F.count("*") / part_size).cast("int").alias("parts"))
-    return (
-        sized_join(pairs, parts, ["src"], "inner", n_busy)
-        .withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int"))
-        .groupBy(F.col("src").alias("id"), "part")
-        .agg(F.array_sort(F.collect_list("dst")).alias("dsts"))
-    )
-
-
-def adjacency(graph: Graph, part_size: int = PART_SIZE) -> DataFrame:
-    """Distinct neighbours of every vertex in rows ``id, part, dsts``.
-
-    A vertex has one row, sorted within, unless it has more than ``part_size`` neighbours; then there are
-    several rows, which share the neighbours out. A vertex without outgoing edges has an empty list. A
-    neighbour need not be a vertex itself.
+def adjacency(graph: Graph, part_size: int | None = None) -> DataFrame:
+    """Distinct neighbours of every vertex in rows ``id, part, dsts``, sorted within.
 
-    Edges are counted per source first. A source with few edges is collected in one group; the others never
-    are, so no group grows with the data.
+    A vertex has one row, with ``part`` 0. With ``part_size`` it has as many rows as it takes for at most so many
+    neighbours in each. A vertex without outgoing edges has an empty list. A neighbour need not be a vertex itself.
+    Copies of an edge are dropped before its neighbours are brought together.
     """
-    edges = graph.edges.select("src", "dst")
+    pairs = graph.edges.select(F.col("src").alias("id"), "dst").distinct()
+    part = F.lit(0)
+    if part_size:
+        place = F.row_number().over(Window.partitionBy("id").orderBy("dst"))
+        part = F.floor((place - 1) / part_size).cast("int")
+    lists = pairs.withColumn("part", part).groupBy("id", "part").agg(F.array_sort(F.collect_list("dst")).alias("dsts"))
     ids = graph.vertices.select("id").distinct()
-    busy = edges.groupBy("src").count().where(F.col("count") > part_size).select("src")
-    n_busy = busy.limit(BROADCAST_ROWS + 1).count()
-    if n_busy == 0:
-        return _short_lists(ids, edges)
-    usual_ids = sized_join(ids, busy.select(F.col("src").alias("id")), ["id"], "left_anti", n_busy)
-    usual_edges = sized_join(edges, busy, ["src"], "left_anti", n_busy)
-    busy = busy.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
-    return _short_lists(usual_ids, usual_edges).unionByName(_split_lists(busy, n_busy, edges, part_size))
+    dsts = F.coalesce("dsts", F.array().cast("array<bigint>")).alias("dsts")
+    return ids.join(lists, "id", "left").select("id", F.coalesce("part", F.lit(0)).alias("part"), dsts)
 
 
 def adjacency_line(id: Column | str, dsts: Column) -> Column:
@@ -117,7 +91,7 @@ def adjacency_line(id: Column | str, dsts: Column) -> Column:
 def with_edge_length(graph: Graph) -> DataFrame:
     """Edges with ``length_m``, the distance between their ends; null where an end is no vertex."""
     points = graph.vertices.select("id", "lat", "lon")
-    n = points.limit(BROADCAST_ROWS + 1).count()
+    n = points.count()
     edges = graph.edges.select("src", "dst")
     for end in ("src", "dst"):
         ends = points.select(

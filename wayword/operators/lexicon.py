@@ -10,7 +10,7 @@ from ..functions.lookup import lookup
 from ..functions.scores import sentiment_sign
 from ..functions.text import split_on_space
 from .per_text import KEY, per_text
-from .skew import salted_join
+from .skew import sized_join
 from .word_lists import LITERAL_BYTES, LITERAL_WORDS, small_rows
 
 # word -> (polarity, subjectivity), or a table with the columns word, polarity, subjectivity
@@ -25,10 +25,16 @@ def mean_of(values: Column) -> Column:
     return F.when(F.size(values) > 0, total / F.size(values)).otherwise(0.0)
 
 
+def one_row_per_word(lexicon: DataFrame) -> DataFrame:
+    """The lexicon with each word once: the mean of its values, of which nulls do not count."""
+    means = [F.avg(F.col(m).cast("double")).alias(m) for m in MEASURES]
+    return lexicon.where("word IS NOT NULL").groupBy("word").agg(*means)
+
+
 def literal_lexicon(lexicon: Lexicon) -> dict[str, tuple[float, float]] | None:
     """The lexicon as a Python mapping when it is small enough."""
     if isinstance(lexicon, DataFrame):
-        rows = small_rows(lexicon.select("word", *MEASURES), "word")
+        rows = small_rows(one_row_per_word(lexicon), "word")
         return None if rows is None else {r["word"]: tuple(r[m] for m in MEASURES) for r in rows}
     small = len(lexicon) <= LITERAL_WORDS and sum(len(w.encode()) for w in lexicon) <= LITERAL_BYTES
     return dict(lexicon) if small else None
@@ -37,7 +43,8 @@ def literal_lexicon(lexicon: Lexicon) -> dict[str, tuple[float, float]] | None:
 def _score_by_literal(
     posts: DataFrame, text: str, lexicon: Mapping[str, tuple[float, float]], measure: str, where: Column | None
 ) -> DataFrame:
-    known = {w: float(values[MEASURES.index(measure)]) for w, values in lexicon.items()}
+    place = MEASURES.index(measure)
+    known = {w: float(values[place]) for w, values in lexicon.items() if values[place] is not None}
     found = F.array_compact(F.transform(split_on_space(text), lambda w: lookup(w, known, "double")))
     if where is not None:
         found = F.when(where, found)
@@ -45,12 +52,12 @@ def _score_by_literal(
 
 
 def _score_by_join(posts: DataFrame, text: str, lexicon: DataFrame, measure: str) -> DataFrame:
-    values = lexicon.select("word", F.col(measure).alias("_value"))
+    values = one_row_per_word(lexicon).select("word", F.col(measure).alias("_value")).where("_value IS NOT NULL")
 
     def mean_of_text(words: DataFrame) -> DataFrame:
         # A group is the words of one text, so it is no larger than the row it came from.
         found = (
-            salted_join(words, values, ["word"], "inner")
+            sized_join(words, values, ["word"], "inner")
             .groupBy(KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "_value"))).alias("_found"))
         )
@@ -68,7 +75,7 @@ def _score(
         return _score_by_literal(posts, text, values, measure, where)
     if not isinstance(lexicon, DataFrame):
         lexicon = posts.sparkSession.createDataFrame(
-            [(w, float(p), float(s)) for w, (p, s) in lexicon.items()],
+            [(w, *(None if v is None else float(v) for v in values)) for w, values in lexicon.items()],
             "word string, polarity double, subjectivity double",
         )
     return _score_by_join(posts, text, lexicon, measure)

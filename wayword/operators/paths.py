@@ -1,189 +1,157 @@
 """Paths with the fewest hops, for all pairs in one loop.
 
-The search runs backwards from the end vertices. Level k holds, for every end vertex, the vertices that are k
-hops away from it, each with the smallest next vertex on a way of k hops. Following ``next`` from a start
-vertex then gives the smallest of its shortest paths, so no path has to be carried along in the search. Pairs
-with the same end vertex share one search.
+The search goes out from both ends: forward from every start, backward from every end, a level at a time, the side with
+fewer rows first. A pair is found when the newest forward level of its start meets the newest backward level of its
+end. So a search reaches half as far as the path is long, and a level holds only searches that still have a pair to
+find. A backward row carries the smallest way from its vertex to the end. For the first half, the vertices on shortest
+ways are traced back from the meeting points to the start, each with its smallest way on. Of several shortest paths this
+gives the smallest by its vertices from the start on.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
 from .graph import Graph, endpoints
-from .skew import BROADCAST_ROWS, hot_keys, n_salts, replicate, row_salt, salted_join, sized_join
-
-# Fixed value: no path longer than this is looked for unless the caller asks for it.
-MAX_HOPS = 10
-
-# After so many steps of following ``next`` the walk is written down, to keep the plan short.
-STEPS_PER_PLAN = 10
+from .skew import sized_join
 
 
 def _inner_edges(graph: Graph) -> DataFrame:
     """Distinct edges between two different vertices of the graph."""
-    loose = endpoints(graph.edges).join(graph.vertices.select("id"), "id", "left_anti")
-    n_loose = loose.limit(BROADCAST_ROWS + 1).count()
-    edges = graph.edges.select("src", "dst").where("src <> dst")
+    edges = graph.edges.select("src", "dst").where("src <> dst").distinct()
+    loose = endpoints(edges).join(graph.vertices.select("id"), "id", "left_anti")
+    loose, n_loose = materialise_counted(loose, scratch_path(edges.sparkSession, "loose-ends"))
     if n_loose:
         for end in ("src", "dst"):
             edges = sized_join(edges, loose.select(F.col("id").alias(end)), [end], "left_anti", n_loose)
-    return edges.select("src", "dst").distinct()
+    return edges
 
 
-def _wanted(graph: Graph, pairs: DataFrame) -> DataFrame:
-    """Distinct requests ``node, target`` whose ends are both vertices."""
-    wanted = pairs.select(F.col("src").alias("node"), F.col("dst").alias("target")).distinct()
-    asked = wanted.select(F.explode(F.array("node", "target")).alias("id")).distinct()
-    known = asked.join(graph.vertices.select("id"), "id", "left_semi")
-    n_known = known.limit(BROADCAST_ROWS + 1).count()
-    for end in ("node", "target"):
-        wanted = sized_join(wanted, known.select(F.col("id").alias(end)), [end], "left_semi", n_known)
-    return wanted
+class _Side:
+    """One direction of the search: levels of ``search, node, way``, each a table.
 
+    ``way`` is the smallest way from the vertex to the end of the search; it is empty on the forward side, where only
+    the levels themselves are needed.
+    """
 
-class _Search:
-    """The levels of one search, each a table in the shared folder."""
+    def __init__(self, edges: DataFrame, starts: DataFrame, folder: str, backward: bool):
+        self.edges, self.folder, self.backward = edges, folder, backward
+        nowhere = F.array().cast("array<bigint>")
+        first = starts.select("search", F.col("search").alias("node"), nowhere.alias("way"))
+        level, n = materialise_counted(first, f"{folder}/0")
+        self.levels, self.counts = [level], [n]
+
+    @property
+    def last(self) -> DataFrame:
+        return self.levels[-1]
+
+    @property
+    def depth(self) -> int:
+        return len(self.levels) - 1
+
+    def grow(self, open_searches: DataFrame, n_open: int) -> None:
+        """Add the next level of the searches that are still open."""
+        front = sized_join(self.last, open_searches, ["search"], "left_semi", n_open)
+        here, there = ("dst", "src") if self.backward else ("src", "dst")
+        edges = self.edges.select(F.col(here).alias("node"), F.col(there).alias("to"))
+        # The smaller side is broadcast if it is small enough, so an edge list is never moved for a few rows.
+        met = sized_join(edges, front, ["node"], "inner", self.counts[-1])
+        way = F.concat(F.array("node"), F.col("way")) if self.backward else F.col("way")
+        steps = met.groupBy("search", F.col("to").alias("node")).agg(F.min(way).alias("way"))
+        for level, n in zip(self.levels, self.counts):
+            steps = sized_join(steps, level.select("search", "node"), ["search", "node"], "left_anti", n)
+        level, n = materialise_counted(steps, f"{self.folder}/{len(self.levels)}")
+        self.levels.append(level)
+        self.counts.append(n)
 
-    schema = "target bigint, node bigint, next bigint, asked boolean"
 
-    def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int):
+class _Search:
+    """The search for all requests; every step is a table in the shared folder."""
+
+    def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int | None):
         self.spark = pairs.sparkSession
         self.folder = scratch_path(self.spark, "paths")
-        self.wanted, self.n_wanted = materialise_counted(_wanted(graph, pairs), f"{self.folder}/wanted")
-        self.n_levels = 0
-        first = self.wanted.select("target").distinct()
-        rows, found = self.add_level(
-            first.select("target", F.col("target").alias("node"), F.lit(None).cast("bigint").alias("next"))
-        )
-        if found < self.n_wanted:
-            self.grow(graph, max_hops, rows, found)
-
-    def level(self, k: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/levels/hops={k}")
-
-    def levels(self) -> DataFrame:
-        """All rows reached so far, with their level in ``hops``."""
-        return self.spark.read.schema(f"{self.schema}, hops int").parquet(f"{self.folder}/levels")
-
-    def answered(self) -> DataFrame:
-        """The rows of all levels that answer a request."""
-        return self.levels().where("asked")
-
-    def add_level(self, rows: DataFrame) -> tuple[int, int]:
-        """Write down the next level; how many rows it has and how many requests it answers."""
-        asked = self.wanted.withColumn("asked", F.lit(True))
-        # Both sides are unique, so no key can be hot.
-        marked = sized_join(rows, asked, ["target", "node"], "left", self.n_wanted, hot={})
-        marked = marked.select("target", "node", "next", F.coalesce("asked", F.lit(False)).alias("asked"))
-        level = materialise(marked, f"{self.folder}/levels/hops={self.n_levels}")
-        self.n_levels += 1
-        return level.agg(F.count("*"), F.count_if("asked")).first()[:]
-
-    def frontier(self, found: int) -> DataFrame:
-        """The last level without the targets that have answered all their requests."""
-        last = self.level(self.n_levels - 1).select("target", "node")
-        if found == 0:
-            return last
-        unanswered = self.wanted.join(self.answered(), ["target", "node"], "left_anti")
-        targets = unanswered.select("target").distinct()
-        # There are no more such targets than requests.
-        return sized_join(last, targets, ["target"], "left_semi", self.n_wanted)
-
-    def grow(self, graph: Graph, max_hops: int, rows: int, found: int) -> None:
-        edges = materialise(_inner_edges(graph), f"{self.folder}/edges")
-        # Edges are laid out by their end once; a vertex that ends very many of them is spread.
-        hot = hot_keys(edges, ["dst"])
-        into = edges.select(F.col("dst").alias("node"), "src")
-        salts = n_salts(["node"], hot)
-        into = into.withColumn("_salt", F.pmod(F.xxhash64("src"), salts).cast("int"))
-        n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        into = into.repartition(n_parts, "node", "_salt").sortWithinPartitions("node", "_salt")
-        into = into.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # Once the cache is filled Catalyst knows its layout and neither shuffles nor sorts it for a join.
-            into.count()
-            while rows and found < self.n_wanted and self.n_levels <= max_hops:
-                frontier = self.frontier(found)
-                reached = self._expand(into, salts, frontier, rows)
-                steps = reached.select("target", F.col("src").alias("node"), F.col("node").alias("next"))
-                # What was reached before goes through the same shuffle and drops out of the groups.
-                before = self.levels().select("target", "node", F.lit(True).alias("old"))
-                fresh = (
-                    steps.unionByName(before, allowMissingColumns=True)
-                    .groupBy("target", "node")
-                    .agg(F.min("next").alias("next"), F.max("old").alias("old"))
-                    .where("old IS NULL")
-                )
-                rows, new = self.add_level(fresh.select("target", "node", "next"))
-                found += new
-        finally:
-            into.unpersist()
-
-    @staticmethod
-    def _expand(into: DataFrame, salts: Column, frontier: DataFrame, rows: int) -> DataFrame:
-        """Edges that end at a vertex of the frontier, with its target."""
-        if rows <= BROADCAST_ROWS:
-            return into.join(F.broadcast(frontier), "node")
-        hot = hot_keys(frontier, ["node"])
-        if not hot:
-            return into.join(replicate(frontier, salts), ["node", "_salt"])
-        # Very many targets are searched through one vertex: its frontier rows are spread too, and its edges
-        # repeated for them.
-        turns = n_salts(["node"], hot)
-        spread = replicate(frontier.withColumn("_turn", row_salt(frontier, turns)), salts)
-        every_turn = F.explode_outer(F.sequence(F.lit(0), turns - 1))
-        return into.withColumn("_turn", every_turn).join(spread, ["node", "_salt", "_turn"])
-
-    def paths_are_small(self) -> bool:
-        """Whether all paths together may be broadcast; a path counts as many rows as it may have vertices."""
-        return self.n_wanted * self.n_levels <= BROADCAST_ROWS
-
-    def walks(self) -> DataFrame:
-        """Path of every answered request: ``src, dst, path``."""
-        walkers = None
-        for k in reversed(range(self.n_levels)):
-            first = self.answered().where(F.col("hops") == k)
-            starts = self._step(first.withColumns({"start": F.col("node"), "path": F.array("node")}))
-            if walkers is None:
-                walkers = starts
+        self.max_hops = max_hops
+        wanted = pairs.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+        for end in ("src", "dst"):
+            wanted = wanted.join(graph.vertices.select(F.col("id").alias(end)), end, "left_semi")
+        self.open, self.n_open = self.write(wanted.select("src", "dst"), "wanted")
+        self.edges = materialise(_inner_edges(graph), f"{self.folder}/edges")
+        self.forward = _Side(self.edges, self.searches("src"), f"{self.folder}/forward", backward=False)
+        self.back = _Side(self.edges, self.searches("dst"), f"{self.folder}/back", backward=True)
+        # Meeting points by the depth of the forward side, with the way from there to the end.
+        self.met: dict[int, list[tuple[DataFrame, int]]] = {}
+
+    def write(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        return materialise_counted(df, f"{self.folder}/{name}")
+
+    def searches(self, end: str) -> DataFrame:
+        return self.open.select(F.col(end).alias("search")).distinct()
+
+    def run(self) -> None:
+        while self.n_open:
+            self.meet()
+            depth = self.forward.depth + self.back.depth
+            if not self.n_open or (self.max_hops is not None and depth >= self.max_hops):
+                return
+            side, end = (self.forward, "src") if self.forward.counts[-1] <= self.back.counts[-1] else (self.back, "dst")
+            side.grow(self.searches(end), self.n_open)
+            if not side.counts[-1]:
+                return
+
+    def meet(self) -> None:
+        """Find the pairs whose newest levels share a vertex, and drop those that can no longer meet."""
+        depth = f"{self.forward.depth}-{self.back.depth}"
+        ahead = self.forward.last.select(F.col("search").alias("src"), "node")
+        behind = self.back.last.select(F.col("search").alias("dst"), "node", "way")
+        ahead = sized_join(ahead, self.open, ["src"], "inner", self.n_open)
+        points = sized_join(ahead, behind, ["dst", "node"], "inner", self.back.counts[-1])
+        points, n = self.write(points.select("src", "dst", "node", "way"), f"met-{depth}")
+        left = self.open
+        if n:
+            self.met.setdefault(self.forward.depth, []).append((points, n))
+            left = sized_join(left, points.select("src", "dst").distinct(), ["src", "dst"], "left_anti", n)
+        for end, side in (("src", self.forward), ("dst", self.back)):
+            alive = side.last.select(F.col("search").alias(end)).distinct()
+            left = sized_join(left, alive, [end], "left_semi", side.counts[-1])
+        self.open, self.n_open = self.write(left, f"open-{depth}")
+
+    def found(self) -> tuple[DataFrame, int]:
+        """``src, dst, path`` of every pair that was found."""
+        on_way, n = None, 0
+        for depth in range(max(self.met, default=0), -1, -1):
+            here = [points for points, _ in self.met.get(depth, [])]
+            if on_way is not None:
+                # One step back, to vertices of the level before; the smallest next vertex comes first.
+                edges = self.edges.select("src", F.col("dst").alias("node"))
+                back = sized_join(edges.withColumnRenamed("src", "before"), on_way, ["node"], "inner", n)
+                level = self.forward.levels[depth].select(F.col("search").alias("src"), F.col("node").alias("before"))
+                back = sized_join(back, level, ["src", "before"], "left_semi", self.forward.counts[depth])
+                way = F.min(F.concat(F.array("node"), F.col("way"))).alias("way")
+                here.append(back.groupBy("src", "dst", F.col("before").alias("node")).agg(way))
+            if not here:
                 continue
-            # Walkers may meet at a vertex, while the rows of a level are unique.
-            level = self.level(k).drop("asked")
-            if self.paths_are_small():
-                moved = level.join(F.broadcast(walkers), ["target", "node"])
-            else:
-                moved = salted_join(walkers, level, ["target", "node"], "inner")
-            walkers = self._step(moved).unionByName(starts)
-            # Walkers that are joined with salts are read twice per step, so they are written each time.
-            if k and (k % STEPS_PER_PLAN == 0 or not self.paths_are_small()):
-                walkers = materialise(walkers, f"{self.folder}/walk={k}")
-        done = walkers.select(F.col("start").alias("src"), F.col("target").alias("dst"), "path")
-        return materialise(done, f"{self.folder}/found")
-
-    @staticmethod
-    def _step(at: DataFrame) -> DataFrame:
-        """Move to the next vertex; at the target there is none and the path is complete."""
-        ended = F.col("next").isNull()
-        path = F.when(ended, F.col("path")).otherwise(F.concat("path", F.array("next")))
-        return at.select("start", "target", F.coalesce("next", "node").alias("node"), path.alias("path"))
-
-
-def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+            rows = here[0]
+            for other in here[1:]:
+                rows = rows.unionByName(other)
+            on_way, n = self.write(rows, f"on-way-{depth}")
+        if on_way is None:
+            return self.spark.createDataFrame([], "src bigint, dst bigint, path array<bigint>"), 0
+        return on_way.select("src", "dst", F.concat(F.array("node"), F.col("way")).alias("path")), n
+
+
+def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int | None = None) -> DataFrame:
     """A path with the fewest edges for every row ``pair_id, src, dst`` of ``pairs``.
 
-    Adds ``hops`` and ``path``; both are null where no path of at most ``max_hops`` edges exists or an end is
-    no vertex. Of several shortest paths it is the smallest by its vertices from the start on. Only edges
-    between vertices of the graph are walked.
+    Adds ``hops`` and ``path``; both are null where there is no path, or none of at most ``max_hops`` edges if that is
+    given, or an end is no vertex. Of several shortest paths it is the smallest by its vertices from the start on. Only
+    edges between vertices of the graph are walked.
     """
     search = _Search(graph, pairs, max_hops)
-    found = search.walks()
-    if search.paths_are_small():
-        joined = pairs.join(F.broadcast(found), ["src", "dst"], "left")
-    else:
-        joined = salted_join(pairs, found, ["src", "dst"], "left")
+    search.run()
+    found, n = search.found()
+    joined = sized_join(pairs, found, ["src", "dst"], "left", n * (len(search.forward.levels) + len(search.back.levels)))
     return joined.select("pair_id", "src", "dst", (F.size("path") - 1).alias("hops"), "path")
 
 

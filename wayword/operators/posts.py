@@ -11,8 +11,8 @@ from ..functions.lookup import lookup
 from ..functions.text import cleanse, normalise, split_on_space, tokenize_clean
 from .lexicon import Lexicon, literal_lexicon, score_sentiment
 from .per_text import KEY, per_text
-from .skew import BROADCAST_ROWS, salted_join, sized_join
-from .word_lists import LITERAL_WORDS, WordList, as_literal, remove_stopwords, small_rows
+from .skew import sized_join
+from .word_lists import LITERAL_BYTES, LITERAL_WORDS, WordList, as_literal, remove_stopwords, small_rows
 
 Topics = Mapping[str, Sequence[str]] | DataFrame
 
@@ -27,13 +27,13 @@ def keep_dated_posts(df: DataFrame) -> DataFrame:
     return df.where(F.col("text").isNotNull() & has_valid_date("date"))
 
 
-def remove_stopwords_by_join(df: DataFrame, text: str, stop: DataFrame) -> DataFrame:
+def remove_stopwords_by_join(df: DataFrame, text: str, stop: WordList) -> DataFrame:
     """Replace a normalised text by its tokens that are in no stop list, for lists too long for a literal."""
 
     def without_stop_words(words: DataFrame) -> DataFrame:
         # A group is the words of one text, so it is no larger than the row it came from.
         kept = (
-            remove_stopwords(words.where("word <> ''"), stop)
+            remove_stopwords(words.where("word <> ''"), stop, by_join=True)
             .groupBy(KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("kept"))
         )
@@ -69,7 +69,8 @@ def clean_posts(df: DataFrame, stop: WordList, placeholders: bool = False) -> Da
 def _topic_lists(topics: Topics) -> dict[str, list[str]] | None:
     if not isinstance(topics, DataFrame):
         lists = {t: sorted(set(terms)) for t, terms in topics.items()}
-        return lists if sum(map(len, lists.values())) <= LITERAL_WORDS else None
+        size = sum(len(term.encode()) for terms in lists.values() for term in terms)
+        return lists if sum(map(len, lists.values())) <= LITERAL_WORDS and size <= LITERAL_BYTES else None
     flat = topics.select("topic", F.explode(F.array_distinct("terms")).alias("term")).where("term IS NOT NULL")
     rows = small_rows(flat, "topic", "term")
     if rows is None:
@@ -105,19 +106,19 @@ def _tagged(rows: DataFrame, terms: Column) -> DataFrame:
 
 
 def _tag_by_join(posts: DataFrame, topics: DataFrame) -> DataFrame:
-    flat = topics.select("topic", F.explode("terms").alias("word")).distinct()
+    flat = topics.select("topic", F.explode("terms").alias("word")).where("word IS NOT NULL").distinct()
+    n_terms = flat.count()
 
     def topics_of(words: DataFrame) -> DataFrame:
-        return salted_join(words.drop("pos").distinct(), flat, ["word"], "inner").select(KEY, "topic").distinct()
+        return sized_join(words.drop("pos").distinct(), flat, ["word"], "inner", n_terms).select(KEY, "topic").distinct()
 
     # Of an empty tweet no word is left to match.
     words = F.filter(split_on_space("tweet"), lambda w: (w != "") | (F.col("tweet") != ""))
     matched = per_text(posts, "tweet", words, topics_of)
     terms = topics.groupBy("topic").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms")
+        F.array_sort(F.array_compact(F.array_distinct(F.flatten(F.collect_list("terms"))))).alias("terms")
     )
     # A topic row is as wide as its terms are many, so the terms are what the broadcast bound counts.
-    n_terms = flat.limit(BROADCAST_ROWS + 1).count()
     return _tagged(sized_join(matched, terms, ["topic"], "inner", n_terms), F.col("terms"))
 
 

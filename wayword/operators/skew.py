@@ -54,7 +54,7 @@ def row_salt(df: DataFrame, salts: Column) -> Column:
     A task that is run again after a lost executor sends each row to the same place, and copies of one row
     from several partitions are spread as well.
     """
-    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), salts).cast("int")
+    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), salts).cast("int")
 
 
 def replicate(df: DataFrame, salts: Column) -> DataFrame:
@@ -82,18 +82,21 @@ def salted_join(
 
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has no more than so many rows."""
-    return df.limit(rows + 1).count() <= rows
+    return df.count() <= rows
 
 
 def sized_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, rows: int | None = None,
     hot: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Broadcast ``right`` when its counted rows allow it, otherwise make a salted join.
+    """Broadcast ``right`` when its counted rows allow it, otherwise shuffle both sides.
 
-    ``rows`` is the row count of ``right`` where the caller knows it.
+    ``rows`` is the row count of ``right`` where the caller knows it. A hot key of a shuffled join is split by adaptive
+    execution; with ``hot``, the keys known to be hot are salted besides.
     """
     small = rows <= BROADCAST_ROWS if rows is not None else at_most(right, BROADCAST_ROWS)
     if small:
         return left.join(F.broadcast(right), list(on), how)
-    return salted_join(left, right, on, how, hot)
+    if hot:
+        return salted_join(left, right, on, how, hot)
+    return left.join(right, list(on), how)

@@ -7,16 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.lookup import in_words
-from .skew import replicate, row_salt
+from .skew import sized_join
 
 # A list within these limits becomes a literal of the plan; a longer one is joined.
 LITERAL_WORDS = 100_000
 LITERAL_BYTES = 4_000_000
 LITERAL_WORD_BYTES = 1_000
 
-# Over how many tasks the rows of one word are spread when the list is joined.
-LONG_LIST_SALTS = 16
-
 WordList = DataFrame | Sequence[str]
 
 
@@ -58,16 +55,14 @@ def as_table(words: WordList, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(w,) for w in set(words)], "word string")
 
 
-def remove_stopwords(tokens: DataFrame, stop: WordList, word: str = "word") -> DataFrame:
+def remove_stopwords(tokens: DataFrame, stop: WordList, word: str = "word", by_join: bool = False) -> DataFrame:
     """Rows whose word is on no stop list (exact, case-sensitive).
 
-    A long list is joined. Every word of the stream may be hot then, so all of it is spread over a few salts
-    and the list is repeated for each.
+    A long list (or any with ``by_join``) is joined: broadcast if its counted rows allow it, else shuffled, where
+    adaptive execution splits frequent words.
     """
-    literal = as_literal(stop)
+    literal = None if by_join else as_literal(stop)
     if literal is not None:
         return tokens.where(~in_words(F.col(word), literal))
-    salts = F.lit(LONG_LIST_SALTS)
     table = as_table(stop, tokens).select(F.col("word").alias(word))
-    salted = tokens.withColumn("_salt", row_salt(tokens, salts))
-    return salted.join(replicate(table, salts), [word, "_salt"], "left_anti").select(tokens.columns)
+    return sized_join(tokens, table, [word], "left_anti").select(tokens.columns)

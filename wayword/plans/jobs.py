@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.graph import adjacency, drop_isolated, road_graph, written
 from ..operators.lexicon import Lexicon
-from ..operators.paths import MAX_HOPS, shortest_paths
-from ..operators.posts import clean_posts, tag_and_score, to_sink_rows
-from ..operators.word_lists import merge_word_lists
+from ..operators.paths import shortest_paths
+from ..operators.posts import Topics, clean_posts, tag_and_score, to_sink_rows
+from ..operators.word_lists import WordList, merge_word_lists
 from ..operators.words import TOP_K, common_counts, word_count
 from ..sources.osm import read_nodes, read_ways
 from ..sources.posts import read_posts
 from ..sources.sinks import (
-    with_row_id, write_adjacency, write_counts, write_paths, write_table, write_topk,
+    next_id, with_row_id, write_adjacency, write_counts, write_paths, write_table, write_topk,
 )
 from ..sources.text import read_lines, read_pairs, read_tagged, read_topics, read_word_list
+from ..streaming.posts import batch_folder_writer, sink_rows, write_batches
 
 
 def count_words(spark: SparkSession, lines: str, out: str) -> None:
@@ -34,7 +36,7 @@ def rank_common_words(
 
 
 def map_roads(
-    spark: SparkSession, osm: str, pairs: str, adjacency_out: str, paths_out: str, max_hops: int = MAX_HOPS
+    spark: SparkSession, osm: str, pairs: str, adjacency_out: str, paths_out: str, max_hops: int | None = None
 ) -> None:
     """Adjacency list of the road graph of a map, and a shortest path for every request.
 
@@ -56,5 +58,22 @@ def scored_posts(
 
 
 def archive_posts(scored: DataFrame, target: str, mode: str = "overwrite", **options: str) -> None:
-    """Write scored posts to the sink table with a generated id."""
-    write_table(with_row_id(to_sink_rows(scored)), target, mode, **options)
+    """Write scored posts to the sink table with a generated id; appended rows go on above the largest id."""
+    start = next_id(scored.sparkSession, target, **options) if mode == "append" else 1
+    write_table(with_row_id(to_sink_rows(scored), start), target, mode, **options)
+
+
+def stream_posts(
+    posts: DataFrame, stop: WordList, topics: Topics, lexicon: Lexicon, target: str, checkpoint: str,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Tag and score a stream of raw posts, and write every batch to a folder of its own below ``target``.
+
+    A batch goes through the batch operators, so the lists may be of any size.
+    """
+    write = batch_folder_writer(target)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        write(sink_rows(batch, stop, topics, lexicon), batch_id)
+
+    return write_batches(posts, work, checkpoint, available_now)

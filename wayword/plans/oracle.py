@@ -151,8 +151,7 @@ IDS = f"""
       FROM (SELECT doc_id, string_split(text, ' ') AS w FROM docs)),
     vocabulary AS (
       SELECT word, row_number() OVER (ORDER BY cnt DESC, word) AS id
-      FROM (SELECT word, count(*) AS cnt FROM tokens WHERE word <> '' GROUP BY word
-            ORDER BY cnt DESC, word LIMIT {given.VOCABULARY_SIZE})),
+      FROM (SELECT word, count(*) AS cnt FROM tokens WHERE word <> '' GROUP BY word)),
     ids AS (
       SELECT docs.doc_id, coalesce(k.ids, []) AS ids
       FROM docs LEFT JOIN (
@@ -209,11 +208,12 @@ PATHS = f"""
     e AS MATERIALIZED (
       SELECT DISTINCT src, dst FROM ({EDGES}) SEMI JOIN v ON v.id = src WHERE dst IN (SELECT id FROM v)),
     req AS MATERIALIZED ({REQUESTS}),
-    reach(start, node, hops) AS (
+    reach(start, node, hops) USING KEY (start, node) AS (
       SELECT DISTINCT src, src, 0 FROM req WHERE src IN (SELECT id FROM v)
       UNION
-      SELECT r.start, e.dst, r.hops + 1 FROM reach r JOIN e ON e.src = r.node WHERE r.hops < 10),
-    first AS MATERIALIZED (SELECT start, node, min(hops) AS hops FROM reach GROUP BY ALL),
+      SELECT DISTINCT r.start, e.dst, r.hops + 1 FROM reach r JOIN e ON e.src = r.node
+      WHERE NOT EXISTS (SELECT 1 FROM recurring.reach o WHERE o.start = r.start AND o.node = e.dst)),
+    first AS MATERIALIZED (SELECT start, node, hops FROM reach),
     grown(start, node, hops, path) AS (
       SELECT start, node, 0, [node] FROM first WHERE hops = 0
       UNION ALL
@@ -278,9 +278,15 @@ ORACLE: dict[str, str] = {
     "sentiment_sink_rows": SINK_ROWS,
     "numbered_sink_rows": f"""
         SELECT row_number() OVER (ORDER BY posted_at, topic, sentiment, post) AS id, * FROM ({SINK_ROWS})""",
-    "archived_posts": SINK_ROWS,
+    "archived_posts": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
+    "post_job": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
     "csv_posts": CLEAN,
-    "streamed_topic_posts": SINK_ROWS,
+    "streamed_topic_posts": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
+    "order_way_pairs": """
+        SELECT l_orderkey, CAST(pos AS INTEGER) AS pos, src, dst FROM (
+          SELECT l_orderkey, row_number() OVER w - 1 AS pos, l_partkey AS src, lead(l_partkey) OVER w AS dst
+          FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey))
+        WHERE dst IS NOT NULL""",
     "way_pairs": f"SELECT way_id, src, dst FROM ({PAIRS})",
     "way_tags": f"""
         SELECT way_id,

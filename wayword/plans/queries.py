@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import dates, scores, tags, text
 from ..operators import encode, graph as roads, lexicon, paths, posts as post_ops, word_lists, words
@@ -51,7 +51,7 @@ def topk_common_words(spark, sf_dir):
 def words_without_stop_list(spark, sf_dir):
     """Kept words per document, with the stop list as a table."""
     tokens = words.explode_words(given.table(spark, sf_dir, "documents"), "text", "doc_id")
-    kept = word_lists.remove_stopwords(tokens, given.stop_table(spark))
+    kept = word_lists.remove_stopwords(tokens, given.stop_table(spark), by_join=True)
     return kept.groupBy("doc_id").agg(F.count("*").alias("n_kept"), F.max("word").alias("last_word"))
 
 
@@ -191,15 +191,14 @@ def score_classes(spark, sf_dir):
     return events.withColumn("sentiment", scores.sentiment_from_score(F.col("score")))
 
 
-def _vocabulary(clean: DataFrame) -> dict[str, int]:
-    """The most frequent words with their rank; the ranked list has a fixed number of rows."""
-    counts = words.word_count(clean, "text", sorted=False)
-    ranked = counts.orderBy(F.desc("cnt"), "word").limit(given.VOCABULARY_SIZE).collect()
-    return {r["word"]: rank for rank, r in enumerate(ranked, 1)}
+def _vocabulary(clean: DataFrame) -> DataFrame:
+    """All words with their rank by frequency."""
+    counts = words.word_count(clean, "text", sorted=False).select((-F.col("cnt")).alias("rarity"), "word")
+    return sinks.with_dense_row_id(counts, ["rarity", "word"]).select("word", F.col("id").cast("int").alias("id"))
 
 
 def _encoded(spark: SparkSession, sf_dir: str, by_join: bool = False) -> DataFrame:
-    documents = cleansed_text(spark, sf_dir)
+    documents = materialise(cleansed_text(spark, sf_dir), scratch_path(spark, "cleansed"))
     return encode.encode_tokens(documents, _vocabulary(documents), "text", by_join)
 
 
@@ -243,14 +242,37 @@ def numbered_sink_rows(spark, sf_dir):
 def archived_posts(spark, sf_dir):
     """Sink rows in a table: replaced by the first two topics, then the others appended."""
     folder = scratch_path(spark, "archive")
-    rows = materialise(_sink_rows(spark, sf_dir), f"{folder}/rows")
+    scored = post_ops.tag_and_score(_clean(spark, sf_dir), given.TOPICS, given.LEXICON)
+    scored = materialise(scored, f"{folder}/scored")
     early = F.col("topic").isin("harbour", "market")
     archive = f"{folder}/archive"
-    sinks.write_table(sinks.with_row_id(rows.where(~early)), archive, "overwrite")
-    sinks.write_table(sinks.with_row_id(rows.where(early)), archive, "overwrite")
-    largest = spark.read.parquet(archive).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    sinks.write_table(sinks.with_row_id(rows.where(~early), largest + 1), archive, "append")
-    return spark.read.parquet(archive).drop("id")
+    jobs.archive_posts(scored.where(~early), archive)
+    jobs.archive_posts(scored.where(early), archive)
+    jobs.archive_posts(scored.where("topic = 'transit'"), archive, "append")
+    jobs.archive_posts(scored.where("topic = 'weather'"), archive, "append")
+    return _with_id_check(spark.read.parquet(archive))
+
+
+def _with_id_check(rows: DataFrame) -> DataFrame:
+    """Each row with the number of rows that share its id instead of the id, which has gaps."""
+    return rows.withColumn("rows_with_id", F.count("*").over(Window.partitionBy("id"))).drop("id")
+
+
+@query
+def post_job(spark, sf_dir):
+    """The whole job on files: posts, stop lists and topics are read, tagged and scored posts are archived."""
+    folder = scratch_path(spark, "post-job")
+    given.posts(spark, sf_dir).write.options(header=True, quoteAll=True, escape='"').csv(f"{folder}/posts")
+    stop = given.stop_table(spark)
+    stop.where("word < 'e'").write.text(f"{folder}/stop-1")
+    stop.where("word > 'd'").write.text(f"{folder}/stop-2")
+    spark.createDataFrame([(json.dumps(given.TOPICS),)], "value string").write.text(f"{folder}/topics")
+    scored = jobs.scored_posts(
+        spark, f"{folder}/posts", [f"{folder}/stop-1", f"{folder}/stop-2"], f"{folder}/topics", list(given.TOPICS),
+        given.LEXICON,
+    )
+    jobs.archive_posts(scored, f"{folder}/archive")
+    return _with_id_check(spark.read.parquet(f"{folder}/archive"))
 
 
 @query
@@ -266,12 +288,14 @@ def streamed_topic_posts(spark, sf_dir):
     """The sink rows again, from a stream over the documents that is run to its end."""
     folder = scratch_path(spark, "stream")
     reader = spark.readStream.schema(given.table(spark, sf_dir, "documents").schema)
-    documents = reader.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    documents = given.spread_small(documents, sf_dir, "documents")
-    rows = stream.sink_rows(given.as_posts(documents), given.STOP_WORDS, given.TOPICS, given.LEXICON)
-    writer = stream.batch_folder_writer(f"{folder}/rows")
-    stream.write_batches(rows, writer, f"{folder}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{folder}/rows").drop("batch_id")
+    # The table is a file or a folder of files; a stream takes a file only by a pattern.
+    documents = reader.parquet(f"{sf_dir}/documents.parque[t]")
+    jobs.stream_posts(
+        given.as_posts(documents), given.STOP_WORDS, given.TOPICS, given.LEXICON, f"{folder}/rows",
+        f"{folder}/checkpoint", available_now=True,
+    ).awaitTermination()
+    schema = "id bigint, posted_at timestamp_ntz, post string, topic string, sentiment int, batch_id int"
+    return _with_id_check(spark.read.schema(schema).parquet(f"{folder}/rows").drop("batch_id"))
 
 
 # Roads
@@ -284,6 +308,16 @@ def way_pairs(spark, sf_dir):
     return given.map_ways(spark, sf_dir).select(F.col("_id").alias("way_id"), pairs).where("src IS NOT NULL")
 
 
+@query
+def order_way_pairs(spark, sf_dir):
+    """Neighbouring nodes of ways of any length: the parts of an order, line by line."""
+    lines = given.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("line")
+    )
+    pairs = F.posexplode(tags.consecutive_pairs(F.col("line.l_partkey"))).alias("pos", "pair")
+    return lines.select("l_orderkey", pairs).select("l_orderkey", "pos", "pair.src", "pair.dst")
+
+
 @query
 def way_tags(spark, sf_dir):
     return given.map_ways(spark, sf_dir).select(
@@ -314,7 +348,7 @@ def adjacency(spark, sf_dir):
 
 @query
 def edge_lengths(spark, sf_dir):
-    edges = roads.with_edge_length(given.graph(spark, sf_dir))
+    edges = roads.with_edge_length(roads.written(given.graph(spark, sf_dir)))
     return edges.withColumn("length_m", F.round("length_m", 2))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.graph import adjacency_line
 from ..operators.paths import path_line
@@ -23,11 +24,7 @@ def write_topk(counts: DataFrame, path: str, k: int = TOP_K, mode: str = "errori
 
 
 def write_adjacency(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One line ``id d1 d2 ...`` per row of ``adjacency``.
-
-    That is one per vertex, except that a vertex with a split neighbour list has a line for each part. Every
-    such line starts with the id.
-    """
+    """One line ``id d1 d2 ...`` per row of ``adjacency``: one per vertex, unless its parts were asked for."""
     rows.select(adjacency_line("id", F.col("dsts")).alias("value")).write.mode(mode).text(path)
 
 
@@ -53,10 +50,27 @@ def write_table(
         writer.save(target)
 
 
+def next_id(spark: SparkSession, target: str, format: str = "parquet", table: bool = False, **options: str) -> int:
+    """One more than the largest ``id`` of a sink table, 1 if there is none yet."""
+    if table:
+        if not spark.catalog.tableExists(target):
+            return 1
+        rows = spark.table(target)
+    else:
+        try:
+            rows = spark.read.format(format).options(**options).load(target)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return 1
+    largest = rows.agg(F.max("id")).first()[0]
+    return 1 if largest is None else largest + 1
+
+
 def with_row_id(rows: DataFrame, start: int = 1) -> DataFrame:
     """Add a unique ``id`` that rises from ``start`` with gaps.
 
-    Ids are given by task, without a shuffle. For a later append pass the largest id so far plus one.
+    Ids are given by task, without a shuffle. For a later append pass ``next_id``.
     """
     return rows.select((F.monotonically_increasing_id() + start).alias("id"), *rows.columns)
 
@@ -73,7 +87,9 @@ def with_dense_row_id(rows: DataFrame, order_by: list[str] | None = None, start:
     low_bits = 33
     if order_by:
         whole = materialise(rows, scratch_path(spark, "unsorted-rows"))
-        rows = whole.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        # Ties are spread by the other columns, so that rows that share a place do not make one large task.
+        order = [*order_by, *(c for c in rows.columns if c not in order_by)]
+        rows = whole.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = rows.select(
         F.shiftright(position, low_bits).alias("_task"),
         position.bitwiseAND((1 << low_bits) - 1).alias("_place"),
