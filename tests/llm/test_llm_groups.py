@@ -241,25 +241,32 @@ def test_equal_rows_lose_the_same_lines(spark):
     assert sorted(got, key=repr) == sorted([(2, ""), (1, ""), (1, ""), (None, line.upper())], key=repr)
 
 
-def test_simhash_is_the_majority(spark):
+def test_simhashes_are_majorities_of_chosen_words(spark):
     rnd = random.Random(6)
-    texts = [" ".join(f"u{rnd.randrange(9000)}" for _ in range(n)) for n in (5, 6, 100, 511, 512, 3000)]
+    texts = [" ".join(f"u{rnd.randrange(9000)}" for _ in range(n)) for n in (5, 6, 9, 30, 100, 3000)] + ["a " * 9, "a b a b a"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     words = lines.words_of(F.col("text"))
-    for r in df.select(lines.simhash(words).alias("sim"), F.transform(F.array_distinct(words), lambda w: F.xxhash64(w)).alias("h")).collect():
-        want = sum(1 << b for b in range(60) if 2 * sum(h >> b & 1 for h in r["h"]) > len(r["h"]))
-        assert r["sim"] == want
+    chosen = df.select(lines.simhashes(words).alias("sims"), F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
+    for r in chosen.collect():
+        circle = sorted(set(r["h"]))
+        for k, sim in enumerate(r["sims"]):
+            mark = -(1 << 63) + (k << 64) // lines.ORDERS
+            begun = [h for h in circle if h >= mark] + [h for h in circle if h < mark]
+            some = begun[: lines.SAMPLED]
+            assert sim == sum(1 << b for b in range(60) if 2 * sum(h >> b & 1 for h in some) > len(some))
 
 
 def test_blocks_meet_by_pigeonhole(spark):
     rnd = random.Random(9)
     rows = []
     for _ in range(50):
-        sim = rnd.getrandbits(60)
-        other = sim
-        for bit in rnd.sample(range(60), lines.BLOCKS - lines.PICK):
-            other ^= 1 << bit
-        rows.append((sim, other))
-    df = spark.createDataFrame(rows, "a long, b long")
-    keys = [lines.block_keys(F.col(c), lines.BLOCKS, lines.PICK) for c in "ab"]
+        sims = [rnd.getrandbits(60) for _ in range(lines.ORDERS)]
+        others = [rnd.getrandbits(60) for _ in range(lines.ORDERS)]
+        order = rnd.randrange(lines.ORDERS)
+        others[order] = sims[order]
+        for bit in rnd.sample(range(60), lines.BLOCKS - 1):
+            others[order] ^= 1 << bit
+        rows.append((sims, others))
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
+    keys = [F.transform(lines.block_keys(F.col(c)), lambda x: x["key"]) for c in "ab"]
     assert df.where(F.arrays_overlap(*keys)).count() == len(rows)

@@ -2,14 +2,14 @@
 
 1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``MIN_WORDS``
    words are left alone: they repeat by chance.
-2. Every line gets a SimHash of 60 bits: the hash of each distinct word votes for every bit. Votes are counted in lanes, several
-   bits in one number, and compared with half of the words in all lanes at once. Lines are hashed where they are read;
-   no text is moved.
-3. The bits are cut into ``BLOCKS`` blocks. Two SimHashes that differ in at most ``BLOCKS - PICK`` bits agree on some
-   ``PICK`` blocks, so distinct lines are joined on each choice of blocks (pigeonhole). Most pairs that differ in some
-   more bits meet as well.
-4. Lines that meet, and differ in at most ``BITS`` bits, are verified: the edit similarity of their words must reach
-   ``SIMILARITY`` (one minus the edit distance, as a share of the longer line).
+2. Every line gets ``ORDERS`` SimHashes of 60 bits. Each is made of ``SAMPLED`` of the line's distinct words, those that
+   come first in an order of its own (the circle of word hashes, begun at another place), so a changed word leaves alone
+   all SimHashes that it is not part of, in long lines most. The hash of each chosen word votes for every bit; votes are
+   counted in lanes, several bits in one number. Lines are hashed where they are read; no text is moved.
+3. The bits of a SimHash are cut into ``BLOCKS`` blocks. Two SimHashes that differ in fewer bits than there are blocks
+   agree on a whole block, so distinct lines are joined on each block (pigeonhole).
+4. Lines that meet, and differ in at most ``BITS`` bits of that SimHash, are verified: the edit similarity of all their
+   words must reach ``SIMILARITY`` (one minus the edit distance, as a share of the longer line).
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
 Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
@@ -21,8 +21,6 @@ which keeps one of them whole at most as often as the row is repeated. Columns t
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
@@ -31,14 +29,15 @@ from .components import by_count, connected
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-BLOCKS = 5
-PICK = 2
-BITS = 14
+ORDERS = 4
+SAMPLED = 5
+BLOCKS = 2
+BITS = 8
 HUBS = 2
 
-# Bits of the SimHash. Lines of up to NARROW words are counted in lanes of 10 bits, longer ones in lanes of 30.
+# Bits of a SimHash, and of the lane in which the votes for a bit are counted.
 SIM_BITS = 60
-NARROW = 511
+LANE = 4
 
 BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
@@ -63,39 +62,47 @@ def coded(words: Column) -> Column:
     return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
 
 
-def majority(hashes: Column, width: int) -> Column:
-    """The bits that more than half of the hashes have, counted in lanes of ``width`` bits.
-
-    A lane must be able to hold the number of hashes twice.
-    """
-    lanes = sum(1 << at for at in range(0, SIM_BITS, width))
-    half = F.floor(F.size(hashes) / 2)
+def majority(hashes: Column) -> Column:
+    """The bits that more than half of the hashes have; a lane must be able to hold their number twice."""
+    lanes = sum(1 << at for at in range(0, SIM_BITS, LANE))
     # Added to a lane, this carries into its highest bit exactly if the lane is above half.
-    carry = (F.lit((1 << (width - 1)) - 1) - half) * F.lit(lanes)
+    carry = (F.lit((1 << (LANE - 1)) - 1) - F.floor(F.size(hashes) / 2)) * F.lit(lanes)
 
     def count(i: int):
         return lambda total, h: total + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(lanes))
 
     sim = F.lit(0).cast("long")
-    for i in range(width):
+    for i in range(LANE):
         votes = F.aggregate(hashes, F.lit(0).cast("long"), count(i))
-        above = F.shiftrightunsigned(votes + carry, width - 1).bitwiseAND(F.lit(lanes))
+        above = F.shiftrightunsigned(votes + carry, LANE - 1).bitwiseAND(F.lit(lanes))
         sim = sim.bitwiseOR(F.shiftleft(above, i))
     return sim
 
 
-def simhash(words: Column) -> Column:
-    # Each word votes once; else the frequent words of a language would make all its lines alike.
-    hashes = F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
-    # The hashes are bound once and used for every lane.
-    bound = F.transform(
-        F.array(hashes), lambda h: F.when(F.size(h) <= NARROW, majority(h, 10)).otherwise(majority(h, 30))
-    )
-    return bound[0]
+def chosen_words(hashes: Column) -> Column:
+    """For every order the hashes of its first words: the circle of hashes is begun at evenly spaced marks."""
+    marks = [F.lit(-(1 << 63) + (k << 64) // ORDERS).cast("long") for k in range(1, ORDERS)]
+    marked = F.sort_array(F.array_union(hashes, F.array(*marks)))
+
+    def windows(circle: Column) -> Column:
+        twice = F.concat(circle, circle)
+        starts = [F.lit(1), *(F.array_position(circle, mark).cast("int") for mark in marks)]
+        return F.array(*[
+            F.slice(F.array_except(F.slice(twice, start, SAMPLED + ORDERS), F.array(*marks)), 1, SAMPLED)
+            for start in starts
+        ])
+
+    return F.transform(F.array(marked), windows)[0]
+
+
+def simhashes(words: Column) -> Column:
+    """One SimHash for every order."""
+    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.transform(chosen_words(hashes), majority)
 
 
 def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``doc, place, pos, h1, h2, n_words, sim`` for every line that is long enough. No shuffle."""
+    """``doc, place, pos, h1, h2, n_words, sims`` for every line that is long enough. No shuffle."""
     rows = df.select(
         F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"),
         F.transform(lines_of(F.col(text_col)), words_of).alias("lines"),
@@ -103,19 +110,19 @@ def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) ->
     rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "words")).where(F.size("words") >= min_words)
     return rows.select(
         "doc", "place", "pos", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
-        F.size("words").alias("n_words"), simhash(F.col("words")).alias("sim"),
+        F.size("words").alias("n_words"), simhashes(F.col("words")).alias("sims"),
     )
 
 
-def block_keys(sim: Column, blocks: int, pick: int) -> Column:
-    """An array with one number for each choice of ``pick`` of the blocks, made of their bits."""
-    edges = [round(SIM_BITS * b / blocks) for b in range(blocks + 1)]
-    parts = [
-        F.shiftrightunsigned(sim, low).bitwiseAND(F.lit((1 << (high - low)) - 1)) for low, high in zip(edges, edges[1:])
-    ]
+def block_keys(sims: Column) -> Column:
+    """``key, sim`` for every block of every SimHash; the key is made of the block's number and bits."""
+    edges = [round(SIM_BITS * b / BLOCKS) for b in range(BLOCKS + 1)]
     keys = []
-    for number, chosen in enumerate(combinations(range(blocks), pick)):
-        keys.append(F.xxhash64(F.lit(number), *[parts[c] for c in chosen]))
+    for order in range(ORDERS):
+        for block, (low, high) in enumerate(zip(edges, edges[1:])):
+            bits = F.shiftrightunsigned(sims[order], low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+            key = F.xxhash64(F.lit(order * BLOCKS + block), bits)
+            keys.append(F.struct(key.alias("key"), sims[order].alias("sim")))
     return F.array(*keys)
 
 
@@ -131,8 +138,10 @@ class Lines:
         self.folder = scratch_path(df.sparkSession, "lines")
         self.rows = self.write(hashed_lines(df, key_col, text_col, min_words), "rows")
         lines = self.rows.groupBy("h1", "h2").agg(
-            F.count("*").alias("n"), F.min("n_words").alias("n_words"), F.min("sim").alias("sim")
+            F.count("*").alias("n"), F.min("n_words").alias("n_words"),
+            *[F.min(F.col("sims")[k]).alias(f"sim{k}") for k in range(ORDERS)],
         )
+        lines = lines.select("h1", "h2", "n", "n_words", F.array(*[f"sim{k}" for k in range(ORDERS)]).alias("sims"))
         self.lines = self.write(lines, "distinct")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -143,10 +152,10 @@ class Lines:
 
     def buckets(self) -> DataFrame:
         """``key, id, n_words, sim, size`` of all buckets with several lines."""
-        keys = F.explode(block_keys(F.col("sim"), BLOCKS, PICK)).alias("key")
+        keys = F.inline(block_keys(F.col("sims")))
         shared = self.lines.select(keys).groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
         shared, n = self.counted(shared, "shared")
-        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "sim", keys)
+        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", keys)
         return self.write(keyed.join(by_count(shared, n), "key"), "buckets")
 
     def may_match(self, pairs: DataFrame) -> DataFrame:
@@ -171,8 +180,10 @@ class Lines:
         at = texts.join(by_count(wanted, n_wanted), same)
         line = coded(words_of(F.element_at(lines_of(F.col("text")), F.col("pos") + 1))).alias("line")
         # A row that is there several times gives its lines as often; only these are moved to be made one.
-        once = at.where("n = 1").select("id", line)
-        return self.write(once.unionByName(at.where("n > 1").select("id", line).dropDuplicates(["id"])), f"coded-{name}")
+        lines = at.where("n = 1").select("id", line)
+        if not wanted.where("n > 1").isEmpty():
+            lines = lines.unionByName(at.where("n > 1").select("id", line).dropDuplicates(["id"]))
+        return self.write(lines, f"coded-{name}")
 
     def verified(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
         """Pairs of lines whose words are similar."""
