@@ -1,16 +1,16 @@
 """Paths with the fewest hops, for all pairs in one loop.
 
-The search goes out from both ends: forward from every start, backward from every end, a level at a time, the side with
-fewer rows first. A pair is found when the newest forward level of its start meets the newest backward level of its
-end. So a search reaches half as far as the path is long, and a level holds only searches that still have a pair to
-find. A backward row carries the smallest way from its vertex to the end. For the first half, the vertices on shortest
-ways are traced back from the meeting points to the start, each with its smallest way on. Of several shortest paths this
-gives the smallest by its vertices from the start on.
+The search goes out from both ends, forward from every start and backward from every end, a level of each at a time. A
+pair is found when the newest forward level of its start meets one of the two newest backward levels of its end. So a
+search reaches half as far as the path is long, and a level holds only searches that still have a pair to find. A
+backward row carries the smallest way from its vertex to the end. For the first half, the vertices on shortest ways are
+traced back from the meeting points to the start, each with its smallest way on. Of several shortest paths this gives the
+smallest by its vertices from the start on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
 from .graph import Graph, endpoints
@@ -28,46 +28,15 @@ def _inner_edges(graph: Graph) -> DataFrame:
     return edges
 
 
-class _Side:
-    """One direction of the search: levels of ``search, node, way``, each a table.
+class _Search:
+    """The search for all requests; every step is a table in the shared folder.
 
-    ``way`` is the smallest way from the vertex to the end of the search; it is empty on the forward side, where only
-    the levels themselves are needed.
+    A level holds ``back, search, node, way``: on the side ``back``, or else on the forward one, the search from or to
+    ``search`` first reaches ``node`` there. ``way`` is the smallest way from the vertex to the end on the backward
+    side, and empty on the forward one, where only the levels themselves are needed.
     """
 
-    def __init__(self, edges: DataFrame, starts: DataFrame, folder: str, backward: bool):
-        self.edges, self.folder, self.backward = edges, folder, backward
-        nowhere = F.array().cast("array<bigint>")
-        first = starts.select("search", F.col("search").alias("node"), nowhere.alias("way"))
-        level, n = materialise_counted(first, f"{folder}/0")
-        self.levels, self.counts = [level], [n]
-
-    @property
-    def last(self) -> DataFrame:
-        return self.levels[-1]
-
-    @property
-    def depth(self) -> int:
-        return len(self.levels) - 1
-
-    def grow(self, open_searches: DataFrame, n_open: int) -> None:
-        """Add the next level of the searches that are still open."""
-        front = sized_join(self.last, open_searches, ["search"], "left_semi", n_open)
-        here, there = ("dst", "src") if self.backward else ("src", "dst")
-        edges = self.edges.select(F.col(here).alias("node"), F.col(there).alias("to"))
-        # The smaller side is broadcast if it is small enough, so an edge list is never moved for a few rows.
-        met = sized_join(edges, front, ["node"], "inner", self.counts[-1])
-        way = F.concat(F.array("node"), F.col("way")) if self.backward else F.col("way")
-        steps = met.groupBy("search", F.col("to").alias("node")).agg(F.min(way).alias("way"))
-        for level, n in zip(self.levels, self.counts):
-            steps = sized_join(steps, level.select("search", "node"), ["search", "node"], "left_anti", n)
-        level, n = materialise_counted(steps, f"{self.folder}/{len(self.levels)}")
-        self.levels.append(level)
-        self.counts.append(n)
-
-
-class _Search:
-    """The search for all requests; every step is a table in the shared folder."""
+    schema = "back boolean, search bigint, node bigint, way array<bigint>"
 
     def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int | None):
         self.spark = pairs.sparkSession
@@ -77,65 +46,97 @@ class _Search:
         for end in ("src", "dst"):
             wanted = wanted.join(graph.vertices.select(F.col("id").alias(end)), end, "left_semi")
         self.open, self.n_open = self.write(wanted.select("src", "dst"), "wanted")
-        self.edges = materialise(_inner_edges(graph), f"{self.folder}/edges")
-        self.forward = _Side(self.edges, self.searches("src"), f"{self.folder}/forward", backward=False)
-        self.back = _Side(self.edges, self.searches("dst"), f"{self.folder}/back", backward=True)
-        # Meeting points by the depth of the forward side, with the way from there to the end.
-        self.met: dict[int, list[tuple[DataFrame, int]]] = {}
+        edges = _inner_edges(graph)
+        step = F.struct(F.lit(False).alias("back"), F.col("src").alias("node"), F.col("dst").alias("to"))
+        step_back = F.struct(F.lit(True).alias("back"), F.col("dst").alias("node"), F.col("src").alias("to"))
+        self.edges = materialise(edges.select(F.inline(F.array(step, step_back))), f"{self.folder}/edges")
+        nowhere = F.array().cast("array<bigint>").alias("way")
+        first = self.searches().select("back", "search", F.col("search").alias("node"), nowhere)
+        self.counts = [self.write(first, "levels/depth=0")[1]]
+        # Meeting points by their forward level, with the way from there to the end.
+        self.met: dict[int, DataFrame] = {}
 
     def write(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
         return materialise_counted(df, f"{self.folder}/{name}")
 
-    def searches(self, end: str) -> DataFrame:
-        return self.open.select(F.col(end).alias("search")).distinct()
+    def level(self, depth: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/levels/depth={depth}")
+
+    def levels(self) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, depth int").parquet(f"{self.folder}/levels")
+
+    @property
+    def depth(self) -> int:
+        return len(self.counts) - 1
+
+    def searches(self) -> DataFrame:
+        """``back, search`` of all searches with a pair that is still open."""
+        ends = F.array(
+            F.struct(F.lit(False).alias("back"), F.col("src").alias("search")),
+            F.struct(F.lit(True).alias("back"), F.col("dst").alias("search")),
+        )
+        return self.open.select(F.inline(ends)).distinct()
 
     def run(self) -> None:
+        changed = True
         while self.n_open:
-            self.meet()
-            depth = self.forward.depth + self.back.depth
-            if not self.n_open or (self.max_hops is not None and depth >= self.max_hops):
-                return
-            side, end = (self.forward, "src") if self.forward.counts[-1] <= self.back.counts[-1] else (self.back, "dst")
-            side.grow(self.searches(end), self.n_open)
-            if not side.counts[-1]:
+            changed = self.meet()
+            reached = self.max_hops is not None and 2 * self.depth >= self.max_hops
+            if reached or not self.n_open or not self.grow(changed):
                 return
 
-    def meet(self) -> None:
-        """Find the pairs whose newest levels share a vertex, and drop those that can no longer meet."""
-        depth = f"{self.forward.depth}-{self.back.depth}"
-        ahead = self.forward.last.select(F.col("search").alias("src"), "node")
-        behind = self.back.last.select(F.col("search").alias("dst"), "node", "way")
+    def grow(self, changed: bool) -> int:
+        """Add the next level of both sides; how many rows it has."""
+        front = self.level(self.depth)
+        if changed:
+            front = sized_join(front, self.searches(), ["back", "search"], "left_semi", 2 * self.n_open)
+        # The front is broadcast if it is small enough, so the edges are not moved for a few rows.
+        met = sized_join(self.edges, front, ["back", "node"], "inner", self.counts[-1])
+        way = F.when(F.col("back"), F.concat(F.array("node"), F.col("way"))).otherwise(F.col("way"))
+        steps = met.groupBy("back", "search", F.col("to").alias("node")).agg(F.min(way).alias("way"))
+        seen = self.levels().select("back", "search", "node")
+        steps = sized_join(steps, seen, ["back", "search", "node"], "left_anti", sum(self.counts))
+        self.counts.append(self.write(steps.select("back", "search", "node", "way"), f"levels/depth={self.depth + 1}")[1])
+        return self.counts[-1]
+
+    def meet(self) -> bool:
+        """Find the pairs whose newest levels share a vertex; whether there are any."""
+        depth = self.depth
+        levels = self.levels().where(F.col("depth").between(max(0, depth - 1), depth))
+        ahead = levels.where(~F.col("back") & (F.col("depth") == depth)).select(F.col("search").alias("src"), "node")
+        behind = levels.where("back").select(F.col("search").alias("dst"), "node", "way", F.col("depth").alias("behind"))
+        if self.max_hops is not None:
+            behind = behind.where(F.col("behind") + depth <= self.max_hops)
         ahead = sized_join(ahead, self.open, ["src"], "inner", self.n_open)
-        points = sized_join(ahead, behind, ["dst", "node"], "inner", self.back.counts[-1])
+        points = sized_join(ahead, behind, ["dst", "node"], "inner", sum(self.counts[-2:]))
+        # A pair that meets the level before is one hop nearer.
+        nearest = F.min("behind").over(Window.partitionBy("src", "dst"))
+        points = points.withColumn("nearest", nearest).where("behind = nearest")
         points, n = self.write(points.select("src", "dst", "node", "way"), f"met-{depth}")
-        left = self.open
         if n:
-            self.met.setdefault(self.forward.depth, []).append((points, n))
-            left = sized_join(left, points.select("src", "dst").distinct(), ["src", "dst"], "left_anti", n)
-        for end, side in (("src", self.forward), ("dst", self.back)):
-            alive = side.last.select(F.col("search").alias(end)).distinct()
-            left = sized_join(left, alive, [end], "left_semi", side.counts[-1])
-        self.open, self.n_open = self.write(left, f"open-{depth}")
+            self.met[depth] = points
+            found = points.select("src", "dst").distinct()
+            left = sized_join(self.open, found, ["src", "dst"], "left_anti", n)
+            self.open, self.n_open = self.write(left, f"open-{depth}")
+        return bool(n)
 
     def found(self) -> tuple[DataFrame, int]:
         """``src, dst, path`` of every pair that was found."""
         on_way, n = None, 0
         for depth in range(max(self.met, default=0), -1, -1):
-            here = [points for points, _ in self.met.get(depth, [])]
+            rows = self.met.get(depth)
             if on_way is not None:
                 # One step back, to vertices of the level before; the smallest next vertex comes first.
-                edges = self.edges.select("src", F.col("dst").alias("node"))
-                back = sized_join(edges.withColumnRenamed("src", "before"), on_way, ["node"], "inner", n)
-                level = self.forward.levels[depth].select(F.col("search").alias("src"), F.col("node").alias("before"))
-                back = sized_join(back, level, ["src", "before"], "left_semi", self.forward.counts[depth])
+                steps = self.edges.where("back").select("node", F.col("to").alias("before"))
+                back = sized_join(steps, on_way, ["node"], "inner", n)
+                level = self.level(depth).where("NOT back")
+                level = level.select(F.col("search").alias("src"), F.col("node").alias("before"))
+                back = sized_join(back, level, ["src", "before"], "left_semi", self.counts[depth])
                 way = F.min(F.concat(F.array("node"), F.col("way"))).alias("way")
-                here.append(back.groupBy("src", "dst", F.col("before").alias("node")).agg(way))
-            if not here:
-                continue
-            rows = here[0]
-            for other in here[1:]:
-                rows = rows.unionByName(other)
-            on_way, n = self.write(rows, f"on-way-{depth}")
+                back = back.groupBy("src", "dst", F.col("before").alias("node")).agg(way)
+                rows = back if rows is None else rows.unionByName(back)
+            if rows is not None:
+                on_way, n = self.write(rows, f"on-way-{depth}")
         if on_way is None:
             return self.spark.createDataFrame([], "src bigint, dst bigint, path array<bigint>"), 0
         return on_way.select("src", "dst", F.concat(F.array("node"), F.col("way")).alias("path")), n
@@ -151,7 +152,8 @@ def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int | None = None)
     search = _Search(graph, pairs, max_hops)
     search.run()
     found, n = search.found()
-    joined = sized_join(pairs, found, ["src", "dst"], "left", n * (len(search.forward.levels) + len(search.back.levels)))
+    # A path counts as many rows as it may have vertices.
+    joined = sized_join(pairs, found, ["src", "dst"], "left", n * 2 * len(search.counts))
     return joined.select("pair_id", "src", "dst", (F.size("path") - 1).alias("hops"), "path")
 
 

@@ -201,7 +201,8 @@ REQUESTS = """
            CASE WHEN c_mktsegment = 'MACHINERY' THEN c_custkey - 2 * c_nationkey
                 ELSE c_custkey + 4 * c_nationkey END AS dst
     FROM customer"""
-# Forward from every start: the smallest path to each vertex on each level, grown along first visits only.
+# Forward from every start: first visits, of which those on a shortest path to a wanted end are kept, and the smallest
+# path to each of them.
 PATHS = f"""
     WITH RECURSIVE
     v AS MATERIALIZED (SELECT id FROM ({CONNECTED})),
@@ -211,15 +212,22 @@ PATHS = f"""
     reach(start, node, hops) USING KEY (start, node) AS (
       SELECT DISTINCT src, src, 0 FROM req WHERE src IN (SELECT id FROM v)
       UNION
-      SELECT DISTINCT r.start, e.dst, r.hops + 1 FROM reach r JOIN e ON e.src = r.node
-      WHERE NOT EXISTS (SELECT 1 FROM recurring.reach o WHERE o.start = r.start AND o.node = e.dst)),
+      SELECT n.start, n.dst, n.hops FROM (
+        SELECT DISTINCT r.start, e.dst, r.hops + 1 AS hops FROM reach r JOIN e ON e.src = r.node) n
+      ANTI JOIN recurring.reach o ON o.start = n.start AND o.node = n.dst),
     first AS MATERIALIZED (SELECT start, node, hops FROM reach),
+    need(start, node, hops) AS (
+      SELECT DISTINCT f.start, f.node, f.hops FROM req JOIN first f ON f.start = req.src AND f.node = req.dst
+      UNION
+      SELECT f.start, f.node, f.hops FROM need n JOIN e ON e.dst = n.node
+        JOIN first f ON f.start = n.start AND f.node = e.src AND f.hops = n.hops - 1),
+    kept AS MATERIALIZED (SELECT * FROM need),
     grown(start, node, hops, path) AS (
-      SELECT start, node, 0, [node] FROM first WHERE hops = 0
+      SELECT start, node, 0, [node] FROM kept WHERE hops = 0
       UNION ALL
       SELECT g.start, e.dst, g.hops + 1, min(list_append(g.path, e.dst))
       FROM grown g JOIN e ON e.src = g.node
-        JOIN first f ON f.start = g.start AND f.node = e.dst AND f.hops = g.hops + 1
+        JOIN kept f ON f.start = g.start AND f.node = e.dst AND f.hops = g.hops + 1
       GROUP BY g.start, e.dst, g.hops)
     SELECT req.pair_id, req.src, req.dst, CAST(g.hops AS INTEGER) AS hops,
            array_to_string(g.path, ' -> ') AS path
