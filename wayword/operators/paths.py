@@ -10,7 +10,7 @@ smallest by its vertices from the start on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
 from .graph import Graph, endpoints
@@ -28,6 +28,11 @@ def _inner_edges(graph: Graph) -> DataFrame:
     return edges
 
 
+def shortest(way: Column) -> Column:
+    """The shortest way of a group, and of these the smallest, in ``best.way``."""
+    return F.min(F.struct(F.size(way), way.alias("way"))).alias("best")
+
+
 class _Search:
     """The search for all requests; every step is a table in the shared folder.
 
@@ -75,7 +80,7 @@ class _Search:
             F.struct(F.lit(False).alias("back"), F.col("src").alias("search")),
             F.struct(F.lit(True).alias("back"), F.col("dst").alias("search")),
         )
-        return self.open.select(F.inline(ends)).distinct()
+        return self.open.select(F.inline(ends))
 
     def run(self) -> None:
         changed = True
@@ -109,14 +114,10 @@ class _Search:
             behind = behind.where(F.col("behind") + depth <= self.max_hops)
         ahead = sized_join(ahead, self.open, ["src"], "inner", self.n_open)
         points = sized_join(ahead, behind, ["dst", "node"], "inner", sum(self.counts[-2:]))
-        # A pair that meets the level before is one hop nearer.
-        nearest = F.min("behind").over(Window.partitionBy("src", "dst"))
-        points = points.withColumn("nearest", nearest).where("behind = nearest")
         points, n = self.write(points.select("src", "dst", "node", "way"), f"met-{depth}")
         if n:
             self.met[depth] = points
-            found = points.select("src", "dst").distinct()
-            left = sized_join(self.open, found, ["src", "dst"], "left_anti", n)
+            left = sized_join(self.open, points.select("src", "dst"), ["src", "dst"], "left_anti", n)
             self.open, self.n_open = self.write(left, f"open-{depth}")
         return bool(n)
 
@@ -126,20 +127,24 @@ class _Search:
         for depth in range(max(self.met, default=0), -1, -1):
             rows = self.met.get(depth)
             if on_way is not None:
-                # One step back, to vertices of the level before; the smallest next vertex comes first.
+                # One step back, to vertices of the level before. A pair that also met one level before the end is nearer
+                # there, so the shortest way counts, and of these the smallest.
                 steps = self.edges.where("back").select("node", F.col("to").alias("before"))
                 back = sized_join(steps, on_way, ["node"], "inner", n)
                 level = self.level(depth).where("NOT back")
                 level = level.select(F.col("search").alias("src"), F.col("node").alias("before"))
                 back = sized_join(back, level, ["src", "before"], "left_semi", self.counts[depth])
-                way = F.min(F.concat(F.array("node"), F.col("way"))).alias("way")
-                back = back.groupBy("src", "dst", F.col("before").alias("node")).agg(way)
+                way = F.concat(F.array("node"), F.col("way"))
+                back = back.groupBy("src", "dst", F.col("before").alias("node")).agg(shortest(way))
+                back = back.select("src", "dst", "node", "best.way")
                 rows = back if rows is None else rows.unionByName(back)
             if rows is not None:
                 on_way, n = self.write(rows, f"on-way-{depth}")
         if on_way is None:
             return self.spark.createDataFrame([], "src bigint, dst bigint, path array<bigint>"), 0
-        return on_way.select("src", "dst", F.concat(F.array("node"), F.col("way")).alias("path")), n
+        # A pair may meet in its start at several levels.
+        whole = on_way.groupBy("src", "dst").agg(shortest(F.concat(F.array("node"), F.col("way"))))
+        return whole.select("src", "dst", F.col("best.way").alias("path")), n
 
 
 def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int | None = None) -> DataFrame:

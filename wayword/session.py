@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "wayword", **conf: str) -> SparkSession:
@@ -56,6 +56,7 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
 
 
 def materialise_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """``materialise``, with the number of rows as the written files state it."""
-    table = materialise(df, path)
-    return table, table.count()
+    """``materialise``, with the number of rows, which are counted while they are written."""
+    seen = Observation()
+    table = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return table, seen.get["rows"]
