@@ -252,8 +252,8 @@ def test_simhashes_are_majorities_of_chosen_words(spark):
         for k, sim in enumerate(r["sims"]):
             mark = -(1 << 63) + (k << 64) // lines.ORDERS
             begun = [h for h in circle if h >= mark] + [h for h in circle if h < mark]
-            some = begun[: lines.SAMPLED]
-            assert sim == sum(1 << b for b in range(60) if 2 * sum(h >> b & 1 for h in some) > len(some))
+            some = begun[:5] if len(begun) >= 5 else (begun * 5)[:5]
+            assert sim == sum(1 << b for b in range(60) if sum(h >> b & 1 for h in some) >= 3)
 
 
 def test_blocks_meet_by_pigeonhole(spark):
@@ -268,5 +268,5 @@ def test_blocks_meet_by_pigeonhole(spark):
             others[order] ^= 1 << bit
         rows.append((sims, others))
     df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
-    keys = [F.transform(lines.block_keys(F.col(c)), lambda x: x["key"]) for c in "ab"]
+    keys = [lines.block_keys(F.col(c)) for c in "ab"]
     assert df.where(F.arrays_overlap(*keys)).count() == len(rows)

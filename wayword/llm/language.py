@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .arrow import with_columns_of_texts
+from .components import by_count
 
 # The bound of the sample that is learnt from: so many texts of each language.
 PER_LANGUAGE = 500
@@ -74,7 +75,7 @@ def sample(df: DataFrame, text_col: str, lang_col: str, key_col: str, per_langua
     sizes = rows.groupBy("lang").count()
     # Twice the share that is needed passes the first filter, so the ranking sees few rows of a frequent language.
     share = F.least(F.lit(1.0), F.lit(2.0 * per_language + 20) / F.col("count"))
-    few = rows.join(F.broadcast(sizes), "lang").where(F.pmod("turn", F.lit(1_000_003)) < share * 1_000_003)
+    few = rows.join(by_count(sizes, sizes.count()), "lang").where(F.pmod("turn", F.lit(1_000_003)) < share * 1_000_003)
     order = Window.partitionBy("lang").orderBy("turn", F.xxhash64("text"))
     return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("lang", "text")
 

@@ -2,14 +2,14 @@
 
 1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``MIN_WORDS``
    words are left alone: they repeat by chance.
-2. Every line gets ``ORDERS`` SimHashes of 60 bits. Each is made of ``SAMPLED`` of the line's distinct words, those that
-   come first in an order of its own (the circle of word hashes, begun at another place), so a changed word leaves alone
-   all SimHashes that it is not part of, in long lines most. The hash of each chosen word votes for every bit; votes are
-   counted in lanes, several bits in one number. Lines are hashed where they are read; no text is moved.
+2. Every line gets ``ORDERS`` SimHashes of 60 bits. Each is made of five of the line's distinct words, those that come
+   first in an order of its own (the circle of word hashes, begun at another mark), so a changed word leaves alone all
+   SimHashes that it is not part of, in long lines most. A bit is what most of the five hashes have there. Lines are
+   hashed where they are read; no text is moved.
 3. The bits of a SimHash are cut into ``BLOCKS`` blocks. Two SimHashes that differ in fewer bits than there are blocks
    agree on a whole block, so distinct lines are joined on each block (pigeonhole).
-4. Lines that meet, and differ in at most ``BITS`` bits of that SimHash, are verified: the edit similarity of all their
-   words must reach ``SIMILARITY`` (one minus the edit distance, as a share of the longer line).
+4. Lines that meet, and differ in at most ``BITS`` bits of all their SimHashes, are verified: the edit similarity of all
+   their words must reach ``SIMILARITY`` (one minus the edit distance, as a share of the longer line).
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
 Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
@@ -30,14 +30,12 @@ from .components import by_count, connected
 MIN_WORDS = 5
 SIMILARITY = 0.8
 ORDERS = 4
-SAMPLED = 5
 BLOCKS = 2
-BITS = 8
+BITS = 60
 HUBS = 2
 
-# Bits of a SimHash, and of the lane in which the votes for a bit are counted.
+# Bits of a SimHash.
 SIM_BITS = 60
-LANE = 4
 
 BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
@@ -62,37 +60,32 @@ def coded(words: Column) -> Column:
     return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
 
 
-def majority(hashes: Column) -> Column:
-    """The bits that more than half of the hashes have; a lane must be able to hold their number twice."""
-    lanes = sum(1 << at for at in range(0, SIM_BITS, LANE))
-    # Added to a lane, this carries into its highest bit exactly if the lane is above half.
-    carry = (F.lit((1 << (LANE - 1)) - 1) - F.floor(F.size(hashes) / 2)) * F.lit(lanes)
-
-    def count(i: int):
-        return lambda total, h: total + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(lanes))
-
-    sim = F.lit(0).cast("long")
-    for i in range(LANE):
-        votes = F.aggregate(hashes, F.lit(0).cast("long"), count(i))
-        above = F.shiftrightunsigned(votes + carry, LANE - 1).bitwiseAND(F.lit(lanes))
-        sim = sim.bitwiseOR(F.shiftleft(above, i))
-    return sim
+def majority(five: Column) -> Column:
+    """Of every bit what at least three of five hashes have, by adding up all bits at once."""
+    a, b, c, d, e = (five[k] for k in range(5))
+    three = a.bitwiseXOR(b).bitwiseXOR(c)
+    carry = a.bitwiseAND(b).bitwiseOR(c.bitwiseAND(a.bitwiseXOR(b)))
+    ones = three.bitwiseXOR(d).bitwiseXOR(e)
+    carry2 = three.bitwiseAND(d).bitwiseOR(e.bitwiseAND(three.bitwiseXOR(d)))
+    most = carry.bitwiseAND(carry2).bitwiseOR(carry.bitwiseXOR(carry2).bitwiseAND(ones))
+    return most.bitwiseAND(F.lit((1 << SIM_BITS) - 1))
 
 
 def chosen_words(hashes: Column) -> Column:
-    """For every order the hashes of its first words: the circle of hashes is begun at evenly spaced marks."""
+    """For every order the hashes of its first five words: the circle of hashes is begun at evenly spaced marks.
+
+    Of fewer than five words the circle is gone round again.
+    """
     marks = [F.lit(-(1 << 63) + (k << 64) // ORDERS).cast("long") for k in range(1, ORDERS)]
     marked = F.sort_array(F.array_union(hashes, F.array(*marks)))
 
     def windows(circle: Column) -> Column:
         twice = F.concat(circle, circle)
         starts = [F.lit(1), *(F.array_position(circle, mark).cast("int") for mark in marks)]
-        return F.array(*[
-            F.slice(F.array_except(F.slice(twice, start, SAMPLED + ORDERS), F.array(*marks)), 1, SAMPLED)
-            for start in starts
-        ])
+        return F.array(*[F.array_except(F.slice(twice, start, 4 + ORDERS), F.array(*marks)) for start in starts])
 
-    return F.transform(F.array(marked), windows)[0]
+    around = F.transform(F.array(marked), windows)[0]
+    return F.transform(around, lambda w: F.when(F.size(w) >= 5, w).otherwise(F.concat(w, w, w, w, w)))
 
 
 def simhashes(words: Column) -> Column:
@@ -115,19 +108,23 @@ def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) ->
 
 
 def block_keys(sims: Column) -> Column:
-    """``key, sim`` for every block of every SimHash; the key is made of the block's number and bits."""
+    """A number for every block of every SimHash, made of the block's place and bits."""
     edges = [round(SIM_BITS * b / BLOCKS) for b in range(BLOCKS + 1)]
     keys = []
     for order in range(ORDERS):
         for block, (low, high) in enumerate(zip(edges, edges[1:])):
             bits = F.shiftrightunsigned(sims[order], low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-            key = F.xxhash64(F.lit(order * BLOCKS + block), bits)
-            keys.append(F.struct(key.alias("key"), sims[order].alias("sim")))
+            keys.append(F.xxhash64(F.lit(order * BLOCKS + block), bits))
     return F.array(*keys)
 
 
 def far(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+    """In how many bits all SimHashes of two lines differ."""
+    bits = [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(ORDERS)]
+    total = bits[0]
+    for other in bits[1:]:
+        total = total + other
+    return total
 
 
 class Lines:
@@ -150,19 +147,29 @@ class Lines:
     def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
         return materialise_counted(df, f"{self.folder}/{name}")
 
-    def buckets(self) -> DataFrame:
-        """``key, id, n_words, sim, size`` of all buckets with several lines."""
-        keys = F.inline(block_keys(F.col("sims")))
-        shared = self.lines.select(keys).groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        shared, n = self.counted(shared, "shared")
-        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", keys)
-        return self.write(keyed.join(by_count(shared, n), "key"), "buckets")
+    def buckets(self) -> tuple[DataFrame, int]:
+        """``key, id, size, hubs`` of all buckets with several lines.
+
+        The rows are dealt out by key once; their groups, and the join of rows and groups, use the same exchange.
+        """
+        spark = self.df.sparkSession
+        keys = F.explode(block_keys(F.col("sims"))).alias("key")
+        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), keys)
+        keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+        hubs = [F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("turn"), "id")).alias(f"hub{turn}") for turn in range(HUBS)]
+        shared = keyed.groupBy("key").agg(F.count("*").alias("size"), *hubs).where("size > 1")
+        shared = shared.select("key", "size", F.array(*[F.col(f"hub{turn}.id") for turn in range(HUBS)]).alias("hubs"))
+        return self.counted(keyed.join(shared, "key").select("key", "id", "size", "hubs"), "buckets")
 
     def may_match(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that differ in few bits and whose lengths allow the similarity."""
+        """Pairs ``a, b`` that differ in few bits and whose lengths allow the similarity."""
+        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "sims")
+        both = pairs.select("a", "b").distinct().join(known.withColumnRenamed("id", "a"), "a")
+        other = known.select(F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("sims").alias("sims2"))
+        both = both.join(other, "b")
         longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
-        pairs = pairs.where((far("sim", "sim2") <= BITS) & (shorter >= longer * F.lit(self.similarity)))
-        return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+        both = both.where((far("sims", "sims2") <= BITS) & (shorter >= longer * F.lit(self.similarity)))
+        return both.select("a", "b")
 
     def coded_lines(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
         """``id, line`` of every line of the pairs. Only the documents that hold one are read again."""
@@ -201,40 +208,32 @@ class Lines:
 
     def groups(self) -> tuple[DataFrame, int]:
         """``id, root`` of all lines that are connected to another."""
-        buckets = self.buckets()
-        hubs = [
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("turn"), "id", "n_words", "sim")).alias(f"hub{turn}")
-            for turn in range(HUBS)
-        ]
-        hubs = buckets.groupBy("key").agg(*hubs)
-        hubs, n_hubs = self.counted(
-            hubs.select("key", F.array(*[F.col(f"hub{turn}") for turn in range(HUBS)]).alias("hubs")), "hubs"
-        )
-        near = buckets.join(by_count(hubs, n_hubs * 2 * HUBS), "key")
-        near = near.select("id", "n_words", "sim", F.explode("hubs").alias("hub"))
-        near = near.select(
-            "id", "n_words", "sim", F.col("hub.id").alias("id2"), F.col("hub.n_words").alias("n_words2"),
-            F.col("hub.sim").alias("sim2"),
-        ).where("id <> id2")
+        buckets, _ = self.buckets()
+        near = buckets.select(F.col("id").alias("a"), F.explode("hubs").alias("b")).where("a <> b")
         pairs, n_pairs = self.counted(self.may_match(near), "pairs-hubs")
         edges = self.verified(pairs, n_pairs, "hubs")
         roots, n_roots = self.counted(connected(edges, "a", "b"), "roots-hubs")
 
         # A bucket of two has met; of a larger one, what is not in the group of the first hub meets all others.
-        members = buckets.where("size > 2").join(by_count(roots, n_roots), "id", "left")
+        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "sims")
+        members = buckets.where("size > 2").select("key", "id").join(by_count(roots, n_roots), "id", "left")
         members = self.write(members.withColumn("root", F.coalesce("root", "id")), "members")
         first = members.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min(F.struct(F.xxhash64("id", F.lit(0)), "root")).alias("hub"),
         )
         first, n_first = self.counted(first.where("low <> high").select("key", F.col("hub.root").alias("hub")), "apart")
-        open_members = members.join(by_count(first, n_first), "key")
+        open_members = self.write(members.join(by_count(first, n_first), "key").join(known, "id"), "open-members")
         others = open_members.select(
-            "key", F.col("id").alias("id2"), F.col("n_words").alias("n_words2"), F.col("sim").alias("sim2"),
+            "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("sims").alias("sims2"),
             F.col("root").alias("root2"),
         )
-        rest = open_members.where("root <> hub").join(others, "key").where("root <> root2")
-        rest = self.may_match(rest).join(pairs, ["a", "b"], "left_anti")
+        longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
+        rest = open_members.where("root <> hub").join(others, "key").where(
+            (F.col("root") != F.col("root2")) & (far("sims", "sims2") <= BITS)
+            & (shorter >= longer * F.lit(self.similarity))
+        )
+        rest = rest.select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
         rest, n_rest = self.counted(rest, "pairs-rest")
         if not n_rest:
             return roots, n_roots

@@ -56,7 +56,10 @@ def found(text: Column, kind: str) -> Column:
         ),
     )
     rows = F.filter(rows, lambda x: x["match"].isNotNull())
-    hint = F.contains(text, F.lit(HINTS[kind])) if kind in HINTS else F.rlike(text, F.lit(r"[0-9]" if kind in FORMS else r"[0-9@]"))
+    if kind in HINTS:
+        hint = F.contains(text, F.lit(HINTS[kind]))
+    else:
+        hint = F.rlike(text, F.lit("[0-9]" if kind in FORMS else "[0-9@]"))
     return F.when(hint, rows)
 
 

@@ -7,9 +7,9 @@ to ``TOPICS`` numbers. The cosine of every text with every labelled text is comp
 most similar ones (and all that tie with the last of them) vote with their label, weighted by a power of the cosine.
 
 It is learnt from at most ``SAMPLE`` labelled texts (by the order of a hash of the key), which bounds what is
-broadcast; every text is scored whole. Null and empty texts, and texts that resemble no labelled text, get the mean label. If nothing
-is labelled, all scores are 0.5. Of several labels of one text their mean counts. Repeated rows are scored like others;
-no other column than those named is read.
+broadcast; every text is scored whole. Null and empty texts, and texts that resemble no labelled text, get the mean
+label. If nothing is labelled, all scores are 0.5. Of several labels of one text their mean counts. Repeated rows are
+scored like others; no other column than those named is read.
 """
 
 from __future__ import annotations
