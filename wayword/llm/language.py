@@ -45,7 +45,8 @@ def words(text: str | None) -> list[str]:
 
 
 def grams(word: str, length: int) -> list[str]:
-    padded = f" {word} "
+    # A single character is one of the word itself; a blank would be known everywhere.
+    padded = f" {word} " if length > 1 else word
     return [padded[i : i + length] for i in range(len(padded) - length + 1)]
 
 
