@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from .arrow import groups, with_columns_of_texts
 
 # The bound of the sample that is learnt from.
-SAMPLE = 3000
+SAMPLE = 2000
 
 TERMS = 4096
 REPEATS = 3
@@ -53,7 +53,7 @@ def repetition(text: str) -> list[float]:
 
 def term_counts(text: str | None) -> np.ndarray:
     """How often each hashed byte trigram occurs, and the shares of what repeats."""
-    return np.concatenate([trigram_counts(text), repetition(text or "")])
+    return np.concatenate([trigram_counts(text), repetition(text or "")]).astype(np.float32)
 
 
 def trigram_counts(text: str | None) -> np.ndarray:
@@ -95,21 +95,25 @@ class Model:
 
 
 def weights(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    rows = np.log1p(counts) * rarity
+    rows = np.log1p(counts)
+    rows[:, :TERMS] *= rarity[:TERMS]
     # Nearly every text repeats some word, so its rarity says nothing.
-    rows[:, TERMS:] = np.log1p(counts[:, TERMS:]) * REPEAT_WEIGHT
+    rows[:, TERMS:] *= REPEAT_WEIGHT
     return unit(rows)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
-    length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
+    """The rows at length 1, in place; empty ones stay empty."""
+    length = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    rows /= np.where(length > 0, length, 1)[:, None].astype(rows.dtype)
+    return rows
 
 
 def main_axes(rows: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` main right singular vectors, by a few rounds of subspace iteration."""
     n = min(n, *rows.shape)
     found = np.random.default_rng(SEED).standard_normal((rows.shape[1], n + min(16, rows.shape[1] - n)))
+    found = found.astype(rows.dtype)
     for _ in range(4):
         found, _ = np.linalg.qr(rows.T @ (rows @ found))
     _, _, turn = np.linalg.svd(rows @ found, full_matrices=False)
@@ -134,12 +138,12 @@ def learn(documents: DataFrame, labels: DataFrame, text_col: str = "text", key_c
     # A key may stand for several rows; the limit holds for rows too.
     counted = rows.mapInArrow(count, "label double, counts binary, turn bigint")
     counted = counted.orderBy("turn", F.xxhash64("counts")).limit(sample).toArrow().to_pydict()
-    counts = np.frombuffer(b"".join(counted["counts"]), dtype="<f4").reshape(-1, TERMS + REPEATS).astype(np.float64)
-    known = (counts > 0).sum(axis=0)
-    rarity = np.log((1 + len(counts)) / (1 + known))
+    counts = np.frombuffer(b"".join(counted["counts"]), dtype="<f4").reshape(-1, TERMS + REPEATS)
+    known = np.count_nonzero(counts, axis=0)
+    rarity = np.log((1 + len(counts)) / (1 + known)).astype(np.float32)
     given = np.array(counted["label"], dtype=np.float64)
     if not len(given):
-        return Model(rarity, np.zeros((TERMS + REPEATS, 1)), np.zeros((0, 1)), given)
+        return Model(rarity, np.zeros((TERMS + REPEATS, 1), dtype=np.float32), np.zeros((0, 1)), given)
     rows_of = weights(counts, rarity)
     axes = main_axes(rows_of, TOPICS)
     return Model(rarity, axes, unit(rows_of @ axes), given)
