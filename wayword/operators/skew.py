@@ -54,7 +54,7 @@ def row_salt(df: DataFrame, salts: Column) -> Column:
     A task that is run again after a lost executor sends each row to the same place, and copies of one row
     from several partitions are spread as well.
     """
-    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), salts).cast("int")
+    return F.pmod(F.pmod(F.xxhash64(*df.columns), salts) + F.spark_partition_id(), salts).cast("int")
 
 
 def replicate(df: DataFrame, salts: Column) -> DataFrame:
