@@ -95,7 +95,8 @@ class Model:
 
 
 def weights(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    rows = np.log1p(counts)
+    """Weights of the terms, in the place of their counts."""
+    rows = np.log1p(counts, out=counts)
     rows[:, :TERMS] *= rarity[:TERMS]
     # Nearly every text repeats some word, so its rarity says nothing.
     rows[:, TERMS:] *= REPEAT_WEIGHT
@@ -132,16 +133,21 @@ def learn(documents: DataFrame, labels: DataFrame, text_col: str = "text", key_c
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for label, text, turn in zip(*(batch.column(c).to_pylist() for c in ("label", "text", "turn"))):
-                counts = term_counts(text).astype("<f4").tobytes()
+                # Half precision is enough for logarithms, and halves what the driver gets.
+                counts = np.minimum(term_counts(text), 60_000).astype("<f2").tobytes()
                 yield pa.RecordBatch.from_pydict({"label": [label], "counts": [counts], "turn": [turn]})
 
     # A key may stand for several rows; the limit holds for rows too.
     counted = rows.mapInArrow(count, "label double, counts binary, turn bigint")
-    counted = counted.orderBy("turn", F.xxhash64("counts")).limit(sample).toArrow().to_pydict()
-    counts = np.frombuffer(b"".join(counted["counts"]), dtype="<f4").reshape(-1, TERMS + REPEATS)
+    counted = counted.orderBy("turn", F.xxhash64("counts")).limit(sample).select("label", "counts").toArrow()
+    given = np.array(counted["label"].to_pylist(), dtype=np.float64)
+    # One row after the other goes into the matrix, and the collected table is let go: the driver holds little else.
+    counts = np.empty((len(given), TERMS + REPEATS), dtype=np.float32)
+    for row, data in enumerate(counted["counts"]):
+        counts[row] = np.frombuffer(data.as_buffer(), dtype="<f2")
+    del counted
     known = np.count_nonzero(counts, axis=0)
     rarity = np.log((1 + len(counts)) / (1 + known)).astype(np.float32)
-    given = np.array(counted["label"], dtype=np.float64)
     if not len(given):
         return Model(rarity, np.zeros((TERMS + REPEATS, 1), dtype=np.float32), np.zeros((0, 1)), given)
     rows_of = weights(counts, rarity)
