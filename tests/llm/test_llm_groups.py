@@ -270,3 +270,37 @@ def test_blocks_meet_by_pigeonhole(spark):
     df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
     keys = [lines.block_keys(F.col(c)) for c in "ab"]
     assert df.where(F.arrays_overlap(*keys)).count() == len(rows)
+
+
+def met_by_length(spark, cases):
+    """The share of pairs with replaced words that meet, by words and replaced words."""
+    rnd = random.Random(12)
+    fresh = lambda: f"r{rnd.getrandbits(60)}"
+    rows = []
+    for n, d in cases:
+        for _ in range(300):
+            a = [fresh() for _ in range(n)]
+            b = list(a)
+            for i in rnd.sample(range(n), d):
+                b[i] = fresh()
+            rows.append((n, d, a, b))
+    df = spark.createDataFrame(rows, "n int, d int, a array<string>, b array<string>")
+    keys = [lines.keys_of(lines.hashes_of(F.col(c)), F.size(c)) for c in "ab"]
+    met = df.select("n", "d", F.arrays_overlap(*keys).cast("int").alias("met")).groupBy("n", "d").agg(F.avg("met"))
+    return {(r[0], r[1]): r[2] for r in met.collect()}
+
+
+def test_near_lines_meet_at_every_length(spark):
+    exact = [(5, 1), (6, 1), (8, 1), (10, 1), (10, 2), (14, 2)]
+    sampled = [(15, 3), (20, 2), (20, 4), (40, 4), (40, 8), (100, 10), (100, 20)]
+    met = met_by_length(spark, exact + sampled)
+    print(met)
+    assert all(met[case] == 1 for case in exact)
+    assert all(met[case] >= 0.9 for case in sampled), met
+
+
+def test_lines_that_differ_in_an_inserted_word(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a x b c d e f g h"), (3, "a x b c d e f y g h"), (4, "k l m n o"), (5, "k l z n o")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in lines.near_line_dedup(df).collect()}
+    assert got == {1: None, 2: [0], 3: [0], 4: None, 5: [0]}

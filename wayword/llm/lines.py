@@ -1,15 +1,16 @@
 """Removal of lines that nearly repeat another line, without Python in the tasks.
 
-1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``MIN_WORDS``
-   words are left alone: they repeat by chance.
-2. Every line gets ``ORDERS`` SimHashes of 60 bits. Each is made of five of the line's distinct words, those that come
-   first in an order of its own (the circle of word hashes, begun at another mark), so a changed word leaves alone all
-   SimHashes that it is not part of, in long lines most. A bit is what most of the five hashes have there. Lines are
-   hashed where they are read; no text is moved.
-3. The bits of a SimHash are cut into ``BLOCKS`` blocks. Two SimHashes that differ in fewer bits than there are blocks
-   agree on a whole block, so distinct lines are joined on each block (pigeonhole).
-4. Lines that meet, and differ in at most ``BITS`` bits of all their SimHashes, are verified: the edit similarity of all
-   their words must reach ``SIMILARITY`` (one minus the edit distance, as a share of the longer line).
+1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``min_words`` words are left alone; equal lines of any
+   other length meet by their hashes.
+2. Lines of fewer than ``FEW_WORDS`` words meet for certain: of such lines at most two words may differ, so each is looked
+   up with none, one or two of its words left out, whatever their order. Lines of fewer than 5 words allow no edit.
+3. Lines of ``LONG_WORDS`` words or more get samples: ``ORDERS`` SimHashes of 60 bits, each made of five of the line's
+   distinct words, those that come first in an order of its own (the circle of word hashes, begun at another mark); their
+   bits are cut into ``BLOCKS`` blocks, and SimHashes that differ in fewer bits than there are blocks agree on one
+   (pigeonhole). Then ``ORDERS`` times ``SAMPLE`` words in the order of the hashes turned by each of ``TURNS`` bits. Lines
+   are hashed where they are read; no text is moved.
+4. Lines that meet are verified: the edit similarity of all their words must reach ``SIMILARITY`` (one minus the edit
+   distance, as a share of the longer line). Before, pairs go whose lengths or parities of words exclude it.
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
 Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
@@ -31,9 +32,17 @@ MIN_WORDS = 5
 SIMILARITY = 0.8
 ORDERS = 4
 BLOCKS = 2
-BITS = 60
 HUBS = 2
 
+# Lines of fewer words are looked up with words left out; from so many words on lines have samples. A line of
+# ``FEW_WORDS`` words is similar to one of ``LONG_WORDS`` words at the least.
+FEW_WORDS = 15
+LONG_WORDS = 12
+
+# Further samples: words in each, and the bits by which the hashes are turned.
+SAMPLE = 4
+TURNS = (16, 32, 48)
+
 # Bits of a SimHash.
 SIM_BITS = 60
 
@@ -71,10 +80,10 @@ def majority(five: Column) -> Column:
     return most.bitwiseAND(F.lit((1 << SIM_BITS) - 1))
 
 
-def chosen_words(hashes: Column) -> Column:
-    """For every order the hashes of its first five words: the circle of hashes is begun at evenly spaced marks.
+def chosen_words(hashes: Column, n: int = 5) -> Column:
+    """For every order the hashes of its first ``n`` words: the circle of hashes is begun at evenly spaced marks.
 
-    Of fewer than five words the circle is gone round again.
+    Of fewer words the circle is gone round again.
     """
     marks = [F.lit(-(1 << 63) + (k << 64) // ORDERS).cast("long") for k in range(1, ORDERS)]
     marked = F.sort_array(F.array_union(hashes, F.array(*marks)))
@@ -82,28 +91,88 @@ def chosen_words(hashes: Column) -> Column:
     def windows(circle: Column) -> Column:
         twice = F.concat(circle, circle)
         starts = [F.lit(1), *(F.array_position(circle, mark).cast("int") for mark in marks)]
-        return F.array(*[F.array_except(F.slice(twice, start, 4 + ORDERS), F.array(*marks)) for start in starts])
+        return F.array(*[F.array_except(F.slice(twice, start, n - 1 + ORDERS), F.array(*marks)) for start in starts])
 
     around = F.transform(F.array(marked), windows)[0]
-    return F.transform(around, lambda w: F.when(F.size(w) >= 5, w).otherwise(F.concat(w, w, w, w, w)))
+    return F.transform(around, lambda w: F.when(F.size(w) >= n, w).otherwise(F.concat(*[w] * n)))
+
+
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def simhashes(words: Column) -> Column:
     """One SimHash for every order."""
-    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return simhashes_of(F.array_distinct(hashes_of(words)))
+
+
+def simhashes_of(hashes: Column) -> Column:
     return F.transform(chosen_words(hashes), majority)
 
 
+def sample_keys(hashes: Column) -> Column:
+    """A number for every further sample of distinct words."""
+    keys = []
+    for turn in TURNS:
+        turned = F.transform(hashes, lambda h: F.shiftleft(h, turn).bitwiseOR(F.shiftrightunsigned(h, 64 - turn)))
+        some = F.transform(chosen_words(turned, SAMPLE), lambda w: F.slice(w, 1, SAMPLE))
+        keys.append(F.transform(some, lambda w, k: F.xxhash64(F.lit(turn), k, w)))
+    return F.concat(*keys)
+
+
+def deletion_keys(hashes: Column, n: Column) -> Column:
+    """A number for the bag of a line's words, and for it without one word, or without two if the edits may be two.
+
+    Lines with so few edits keep a bag of words in common that each has here.
+    """
+    # Sums of fourteen numbers of 55 bits do not overflow. What several steps use is bound first, as an array of one.
+    small = F.transform(hashes, lambda h: F.shiftrightunsigned(h, 9))
+    total = F.aggregate(small, F.lit(0).cast("long"), lambda a, h: a + h)
+    bags = F.transform(F.array(F.struct(small.alias("words"), total.alias("total"))), lambda bag: F.concat(
+        F.array(bag["total"]), F.transform(bag["words"], lambda h: bag["total"] - h)
+    ))
+    none = F.array().cast("array<bigint>")
+    without = F.transform(bags, lambda bag: F.concat(bag, F.when(n >= 10, F.flatten(F.transform(
+        F.slice(bag, 2, FEW_WORDS), lambda one, i: F.transform(F.slice(bag, i + 3, FEW_WORDS), lambda two: one + two - bag[0])
+    ))).otherwise(none)))[0]
+    return F.array_distinct(F.transform(without, lambda k: F.xxhash64(F.lit("bag"), k)))
+
+
+def keys_of(hashes: Column, n: Column) -> Column:
+    """The numbers by which a line meets others; none where no edit is allowed."""
+    none = F.array().cast("array<bigint>")
+    few = F.when(n.between(5, FEW_WORDS - 1), deletion_keys(hashes, n)).otherwise(none)
+    # One evaluation each for the distinct hashes and the SimHashes.
+    distinct = F.array(F.array_distinct(hashes))
+    blocks = F.transform(F.transform(distinct, simhashes_of), block_keys)[0]
+    samples = F.concat(blocks, F.transform(distinct, sample_keys)[0])
+    return F.concat(few, F.when(n >= LONG_WORDS, samples).otherwise(none))
+
+
+def parities(hashes: Column) -> Column:
+    """Two numbers whose bits say whether an odd number of words has it. An edit changes at most two bits of each."""
+
+    def one(low: int) -> Column:
+        bit = lambda h: F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, low).bitwiseAND(F.lit(63)).cast("int")
+        )
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h)))
+
+    return F.array(one(0), one(6))
+
+
 def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``doc, place, pos, h1, h2, n_words, sims`` for every line that is long enough. No shuffle."""
+    """``doc, place, pos, h1, h2, n_words, odd, keys`` for every line that is long enough. No shuffle."""
     rows = df.select(
         F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"),
-        F.transform(lines_of(F.col(text_col)), words_of).alias("lines"),
+        F.transform(lines_of(F.col(text_col)), lambda x: hashes_of(words_of(x))).alias("lines"),
     )
-    rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "words")).where(F.size("words") >= min_words)
+    rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "hashes"))
+    rows = rows.where(F.size("hashes") >= max(1, min_words))
     return rows.select(
-        "doc", "place", "pos", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
-        F.size("words").alias("n_words"), simhashes(F.col("words")).alias("sims"),
+        "doc", "place", "pos", F.xxhash64("hashes").alias("h1"), F.xxhash64(F.lit(1), "hashes").alias("h2"),
+        F.size("hashes").alias("n_words"), parities(F.col("hashes")).alias("odd"),
+        keys_of(F.col("hashes"), F.size("hashes")).alias("keys"),
     )
 
 
@@ -118,13 +187,12 @@ def block_keys(sims: Column) -> Column:
     return F.array(*keys)
 
 
-def far(a: str, b: str) -> Column:
-    """In how many bits all SimHashes of two lines differ."""
-    bits = [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(ORDERS)]
-    total = bits[0]
-    for other in bits[1:]:
-        total = total + other
-    return total
+def possible(similarity: float) -> Column:
+    """Whether the lengths and parities of two lines allow the similarity."""
+    longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
+    most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
+    bits = [F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("odd2")[k])) for k in range(2)]
+    return (longer - shorter <= most) & (F.greatest(*bits) <= 2 * most)
 
 
 class Lines:
@@ -135,10 +203,9 @@ class Lines:
         self.folder = scratch_path(df.sparkSession, "lines")
         self.rows = self.write(hashed_lines(df, key_col, text_col, min_words), "rows")
         lines = self.rows.groupBy("h1", "h2").agg(
-            F.count("*").alias("n"), F.min("n_words").alias("n_words"),
-            *[F.min(F.col("sims")[k]).alias(f"sim{k}") for k in range(ORDERS)],
+            F.count("*").alias("n"), F.first("n_words").alias("n_words"), F.first("odd").alias("odd"),
+            F.first("keys").alias("keys"),
         )
-        lines = lines.select("h1", "h2", "n", "n_words", F.array(*[f"sim{k}" for k in range(ORDERS)]).alias("sims"))
         self.lines = self.write(lines, "distinct")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -153,8 +220,7 @@ class Lines:
         The rows are dealt out by key once; their groups, and the join of rows and groups, use the same exchange.
         """
         spark = self.df.sparkSession
-        keys = F.explode(block_keys(F.col("sims"))).alias("key")
-        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), keys)
+        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), F.explode("keys").alias("key"))
         keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
         hubs = [F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("turn"), "id")).alias(f"hub{turn}") for turn in range(HUBS)]
         shared = keyed.groupBy("key").agg(F.count("*").alias("size"), *hubs).where("size > 1")
@@ -162,14 +228,11 @@ class Lines:
         return self.counted(keyed.join(shared, "key").select("key", "id", "size", "hubs"), "buckets")
 
     def may_match(self, pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` that differ in few bits and whose lengths allow the similarity."""
-        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "sims")
+        """Pairs ``a, b`` whose lengths and parities allow the similarity."""
+        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "odd")
         both = pairs.select("a", "b").distinct().join(known.withColumnRenamed("id", "a"), "a")
-        other = known.select(F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("sims").alias("sims2"))
-        both = both.join(other, "b")
-        longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
-        both = both.where((far("sims", "sims2") <= BITS) & (shorter >= longer * F.lit(self.similarity)))
-        return both.select("a", "b")
+        other = known.select(F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("odd").alias("odd2"))
+        return both.join(other, "b").where(possible(self.similarity)).select("a", "b")
 
     def coded_lines(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
         """``id, line`` of every line of the pairs. Only the documents that hold one are read again."""
@@ -215,7 +278,7 @@ class Lines:
         roots, n_roots = self.counted(connected(edges, "a", "b"), "roots-hubs")
 
         # A bucket of two has met; of a larger one, what is not in the group of the first hub meets all others.
-        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "sims")
+        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "odd")
         members = buckets.where("size > 2").select("key", "id").join(by_count(roots, n_roots), "id", "left")
         members = self.write(members.withColumn("root", F.coalesce("root", "id")), "members")
         first = members.groupBy("key").agg(
@@ -225,13 +288,11 @@ class Lines:
         first, n_first = self.counted(first.where("low <> high").select("key", F.col("hub.root").alias("hub")), "apart")
         open_members = self.write(members.join(by_count(first, n_first), "key").join(known, "id"), "open-members")
         others = open_members.select(
-            "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("sims").alias("sims2"),
+            "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("odd").alias("odd2"),
             F.col("root").alias("root2"),
         )
-        longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
         rest = open_members.where("root <> hub").join(others, "key").where(
-            (F.col("root") != F.col("root2")) & (far("sims", "sims2") <= BITS)
-            & (shorter >= longer * F.lit(self.similarity))
+            (F.col("root") != F.col("root2")) & possible(self.similarity)
         )
         rest = rest.select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
         rest, n_rest = self.counted(rest, "pairs-rest")
