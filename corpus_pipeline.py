@@ -26,7 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that nearly repeat another; a document that loses all its text goes."""
-    deduped = lines.near_line_dedup(docs)
+    deduped = lines.near_line_dedup(docs, min_words=1)
     emptied = F.col("removed").isNotNull() & ~F.rlike("text", F.lit(r"\S"))
     return with_char_count(deduped.where(~emptied).drop("removed"))
 

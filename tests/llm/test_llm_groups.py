@@ -299,6 +299,14 @@ def test_near_lines_meet_at_every_length(spark):
     assert all(met[case] >= 0.9 for case in sampled), met
 
 
+def test_short_lines_and_scripts_without_blanks(spark):
+    chinese = "今天天气很好我们去公园散步"
+    rows = [(1, "Les."), (2, " les. \nown"), (3, chinese), (4, chinese.replace("散", "跑")), (5, "完全不同的一句话在这里写着")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in lines.near_line_dedup(df, min_words=1).collect()}
+    assert got == {1: None, 2: [0], 3: None, 4: [0], 5: None}
+
+
 def test_lines_that_differ_in_an_inserted_word(spark):
     rows = [(1, "a b c d e f g h"), (2, "a x b c d e f g h"), (3, "a x b c d e f y g h"), (4, "k l m n o"), (5, "k l z n o")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

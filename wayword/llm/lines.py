@@ -1,6 +1,7 @@
 """Removal of lines that nearly repeat another line, without Python in the tasks.
 
-1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns). Lines of fewer than ``min_words`` words are left alone; equal lines of any
+1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns; a character of a script
+   that is written without blanks is a word). Lines of fewer than ``min_words`` words are left alone; equal lines of any
    other length meet by their hashes.
 2. Lines of fewer than ``FEW_WORDS`` words meet for certain: of such lines at most two words may differ, so each is looked
    up with none, one or two of its words left out, whatever their order. Lines of fewer than 5 words allow no edit.
@@ -50,8 +51,16 @@ BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
 
 
+# A character of a script without blanks between words, with its marks.
+ALONE = (
+    r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]\p{M}*+)"
+)
+
+
 def lines_of(text: Column) -> Column:
-    """The lines of a text, with blanks only between words."""
+    """The lines of a text, with blanks between words, and around characters that are words."""
+    apart = F.regexp_replace(text, ALONE, " $1 ")
+    text = F.when((F.octet_length(text) > F.length(text)) & F.rlike(text, F.lit(ALONE)), apart).otherwise(text)
     for other in ("\t", "\r"):
         text = F.replace(text, F.lit(other), F.lit(" "))
     return F.split(text, BREAK)

@@ -46,7 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_line_dedup(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = lines.near_line_dedup(documents)
+    kept = lines.near_line_dedup(documents, min_words=1)
     return kept.select(
         "doc_id", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
         F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed"),
