@@ -231,6 +231,22 @@ def test_contexts_discover_identifiers(spark):
     assert all(r["base"] for i, r in got.items() if i < 40)
 
 
+def spans_of(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = private.find_private(df).select("doc_id", private.span_list(F.col("spans")).alias("spans"))
+    return {r["doc_id"]: r["spans"] for r in found.collect()}
+
+
+def test_discovered_identifiers_lead_to_new_patterns(spark):
+    rows = [(i, f"please write to name{i}x@mail.example.com today") for i in range(40)]
+    for i in range(8):
+        # Known by the first pattern only, then the second has these as its seeds.
+        rows += [(100 + i, f"please write to user1{i}[at]home today"), (200 + i, f"my contact address user1{i}[at]home works")]
+    rows += [(300, "my contact address other99[at]home works"), (301, "the year contact 1999[at]home works")]
+    got = spans_of(spark, rows)
+    assert got[300] == "email:19:34" and got[200] == "email:19:33" and got[301] == ""
+
+
 def test_no_texts_to_search(spark):
     assert private.find_private(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

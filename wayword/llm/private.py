@@ -140,20 +140,30 @@ def sure_patterns(seen: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     sizes = edges.groupBy("pattern").agg(
         F.count_if(seeds).alias("n_seeds"), F.count_if(candidates).alias("n_candidates")
     )
-    # A pattern without candidates finds nothing, and one with few seeds is not trusted.
+    # A pattern without candidates finds nothing, and one with few instances cannot get enough seeds in any round.
     useful, n_useful = materialise_counted(
-        sizes.where((F.col("n_seeds") >= SEEDS) & (F.col("n_candidates") > 0)), f"{folder}/useful"
+        sizes.where((F.col("n_seeds") + F.col("n_candidates") >= SEEDS) & (F.col("n_candidates") > 0)), f"{folder}/useful"
     )
     edges = materialise(edges.join(by_count(useful, n_useful), "pattern"), f"{folder}/edges")
-    seed_votes = edges.where(seeds).groupBy("pattern", "kind").agg(F.count("*").cast("double").alias("votes"))
+    seed_votes = edges.where(seeds).groupBy("pattern", "kind").agg(
+        F.count("*").cast("double").alias("votes"), F.count("*").alias("n_sure")
+    )
     candidate_edges = edges.where(candidates).select("pattern", "match")
     scores = None
     for turn in range(ROUNDS):
         votes = seed_votes
         if scores is not None:
-            given = candidate_edges.join(scores, "match").select("pattern", "kind", F.col("score").alias("votes"))
+            # A candidate that is sure counts as a seed, of its surest kind.
+            surest = F.row_number().over(Window.partitionBy("match").orderBy(F.desc("score"), "kind")) == 1
+            found_so_far = scores.withColumn("n_sure", (surest & (F.col("score") >= SURE)).cast("long"))
+            given = candidate_edges.join(found_so_far, "match").select(
+                "pattern", "kind", F.col("score").alias("votes"), "n_sure"
+            )
+            given = given.groupBy("pattern", "kind").agg(F.sum("votes").alias("votes"), F.sum("n_sure").alias("n_sure"))
             votes = votes.unionByName(given)
-        sure = votes.groupBy("pattern", "kind").agg(F.sum("votes").alias("votes")).join(useful, "pattern")
+        sure = votes.groupBy("pattern", "kind").agg(F.sum("votes").alias("votes"), F.sum("n_sure").alias("n_sure"))
+        sure = sure.withColumn("n_sure", F.sum("n_sure").over(Window.partitionBy("pattern")))
+        sure = sure.where(F.col("n_sure") >= SEEDS).join(useful, "pattern")
         # Not more than almost sure, so that the logarithm below is defined.
         share = F.least(F.lit(0.999), F.col("votes") / (F.col("n_seeds") + F.col("n_candidates")))
         sure = materialise(sure.select("pattern", "kind", share.alias("sure")), f"{folder}/patterns-{turn}")
