@@ -247,6 +247,15 @@ def test_discovered_identifiers_lead_to_new_patterns(spark):
     assert got[300] == "email:19:34" and got[200] == "email:19:33" and got[301] == ""
 
 
+def test_contexts_and_groups_of_digits(spark):
+    rows = [(i, f"call me at +49 30 {1234567 + i} tonight") for i in range(40)]
+    rows += [(100, "call me at (555) 123-4567 tonight"), (101, "in 1999 call me at 078 05 1120. tonight")]
+    rows += [(102, "10.0.0.1 call me at 4711-0815 tonight")]
+    got = spans_of(spark, rows)
+    assert got[100] == "phone:12:25" and got[101] == "phone:19:30"
+    assert got[102] == "ip:0:8,phone:20:29"
+
+
 def test_no_texts_to_search(spark):
     assert private.find_private(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

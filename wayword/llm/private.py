@@ -3,8 +3,9 @@
 E-mail addresses, IP addresses, card numbers and phone numbers are found by their form; these are the seeds. The words
 around them are lexical patterns. Identifier-like tokens of other forms are candidates, and they share patterns with
 the seeds. Over this graph scores are passed on for ``ROUNDS`` rounds: a pattern is as sure of a kind as the instances
-in it are on average, an instance as sure as its patterns make it together. Candidates in a sure pattern become spans of
-the pattern's kind.
+in it are on average, an instance as sure as its patterns make it together. A pattern is trusted in a round if enough
+different instances in it are seeds or are sure by then, so what was found leads on to new patterns. Candidates in a sure
+pattern become spans of the pattern's kind. Groups of digits with single blanks between are one candidate.
 
 Places are in code points, ends exclusive. Matches of one kind do not overlap, those of different kinds may; a
 candidate never overlaps a seed. Null and empty texts have no spans. Rows may share a key: they are told apart by their
@@ -30,6 +31,11 @@ FORMS = {
 CANDIDATE = "candidate"
 CANDIDATE_FORM = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 
+# Two to 32 groups of digits with a single blank between; a group is a whole token, but for punctuation at its end.
+JOINED = "joined"
+GROUP = r"[(+]?[0-9](?:[0-9().+/-]*[0-9)])?"
+JOINED_FORM = r"(?<!\S)[\p{P}\p{S}&&[^@+(]]*+" + GROUP + r"(?:\x20" + GROUP + r"(?=[\p{P}\p{S}&&[^@]]*+(?!\S))){1,31}+"
+
 # A text without this has no match of the kind.
 HINTS = {"email": "@", "phone": "+"}
 
@@ -38,24 +44,47 @@ ROUNDS = 3
 SURE = 0.8
 SEEDS = 5
 
-# Characters of a context that are looked at.
+# Characters of a context that are looked at, and matches that these can hold: each takes two with its gap.
 CONTEXT = 60
+PIECES = CONTEXT // 2
+
+# What stands for a run of tokens with a digit or ``@`` in a pattern.
+PLACEHOLDER = " 0 "
 
 
 def found(text: Column, kind: str) -> Column:
-    """All matches of a form: ``kind, k, gap`` (characters since the last match), ``match, left, right``."""
-    form = F.lit(FORMS.get(kind, CANDIDATE_FORM))
-    gaps = F.split(text, FORMS.get(kind, CANDIDATE_FORM), -1)
-    matches = F.regexp_extract_all(text, form, F.lit(0))
+    """All matches of a form: ``kind, k, gap`` (characters since the last match), ``match, left, right``.
+
+    ``left`` and ``right`` are the text around the match, earlier and later matches included.
+    """
+    name = {CANDIDATE: CANDIDATE_FORM, JOINED: JOINED_FORM}.get(kind) or FORMS[kind]
+    gaps = F.split(text, name, -1)
+    matches = F.regexp_extract_all(text, F.lit(name), F.lit(0))
     # A gap belongs to the match behind it; the last gap has none.
-    rows = F.transform(
-        F.arrays_zip(matches.alias("match"), gaps.alias("gap"), F.slice(gaps, 2, F.size(gaps)).alias("next")),
-        lambda x, k: F.struct(
-            F.lit(kind).alias("kind"), k.alias("k"), F.length(x["gap"]).alias("gap"), x["match"].alias("match"),
-            F.substring(x["gap"], -CONTEXT, CONTEXT).alias("left"), F.substring(x["next"], 1, CONTEXT).alias("right"),
-        ),
-    )
-    rows = F.filter(rows, lambda x: x["match"].isNotNull())
+    pairs = F.arrays_zip(matches.alias("match"), gaps.alias("gap"))
+    # Of a piece no more counts than a context holds; what several steps use is bound first, as an array of one.
+    def pieces(of: Column, side: int) -> Column:
+        whole = F.concat(of["gap"], F.coalesce(of["match"], F.lit("")))
+        return F.substring(whole, side, CONTEXT)
+
+    bound = F.transform(F.array(pairs), lambda x: F.struct(
+        x.alias("pairs"), F.transform(x, lambda y: pieces(y, -CONTEXT)).alias("tails"),
+        F.transform(x, lambda y: pieces(y, 1)).alias("heads"),
+    ))
+
+    def rows_of(one: Column) -> Column:
+        def row(x: Column, k: Column) -> Column:
+            before = F.slice(one["tails"], F.greatest(k - PIECES, F.lit(0)) + 1, F.least(k, F.lit(PIECES)))
+            left = F.concat(F.array_join(before, ""), F.substring(x["gap"], -CONTEXT, CONTEXT))
+            right = F.array_join(F.slice(one["heads"], k + 2, PIECES), "")
+            return F.struct(
+                F.lit(kind).alias("kind"), k.alias("k"), F.length(x["gap"]).alias("gap"), x["match"].alias("match"),
+                F.substring(left, -CONTEXT, CONTEXT).alias("left"), F.substring(right, 1, CONTEXT).alias("right"),
+            )
+
+        return F.filter(F.transform(one["pairs"], row), lambda x: x["match"].isNotNull())
+
+    rows = F.transform(bound, rows_of)[0]
     if kind in HINTS:
         hint = F.contains(text, F.lit(HINTS[kind]))
     else:
@@ -94,7 +123,8 @@ def words(text: Column) -> Column:
 
 def patterns(left: Column, right: Column) -> Column:
     """The patterns of a context: two words before, or one word before and one behind."""
-    before, behind = words(left), words(right)
+    shown = lambda x: words(F.regexp_replace(x, r"(?:\S*[0-9@]\S*\s*)+", PLACEHOLDER))
+    before, behind = shown(left), shown(right)
     last = F.try_element_at(before, F.lit(-1))
     two = F.concat(F.lit("L:"), F.try_element_at(before, F.lit(-2)), F.lit(" "), last)
     around = F.concat(F.lit("B:"), last, F.lit(" _ "), F.try_element_at(behind, F.lit(1)))
@@ -108,7 +138,7 @@ def occurrences(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
         F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"), F.col(text_col).alias("text"),
     ).where(F.rlike("text", F.lit("[0-9@]")))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    everything = F.flatten(F.array_compact(F.array(*[found(text, kind) for kind in [*KINDS, CANDIDATE]])))
+    everything = F.flatten(F.array_compact(F.array(*[found(text, kind) for kind in [*KINDS, CANDIDATE, JOINED]])))
     rows = rows.select("doc", "place", "row", F.inline(everything))
     before = Window.partitionBy("row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.col("gap") + F.length("match")).over(before), F.lit(0)) + F.col("gap")
@@ -116,7 +146,7 @@ def occurrences(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
     # The punctuation around a candidate is not part of it; forms match without it.
     bare = F.regexp_replace("match", r"[\p{P}\p{S}&&[^@]]+\z", "")
     lead = F.length(F.regexp_extract(bare, r"\A[\p{P}\p{S}&&[^@+]]*", 0))
-    is_candidate = F.col("kind") == CANDIDATE
+    is_candidate = F.col("kind").isin(CANDIDATE, JOINED)
     rows = rows.withColumns({
         "start": F.when(is_candidate, F.col("start") + lead).otherwise(F.col("start")),
         "match": F.when(is_candidate, F.substr(bare, lead + 1)).otherwise(F.col("match")),
@@ -130,6 +160,13 @@ def occurrences(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
         F.coalesce(seed_start, F.col("end")) < F.col("end")
     )
     rows = rows.withColumn("overlaps", overlaps).where(~(is_candidate & F.col("overlaps")))
+    # Of what is left, a token goes if it is part of joined groups.
+    is_joined = F.col("kind") == JOINED
+    joined_end = F.max(F.when(is_joined, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined_start = F.min(F.when(is_joined, F.col("start"))).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    part = (F.coalesce(joined_end, F.lit(-1)) > F.col("start")) | (F.coalesce(joined_start, F.col("end")) < F.col("end"))
+    rows = rows.withColumn("part", part).where(~((F.col("kind") == CANDIDATE) & F.col("part")))
+    rows = rows.withColumn("kind", F.when(is_joined, CANDIDATE).otherwise(F.col("kind")))
     return rows.select("doc", "place", "kind", "start", "end", "match", patterns(F.col("left"), F.col("right")).alias("patterns"))
 
 
