@@ -83,6 +83,16 @@ def test_mined_rules(spark):
     ]
 
 
+def test_a_bad_host_stays_a_rule_as_the_table_grows(spark):
+    good = [(f"http://h{i % 500}.example/x{i % 700}", False) for i in range(6000)]
+    rows = [(f"http://spam.example/{i}", True) for i in range(10)]
+    rows += [(f"http://few.example/{i}", True) for i in range(9)]
+    index = urls.mine(spark.createDataFrame(rows + good, "url string, bad boolean"))
+    asked = spark.createDataFrame([("http://spam.example/y",), ("http://few.example/y",), ("http://h1.example/x1",)], "url string")
+    got = {r["url"]: r["verdict"] for r in urls.judge(asked, index, []).collect()}
+    assert got == {"http://spam.example/y": "block", "http://few.example/y": "allow", "http://h1.example/x1": "allow"}
+
+
 def test_nothing_to_mine(spark):
     index = urls.mine(spark.createDataFrame([], "url string, bad boolean"))
     assert index.count() == 0

@@ -1,8 +1,8 @@
 """Filters for URLs: given rules, and rules mined from labelled URLs.
 
-A URL becomes the set of the tokens of its host and its path. FP-growth finds the combinations that are frequent among
-the labelled URLs, and association rules with the label as their consequent are kept by support and confidence, unless
-a more general rule is as confident. An inverted index holds every rule under its rarest token: a URL looks up its
+A URL becomes the set of the tokens of its host and its path. FP-growth finds the combinations that enough of the URLs
+labelled bad have, however many are labelled; these are counted over all labelled URLs, and association rules with the
+label as their consequent are kept by confidence, unless a more general rule is as confident. An inverted index holds every rule under its rarest token: a URL looks up its
 tokens there and is compared with these rules only.
 
 Null URLs and URLs without ``://`` have an empty host and path, no token, and are allowed. Every row of a repeated URL
@@ -21,14 +21,12 @@ from ..operators.skew import BROADCAST_ROWS
 from ..session import materialise, scratch_path
 from .arrow import no_clash
 
-# Share of the labelled URLs that a rule and its label must hold for, and the share of its URLs that are labelled bad.
-MIN_SUPPORT = 0.005
+# The share of a rule's URLs that are labelled bad, at the least.
 MIN_CONFIDENCE = 0.6
 
-# So many labelled bad URLs are needed at least, however few are labelled: fewer may be chance.
+# So many labelled bad URLs are needed for a rule, however many are labelled: fewer may be chance.
 MIN_COUNT = 10
 
-BAD = "label:bad"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -118,28 +116,35 @@ def matches(sets: DataFrame, key: str, index: DataFrame, n_rules: int) -> DataFr
     return looked_up.where(F.size(F.array_except("rule_tokens", "tokens")) == 0).drop("anchor", "tokens")
 
 
-def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
+def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_confidence: float = MIN_CONFIDENCE,
+         min_count: int = MIN_COUNT) -> DataFrame:
     """Rules for bad URLs, as the index ``anchor, tokens, confidence``; a written table.
 
     ``labelled`` has the URL and whether it is bad; rows with a null in either take no part.
     """
     spark = labelled.sparkSession
     rows = with_parts(labelled.where(F.col(url_col).isNotNull() & F.col(bad_col).isNotNull()), url_col)
-    items = tokens_of(F.col("host"), F.col("path"))
-    items = F.when(F.col(bad_col).cast("boolean"), F.array_append(items, F.lit(BAD))).otherwise(items)
-    items = materialise(rows.select(items.alias("items")).where("size(items) > 0"), scratch_path(spark, "url-items"))
+    items = rows.select(F.array_sort(tokens_of(F.col("host"), F.col("path"))).alias("items"), F.col(bad_col).cast("boolean").alias("bad"))
+    items = items.where("size(items) > 0").groupBy("items").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
+    items = materialise(items, scratch_path(spark, "url-items"))
+    # A set of tokens is given as often as it is bad.
+    bad = items.where("n_bad > 0").select("items", F.explode(F.expr("sequence(1L, n_bad)")).alias("copy")).select("items")
+    n_bad = items.agg(F.coalesce(F.sum("n_bad"), F.lit(0))).first()[0]
     schema = "anchor string, tokens array<string>, confidence double"
-    n_items = items.count()
-    if n_items < min_count:
+    if n_bad < min_count:
         return spark.createDataFrame([], schema)
-    min_support = max(min_support, min_count / n_items)
-    found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    frequent = materialise(found.freqItemsets, scratch_path(spark, "url-itemsets"))
-    # A rule is the frequent set with the label against the same set without it.
-    with_bad = frequent.where(F.array_contains("items", BAD) & (F.size("items") > 1))
-    with_bad = with_bad.select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("bad"))
-    plain = frequent.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("tokens"), "freq")
+    # Half a URL less, as the share is made a whole number of URLs by rounding up.
+    found = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_bad, minConfidence=min_confidence).fit(bad)
+    with_bad = found.freqItemsets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
+    with_bad = materialise(with_bad, scratch_path(spark, "url-itemsets"))
+    # Each set is looked up in all labelled URLs, by the rarest of its tokens.
+    frequent = items.select(F.explode("items").alias("token"), "n").groupBy("token").agg(F.sum("n").alias("freq"))
+    frequent = materialise(frequent.select(F.array("token").alias("items"), "freq"), scratch_path(spark, "url-tokens"))
+    sought = with_bad.select("tokens", F.lit(0.0).alias("confidence"))
+    sought = materialise(indexed(sought, frequent), scratch_path(spark, "url-sought"))
+    sets = items.select("n", F.col("items").alias("tokens"))
+    plain = matches(sets, "n", sought, sought.count()).groupBy(F.col("rule_tokens").alias("tokens"))
+    plain = plain.agg(F.sum("n").alias("freq"))
     rules = with_bad.join(plain, "tokens").select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"))
     rules = rules.where(F.col("confidence") >= min_confidence)
     index = materialise(indexed(rules, frequent), scratch_path(spark, "url-rules"))
