@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, jaccard, language, lines, mixing, private, quality, topk, urls
+from . import ann, bpe, jaccard, language, lines, mixing, private, quality, simhash, topk, urls
 
 # The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
 MIX_WEIGHTS = {
@@ -243,3 +243,12 @@ def op10_private(spark, sf_dir):
         "doc_id", *counts, F.sha2(private.span_list(F.col("base")), 256).alias("base_sha256"),
         private.span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op11_simhash_near_dedup(spark, sf_dir):
+    linked = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return linked.select(
+        F.col("id").alias("doc_id"), simhash.hex_of(F.col("fingerprint")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
