@@ -1,15 +1,17 @@
 """Near copies by SimHash, ranked search and the audit of sources, against brute force."""
 
 import itertools
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from wayword.llm import simhash
+from wayword.llm import ranked, simhash
 
 
 def brute_fingerprint(text):
@@ -117,3 +119,55 @@ def test_near_copies_of_odd_tables(spark):
     got = sorted(((r["id"], r["component"]) for r in simhash.near_copies(docs).collect()), key=repr)
     assert got == sorted([(None, 4), (4, 4), (4, 4), (2, 2), (7, 2), (None, None)], key=repr)
     assert simhash.near_copies(docs.limit(0)).count() == 0
+
+
+def low(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute_ranks(docs, items, k=10):
+    words = [(i, Counter(re.findall(ranked.TERM, low(t)))) for i, t in docs]
+    words = [(i, w, sum(w.values())) for i, w in words if w]
+    n_docs, n_all = len(words), sum(n for _, _, n in words)
+    wanted = {}
+    for item, text in items:
+        wanted.setdefault(item, set()).update(re.findall(ranked.TERM, low(text)))
+    rows = []
+    for item, terms in wanted.items():
+        scored = []
+        for doc, tf, n in words:
+            score = 0
+            for t in terms & tf.keys():
+                df = sum(t in w for _, w, _ in words)
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+                score += w * (10**9 * tf[t] // (1000 * tf[t] + 8 * (10 + 90 * n * n_docs // n_all)))
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        rows += [(item, r, d, -s) for r, (s, _, d) in enumerate(scored[:k], 1)]
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_ranked_search(spark, monkeypatch, small):
+    if small:  # several packs, blocks and prunings
+        monkeypatch.setattr(ranked, "CELLS", 64)
+        monkeypatch.setattr(ranked, "HITS", 50)
+    rnd = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(40)] + ["Ä", "ä", "x\u00a0y", "\u3000", "a1", "A1", "\U0001f600z", "w1w2"]
+    ends = [" ", "  ", "-", "\n", "\x00", "_", ".", "\x7f", "@"]
+
+    def text(n):
+        return "".join(rnd.choice(vocabulary) + rnd.choice(ends) for _ in range(n))
+
+    docs = [(i, text(rnd.randrange(1, 60))) for i in range(150)]
+    docs += [(200, None), (201, ""), (202, "-- ."), (None, docs[3][1]), (None, docs[4][1]), (203, docs[3][1]), (204, text(30_000))]
+    items = [(i, text(rnd.randrange(1, 12))) for i in range(15)]
+    items += [(20, None), (21, ""), (22, "nowhere"), (3, "w7 w8"), (None, "w1 w2"), (None, "w3"), (23, "w1 w1 W1")]
+    doc_frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"item": F.lit(1), "score": F.lit("x")})
+    item_frame = spark.createDataFrame(items, "item_id int, text string").withColumns({"terms": F.lit(1), "pack": F.lit(None)})
+    got = ranked.ranked_search(doc_frame.repartition(5), item_frame, pack_bytes=60 if small else ranked.PACK_BYTES)
+    assert [c for c, _ in got.dtypes] == ["item", "rank", "doc", "score"]
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_ranks(docs, items)
+    assert ranked.ranked_search(doc_frame.limit(0), item_frame).count() == 0
+    assert ranked.ranked_search(doc_frame, item_frame.limit(0)).count() == 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, jaccard, language, lines, mixing, private, quality, simhash, topk, urls
+from . import ann, bpe, jaccard, language, lines, mixing, private, quality, ranked, simhash, topk, urls
 
 # The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
 MIX_WEIGHTS = {
@@ -252,3 +252,42 @@ def op11_simhash_near_dedup(spark, sf_dir):
         F.col("id").alias("doc_id"), simhash.hex_of(F.col("fingerprint")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    found = ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+# The letters that are lower-cased, and the term of op12_ranked_search.
+LOWERED = f"translate(text, '{ranked.UPPER}', '{ranked.LOWER}')"
+
+ORACLE["op12_ranked_search"] = f"""
+WITH terms AS (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all({LOWERED}, '{ranked.TERM}'))) AS term FROM benchmark
+),
+item_terms AS (SELECT DISTINCT item_id, term FROM terms),
+docs AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{ranked.TERM}') AS words FROM documents),
+sizes AS (SELECT doc_id, len(words) AS n FROM docs WHERE len(words) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM sizes),
+hits AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM docs)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM hits GROUP BY term), corpus
+),
+scores AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM item_terms JOIN hits USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+  GROUP BY item_id, doc_id
+),
+placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
