@@ -4,14 +4,14 @@ import itertools
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from wayword.llm import ranked, simhash
+from wayword.llm import divergence, ranked, simhash
 
 
 def brute_fingerprint(text):
@@ -171,3 +171,77 @@ def test_ranked_search(spark, monkeypatch, small):
     assert sorted(map(tuple, got.collect()), key=repr) == brute_ranks(docs, items)
     assert ranked.ranked_search(doc_frame.limit(0), item_frame).count() == 0
     assert ranked.ranked_search(doc_frame, item_frame.limit(0)).count() == 0
+
+
+def brute_divergence(rows, ranks=200):
+    terms_of = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low(text))) for lang, source, text in rows]
+    held, groups = defaultdict(set), defaultdict(Counter)
+    for i, (lang, source, terms) in enumerate(terms_of):
+        groups[lang, source].update(terms)
+        for t in terms:
+            held[lang, t].add(i)
+    kept = defaultdict(list)
+    for (lang, t), docs in held.items():
+        if len(docs) >= 3:
+            kept[lang].append(t)
+    out = []
+
+    def p_of(counts, lang):
+        total = sum(counts[t] for t in kept[lang])
+        return {t: 1 + 10**9 * (counts[t] + 1) // (total + len(kept[lang])) for t in kept[lang]}
+
+    for (lang, source), counts in groups.items():
+        p = p_of(counts, lang)
+        whole = p_of(sum((c for (other, _), c in groups.items() if other == lang), Counter()), lang)
+        found = {"pair": [], "term": []}
+        for (other_lang, other), theirs in groups.items():
+            if other_lang == lang and other != source:
+                q = p_of(theirs, lang)
+                found["pair"].append((-sum((p[t] - q[t]) ** 2 // q[t] for t in p), other.encode(), other))
+        for t in p:
+            if counts[t] and p[t] > whole[t]:
+                found["term"].append((-((p[t] - whole[t]) ** 2 // whole[t]), t.encode(), t))
+        for part, values in found.items():
+            values = sorted(values)[: None if part == "pair" else ranks]
+            out += [(lang, source, part, item, -value, r) for r, (value, _, item) in enumerate(values, 1)]
+    return sorted(out)
+
+
+def source_rows():
+    rnd = random.Random(6)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)] + ["Ä", "ä", "\U0001f600", "\uffee", "x\u00a0y", "İ"]
+    rows = []
+    for _ in range(150):
+        lang, source = rnd.choice(["en", "en", "de"]), rnd.choice("abcdefg")
+        mine = words[: 30 + 12 * "abcdefg".index(source)]
+        rows.append((lang, source, " 9".join(rnd.choice(mine).upper() if rnd.random() < 0.1 else rnd.choice(mine) for _ in range(rnd.randrange(80)))))
+    rows += [("en", "a", "hot cold " * 5000)] * 3 + [("en", "h", None), ("fr", "a", "x"), ("fr", "b", ""), ("it", "only", "solo solo")]
+    rows += [(None, None, "null words here"), (None, "", "null words here"), ("", "z", "null words"), (None, "y", "12 34")]
+    return rows
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_source_divergence(spark, monkeypatch, small):
+    if small:  # many runs, several merges, blocks of pairs, and totals that are joined
+        for name, value in {"BLOCK": 50, "FAN_IN": 2, "SHARD_BYTES": 20_000, "PAIRS": 40, "BROADCAST_BYTES": 0, "PIECE": 20, "SOURCES": 2}.items():
+            monkeypatch.setattr(divergence, name, value)
+    rows = source_rows()
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").repartition(7)
+    docs = docs.withColumns({"term": F.lit(1), "pack": F.lit("x"), "counts": F.lit(None), "value": F.lit(0)})
+    got = divergence.source_divergence(docs, ranks=20)
+    assert got.dtypes[4:] == [("value", "bigint"), ("rank", "int")]
+    assert sorted(map(tuple, got.collect())) == brute_divergence(rows, 20)
+
+
+def test_source_divergence_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "lang string, source string, text string")
+    assert divergence.source_divergence(docs).count() == 0
+
+
+def test_shares_are_exact(spark):
+    rnd = random.Random(1)
+    cases = [(c, t) for t in (1, 2, 999, 10**9 + 7, 9 * 10**15) for c in (1, t, rnd.randrange(1, t + 1))]
+    want = [1 + 10**9 * c // t for c, t in cases]
+    assert divergence.shares(*np.array(cases, dtype=np.int64).T).tolist() == want
+    frame = spark.createDataFrame(cases, "c long, t long")
+    assert [r[0] for r in frame.select(divergence.share(F.col("c"), F.col("t"))).collect()] == want

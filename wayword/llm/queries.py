@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, jaccard, language, lines, mixing, private, quality, ranked, simhash, topk, urls
+from . import ann, bpe, divergence, jaccard, language, lines, mixing, private, quality, ranked, simhash, topk, urls
 
 # The tree of op9_mixing, the share of all tokens that is taken, and how often a document may be.
 MIX_WEIGHTS = {
@@ -291,3 +291,51 @@ placed AS (
 )
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
 """
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_source_divergence"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{ranked.UPPER}', '{ranked.LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+),
+words AS (SELECT doc, lang, source, unnest(words) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+in_lang AS (SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY lang, term),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT lang, source, CAST(coalesce(sum(n), 0) AS BIGINT) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+),
+lang_totals AS (SELECT lang, CAST(sum(total) AS BIGINT) AS total FROM totals GROUP BY lang),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 1)) // (total + v) AS p
+  FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+q AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 1)) // (total + v) AS q FROM in_lang JOIN lang_totals USING (lang) JOIN sizes USING (lang)
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE (x.term IS NULL) = (y.term IS NULL)
+  GROUP BY ALL
+),
+term AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
