@@ -14,7 +14,7 @@ from ..operators.posts import Topics, clean_posts, tag_and_score, to_sink_rows
 from ..operators.word_lists import WordList, merge_word_lists
 from ..operators.words import TOP_K, common_counts, word_count
 from ..sources.osm import read_nodes, read_ways
-from ..sources.posts import read_posts
+from ..sources.posts import read_posts_in_splits
 from ..sources.sinks import (
     next_id, with_row_id, write_adjacency, write_counts, write_paths, write_table, write_topk,
 )
@@ -53,7 +53,7 @@ def scored_posts(
 ) -> DataFrame:
     """Tagged and scored posts of a CSV file: ``topic, time, user, tweet, terms, sentiment``."""
     stop = merge_word_lists(*(read_word_list(spark, path) for path in stop_lists))
-    clean = clean_posts(read_posts(spark, posts), stop)
+    clean = clean_posts(read_posts_in_splits(spark, posts), stop)
     return tag_and_score(clean, read_topics(spark, topic_file, topics), lexicon)
 
 

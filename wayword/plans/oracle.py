@@ -289,6 +289,7 @@ ORACLE: dict[str, str] = {
     "archived_posts": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
     "post_job": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
     "csv_posts": CLEAN,
+    "csv_posts_in_splits": CLEAN,
     "streamed_topic_posts": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
     "order_way_pairs": """
         SELECT l_orderkey, CAST(pos AS INTEGER) AS pos, src, dst FROM (

@@ -283,6 +283,14 @@ def csv_posts(spark, sf_dir):
     return post_ops.clean_posts(post_files.read_posts(spark, path), given.STOP_WORDS)
 
 
+@query
+def csv_posts_in_splits(spark, sf_dir):
+    """The same, where every file may be read by many tasks."""
+    path = scratch_path(spark, "csv-posts-in-splits")
+    given.posts(spark, sf_dir).write.options(header=True, quoteAll=True, escape='"').csv(path)
+    return post_ops.clean_posts(post_files.read_posts_in_splits(spark, path), given.STOP_WORDS)
+
+
 @query
 def streamed_topic_posts(spark, sf_dir):
     """The sink rows again, from a stream over the documents that is run to its end."""
