@@ -296,6 +296,12 @@ ORACLE: dict[str, str] = {
           SELECT l_orderkey, row_number() OVER w - 1 AS pos, l_partkey AS src, lead(l_partkey) OVER w AS dst
           FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey))
         WHERE dst IS NOT NULL""",
+    "event_successions": """
+        SELECT user_group, event_id, src, dst FROM (
+          SELECT user_group, event_id, event_type AS src, lead(event_type) OVER w AS dst, lead(event_id) OVER w AS next_id
+          FROM (SELECT *, CASE WHEN user_id % 2 = 0 THEN 0 ELSE user_id END AS user_group FROM events)
+          WINDOW w AS (PARTITION BY user_group ORDER BY ts, event_id))
+        WHERE next_id IS NOT NULL""",
     "way_pairs": f"SELECT way_id, src, dst FROM ({PAIRS})",
     "way_tags": f"""
         SELECT way_id,

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import dates, scores, tags, text
-from ..operators import encode, graph as roads, lexicon, paths, posts as post_ops, word_lists, words
+from ..operators import encode, graph as roads, lexicon, neighbours, paths, posts as post_ops, word_lists, words
 from ..session import materialise, scratch_path
 from ..sources import osm, posts as post_files, sinks, text as text_files
 from ..streaming import posts as stream
@@ -326,6 +326,13 @@ def order_way_pairs(spark, sf_dir):
     return lines.select("l_orderkey", pairs).select("l_orderkey", "pos", "pair.src", "pair.dst")
 
 
+@query
+def event_successions(spark, sf_dir):
+    """Which event follows which; half of the events have one key."""
+    events = given.table(spark, sf_dir, "events").withColumn("user_group", F.expr("if(user_id % 2 = 0, 0, user_id)"))
+    return neighbours.consecutive_pairs(events, ["user_group"], ["ts", "event_id"], "event_type").drop("ts")
+
+
 @query
 def way_tags(spark, sf_dir):
     return given.map_ways(spark, sf_dir).select(
