@@ -22,7 +22,7 @@ import heapq
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import groupby, repeat
+from itertools import accumulate, groupby, repeat
 from operator import itemgetter
 from zlib import crc32
 
@@ -39,7 +39,7 @@ MIN_DOCS = 3
 UNIT = 1_000_000_000
 
 # Postings that a task holds in memory before it writes a run, and bytes of text that are cut into terms at once.
-BLOCK = 400_000
+BLOCK = 800_000
 PIECE = 1 << 20
 
 # Runs (by the task that wrote them) that are merged at once, and bytes of text for each shard.
@@ -57,10 +57,15 @@ SOURCES = 256
 
 BLANKED = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-SEGMENT = "pack bigint, shard int, lang string, source string, terms array<binary>, counts array<bigint>, docs array<bigint>"
+# A term's postings are the next ``sizes`` ones; a posting is a place in ``names`` and a count.
+SEGMENT = (
+    "pack bigint, shard int, lang string, names array<string>, terms array<binary>, docs array<bigint>, sizes array<int>, "
+    "sources array<int>, counts array<bigint>"
+)
 SEGMENT_ARROW = pa.schema([
-    ("pack", pa.int64()), ("shard", pa.int32()), ("lang", pa.string()), ("source", pa.string()),
-    ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())),
+    ("pack", pa.int64()), ("shard", pa.int32()), ("lang", pa.string()), ("names", pa.list_(pa.string())),
+    ("terms", pa.list_(pa.binary())), ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
+    ("sources", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64())),
 ])
 KEPT = "lang string, term string, sources array<string>, counts array<bigint>"
 KEPT_ARROW = pa.schema([
@@ -80,31 +85,44 @@ def terms_of(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Postings:
-    """Occurrences and documents of the terms of every (language, source)."""
+    """Occurrences of the terms of every (language, source), and in how many documents of a language they are."""
 
     def __init__(self):
-        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        self.docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
+        self.counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        self.docs: dict[str, Counter] = defaultdict(Counter)
         self.size = 0
 
-    def add(self, group: tuple[str, str], text: bytes) -> None:
-        counts, seen = self.counts[group], set()
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        counts, seen = self.counts[lang][source], set()
         before = len(counts)
         for terms in terms_of(text):
             counts.update(terms)
             seen.update(terms)
-        self.docs[group].update(seen)
+        self.docs[lang].update(seen)
         self.size += len(counts) - before
 
     def segments(self, pack: int, shards: int) -> Iterator[tuple]:
-        """Rows of ``SEGMENT``, sorted by term within each."""
-        for (lang, source), counts in sorted(self.counts.items()):
-            docs, seed = self.docs[lang, source], crc32(lang.encode())
+        """Rows of ``SEGMENT``, sorted by term."""
+        for lang, sources in self.counts.items():
+            postings: dict[bytes, list[tuple[str, int]]] = defaultdict(list)
+            for source, counts in sources.items():
+                for term, count in counts.items():
+                    postings[term].append((source, count))
+            seed = crc32(lang.encode())
             by_shard: dict[int, list[bytes]] = defaultdict(list)
-            for term in sorted(counts):
+            for term in sorted(postings):
                 by_shard[crc32(term, seed) % shards].append(term)
             for shard, terms in by_shard.items():
-                yield pack, shard, lang, source, terms, [counts[t] for t in terms], [docs[t] for t in terms]
+                docs = self.docs[lang]
+                yield segment(pack, shard, lang, terms, [docs[t] for t in terms], [postings[t] for t in terms])
+
+
+def segment(pack: int, shard: int, lang: str, terms: list, docs: list, postings: list[Iterable[tuple[str, int]]]) -> tuple:
+    sizes, flat = [len(x) for x in postings], [x for of_term in postings for x in of_term]
+    names = {name: place for place, name in enumerate(sorted({x[0] for x in flat}))}
+    sources = np.fromiter((names[x[0]] for x in flat), dtype=np.int32, count=len(flat))
+    counts = np.fromiter((x[1] for x in flat), dtype=np.int64, count=len(flat))
+    return pack, shard, lang, list(names), terms, np.array(docs), np.array(sizes, dtype=np.int32), sources, counts
 
 
 def batches_of(rows: Iterable[tuple], schema: pa.Schema, size: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -124,9 +142,11 @@ def write_runs(docs: DataFrame, shards: int, block: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         postings, task = Postings(), TaskContext.get().partitionId()
         for batch in batches:
-            groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
-            for group, text in zip(groups, batch.column("text")):
-                postings.add(group, text.as_py())
+            groups = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
+            texts = batch.column("text")
+            # Group by group, so that one group's counts are in the processor's cache.
+            for i in sorted(range(len(groups)), key=groups.__getitem__):
+                postings.add(*groups[i], texts[i].as_py())
                 if postings.size >= block:
                     yield from batches_of(postings.segments(task, shards), SEGMENT_ARROW, 64)
                     postings = Postings()
@@ -135,21 +155,41 @@ def write_runs(docs: DataFrame, shards: int, block: int) -> DataFrame:
     return docs.select("lang", "source", F.col("text").cast("binary").alias("text")).mapInArrow(work, SEGMENT)
 
 
-def merged(segments: list[dict]) -> Iterator[tuple[bytes, list[tuple[str, int, int]]]]:
-    """Term by term the sums ``(source, count, docs)`` over sorted segments of one language."""
-    streams = [zip(s["terms"], repeat(s["source"]), s["counts"], s["docs"]) for s in segments]
-    for term, postings in groupby(heapq.merge(*streams), key=itemgetter(0)):
-        sums = []
-        for source, same in groupby(postings, key=itemgetter(1)):
-            same = list(same)
-            sums.append((source, sum(x[2] for x in same), sum(x[3] for x in same)))
-        yield term, sums
+def merged(segments: list[dict], min_docs: int = 0) -> Iterator[tuple[bytes, int, dict[str, int]]]:
+    """Term by term, in how many documents it is and its count in each source, from sorted segments of one language."""
+    streams = []
+    for place, s in enumerate(segments):
+        ends = list(accumulate(s["sizes"]))
+        streams.append(zip(s["terms"], repeat(place), [0, *ends], ends, s["docs"]))
+    parts = [(s["names"], s["sources"], s["counts"]) for s in segments]
+    for term, same in groupby(heapq.merge(*streams), key=itemgetter(0)):
+        same = list(same)
+        docs = sum(x[4] for x in same)
+        if docs < min_docs:
+            continue
+        sums: dict[str, int] = {}
+        for _, place, start, end, _ in same:
+            names, sources, counts = parts[place]
+            for i in range(start, end):
+                name = names[sources[i]]
+                sums[name] = sums.get(name, 0) + counts[i]
+        yield term, docs, sums
+
+
+def lists_of(column: pa.ChunkedArray) -> list[list]:
+    """The lists of a column; numbers go through numpy, which is many times faster."""
+    whole = column.combine_chunks()
+    ends = whole.offsets.to_numpy()
+    values = whole.values.to_numpy().tolist() if pa.types.is_integer(whole.type.value_type) else whole.values.to_pylist()
+    return [values[start:end] for start, end in zip(ends[:-1], ends[1:])]
 
 
 def by_language(table: pa.Table) -> Iterator[tuple[str, list[dict]]]:
-    rows = sorted(table.to_pylist(), key=itemgetter("lang"))
-    for lang, segments in groupby(rows, key=itemgetter("lang")):
-        yield lang, list(segments)
+    columns = {name: lists_of(table[name]) for name in ("names", "terms", "docs", "sizes", "sources", "counts")}
+    of_lang: dict[str, list[dict]] = defaultdict(list)
+    for row, lang in enumerate(table["lang"].to_pylist()):
+        of_lang[lang].append({name: column[row] for name, column in columns.items()})
+    yield from of_lang.items()
 
 
 def merge_packs(runs: DataFrame) -> DataFrame:
@@ -158,13 +198,9 @@ def merge_packs(runs: DataFrame) -> DataFrame:
     def work(key: tuple, table: pa.Table) -> pa.Table:
         pack, shard = (x.as_py() for x in key)
         rows = []
-        for lang, segments in by_language(table.drop_columns(["next"])):
-            of_source: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
-            for term, sums in merged(segments):
-                for source, count, docs in sums:
-                    for column, value in zip(of_source[source], (term, count, docs)):
-                        column.append(value)
-            rows += [(pack, shard, lang, source, *columns) for source, columns in of_source.items()]
+        for lang, segments in by_language(table):
+            terms, docs, postings = zip(*merged(segments))
+            rows.append(segment(pack, shard, lang, list(terms), list(docs), [list(x.items()) for x in postings]))
         return pa.Table.from_batches(batches_of(rows, SEGMENT_ARROW), SEGMENT_ARROW)
 
     packed = runs.withColumn("next", F.floor(F.col("pack") / FAN_IN))
@@ -177,9 +213,8 @@ def merge_last(runs: DataFrame, min_docs: int) -> DataFrame:
     def work(table: pa.Table) -> pa.Table:
         rows = []
         for lang, segments in by_language(table):
-            for term, sums in merged(segments):
-                if sum(docs for _, _, docs in sums) >= min_docs:
-                    rows.append((lang, term.decode(), [s for s, _, _ in sums], [n for _, n, _ in sums]))
+            for term, _, sums in merged(segments, min_docs):
+                rows.append((lang, term.decode(), list(sums), list(sums.values())))
         return pa.Table.from_batches(batches_of(rows, KEPT_ARROW, 4096), KEPT_ARROW)
 
     return runs.groupBy("shard").applyInArrow(work, KEPT)
