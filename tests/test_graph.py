@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import defaultdict, deque
 
@@ -202,6 +203,39 @@ def test_paths_on_random_graphs(spark, monkeypatch, small):
     check_paths(spark, ids, edges, requests, None)
 
 
+def test_a_hop_moves_only_its_front(spark, monkeypatch):
+    """No exchange below the join with edges or levels but those of the front and of its steps; nothing stays behind."""
+    monkeypatch.setattr(paths, "FRONT_BYTES", 0)
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "HOT_SHARE", 0.02)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans, folders = [], []
+    write = paths._Search.write_level
+
+    def seen(self, level):
+        plans.append(level._jdf.queryExecution().executedPlan().toString())
+        folders.append(self.folder)
+        return write(self, level)
+
+    monkeypatch.setattr(paths._Search, "write_level", seen)
+    try:
+        edges = [(i, i + 1) for i in range(13)] + [(4, i) for i in range(20, 40)] + [(i, 7) for i in range(20, 40)]
+        check_paths(spark, range(40), edges, [(0, 13), (0, 7), (3, 7), (25, 9)], None)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(plans) > 4
+    for plan in plans[1:]:
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert "SelectedBucketsCount" in plan
+        # The salted front goes to the edges, and the steps go to their buckets.
+        assert sum("salt" in line for line in exchanges) == 1
+        assert sum("search" in line and "to#" in line for line in exchanges) == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("wayword_paths")]
+    left = {name for folder in folders for name in os.listdir(folder)}
+    assert not left & {"edges", "bucketed", "levels"}
+
+
 def test_pairs_file(spark, tmp_path):
     (tmp_path / "pairs.txt").write_text("12 34\n5\nx 7\n")
     got = [tuple(r)[1:] for r in files.read_pairs(spark, str(tmp_path / "pairs.txt")).orderBy("pair_id").collect()]

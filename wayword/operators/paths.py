@@ -6,15 +6,26 @@ search reaches half as far as the path is long, and a level holds only searches
 backward row carries the smallest way from its vertex to the end. For the first half, the vertices on shortest ways are
 traced back from the meeting points to the start, each with its smallest way on. Of several shortest paths this gives the
 smallest by its vertices from the start on.
+
+The edges are written once in buckets of the node they leave, and every level in buckets of its key. A hop moves its
+front to the edges and the steps to their buckets; edges and earlier levels stay where they are, whatever their number.
+The edges of a node with very many are dealt to several buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from ..session import materialise, materialise_counted, scratch_path
+from ..session import discard, materialise_counted, scratch_path
 from .graph import Graph, endpoints
-from .skew import sized_join
+from .skew import hot_keys, n_salts, replicate, sized_join
+
+# A front is broadcast up to so many bytes, as counted when it was written.
+FRONT_BYTES = 16_000_000
+
+KEY = ["back", "search", "node"]
 
 
 def _inner_edges(graph: Graph) -> DataFrame:
@@ -41,34 +52,70 @@ class _Search:
     side, and empty on the forward one, where only the levels themselves are needed.
     """
 
-    schema = "back boolean, search bigint, node bigint, way array<bigint>"
-
     def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int | None):
         self.spark = pairs.sparkSession
         self.folder = scratch_path(self.spark, "paths")
         self.max_hops = max_hops
+        # As many buckets as a shuffle has partitions, so that what is shuffled fits them.
+        self.n_buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"wayword_paths_{uuid.uuid4().hex}"
         wanted = pairs.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
         for end in ("src", "dst"):
             wanted = wanted.join(graph.vertices.select(F.col("id").alias(end)), end, "left_semi")
         self.open, self.n_open = self.write(wanted.select("src", "dst"), "wanted")
-        edges = _inner_edges(graph)
-        step = F.struct(F.lit(False).alias("back"), F.col("src").alias("node"), F.col("dst").alias("to"))
-        step_back = F.struct(F.lit(True).alias("back"), F.col("dst").alias("node"), F.col("src").alias("to"))
-        self.edges = materialise(edges.select(F.inline(F.array(step, step_back))), f"{self.folder}/edges")
+        self.write_edges(_inner_edges(graph))
         nowhere = F.array().cast("array<bigint>").alias("way")
-        first = self.searches().select("back", "search", F.col("search").alias("node"), nowhere)
-        self.counts = [self.write(first, "levels/depth=0")[1]]
+        self.counts: list[int] = []
+        self.bytes: list[int] = []
+        self.write_level(self.searches().distinct().select("back", "search", F.col("search").alias("node"), nowhere))
         # Meeting points by their forward level, with the way from there to the end.
         self.met: dict[int, DataFrame] = {}
 
+    def write_edges(self, edges: DataFrame) -> None:
+        """``back, node, salt, to`` in buckets; ``salt`` parts the edges of a node that has very many."""
+        step = F.struct(F.lit(False).alias("back"), F.col("src").alias("node"), F.col("dst").alias("to"))
+        step_back = F.struct(F.lit(True).alias("back"), F.col("dst").alias("node"), F.col("src").alias("to"))
+        edges, _ = self.write(edges.select(F.inline(F.array(step, step_back))), "edges")
+        self.hot = hot_keys(edges, ["back", "node"])
+        salt = F.pmod(F.xxhash64("to"), n_salts(["back", "node"], self.hot)).cast("int")
+        salted = edges.withColumn("salt", salt)
+        writer = salted.repartition(self.n_buckets, "back", "node", "salt").write.format("parquet")
+        writer = writer.bucketBy(self.n_buckets, "back", "node", "salt").sortBy("back", "node", "salt")
+        writer.option("path", f"{self.folder}/bucketed").saveAsTable(f"{self.name}_edges")
+
+    @property
+    def edges(self) -> DataFrame:
+        return self.spark.table(f"{self.name}_edges")
+
+    def write_level(self, level: DataFrame) -> int:
+        """Add a level to the table of all of them; how many rows it has."""
+        seen = Observation()
+        counted = level.select(*KEY, "way").observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("way") * 8 + 32), F.lit(0)).alias("bytes")
+        )
+        writer = counted.withColumn("depth", F.lit(len(self.counts))).write.format("parquet").mode("append")
+        writer = writer.partitionBy("depth").bucketBy(self.n_buckets, *KEY)
+        writer.option("path", f"{self.folder}/levels").saveAsTable(f"{self.name}_levels")
+        found = seen.get
+        self.counts.append(found["rows"])
+        self.bytes.append(found["bytes"])
+        return self.counts[-1]
+
+    def close(self) -> None:
+        """Forget the tables and delete what the found paths do not read."""
+        for name in ("edges", "levels"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{name}")
+            discard(self.spark, f"{self.folder}/{name}")
+        discard(self.spark, f"{self.folder}/bucketed")
+
     def write(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
         return materialise_counted(df, f"{self.folder}/{name}")
 
     def level(self, depth: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/levels/depth={depth}")
+        return self.levels().where(F.col("depth") == depth).drop("depth")
 
     def levels(self) -> DataFrame:
-        return self.spark.read.schema(f"{self.schema}, depth int").parquet(f"{self.folder}/levels")
+        return self.spark.table(f"{self.name}_levels")
 
     @property
     def depth(self) -> int:
@@ -95,14 +142,15 @@ class _Search:
         front = self.level(self.depth)
         if changed:
             front = sized_join(front, self.searches(), ["back", "search"], "left_semi", 2 * self.n_open)
-        # The front is broadcast if it is small enough, so the edges are not moved for a few rows.
-        met = sized_join(self.edges, front, ["back", "node"], "inner", self.counts[-1])
+        # A small front is broadcast; a larger one is moved to the buckets of the edges, which stay.
+        front = replicate(front, n_salts(["back", "node"], self.hot)).withColumnRenamed("_salt", "salt")
+        if self.bytes[-1] <= FRONT_BYTES:
+            front = F.broadcast(front)
+        met = self.edges.join(front, ["back", "node", "salt"])
         way = F.when(F.col("back"), F.concat(F.array("node"), F.col("way"))).otherwise(F.col("way"))
         steps = met.groupBy("back", "search", F.col("to").alias("node")).agg(F.min(way).alias("way"))
-        seen = self.levels().select("back", "search", "node")
-        steps = sized_join(steps, seen, ["back", "search", "node"], "left_anti", sum(self.counts))
-        self.counts.append(self.write(steps.select("back", "search", "node", "way"), f"levels/depth={self.depth + 1}")[1])
-        return self.counts[-1]
+        # The steps are dealt by the same key into as many parts as the levels have buckets.
+        return self.write_level(steps.join(self.levels().select(KEY), KEY, "left_anti"))
 
     def meet(self) -> bool:
         """Find the pairs whose newest levels share a vertex; whether there are any."""
@@ -144,7 +192,7 @@ class _Search:
             return self.spark.createDataFrame([], "src bigint, dst bigint, path array<bigint>"), 0
         # A pair may meet in its start at several levels.
         whole = on_way.groupBy("src", "dst").agg(shortest(F.concat(F.array("node"), F.col("way"))))
-        return whole.select("src", "dst", F.col("best.way").alias("path")), n
+        return self.write(whole.select("src", "dst", F.col("best.way").alias("path")), "found")
 
 
 def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int | None = None) -> DataFrame:
@@ -155,8 +203,11 @@ def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int | None = None)
     edges between vertices of the graph are walked.
     """
     search = _Search(graph, pairs, max_hops)
-    search.run()
-    found, n = search.found()
+    try:
+        search.run()
+        found, n = search.found()
+    finally:
+        search.close()
     # A path counts as many rows as it may have vertices.
     joined = sized_join(pairs, found, ["src", "dst"], "left", n * 2 * len(search.counts))
     return joined.select("pair_id", "src", "dst", (F.size("path") - 1).alias("hops"), "path")

@@ -60,3 +60,11 @@ def materialise_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     seen = Observation()
     table = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     return table, seen.get["rows"]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of ours in the shared folder that nothing reads any more."""
+    if "/wayword/" not in path:
+        raise ValueError(f"{path} is no scratch table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
