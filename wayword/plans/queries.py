@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import dates, scores, tags, text
-from ..operators import encode, graph as roads, lexicon, neighbours, paths, posts as post_ops, word_lists, words
+from ..operators import distances, encode, graph as roads, lexicon, neighbours, paths, posts as post_ops, word_lists, words
 from ..session import materialise, scratch_path
 from ..sources import osm, posts as post_files, sinks, text as text_files
 from ..streaming import posts as stream
@@ -373,6 +373,13 @@ def shortest_paths(spark, sf_dir):
     return found.withColumn("path", paths.path_line("path"))
 
 
+@query
+def shortest_by_length(spark, sf_dir):
+    """Paths of the fewest metres for the same requests."""
+    found = distances.shortest_by_length(given.connected_graph(spark, sf_dir), given.path_pairs(spark, sf_dir))
+    return found.withColumn("path", paths.path_line("path"))
+
+
 def _write_map(spark: SparkSession, sf_dir: str, folder: str) -> None:
     for name, tag in (("nodes", "node"), ("ways", "way")):
         elements = given.map_nodes(spark, sf_dir) if tag == "node" else given.map_ways(spark, sf_dir)
