@@ -63,6 +63,28 @@ def test_large_whole_numbers_are_exact():
     assert topk.products(q, np.array([[2.0**30, 5.0]])).tolist() == [[2**60 + 15]]
 
 
+def test_scores_beyond_64_bits_are_clamped(spark):
+    rows = [(0, [1e12, 1.0]), (1, [1e12, 0.0]), (2, [-1e12, 0.0]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(df, F.col("id") == 0, k=3).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 2**63 - 1), (3, 1024 * 1024 * 10**12 + 1024 * 1024), (2, -(2**63 - 1))]
+
+
+@pytest.mark.parametrize("size", [1e-200, 5e-324, 1e-30, 1e200])
+def test_near_search_of_tiny_and_huge_vectors(spark, size):
+    """Their squares are 0 or infinite, but they are neither null nor zero."""
+    rng = np.random.default_rng(7)
+    rows = [(i, (size * np.sign(v)).tolist()) for i, v in enumerate(rng.standard_normal((30, 4)))]
+    rows += [(100, [1.0, 2.0, 3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.near_search(df, F.col("id").isin(0, 100), k=30).collect()
+    assert len(got) == 60
+    scores = {i: float(sum(a * b for a, b in zip(v, [1.0, 2.0, 3.0, 4.0]))) for i, v in rows}
+    found = [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == 100]
+    want = sorted(((i, s) for i, s in scores.items() if i != 100), key=lambda x: (-x[1], x[0]))
+    assert [s for _, s in found] == pytest.approx([s for _, s in want], rel=1e-12)
+
+
 def test_blocks_and_salts_give_the_same(spark, monkeypatch):
     rows = listed(vectors(200))
     df = frame(spark, rows).repartition(3)

@@ -96,6 +96,11 @@ def test_language(spark):
     assert ("g", "de") in found  # nothing is known: the first language by name
 
 
+def test_only_letters_make_words():
+    assert language.words("½ ² ① ⅷ") == []
+    assert language.words("x² m½n Ab_c1d ªº") == ["x", "m", "n", "ab", "c", "d", "ªº"]
+
+
 def test_language_backs_off_by_length():
     table = np.log(np.array([[0.9, 0.1], [0.2, 0.8]]))
     model = language.Model(["a", "b"], {"known": 0}, {" k": 1, "kn": 0}, table)

@@ -50,12 +50,17 @@ def lines(dim: int, n_lines: int, seed: int) -> np.ndarray:
 
 
 def index_shards(shards: DataFrame, n_lines: int, seed: int) -> DataFrame:
-    """Adds ``longest`` (the largest norm) and, line after line, the sorted projections and who they belong to."""
+    """Adds ``longest`` and, line after line, the sorted projections and who they belong to.
+
+    ``longest`` is the largest norm in units of the shard's largest component.
+    """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 _, x = unpack(row)
+                # In units of the largest component no square of it is lost or too large, so the longest norm is 1 or more.
+                x = x / np.abs(x).max()
                 norms = np.sqrt((x * x).sum(axis=1))
                 longest = float(norms.max())
                 lift = np.sqrt(np.maximum(longest**2 - norms**2, 0))
@@ -154,7 +159,8 @@ def near_search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                 owners = np.frombuffer(row["owners"], dtype=np.int64).reshape(n_lines, n)
                 longest = row["longest"]
                 # A query's length does not change the order of its neighbours.
-                unit = q / np.sqrt((q * q).sum(axis=1, keepdims=True))
+                unit = q / np.abs(q).max(axis=1, keepdims=True)
+                unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
                 at = (unit * longest) @ lines(row["dim"] + 1, n_lines, seed)[:-1]
                 # One more, as the query may be in the shard itself.
                 wanted = min(n, SPARE * k + 1 + int(np.ceil(verified * n)))
@@ -167,7 +173,7 @@ def near_search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                     if len(near) > k:
                         # What can be among the best, whatever the last bits are.
                         bound = np.partition(rough, len(near) - k)[len(near) - k]
-                        keep = rough >= bound - 1e-9 * (np.abs(rough).max() + longest * np.sqrt(q[i] @ q[i]))
+                        keep = rough >= bound - 1e-9 * (np.abs(rough).max() + longest * np.abs(x).max() * np.abs(q[i]).sum())
                         near, vectors = near[keep], vectors[keep]
                     # Summed row by row in one order, so that equal vectors have equal scores.
                     scores = (vectors * q[i]).sum(axis=1)

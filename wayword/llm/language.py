@@ -40,8 +40,11 @@ UNKNOWN = "und"
 
 
 def words(text: str | None) -> list[str]:
-    """Runs of letters, in lower case."""
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters, in lower case; numbers of any kind (as in ``x²`` or ``½``) end a word."""
+    found = WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [word for run in found for word in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def grams(word: str, length: int) -> list[str]:

@@ -2,7 +2,8 @@
 
 Vectors that are null, empty, or hold a null or non-finite component take no part, neither do rows without an id. Of
 rows that share an id the smallest vector counts. Only vectors of the same length are compared. Ties go to the smaller
-id. Without queries or candidates the result is empty. Other columns are not read.
+id. Without queries or candidates the result is empty. Other columns are not read. A score beyond 64 bits counts as the
+largest or smallest one and ties with others beyond them.
 """
 
 from __future__ import annotations
@@ -19,14 +20,18 @@ from .vectors import QUERY_BLOCK, SHARD, merge_top, pack, tile_lists, tiles, unp
 # Sums of whole numbers are exact in a double below this.
 EXACT = 2.0**53
 
+# Scores are clamped to this, so that their negative is a 64-bit number too.
+MOST = 2**63 - 1
+
 
 def products(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Integer inner products of whole-numbered matrices, as int64."""
+    """Integer inner products of whole-numbered matrices, as int64; beyond it the largest or smallest of them."""
     bound = np.abs(queries).max(initial=0) * np.abs(shard).max(initial=0) * queries.shape[1]
     if bound < EXACT:
         return (queries @ shard.T).astype(np.int64)
-    exact = queries.astype(np.int64).astype(object) @ shard.astype(np.int64).astype(object).T
-    return exact.astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    exact = whole(queries) @ whole(shard).T
+    return np.clip(exact, -MOST, MOST).astype(np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
