@@ -133,6 +133,35 @@ SUBJECTIVITY = f"""
     SELECT c."user", c.date, c.tweet, coalesce(m.subjectivity, 0) AS subjectivity
     FROM ({CLEAN}) c LEFT JOIN ({_mean('subjectivity', CLEAN)}) m USING (tweet)"""
 
+MODIFIERS = "VALUES " + ", ".join(
+    [f"('{w}', CAST({p} AS DOUBLE), NULL, NULL)" for w, (p, _) in given.LEXICON.items() if w not in given.MODIFIERS]
+    + [f"('{w}', NULL, CAST({f} AS DOUBLE), {r})" for w, (f, r) in given.MODIFIERS.items()]
+)
+HELD = "CASE WHEN x.pos <= s.until THEN s.held ELSE 1.0::DOUBLE END"
+MODIFIED = f"""
+    SELECT c."user", c.date, c.tweet, coalesce(m.polarity, 0) AS polarity
+    FROM ({CLEAN}) c LEFT JOIN (
+      SELECT tweet, CASE WHEN r.n > 0 THEN r.total / r.n ELSE 0 END AS polarity
+      FROM (
+        SELECT tweet, list_reduce(items, lambda s, x: {{
+            'total': s.total + CASE WHEN x.factor IS NULL THEN greatest(least(x.value * {HELD}, 1), -1) ELSE 0 END,
+            'n': s.n + CASE WHEN x.factor IS NULL THEN 1 ELSE 0 END,
+            'held': CASE WHEN x.factor IS NULL THEN 1 ELSE x.factor * {HELD} END,
+            'until': CASE WHEN x.factor IS NULL THEN -1 ELSE x.pos + 1 + x.reach END,
+            'pos': x.pos, 'value': x.value, 'factor': x.factor, 'reach': x.reach}}, empty) AS r
+        FROM (
+          SELECT tweet,
+                 {{'total': 0.0::DOUBLE, 'n': 0::BIGINT, 'held': 1.0::DOUBLE, 'until': -1::BIGINT, 'pos': 0::BIGINT,
+                   'value': 0.0::DOUBLE, 'factor': 0.0::DOUBLE, 'reach': 0::BIGINT}} AS empty,
+                 list({{'total': 0.0::DOUBLE, 'n': 0::BIGINT, 'held': 1.0::DOUBLE, 'until': -1::BIGINT, 'pos': pos,
+                        'value': value, 'factor': factor, 'reach': reach::BIGINT}} ORDER BY pos) AS items
+          FROM (
+            SELECT tweet, unnest(w) AS word, generate_subscripts(w, 1)::BIGINT AS pos
+            FROM (SELECT tweet, string_split(tweet, ' ') AS w FROM (SELECT DISTINCT tweet FROM ({CLEAN}))))
+          JOIN ({MODIFIERS}) k(word, value, factor, reach) USING (word)
+          GROUP BY tweet))
+    ) m USING (tweet)"""
+
 SINK_ROWS = f"""
     SELECT {_parsed('t.time')} AS posted_at, t.tweet AS post, t.topic,
            CAST(sign(coalesce(m.polarity, 0)) AS INTEGER) AS sentiment
@@ -270,6 +299,8 @@ ORACLE: dict[str, str] = {
     "post_polarity": POLARITY,
     "post_polarity_by_join": POLARITY,
     "post_subjectivity": SUBJECTIVITY,
+    "modified_polarity": MODIFIED,
+    "modified_polarity_by_join": MODIFIED,
     "score_classes": f"""
         SELECT event_id, score, {_classes('score')} AS sentiment
         FROM (SELECT event_id, value / (value + 20) AS score FROM events)""",

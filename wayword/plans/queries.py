@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import dates, scores, tags, text
-from ..operators import distances, encode, graph as roads, lexicon, neighbours, paths, posts as post_ops, word_lists, words
+from ..operators import distances, encode, graph as roads, lexicon, modified, neighbours, paths, posts as post_ops, word_lists, words
 from ..session import materialise, scratch_path
 from ..sources import osm, posts as post_files, sinks, text as text_files
 from ..streaming import posts as stream
@@ -185,6 +185,19 @@ def post_subjectivity(spark, sf_dir):
     return lexicon.subjectivity(_clean(spark, sf_dir), given.LEXICON)
 
 
+@query
+def modified_polarity(spark, sf_dir):
+    """Words strengthen, weaken or turn the values of those after them."""
+    return modified.modified_polarity(_clean(spark, sf_dir), given.LEXICON, given.MODIFIERS)
+
+
+@query
+def modified_polarity_by_join(spark, sf_dir):
+    """The same with tables that are joined, as is done for very large ones."""
+    tables = given.lexicon_table(spark), given.modifier_table(spark)
+    return modified.modified_polarity(_clean(spark, sf_dir), *tables, by_join=True)
+
+
 @query
 def score_classes(spark, sf_dir):
     events = given.table(spark, sf_dir, "events").selectExpr("event_id", "value / (value + 20) AS score")

@@ -44,6 +44,17 @@ LEXICON = {
     "you": (0.625, 0.25),
 }
 
+# Powers of two, so that products are exact: factor, and how many other words may stand in between.
+MODIFIERS = {
+    "er": (2.0, 0),
+    "re": (0.5, 2),
+    "ou": (-0.5, 1),
+    "les": (-1.0, 3),
+    "un": (4.0, 1),
+    "thon": (-2.0, 0),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -163,5 +174,9 @@ def lexicon_table(spark: SparkSession) -> DataFrame:
     )
 
 
+def modifier_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(w, f, r) for w, (f, r) in MODIFIERS.items()], "word string, factor double, reach int")
+
+
 def topic_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TOPICS.items()), "topic string, terms array<string>")
