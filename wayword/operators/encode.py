@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import os
+import uuid
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.lookup import lookup
@@ -15,6 +18,11 @@ from .per_text import KEY, per_text
 from .skew import sized_join
 from .word_lists import LITERAL_BYTES, LITERAL_WORDS, small_rows
 
+Predict = Callable[[np.ndarray], np.ndarray]
+
+# The model that this Python worker has loaded last, by the call that asked for it.
+_LOADED: dict[str, Predict] = {}
+
 # word -> id, or a table with the columns word, id
 Vocabulary = Mapping[str, int] | DataFrame
 
@@ -79,3 +87,38 @@ def score_with_model(
     ids = F.coalesce("ids", F.array().cast("array<int>"))
     scored = encoded.withColumn("score", score(pad_pre(ids, length)))
     return scored.withColumn("sentiment", sentiment_from_score(F.col("score")))
+
+
+def loaded(key: str, load: Callable[[], Predict]) -> Predict:
+    """The model of a call, loaded the first time that this worker needs it; an earlier call's model is let go."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = load()
+    return _LOADED[key]
+
+
+def score_with_model_file(
+    encoded: DataFrame, model_file: str, load: Callable[[str], Predict], length: int = MODEL_LENGTH
+) -> DataFrame:
+    """``score_with_model`` for a model that is a file, of any size.
+
+    Every executor fetches the file once, from any store that Spark reads, and ``load`` makes the model from its path
+    there, once for each Python worker. Tasks carry only ``load`` and the file's name, by which Spark knows it: two
+    different files of a session need different names.
+    """
+    key = uuid.uuid4().hex
+    encoded.sparkSession.sparkContext.addFile(model_file)
+    name = os.path.basename(model_file)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = loaded(key, lambda: load(SparkFiles.get(name)))
+        for padded in batches:
+            if padded.empty:
+                yield pd.Series([], dtype="float64")
+            else:
+                yield pd.Series(np.asarray(predict(np.stack(padded.to_numpy())), dtype="float64").reshape(-1))
+
+    ids = F.coalesce("ids", F.array().cast("array<int>"))
+    scored = encoded.withColumn("score", score(pad_pre(ids, length)))
+    return scored.withColumn("sentiment", sentiment_from_score(F.col("score")))

@@ -16,7 +16,7 @@ from ..operators.words import TOP_K, common_counts, word_count
 from ..sources.osm import read_nodes, read_ways
 from ..sources.posts import read_posts_in_splits
 from ..sources.sinks import (
-    next_id, with_row_id, write_adjacency, write_counts, write_paths, write_table, write_topk,
+    append_with_ids, next_id, with_row_id, write_adjacency, write_counts, write_paths, write_table, write_topk,
 )
 from ..sources.text import read_lines, read_pairs, read_tagged, read_topics, read_word_list
 from ..streaming.posts import batch_folder_writer, sink_rows, write_batches
@@ -63,6 +63,11 @@ def archive_posts(scored: DataFrame, target: str, mode: str = "overwrite", **opt
     write_table(with_row_id(to_sink_rows(scored), start), target, mode, **options)
 
 
+def append_posts(scored: DataFrame, target: str, **options: str) -> int:
+    """Append scored posts to the sink table; any number of jobs may do so at the same time."""
+    return append_with_ids(to_sink_rows(scored), target, **options)
+
+
 def stream_posts(
     posts: DataFrame, stop: WordList, topics: Topics, lexicon: Lexicon, target: str, checkpoint: str,
     available_now: bool = False,

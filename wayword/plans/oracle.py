@@ -318,6 +318,7 @@ ORACLE: dict[str, str] = {
     "numbered_sink_rows": f"""
         SELECT row_number() OVER (ORDER BY posted_at, topic, sentiment, post) AS id, * FROM ({SINK_ROWS})""",
     "archived_posts": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
+    "appended_posts": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
     "post_job": f"SELECT *, CAST(1 AS BIGINT) AS rows_with_id FROM ({SINK_ROWS})",
     "csv_posts": CLEAN,
     "csv_posts_in_splits": CLEAN,
@@ -350,4 +351,5 @@ ORACLE: dict[str, str] = {
     "osm_adjacency_lines": f"SELECT line FROM ({ADJACENCY})",
     "path_file_lines": f"SELECT coalesce(path, '') AS line FROM ({PATHS})",
 }
+ORACLE["loaded_model_scores"] = ORACLE["model_scores"]
 ORACLE["encoded_tokens_by_join"] = ORACLE["encoded_tokens"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -240,6 +242,21 @@ def model_scores(spark, sf_dir):
     return scored.select("doc_id", "score", "sentiment")
 
 
+@query
+def loaded_model_scores(spark, sf_dir):
+    """The same stand-in model, read from a file by every worker."""
+    folder = scratch_path(spark, "model")
+    spark.createDataFrame([(json.dumps({"modulus": 1000}),)], "value string").coalesce(1).write.text(folder)
+    (model,) = spark.read.text(folder).inputFiles()
+
+    def load(file: str) -> Callable[[np.ndarray], np.ndarray]:
+        modulus = json.loads(Path(file).read_text())["modulus"]
+        return lambda ids: ids.sum(axis=1) % modulus / modulus
+
+    scored = encode.score_with_model_file(_encoded(spark, sf_dir).select("doc_id", "ids"), model, load)
+    return scored.select("doc_id", "score", "sentiment")
+
+
 @query
 def sentiment_sink_rows(spark, sf_dir):
     return _sink_rows(spark, sf_dir)
@@ -266,6 +283,18 @@ def archived_posts(spark, sf_dir):
     return _with_id_check(spark.read.parquet(archive))
 
 
+@query
+def appended_posts(spark, sf_dir):
+    """Sink rows of four topics, appended by four writers at the same time."""
+    folder = scratch_path(spark, "appended")
+    scored = post_ops.tag_and_score(_clean(spark, sf_dir), given.TOPICS, given.LEXICON)
+    scored = materialise(scored, f"{folder}/scored")
+    with ThreadPoolExecutor(len(given.TOPICS)) as writers:
+        parts = [scored.where(F.col("topic") == topic) for topic in given.TOPICS]
+        list(writers.map(lambda part: jobs.append_posts(part, f"{folder}/archive"), parts))
+    return _with_id_check(spark.read.parquet(f"{folder}/archive").drop("append"))
+
+
 def _with_id_check(rows: DataFrame) -> DataFrame:
     """Each row with the number of rows that share its id instead of the id, which has gaps."""
     return rows.withColumn("rows_with_id", F.count("*").over(Window.partitionBy("id"))).drop("id")

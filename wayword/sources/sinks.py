@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -67,6 +70,59 @@ def next_id(spark: SparkSession, target: str, format: str = "parquet", table: bo
     return 1 if largest is None else largest + 1
 
 
+# Ids that one append may give out.
+ID_BLOCK = 1 << 40
+
+
+def _create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if there is one already, also if another process creates it at the same time."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    whole = fs.makeQualified(target).toUri()
+    if whole.getScheme() == "file":  # Hadoop looks and then creates there; the system call does both in one
+        try:
+            os.close(os.open(whole.getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
+def reserve_block(spark: SparkSession, target: str, format: str = "parquet", **options: str) -> int:
+    """The number of a block of ids that no other append to ``target`` has: ids from ``number * ID_BLOCK`` on.
+
+    Every block has a file in the folder ``_ids`` of the target, which the store creates for one caller only. So any
+    number of writers may ask at the same time, without a lock. A block is never given twice, even if its append fails.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_ids")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    taken = [int(f.getPath().getName()) for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    # The first block lies above the ids of appends that reserved nothing.
+    number = max(taken) + 1 if taken else -(-next_id(spark, target, format, **options) // ID_BLOCK)
+    while not _create_once(spark, f"{target}/_ids/{number}"):
+        number += 1
+    return number
+
+
+def append_with_ids(rows: DataFrame, target: str, format: str = "parquet", **options: str) -> int:
+    """Append rows with an ``id`` that no other row has, whatever else is appended meanwhile; the number of the append.
+
+    Each append writes to a folder of its own, ``append=<number>``, as committers of one folder would clear away each
+    other's files. Readers of ``target`` see the number as the column ``append``.
+    """
+    number = reserve_block(rows.sparkSession, target, format, **options)
+    numbered = with_dense_row_id(rows, start=number * ID_BLOCK)
+    numbered.write.format(format).options(**options).save(f"{target}/append={number}")
+    return number
+
+
 def with_row_id(rows: DataFrame, start: int = 1) -> DataFrame:
     """Add a unique ``id`` that rises from ``start`` with gaps.
 
