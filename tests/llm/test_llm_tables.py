@@ -1,6 +1,7 @@
 """URL filters, mixing and personal data, and the registered queries."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -93,6 +94,52 @@ def test_a_bad_host_stays_a_rule_as_the_table_grows(spark):
     assert got == {"http://spam.example/y": "block", "http://few.example/y": "allow", "http://h1.example/x1": "allow"}
 
 
+def test_equal_bad_urls_with_many_words(spark):
+    """Ten equal bad URLs of 40 words, and again with each word in some good URL too."""
+    words = [f"word{i}" for i in range(40)]
+    rows = [("http://spam.example/" + "/".join(words), True)] * 10
+    index = urls.mine(spark.createDataFrame(rows, "url string, bad boolean"))
+    asked = [("http://x.net/word7",), ("http://x.net/other",), ("http://spam.example/",)]
+    got = {r["url"]: r["verdict"] for r in urls.judge(spark.createDataFrame(asked, "url string"), index, []).collect()}
+    assert got == {"http://x.net/word7": "block", "http://x.net/other": "allow", "http://spam.example/": "block"}
+    assert {r["confidence"] for r in index.collect()} == {1.0} and index.count() == 42
+
+
+def brute_rules(rows, min_count, min_confidence):
+    """All sets of tokens with enough bad URLs and confidence, but those with a proper subset as confident."""
+    sets = [(frozenset(t), bad) for t, bad in rows]
+    tokens = sorted(set().union(*(s for s, _ in sets)))
+    rules = {}
+    for size in range(1, len(tokens) + 1):
+        for combination in itertools.combinations(tokens, size):
+            wanted = frozenset(combination)
+            labels = [bad for s, bad in sets if wanted <= s]
+            if sum(labels) >= min_count and sum(labels) / len(labels) >= min_confidence:
+                rules[wanted] = sum(labels) / len(labels)
+    return {r: c for r, c in rules.items() if not any(o < r and rules[o] >= c for o in rules)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mined_verdicts_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    words = list("abcdefgh")
+    texts = []
+    for _ in range(60):
+        chosen = [w for w in words if rnd.random() < 0.4]
+        chosen += ["x", "y"] if "a" in chosen else []  # always together
+        texts.append((chosen, "b" in chosen and "c" in chosen and rnd.random() < 0.8 or rnd.random() < 0.1))
+    rows = [("http://h/" + "/".join(t), bad) for t, bad in texts]
+    index = urls.mine(spark.createDataFrame(rows + rows[:7], "url string, bad boolean"), min_confidence=0.5, min_count=4)
+    sets = [([*t, "host"], bad) for t, bad in texts + texts[:7]]
+    rules = brute_rules(sets, 4, 0.5)
+    asked = [[w for w in [*words, "x", "y"] if rnd.random() < 0.3] for _ in range(80)]
+    frame = spark.createDataFrame([("http://h/" + "/".join(t),) for t in asked], "url string")
+    got = {r["url"]: r["verdict"] for r in urls.judge(frame, index, []).collect()}
+    for t in asked:
+        want = "block" if any(r <= {*t, "host"} for r in rules) else "allow"
+        assert got["http://h/" + "/".join(t)] == want, t
+
+
 def test_nothing_to_mine(spark):
     index = urls.mine(spark.createDataFrame([], "url string, bad boolean"))
     assert index.count() == 0
