@@ -28,15 +28,15 @@ def merge_word_lists(*lists: DataFrame) -> DataFrame:
 def small_rows(table: DataFrame, *text_columns: str) -> list | None:
     """The rows of a table that turns out to be small, otherwise None.
 
-    One job fetches a bounded number of rows, and of an overlong text only its length.
+    Its rows and bytes are counted first, so nothing of a large table is brought together.
     """
-    lengths = [F.octet_length(c).alias(f"{c} bytes") for c in text_columns]
-    texts = {c: F.when(F.octet_length(c) <= LITERAL_WORD_BYTES, F.col(c)) for c in text_columns}
-    rows = table.limit(LITERAL_WORDS + 1).select("*", *lengths).withColumns(texts).collect()
-    sizes = [r[f"{c} bytes"] or 0 for r in rows for c in text_columns]
-    if len(rows) > LITERAL_WORDS or sum(sizes) > LITERAL_BYTES or max(sizes, default=0) > LITERAL_WORD_BYTES:
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns]
+    longest = F.greatest(*lengths, F.lit(0))
+    whole = sum(lengths, F.lit(0).cast("long"))
+    sizes = table.agg(F.count(F.lit(1)).alias("rows"), F.sum(whole).alias("bytes"), F.max(longest).alias("longest")).first()
+    if sizes["rows"] > LITERAL_WORDS or (sizes["bytes"] or 0) > LITERAL_BYTES or (sizes["longest"] or 0) > LITERAL_WORD_BYTES:
         return None
-    return rows
+    return table.collect()
 
 
 def as_literal(words: WordList) -> list[str] | None:
