@@ -5,12 +5,8 @@ import random
 from collections import defaultdict
 
 import pytest
-from oracle_check import DATA, compare, oracle_connection
-from pyspark.sql import functions as F
 
 from wayword.operators import distances, graph as roads, skew
-from wayword.plans import oracle
-from wayword.plans.queries import REGISTRY
 
 
 def brute_force(lengths, src, dst):
@@ -74,27 +70,3 @@ def test_a_longer_way_of_fewer_edges_and_a_bound(spark):
 def test_no_edges_and_no_requests(spark):
     check(spark, [(1, 0.0, 0.0), (2, 0.0, 0.0)], [(7, 8)], [(1, 1), (1, 2)])
     check(spark, [(1, 0.0, 0.0), (2, 0.0, 0.0)], [(1, 2)], [])
-
-
-def test_the_whole_road_map_against_sql(spark):
-    """All requests over the smallest tables; in whole metres, as sines differ in their last bits."""
-    sf_dir = DATA / "sf0.001"
-    sql = f"""
-        WITH RECURSIVE
-        v AS MATERIALIZED (SELECT * FROM ({oracle.CONNECTED})),
-        e AS MATERIALIZED (
-          SELECT src, dst, min(CAST(round({oracle.HAVERSINE} * 1000) AS BIGINT)) AS mm
-          FROM ({oracle.EDGES}) e JOIN v a ON a.id = e.src JOIN v b ON b.id = e.dst WHERE src <> dst GROUP BY src, dst),
-        req AS MATERIALIZED ({oracle.REQUESTS}),
-        reach(start, node, mm) USING KEY (start, node) AS (
-          SELECT DISTINCT src, src, 0::BIGINT FROM req WHERE src IN (SELECT id FROM v) AND dst IN (SELECT id FROM v)
-          UNION
-          SELECT n.start, n.node, n.mm FROM (
-            SELECT r.start, e.dst AS node, min(r.mm + e.mm) AS mm
-            FROM reach r JOIN e ON e.src = r.node GROUP BY r.start, e.dst) n
-          LEFT JOIN recurring.reach o ON o.start = n.start AND o.node = n.node
-          WHERE o.start IS NULL OR n.mm < o.mm)
-        SELECT req.pair_id, req.src, req.dst, round(r.mm / 1000.0::DOUBLE) AS length_m
-        FROM req LEFT JOIN reach r ON r.start = req.src AND r.node = req.dst"""
-    found = REGISTRY["shortest_by_length"](spark, str(sf_dir)).withColumn("length_m", F.round("length_m")).drop("path")
-    assert compare(found, oracle_connection(sf_dir), sql) is None

@@ -41,6 +41,7 @@ def _top_common(stop) -> str:
 
 # Cleansing
 
+# Blanks, noise and joined words of the texts' cleansing.
 BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 NOT_BLANK = r"[^\t-\r\x1c-\x20]"
 NOISE = rf"@{NOT_BLANK}+|https?:{NOT_BLANK}+|http?:{NOT_BLANK}|[^A-Za-z0-9]+"
@@ -75,6 +76,7 @@ def _date_forms(key: str, ts: str, unreadable: str, missing: str) -> str:
 
 
 def _parsed(date: str) -> str:
+    # The forms of dates that are read.
     forms = (
         (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}", "%Y-%m-%d %H:%M:%S"),
         (r"\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}", "%d-%m-%Y %H:%M"),
@@ -218,6 +220,7 @@ ADJACENCY = f"""
              list_sort(list(DISTINCT e.dst) FILTER (e.dst IS NOT NULL)), ' '), '') AS line
     FROM ({CONNECTED}) v LEFT JOIN ({EDGES}) e ON e.src = v.id
     GROUP BY v.id"""
+# Fixed value: the radius of the earth in kilometres.
 HAVERSINE = """
     2 * 6371 * 1000 * asin(sqrt(
       pow(sin(radians(b.lat - a.lat) / 2), 2)
@@ -262,6 +265,35 @@ PATHS = f"""
            array_to_string(g.path, ' -> ') AS path
     FROM req LEFT JOIN grown g ON g.start = req.src AND g.node = req.dst"""
 
+# The way of the fewest hops bounds how far a start has to be followed.
+DISTANCES = f"""
+    WITH RECURSIVE
+    v AS MATERIALIZED (SELECT * FROM ({CONNECTED})),
+    e AS MATERIALIZED (
+      SELECT src, dst, min(CAST(round({HAVERSINE} * 1000) AS BIGINT)) AS mm
+      FROM ({EDGES}) e JOIN v a ON a.id = e.src JOIN v b ON b.id = e.dst WHERE src <> dst GROUP BY src, dst),
+    req AS MATERIALIZED ({REQUESTS}),
+    visits(start, node, mm) USING KEY (start, node) AS (
+      SELECT DISTINCT src, src, 0::BIGINT FROM req WHERE src IN (SELECT id FROM v) AND dst IN (SELECT id FROM v)
+      UNION
+      SELECT n.start, n.node, n.mm FROM (
+        SELECT r.start, e.dst AS node, min(r.mm + e.mm) AS mm
+        FROM visits r JOIN e ON e.src = r.node GROUP BY r.start, e.dst) n
+      ANTI JOIN recurring.visits o ON o.start = n.start AND o.node = n.node),
+    bound AS MATERIALIZED (
+      SELECT start, max(mm) AS most FROM req JOIN visits ON start = src AND node = dst GROUP BY start),
+    reach(start, node, mm) USING KEY (start, node) AS (
+      SELECT start, start, 0::BIGINT FROM bound
+      UNION
+      SELECT n.start, n.node, n.mm FROM (
+        SELECT r.start, e.dst AS node, min(r.mm + e.mm) AS mm
+        FROM reach r JOIN e ON e.src = r.node JOIN bound b ON b.start = r.start
+        WHERE r.mm + e.mm <= b.most GROUP BY r.start, e.dst) n
+      LEFT JOIN recurring.reach o ON o.start = n.start AND o.node = n.node
+      WHERE o.start IS NULL OR n.mm < o.mm)
+    SELECT req.pair_id, req.src, req.dst, round(r.mm / 1000.0::DOUBLE) AS length_m
+    FROM req LEFT JOIN reach r ON r.start = req.src AND r.node = req.dst"""
+
 ORACLE: dict[str, str] = {
     "word_count": COUNTS,
     "counts_by_source": BY_SOURCE,
@@ -347,6 +379,7 @@ ORACLE: dict[str, str] = {
     "adjacency": ADJACENCY,
     "edge_lengths": LENGTHS,
     "shortest_paths": PATHS,
+    "shortest_by_length": DISTANCES,
     "osm_road_edges": EDGES,
     "osm_adjacency_lines": f"SELECT line FROM ({ADJACENCY})",
     "path_file_lines": f"SELECT coalesce(path, '') AS line FROM ({PATHS})",
