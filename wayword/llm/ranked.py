@@ -101,15 +101,15 @@ def terms_of_items(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     ).withColumn("bytes", F.aggregate("terms", F.lit(0).cast("long"), lambda s, t: s + F.octet_length(t) + 2))
 
 
-def packs_of(items: DataFrame, pack_bytes: int) -> tuple[DataFrame, int]:
-    """``items`` with a column ``pack``, and how many packs there are; no pack of several items is above the bound."""
+def packs_of(items: DataFrame, pack_bytes: int) -> tuple[DataFrame, list[int]]:
+    """``items`` with a column ``pack``, and the packs; none with several items is above the bound."""
     total = items.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     n = max(1, math.ceil(2 * total / pack_bytes))
     while True:
         packed = items.withColumn("pack", F.pmod(F.xxhash64("item"), F.lit(n)))
         sizes = packed.groupBy("pack").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("items"))
         if n == 1 or sizes.where((F.col("bytes") > pack_bytes) & (F.col("items") > 1)).isEmpty():
-            return packed, n
+            return packed, [r["pack"] for r in sizes.select("pack").collect()]
         n *= 2
 
 
@@ -226,13 +226,11 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     spark = docs.sparkSession
     item_type = items.schema[item_col].dataType
     described = materialise(terms_of_items(items, item_col, item_text_col), scratch_path(spark, "ranked-items"))
-    packed, n_packs = packs_of(described, pack_bytes)
+    packed, packs = packs_of(described, pack_bytes)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     best = spark.createDataFrame([], f"item {item_type.simpleString()}, doc bigint, score bigint")
-    for number in range(n_packs):
+    for number in sorted(packs):
         rows = packed.where(F.col("pack") == number).select("item", "terms").collect()
-        if not rows:
-            continue
         pack = spark.sparkContext.broadcast(Pack([tuple(r) for r in rows]))
         n_docs, n_all, holding = corpus_counts(texts, pack)
         if not n_all:
