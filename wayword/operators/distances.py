@@ -68,17 +68,18 @@ class _Labels:
         writer.option("path", f"{self.folder}/bucketed").saveAsTable(f"{self.name}_edges")
         return max(1, round(1000 * width_m if width_m else WIDTH * (seen.get["mean"] or 0)))
 
-    def add(self, labels: DataFrame) -> int:
-        """Write the labels of a round; how many there are."""
+    def add(self, labels: DataFrame, limit: int = 0) -> int:
+        """Write the labels of a round; how many of them are below the limit."""
         seen = Observation()
+        below = F.count_if(F.col("best.length") < limit).alias("below")
         size = F.coalesce(F.sum(F.size("best.way") * 8 + 40), F.lit(0)).alias("bytes")
-        counted = labels.select(*KEY, "best").observe(seen, F.count(F.lit(1)).alias("rows"), size)
+        counted = labels.select(*KEY, "best").observe(seen, below, size)
         writer = counted.withColumn("round", F.lit(self.rounds)).write.format("parquet").mode("append")
         writer = writer.partitionBy("round").bucketBy(self.n_buckets, *KEY)
         writer.option("path", f"{self.folder}/labels").saveAsTable(f"{self.name}_labels")
         self.rounds += 1
         self.bytes = seen.get["bytes"]
-        return seen.get["rows"]
+        return seen.get["below"]
 
     def labels(self) -> DataFrame:
         return self.spark.table(f"{self.name}_labels")
@@ -87,8 +88,8 @@ class _Labels:
         """The best label of every search and vertex; rows are grouped where they lie."""
         return self.labels().groupBy(*KEY).agg(F.min("best").alias("best"))
 
-    def relax(self, front: DataFrame, small: bool) -> int:
-        """Send steps along the edges of ``front``; how many labels became better."""
+    def relax(self, front: DataFrame, small: bool, limit: int) -> int:
+        """Send steps along the edges of ``front``; how many labels below the limit became better."""
         front = replicate(front, n_salts(["node"], self.hot)).withColumnRenamed("_salt", "salt")
         edges = self.spark.table(f"{self.name}_edges")
         met = edges.join(F.broadcast(front) if small else front, ["node", "salt"])
@@ -98,7 +99,7 @@ class _Labels:
         steps = met.select("search", F.col("to").alias("node"), further.alias("step"))
         steps = steps.groupBy(*KEY).agg(F.min("step").alias("step"))
         known = steps.join(self.best(), KEY, "left").where("best IS NULL OR step < best")
-        return self.add(known.select(*KEY, F.col("step").alias("best")))
+        return self.add(known.select(*KEY, F.col("step").alias("best")), limit)
 
     def still_open(self, labels: DataFrame) -> DataFrame:
         """Labels of searches with an open pair."""
@@ -117,13 +118,11 @@ class _Labels:
             first = waiting.agg(F.min("best.length")).first()[0]
             limit = (first // self.width + 1) * self.width
             front = waiting.where(F.col("best.length") < limit)
-            better = self.relax(front, self.bytes_of(front) <= FRONT_BYTES)
+            better = self.relax(front, self.bytes_of(front) <= FRONT_BYTES, limit)
             while better:
                 last = self.labels().where(F.col("round") == self.rounds - 1).drop("round")
                 last = self.still_open(last.where(F.col("best.length") < limit))
-                if last.isEmpty():
-                    break
-                better = self.relax(last, self.bytes <= FRONT_BYTES)
+                better = self.relax(last, self.bytes <= FRONT_BYTES, limit)
             self.settle(limit, most)
 
     def bytes_of(self, front: DataFrame) -> int:
