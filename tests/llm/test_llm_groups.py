@@ -285,8 +285,10 @@ def met_by_length(spark, cases):
                 b[i] = fresh()
             rows.append((n, d, a, b))
     df = spark.createDataFrame(rows, "n int, d int, a array<string>, b array<string>")
-    keys = [lines.keys_of(lines.hashes_of(F.col(c)), F.size(c)) for c in "ab"]
-    met = df.select("n", "d", F.arrays_overlap(*keys).cast("int").alias("met")).groupBy("n", "d").agg(F.avg("met"))
+    for c in "ab":
+        df = lines.with_keys(df.withColumn("hashes", lines.hashes_of(F.col(c)))).withColumnRenamed("keys", f"keys_{c}")
+        df = df.drop("hashes")
+    met = df.select("n", "d", F.arrays_overlap("keys_a", "keys_b").cast("int").alias("met")).groupBy("n", "d").agg(F.avg("met"))
     return {(r[0], r[1]): r[2] for r in met.collect()}
 
 

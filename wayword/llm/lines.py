@@ -3,15 +3,17 @@
 1. A line is normalised to its words (in lower case, parted by blanks, tabs or carriage returns; a character of a script
    that is written without blanks is a word). Lines of fewer than ``min_words`` words are left alone; equal lines of any
    other length meet by their hashes.
-2. Lines of fewer than ``FEW_WORDS`` words meet for certain: of such lines at most two words may differ, so each is looked
-   up with none, one or two of its words left out, whatever their order. Lines of fewer than 5 words allow no edit.
+2. Lines of fewer than ``FEW_WORDS`` words meet for certain. Where one word may differ (5 to 9 words), a line is looked up
+   with none or one of its words left out. Where two may (10 to 14), the shorter line is cut into three runs of words;
+   two edits leave one of them whole (pigeonhole), and the longer line is looked up by the words that may be that run.
 3. Lines of ``LONG_WORDS`` words or more get samples: ``ORDERS`` SimHashes of 60 bits, each made of five of the line's
    distinct words, those that come first in an order of its own (the circle of word hashes, begun at another mark); their
    bits are cut into ``BLOCKS`` blocks, and SimHashes that differ in fewer bits than there are blocks agree on one
-   (pigeonhole). Then ``ORDERS`` times ``SAMPLE`` words in the order of the hashes turned by each of ``TURNS`` bits. Lines
-   are hashed where they are read; no text is moved.
+   (pigeonhole). Then ``SAMPLES`` times ``SAMPLE`` words: of lines with many words after other marks of the circle, of
+   lines with few words in the order of the hashes turned by each of ``TURNS`` bits. Lines are hashed where they are read;
+   no text is moved.
 4. Lines that meet are verified: the edit similarity of all their words must reach ``SIMILARITY`` (one minus the edit
-   distance, as a share of the longer line). Before, pairs go whose lengths or parities of words exclude it.
+   distance, as a share of the longer line). Before, pairs go whose lengths exclude it.
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
 Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
@@ -31,18 +33,26 @@ from .components import by_count, connected
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-ORDERS = 4
+ORDERS = 2
 BLOCKS = 2
-HUBS = 2
 
 # Lines of fewer words are looked up with words left out; from so many words on lines have samples. A line of
 # ``FEW_WORDS`` words is similar to one of ``LONG_WORDS`` words at the least.
 FEW_WORDS = 15
 LONG_WORDS = 12
 
-# Further samples: words in each, and the bits by which the hashes are turned.
+# Further samples: how many, the words in each, and the bits by which the hashes are turned. Lines of fewer words than
+# ``TURN_WORDS`` (or of fewer distinct ones than ``TURN_DISTINCT``) have samples of turned hashes, lines of ``MARK_WORDS``
+# or more samples after marks. A line of ``TURN_WORDS`` words is similar to one of ``MARK_WORDS`` words at the least.
+SAMPLES = 12
 SAMPLE = 4
 TURNS = (16, 32, 48)
+TURN_WORDS = 60
+MARK_WORDS = 48
+TURN_DISTINCT = 40
+
+# Lines with at least this share of all lines are given their numbers once only; they are ``HOT`` at most.
+HOT = 100_000
 
 # Bits of a SimHash.
 SIM_BITS = 60
@@ -51,6 +61,9 @@ BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
 
 
+# Whether a text may have such a character: the scripts' own pattern costs ten times as much on texts in other scripts.
+PERHAPS_ALONE = r"[\x{0E00}-\x{1FFF}\x{2E80}-\x{10FFFF}]"
+
 # A character of a script without blanks between words, with its marks.
 ALONE = (
     r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]\p{M}*+)"
@@ -60,7 +73,7 @@ ALONE = (
 def lines_of(text: Column) -> Column:
     """The lines of a text, with blanks between words, and around characters that are words."""
     apart = F.regexp_replace(text, ALONE, " $1 ")
-    text = F.when((F.octet_length(text) > F.length(text)) & F.rlike(text, F.lit(ALONE)), apart).otherwise(text)
+    text = F.when((F.octet_length(text) > F.length(text)) & F.rlike(text, F.lit(PERHAPS_ALONE)), apart).otherwise(text)
     for other in ("\t", "\r"):
         text = F.replace(text, F.lit(other), F.lit(" "))
     return F.split(text, BREAK)
@@ -89,21 +102,40 @@ def majority(five: Column) -> Column:
     return most.bitwiseAND(F.lit((1 << SIM_BITS) - 1))
 
 
-def chosen_words(hashes: Column, n: int = 5) -> Column:
-    """For every order the hashes of its first ``n`` words: the circle of hashes is begun at evenly spaced marks.
+def marks_of(n: int, of: int, first: int = 0) -> list[int]:
+    """``n`` marks of the circle of hashes out of ``of`` evenly spaced ones."""
+    return [-(1 << 63) + ((first + k) << 64) // of for k in range(n)]
 
-    Of fewer words the circle is gone round again.
-    """
-    marks = [F.lit(-(1 << 63) + (k << 64) // ORDERS).cast("long") for k in range(1, ORDERS)]
-    marked = F.sort_array(F.array_union(hashes, F.array(*marks)))
 
-    def windows(circle: Column) -> Column:
-        twice = F.concat(circle, circle)
-        starts = [F.lit(1), *(F.array_position(circle, mark).cast("int") for mark in marks)]
-        return F.array(*[F.array_except(F.slice(twice, start, n - 1 + ORDERS), F.array(*marks)) for start in starts])
+SIM_MARKS = marks_of(ORDERS, ORDERS)
+SAMPLE_MARKS = marks_of(SAMPLES, SAMPLES + 1, 1)
+TURN_MARKS = marks_of(SAMPLES // len(TURNS), SAMPLES // len(TURNS))
+ALL_MARKS = sorted(SIM_MARKS + SAMPLE_MARKS)
+
+
+def with_marks(circle: Column, marks: list[int]) -> Column:
+    return F.sort_array(F.concat(circle, F.array(*[F.lit(mark).cast("long") for mark in marks])))
+
+
+def around(circle: Column) -> Column:
+    """A sorted circle as often as windows of five words need."""
+    return F.when(F.size(circle) < 5, F.concat(*[circle] * 6)).otherwise(F.concat(circle, circle))
+
+
+def windows(turns: Column, placed: Column, marks: list[int], among: list[int], n: int) -> list[Column]:
+    """For each of ``marks`` the next ``n`` hashes: of a circle ``around``, and ``with_marks`` of all those ``among``."""
+    # Before the mark of rank k are k marks, which the circle itself does not have.
+    starts = [(F.array_position(placed, F.lit(mark).cast("long")) - among.index(mark)).cast("int") for mark in marks]
+    return [F.slice(turns, start, n) for start in starts]
+
+
+def turned(hashes: Column, turn: int) -> Column:
+    return F.transform(hashes, lambda h: F.shiftleft(h, turn).bitwiseOR(F.shiftrightunsigned(h, 64 - turn)))
+
 
-    around = F.transform(F.array(marked), windows)[0]
-    return F.transform(around, lambda w: F.when(F.size(w) >= n, w).otherwise(F.concat(*[w] * n)))
+def bound(value: Column, use) -> Column:
+    """``use(value)``, with one evaluation of the value."""
+    return F.transform(F.array(value), use)[0]
 
 
 def hashes_of(words: Column) -> Column:
@@ -115,73 +147,96 @@ def simhashes(words: Column) -> Column:
     return simhashes_of(F.array_distinct(hashes_of(words)))
 
 
-def simhashes_of(hashes: Column) -> Column:
-    return F.transform(chosen_words(hashes), majority)
+def simhashes_of(distinct: Column) -> Column:
+    return bound(F.sort_array(distinct), lambda c: F.transform(
+        F.array(*windows(around(c), with_marks(c, SIM_MARKS), SIM_MARKS, SIM_MARKS, 5)), majority
+    ))
 
 
-def sample_keys(hashes: Column) -> Column:
-    """A number for every further sample of distinct words."""
-    keys = []
-    for turn in TURNS:
-        turned = F.transform(hashes, lambda h: F.shiftleft(h, turn).bitwiseOR(F.shiftrightunsigned(h, 64 - turn)))
-        some = F.transform(chosen_words(turned, SAMPLE), lambda w: F.slice(w, 1, SAMPLE))
-        keys.append(F.transform(some, lambda w, k: F.xxhash64(F.lit(turn), k, w)))
-    return F.concat(*keys)
+def sample_keys(windows: list[Column], order: int) -> Column:
+    """A number for every sample of words."""
+    return F.array(*[F.xxhash64(F.lit(order), F.lit(k), w) for k, w in enumerate(windows)])
 
 
-def deletion_keys(hashes: Column, n: Column) -> Column:
-    """A number for the bag of a line's words, and for it without one word, or without two if the edits may be two.
+def run_keys(hashes: Column, n: Column) -> Column:
+    """A number for every run of words by which a line of 8 to 14 words meets others with two edits at most.
 
-    Lines with so few edits keep a bag of words in common that each has here.
+    A line of ``length`` words is cut into three runs. A longer line by ``more`` words has one of them: the first at its
+    place, the last moved by ``more`` words, or the middle one moved so far that neither side needs more than one edit.
+    """
+    runs = []
+    for more in range(3):
+        length = n - more
+        second = F.floor(length / 3).cast("int")
+        third = F.floor(length * 2 / 3).cast("int")
+        moves = [(0, F.lit(0), second, [0]), (1, second, third, range(more - 1, 2)), (2, third, length, [more])]
+        for which, start, end, by in moves:
+            runs += [
+                F.xxhash64(F.lit("run"), length, F.lit(which), F.slice(hashes, start + 1 + move, end - start))
+                for move in by
+            ]
+    # Lines of 8 and 9 words are only looked for by longer ones.
+    return F.slice(F.array(*runs), 1, F.when(n >= 10, len(runs)).otherwise(5))
+
+
+def deletion_keys(hashes: Column) -> Column:
+    """A number for the bag of a line's words, and for it without one word.
+
+    Lines with one edit keep a bag of words in common that each has here.
     """
-    # Sums of fourteen numbers of 55 bits do not overflow. What several steps use is bound first, as an array of one.
+    # Sums of nine numbers of 55 bits do not overflow. What several steps use is bound first, as an array of one.
     small = F.transform(hashes, lambda h: F.shiftrightunsigned(h, 9))
     total = F.aggregate(small, F.lit(0).cast("long"), lambda a, h: a + h)
     bags = F.transform(F.array(F.struct(small.alias("words"), total.alias("total"))), lambda bag: F.concat(
         F.array(bag["total"]), F.transform(bag["words"], lambda h: bag["total"] - h)
-    ))
-    none = F.array().cast("array<bigint>")
-    without = F.transform(bags, lambda bag: F.concat(bag, F.when(n >= 10, F.flatten(F.transform(
-        F.slice(bag, 2, FEW_WORDS), lambda one, i: F.transform(F.slice(bag, i + 3, FEW_WORDS), lambda two: one + two - bag[0])
-    ))).otherwise(none)))[0]
-    return F.array_distinct(F.transform(without, lambda k: F.xxhash64(F.lit("bag"), k)))
-
+    ))[0]
+    return F.array_distinct(F.transform(bags, lambda k: F.xxhash64(F.lit("bag"), k)))
 
-def keys_of(hashes: Column, n: Column) -> Column:
-    """The numbers by which a line meets others; none where no edit is allowed."""
-    none = F.array().cast("array<bigint>")
-    few = F.when(n.between(5, FEW_WORDS - 1), deletion_keys(hashes, n)).otherwise(none)
-    # One evaluation each for the distinct hashes and the SimHashes.
-    distinct = F.array(F.array_distinct(hashes))
-    blocks = F.transform(F.transform(distinct, simhashes_of), block_keys)[0]
-    samples = F.concat(blocks, F.transform(distinct, sample_keys)[0])
-    return F.concat(few, F.when(n >= LONG_WORDS, samples).otherwise(none))
 
+def with_keys(df: DataFrame) -> DataFrame:
+    """``keys``: the numbers by which a line of ``hashes`` meets others; none where no edit is allowed.
 
-def parities(hashes: Column) -> Column:
-    """Two numbers whose bits say whether an odd number of words has it. An edit changes at most two bits of each."""
+    What several numbers use is a column meanwhile, so that it is made once. Of the four orders, the first is that of the
+    hashes themselves.
+    """
+    n, others = F.size("hashes"), [c for c in df.columns]
+    few = (n < TURN_WORDS) | (F.size("_distinct") < TURN_DISTINCT)
+    orders = range(len(TURNS) + 1)
+    marks = [ALL_MARKS] + [TURN_MARKS] * len(TURNS)
+    df = df.select(*others, F.when(n >= LONG_WORDS, F.array_distinct("hashes")).alias("_distinct"))
+    df = df.select(*others, F.sort_array("_distinct").alias("_circle0"), *[
+        F.when(few, F.sort_array(turned(F.col("_distinct"), turn))).alias(f"_circle{k}") for k, turn in enumerate(TURNS, 1)
+    ])
+    df = df.select(
+        *others, *[around(F.col(f"_circle{k}")).alias(f"_around{k}") for k in orders],
+        *[with_marks(F.col(f"_circle{k}"), marks[k]).alias(f"_placed{k}") for k in orders],
+    )
 
-    def one(low: int) -> Column:
-        bit = lambda h: F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, low).bitwiseAND(F.lit(63)).cast("int")
-        )
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h)))
+    def at(k: int, some: list[int], size: int) -> list[Column]:
+        return windows(F.col(f"_around{k}"), F.col(f"_placed{k}"), some, marks[k], size)
 
-    return F.array(one(0), one(6))
+    none = F.array().cast("array<bigint>")
+    keys = [
+        F.when(n.between(4, 9), deletion_keys(F.col("hashes"))),
+        F.when(n.between(8, FEW_WORDS - 1), run_keys(F.col("hashes"), n)),
+        F.when(n >= LONG_WORDS, bound(F.transform(F.array(*at(0, SIM_MARKS, 5)), majority), block_keys)),
+        F.when(n >= MARK_WORDS, sample_keys(at(0, SAMPLE_MARKS, SAMPLE), 0)),
+        *[F.when(F.col(f"_placed{k}").isNotNull(), sample_keys(at(k, TURN_MARKS, SAMPLE), k)) for k in orders[1:]],
+    ]
+    return df.select(*others, F.concat(*[F.coalesce(some, none) for some in keys]).alias("keys"))
 
 
 def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``doc, place, pos, h1, h2, n_words, odd, keys`` for every line that is long enough. No shuffle."""
+    """``doc, place, pos, h1, h2, n_words, keys, row`` for every line that is long enough. No shuffle."""
     rows = df.select(
         F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"),
         F.transform(lines_of(F.col(text_col)), lambda x: hashes_of(words_of(x))).alias("lines"),
     )
     rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "hashes"))
-    rows = rows.where(F.size("hashes") >= max(1, min_words))
+    rows = with_keys(rows.where(F.size("hashes") >= max(1, min_words)))
     return rows.select(
         "doc", "place", "pos", F.xxhash64("hashes").alias("h1"), F.xxhash64(F.lit(1), "hashes").alias("h2"),
-        F.size("hashes").alias("n_words"), parities(F.col("hashes")).alias("odd"),
-        keys_of(F.col("hashes"), F.size("hashes")).alias("keys"),
+        F.size("hashes").alias("n_words"), "keys", F.monotonically_increasing_id().alias("row"),
     )
 
 
@@ -197,11 +252,9 @@ def block_keys(sims: Column) -> Column:
 
 
 def possible(similarity: float) -> Column:
-    """Whether the lengths and parities of two lines allow the similarity."""
+    """Whether the lengths of two lines allow the similarity."""
     longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
-    most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
-    bits = [F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("odd2")[k])) for k in range(2)]
-    return (longer - shorter <= most) & (F.greatest(*bits) <= 2 * most)
+    return longer - shorter <= F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
 
 
 class Lines:
@@ -210,10 +263,9 @@ class Lines:
     def __init__(self, df: DataFrame, key_col: str, text_col: str, min_words: int, similarity: float):
         self.df, self.key_col, self.text_col, self.similarity = df, key_col, text_col, similarity
         self.folder = scratch_path(df.sparkSession, "lines")
-        self.rows = self.write(hashed_lines(df, key_col, text_col, min_words), "rows")
+        self.rows, self.n_rows = self.counted(hashed_lines(df, key_col, text_col, min_words), "rows")
         lines = self.rows.groupBy("h1", "h2").agg(
-            F.count("*").alias("n"), F.first("n_words").alias("n_words"), F.first("odd").alias("odd"),
-            F.first("keys").alias("keys"),
+            F.count("*").alias("n"), F.min("n_words").alias("n_words"), F.min("row").alias("row")
         )
         self.lines = self.write(lines, "distinct")
 
@@ -223,25 +275,32 @@ class Lines:
     def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
         return materialise_counted(df, f"{self.folder}/{name}")
 
-    def buckets(self) -> tuple[DataFrame, int]:
-        """``key, id, size, hubs`` of all buckets with several lines.
+    def keyed(self) -> DataFrame:
+        """``key, h1, h2`` of all lines; of a line that is there very often only the first row."""
+        often = self.lines.where(F.col("n") >= max(2, -(-self.n_rows // HOT))).select("h1", "h2", F.col("row").alias("first"))
+        rows = self.rows.where(F.size("keys") > 0).join(F.broadcast(often), ["h1", "h2"], "left")
+        rows = rows.where(F.col("first").isNull() | (F.col("first") == F.col("row")))
+        return rows.select("h1", "h2", F.explode("keys").alias("key"))
+
+    def buckets(self) -> DataFrame:
+        """``key, id, low, high`` of all buckets with several lines; the hubs are those of the least and greatest ``h1``.
 
-        The rows are dealt out by key once; their groups, and the join of rows and groups, use the same exchange.
+        Keys are aggregated before they are moved, and most are of one line only; then only the rest meets the lines again.
         """
-        spark = self.df.sparkSession
-        keyed = self.lines.select(F.struct("h1", "h2").alias("id"), F.explode("keys").alias("key"))
-        keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
-        hubs = [F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("turn"), "id")).alias(f"hub{turn}") for turn in range(HUBS)]
-        shared = keyed.groupBy("key").agg(F.count("*").alias("size"), *hubs).where("size > 1")
-        shared = shared.select("key", "size", F.array(*[F.col(f"hub{turn}.id") for turn in range(HUBS)]).alias("hubs"))
-        return self.counted(keyed.join(shared, "key").select("key", "id", "size", "hubs"), "buckets")
-
-    def may_match(self, pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` whose lengths and parities allow the similarity."""
-        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "odd")
-        both = pairs.select("a", "b").distinct().join(known.withColumnRenamed("id", "a"), "a")
-        other = known.select(F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("odd").alias("odd2"))
-        return both.join(other, "b").where(possible(self.similarity)).select("a", "b")
+        shared = self.keyed().groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+        shared, n_shared = self.counted(shared.where("low < high"), "shared")
+        members = self.keyed().join(by_count(shared, n_shared), "key").distinct()
+        return self.write(members.select("key", F.struct("h1", "h2").alias("id"), "low", "high"), "buckets")
+
+    def near_hubs(self, buckets: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` of members and hubs whose lengths allow the similarity."""
+        met = buckets.select("id", F.explode(F.array("low", "high")).alias("hub")).where("id.h1 <> hub").distinct()
+        known = self.lines.select("h1", F.struct("h1", "h2").alias("id"), "n_words")
+        both = met.join(known.select("id", "n_words"), "id")
+        hub = known.select(F.col("h1").alias("hub"), F.col("id").alias("b"), F.col("n_words").alias("n_words2"))
+        pairs = both.join(hub, "hub").where(possible(self.similarity))
+        # Two lines that are hubs of each other meet once.
+        return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
     def coded_lines(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
         """``id, line`` of every line of the pairs. Only the documents that hold one are read again."""
@@ -280,30 +339,28 @@ class Lines:
 
     def groups(self) -> tuple[DataFrame, int]:
         """``id, root`` of all lines that are connected to another."""
-        buckets, _ = self.buckets()
-        near = buckets.select(F.col("id").alias("a"), F.explode("hubs").alias("b")).where("a <> b")
-        pairs, n_pairs = self.counted(self.may_match(near), "pairs-hubs")
+        buckets = self.buckets()
+        pairs, n_pairs = self.counted(self.near_hubs(buckets), "pairs-hubs")
         edges = self.verified(pairs, n_pairs, "hubs")
         roots, n_roots = self.counted(connected(edges, "a", "b"), "roots-hubs")
 
         # A bucket of two has met; of a larger one, what is not in the group of the first hub meets all others.
-        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words", "odd")
-        members = buckets.where("size > 2").select("key", "id").join(by_count(roots, n_roots), "id", "left")
+        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words")
+        members = buckets.select("key", "id").join(by_count(roots, n_roots), "id", "left")
         members = self.write(members.withColumn("root", F.coalesce("root", "id")), "members")
         first = members.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min(F.struct(F.xxhash64("id", F.lit(0)), "root")).alias("hub"),
+            F.min(F.struct("id", "root")).alias("hub"), F.count("*").alias("size"),
         )
-        first, n_first = self.counted(first.where("low <> high").select("key", F.col("hub.root").alias("hub")), "apart")
+        first, n_first = self.counted(first.where("low <> high and size > 2").select("key", F.col("hub.root").alias("hub")), "apart")
         open_members = self.write(members.join(by_count(first, n_first), "key").join(known, "id"), "open-members")
         others = open_members.select(
-            "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("odd").alias("odd2"),
-            F.col("root").alias("root2"),
+            "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("root").alias("root2"),
         )
         rest = open_members.where("root <> hub").join(others, "key").where(
             (F.col("root") != F.col("root2")) & possible(self.similarity)
         )
-        rest = rest.select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = rest.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
         rest, n_rest = self.counted(rest, "pairs-rest")
         if not n_rest:
             return roots, n_roots
