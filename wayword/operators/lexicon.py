@@ -85,7 +85,7 @@ def polarity(posts: DataFrame, lexicon: Lexicon, text: str = "tweet", by_join: b
     """Add ``polarity``, the mean over the words the lexicon knows, repeats included; 0 without any.
 
     A lexicon of usual size is part of the plan and a post is scored where it is read, also in a stream. A
-    larger one (or ``by_join``) is joined with the words of the distinct texts. Both add up the values in the
+    larger one (or ``by_join``) is joined with the words of the texts. Both add up the values in the
     order of the words and so agree to the last bit.
     """
     return _score(posts, lexicon, "polarity", text, by_join)

@@ -101,7 +101,7 @@ def modified_polarity(
 
     A modifier has a factor (above 1 strengthens, below weakens, below 0 turns the sign) and a reach. Small tables are
     part of the plan, and a post is scored where it is read; larger ones (or ``by_join``) are joined with the words of the
-    distinct texts. Both read a text from left to right and agree to the last bit. Null texts have polarity 0.
+    texts. Both read a text from left to right and agree to the last bit. Null texts have polarity 0.
     """
     values = None if by_join else literal_lexicon(lexicon)
     changes = None if by_join else literal_modifiers(modifiers)

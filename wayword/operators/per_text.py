@@ -1,4 +1,4 @@
-"""Work on the words of every distinct text once, then hand the outcome to all rows with that text."""
+"""Work on the words of every text, then hand the outcome to the row the text is from."""
 
 from __future__ import annotations
 
@@ -7,27 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, scratch_path
-from .skew import salted_join
 
-KEY = "text_key"
-
-
-def text_key(text: str) -> Column:
-    """32 bytes that stand for a text, so that its words need not carry the text itself."""
-    return F.unhex(F.sha2(F.col(text), 256))
+KEY = "row_key"
 
 
 def per_text(
     df: DataFrame, text: str, split: Column, work: Callable[[DataFrame], DataFrame], how: str = "inner"
 ) -> DataFrame:
-    """Join ``df`` with ``work(words)`` on the text.
+    """Join ``df`` with ``work(words)`` on the row.
 
-    ``words`` has the columns ``text_key, pos, word``: the words of each distinct text as ``split`` makes
-    them. ``work`` returns any number of rows per ``text_key``. Copies of a text are worked on once, and a text
-    that very many rows share is spread over several tasks in the final join. ``df`` is written down first, as
-    it is read several times.
+    ``words`` has the columns ``row_key, pos, word``: the words of each text that is not null, as ``split`` makes them.
+    ``work`` returns any number of rows per ``row_key``. A row is named by a number of eight bytes, so texts are not
+    moved to be told apart, its words lie in one task and are put together there before they are moved, and a text that
+    very many rows share is no group. ``df`` is written down first, as it is read several times.
     """
-    keyed = materialise(df.withColumn(KEY, text_key(text)), scratch_path(df.sparkSession, "per-text"))
-    texts = keyed.select(KEY, text).where(F.col(text).isNotNull()).distinct()
-    words = texts.select(KEY, F.posexplode_outer(split).alias("pos", "word"))
-    return salted_join(keyed, work(words), [KEY], how).drop(KEY)
+    keyed = materialise(df.withColumn(KEY, F.monotonically_increasing_id()), scratch_path(df.sparkSession, "per-text"))
+    words = keyed.where(F.col(text).isNotNull()).select(KEY, F.posexplode_outer(split).alias("pos", "word"))
+    return keyed.join(work(words), KEY, how).drop(KEY)

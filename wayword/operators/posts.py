@@ -39,9 +39,10 @@ def remove_stopwords_by_join(df: DataFrame, text: str, stop: WordList) -> DataFr
         )
         return kept.select(KEY, F.array_join(F.col("kept.word"), " ").alias("_kept"))
 
-    whole = per_text(df, text, tokenize_clean(F.col(text)), without_stop_words, "left")
-    # A text of stop words alone is left empty; a missing text stays missing.
-    left = F.when(F.col(text).isNotNull(), F.coalesce("_kept", F.lit("")))
+    # A text of stop words alone is left empty; a missing text stays missing. The text itself is not moved.
+    flagged = df.withColumn("_there", F.col(text).isNotNull())
+    whole = per_text(flagged, text, tokenize_clean(F.col(text)), without_stop_words, "left")
+    left = F.when(F.col("_there"), F.coalesce("_kept", F.lit("")))
     return whole.withColumn(text, left).select(df.columns)
 
 
@@ -127,7 +128,7 @@ def tag_topics(posts: DataFrame, topics: Topics, by_join: bool = False) -> DataF
 
     Posts without a topic and posts without text are dropped, copies of a post are kept. The usual short
     dictionary is part of the plan, so that a post is tagged where it is read. A longer one (or ``by_join``)
-    is joined with the distinct tokens of the distinct texts.
+    is joined with the distinct tokens of every text.
     """
     lists = None if by_join else _topic_lists(topics)
     if lists:
