@@ -149,6 +149,26 @@ def test_encode_tokens(spark, texts, by_join):
     assert got == {"b a zz a": [2, 1, 1], "zz": [], "": []}
 
 
+def test_encode_with_the_smallest_ids_broadcast(spark, texts, monkeypatch):
+    """Any ids, shared and negative ones too; the words of a text are put together without moving the text."""
+    df = texts("b a zz a c", "zz", "", None, "c", "c", name="tweet")
+    ids = {"a": -3, "b": 7, "c": 7, "d": -3, "zzz": 2**31 - 1, "e": -(2**31)}
+    want = rows(encode.encode_tokens(df, ids))
+    for most in (1, 2, 4, 10):
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", most)
+        got = encode.encode_tokens(df, ids, by_join=True)
+        assert rows(got) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "tweet" in line.split("ENSURE")[0]]
+
+
+def test_a_stop_list_join_does_not_move_texts(texts):
+    got = ops.remove_stopwords_by_join(texts("the cat a", "the", None, ""), "text", STOP)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "text#" in line]
+    assert rows(got) == [("",), ("",), ("cat",), (None,)]
+
+
 def test_model_hook(spark, texts):
     def predict(ids: np.ndarray) -> np.ndarray:
         assert ids.shape[1] == 4

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.lookup import lookup
 from ..functions.scores import MODEL_LENGTH, pad_pre, sentiment_from_score
 from ..functions.text import split_on_space
+from ..session import materialise_counted, scratch_path
+from . import skew
 from .per_text import KEY, per_text
-from .skew import sized_join
 from .word_lists import LITERAL_BYTES, LITERAL_WORDS, small_rows
 
 Predict = Callable[[np.ndarray], np.ndarray]
@@ -42,15 +43,29 @@ def _literal(vocabulary: Vocabulary) -> dict[str, int] | None:
     return dict(vocabulary)
 
 
+def _known_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``row_key, pos, id`` of the words that the vocabulary has.
+
+    Of a vocabulary that is too long for a broadcast, the words with the smallest ids are broadcast all the same: ids
+    mostly go by frequency, so that few words are left to be moved. Any other order of the ids gives the same result.
+    """
+    known, n = materialise_counted(one_id_per_word(vocabulary), scratch_path(words.sparkSession, "vocabulary"))
+    if n <= skew.BROADCAST_ROWS:
+        return words.join(F.broadcast(known), "word").select(KEY, "pos", "id")
+    # Fewer rows than so many have a smaller id than this one, however many share it.
+    cut = known.agg(F.percentile_approx("id", skew.BROADCAST_ROWS / n, 10_000)).first()[0]
+    tried = words.join(F.broadcast(known.where(F.col("id") < cut)), "word", "left")
+    rare = tried.where("id IS NULL").drop("id").join(known.where(F.col("id") >= cut), "word")
+    return tried.where("id IS NOT NULL").select(KEY, "pos", "id").unionByName(rare.select(KEY, "pos", "id"))
+
+
 def _encode_by_join(posts: DataFrame, vocabulary: DataFrame, text: str) -> DataFrame:
     def ids_of(words: DataFrame) -> DataFrame:
-        # A group is the words of one text, so it is no larger than the row it came from.
-        found = (
-            sized_join(words, one_id_per_word(vocabulary), ["word"], "inner")
-            .groupBy(KEY)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_found"))
-        )
-        return found.select(KEY, F.col("_found.id").alias("ids"))
+        # A group is the words of one text, so it is no larger than the row it came from. Place and id are one number.
+        at = F.col("pos").cast("long") * (1 << 32) + (F.col("id").cast("long") + (1 << 31))
+        found = _known_words(words, vocabulary).groupBy(KEY).agg(F.sort_array(F.collect_list(at)).alias("_found"))
+        ids = F.transform("_found", lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) - (1 << 31)).cast("int"))
+        return found.select(KEY, ids.alias("ids"))
 
     encoded = per_text(posts, text, split_on_space(text), ids_of, "left")
     return encoded.select(*posts.columns, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
