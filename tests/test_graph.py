@@ -191,6 +191,21 @@ def test_no_requests_and_no_edges(spark):
     check_paths(spark, [1, 2], [], [(1, 1), (1, 2)], 10)
 
 
+def test_levels_and_edges_hold_numbers_of_fixed_size(spark, monkeypatch):
+    """Steps are hashed and not sorted, and a node has one row of edges."""
+    kept, write_level = [], paths._Search.write_level
+
+    def seen(self, level):
+        kept.append((level.dtypes, self.edges.where("NOT back").count()))
+        return write_level(self, level)
+
+    monkeypatch.setattr(paths._Search, "write_level", seen)
+    check_paths(spark, range(5), [(0, 1), (0, 2), (1, 3), (2, 3), (3, 4)], [(0, 4)], None)
+    assert len(kept) == 3
+    for types, n_edges in kept:
+        assert {t for _, t in types} <= {"boolean", "bigint"} and n_edges == 4
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_paths_on_random_graphs(spark, monkeypatch, small):
     rng = random.Random(5)

@@ -3,13 +3,14 @@
 The search goes out from both ends, forward from every start and backward from every end, a level of each at a time. A
 pair is found when the newest forward level of its start meets one of the two newest backward levels of its end. So a
 search reaches half as far as the path is long, and a level holds only searches that still have a pair to find. A
-backward row carries the smallest way from its vertex to the end. For the first half, the vertices on shortest ways are
-traced back from the meeting points to the start, each with its smallest way on. Of several shortest paths this gives the
-smallest by its vertices from the start on.
-
-The edges are written once in buckets of the node they leave, and every level in buckets of its key. A hop moves its
-front to the edges and the steps to their buckets; edges and earlier levels stay where they are, whatever their number.
-The edges of a node with very many are dealt to several buckets.
+backward row carries the smallest next vertex on a shortest way to the end. For the first half, the vertices on shortest
+ways are traced back from the meeting points to the start, each with its smallest next vertex. Of several shortest paths,
+the one that goes from next to next is the smallest by its vertices from the start on. Only numbers are compared and
+moved on the way; the paths are put together at the end, one row per pair.
+
+The edges are written once, a row for every node they leave with the nodes they lead to, in buckets of the former, and
+every level in buckets of its key. A hop moves its front to the edges and the steps to their buckets; edges and earlier
+levels stay where they are, whatever their number. The edges of a node with very many are dealt to several buckets.
 """
 
 from __future__ import annotations
@@ -25,7 +26,33 @@ from .skew import hot_keys, n_salts, replicate, sized_join
 # A front is broadcast up to so many bytes, as counted when it was written.
 FRONT_BYTES = 16_000_000
 
+# A row of a front counts as so many bytes.
+ROW_BYTES = 32
+
 KEY = ["back", "search", "node"]
+BY_BLOCK = ["back", "block", "salt"]
+
+# Paths are written down after so many further vertices, so that a plan does not grow with them.
+HOPS_AT_ONCE = 4
+
+# Edges are dealt by blocks of so many ids, since near ids are mostly near on the map: then most steps of a search to one
+# vertex are made in one task and become one row before they are moved.
+BLOCK = 32
+
+
+def block_of(node: str) -> Column:
+    return F.floor(F.col(node) / BLOCK).cast("bigint").alias("block")
+
+
+def meet_edges(edges: DataFrame, front: DataFrame, on: list[str], small: bool) -> DataFrame:
+    """Rows of ``front`` with those of ``edges`` of the same ``node``, both brought together by ``on``: their blocks.
+
+    The node itself is no key of the join, which would deal the nodes of a block to different tasks.
+    """
+    front = front.withColumnRenamed("node", "met")
+    front = F.broadcast(front) if small else front
+    same = F.col("node").between(F.col("met"), F.col("met"))
+    return front.join(edges, on).where(same).drop("node")
 
 
 def _inner_edges(graph: Graph) -> DataFrame:
@@ -39,17 +66,12 @@ def _inner_edges(graph: Graph) -> DataFrame:
     return edges
 
 
-def shortest(way: Column) -> Column:
-    """The shortest way of a group, and of these the smallest, in ``best.way``."""
-    return F.min(F.struct(F.size(way), way.alias("way"))).alias("best")
-
-
 class _Search:
     """The search for all requests; every step is a table in the shared folder.
 
-    A level holds ``back, search, node, way``: on the side ``back``, or else on the forward one, the search from or to
-    ``search`` first reaches ``node`` there. ``way`` is the smallest way from the vertex to the end on the backward
-    side, and empty on the forward one, where only the levels themselves are needed.
+    A level holds ``back, search, node, next``: on the side ``back``, or else on the forward one, the search from or to
+    ``search`` first reaches ``node`` there. On the backward side ``next`` is the smallest next vertex on a shortest way
+    to the end, null in the end itself; on the forward one only the levels themselves are needed.
     """
 
     def __init__(self, graph: Graph, pairs: DataFrame, max_hops: int | None):
@@ -64,23 +86,22 @@ class _Search:
             wanted = wanted.join(graph.vertices.select(F.col("id").alias(end)), end, "left_semi")
         self.open, self.n_open = self.write(wanted.select("src", "dst"), "wanted")
         self.write_edges(_inner_edges(graph))
-        nowhere = F.array().cast("array<bigint>").alias("way")
+        nowhere = F.lit(None).cast("bigint").alias("next")
         self.counts: list[int] = []
-        self.bytes: list[int] = []
         self.write_level(self.searches().distinct().select("back", "search", F.col("search").alias("node"), nowhere))
-        # Meeting points by their forward level, with the way from there to the end.
+        # Meeting points by their forward level, with their backward one.
         self.met: dict[int, DataFrame] = {}
 
     def write_edges(self, edges: DataFrame) -> None:
-        """``back, node, salt, to`` in buckets; ``salt`` parts the edges of a node that has very many."""
+        """``back, block, salt, node, tos`` in buckets; ``salt`` parts the edges of a node that has very many."""
         step = F.struct(F.lit(False).alias("back"), F.col("src").alias("node"), F.col("dst").alias("to"))
         step_back = F.struct(F.lit(True).alias("back"), F.col("dst").alias("node"), F.col("src").alias("to"))
         edges, _ = self.write(edges.select(F.inline(F.array(step, step_back))), "edges")
         self.hot = hot_keys(edges, ["back", "node"])
         salt = F.pmod(F.xxhash64("to"), n_salts(["back", "node"], self.hot)).cast("int")
-        salted = edges.withColumn("salt", salt)
-        writer = salted.repartition(self.n_buckets, "back", "node", "salt").write.format("parquet")
-        writer = writer.bucketBy(self.n_buckets, "back", "node", "salt").sortBy("back", "node", "salt")
+        rows = edges.withColumn("salt", salt).groupBy("back", "node", "salt").agg(F.collect_list("to").alias("tos"))
+        rows = rows.withColumn("block", block_of("node")).repartition(self.n_buckets, *BY_BLOCK)
+        writer = rows.write.format("parquet").bucketBy(self.n_buckets, *BY_BLOCK).sortBy(*BY_BLOCK)
         writer.option("path", f"{self.folder}/bucketed").saveAsTable(f"{self.name}_edges")
 
     @property
@@ -90,15 +111,11 @@ class _Search:
     def write_level(self, level: DataFrame) -> int:
         """Add a level to the table of all of them; how many rows it has."""
         seen = Observation()
-        counted = level.select(*KEY, "way").observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("way") * 8 + 32), F.lit(0)).alias("bytes")
-        )
+        counted = level.select(*KEY, "next").observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = counted.withColumn("depth", F.lit(len(self.counts))).write.format("parquet").mode("append")
         writer = writer.partitionBy("depth").bucketBy(self.n_buckets, *KEY)
         writer.option("path", f"{self.folder}/levels").saveAsTable(f"{self.name}_levels")
-        found = seen.get
-        self.counts.append(found["rows"])
-        self.bytes.append(found["bytes"])
+        self.counts.append(seen.get["rows"])
         return self.counts[-1]
 
     def close(self) -> None:
@@ -139,16 +156,15 @@ class _Search:
 
     def grow(self, changed: bool) -> int:
         """Add the next level of both sides; how many rows it has."""
-        front = self.level(self.depth)
+        front = self.level(self.depth).drop("next")
         if changed:
             front = sized_join(front, self.searches(), ["back", "search"], "left_semi", 2 * self.n_open)
         # A small front is broadcast; a larger one is moved to the buckets of the edges, which stay.
         front = replicate(front, n_salts(["back", "node"], self.hot)).withColumnRenamed("_salt", "salt")
-        if self.bytes[-1] <= FRONT_BYTES:
-            front = F.broadcast(front)
-        met = self.edges.join(front, ["back", "node", "salt"])
-        way = F.when(F.col("back"), F.concat(F.array("node"), F.col("way"))).otherwise(F.col("way"))
-        steps = met.groupBy("back", "search", F.col("to").alias("node")).agg(F.min(way).alias("way"))
+        front = front.withColumn("block", block_of("node"))
+        met = meet_edges(self.edges, front, BY_BLOCK, ROW_BYTES * self.counts[-1] <= FRONT_BYTES)
+        met = met.select("back", "search", "met", F.explode("tos").alias("to"))
+        steps = met.groupBy("back", "search", F.col("to").alias("node")).agg(F.min(F.col("met")).alias("next"))
         # The steps are dealt by the same key into as many parts as the levels have buckets.
         return self.write_level(steps.join(self.levels().select(KEY), KEY, "left_anti"))
 
@@ -157,42 +173,62 @@ class _Search:
         depth = self.depth
         levels = self.levels().where(F.col("depth").between(max(0, depth - 1), depth))
         ahead = levels.where(~F.col("back") & (F.col("depth") == depth)).select(F.col("search").alias("src"), "node")
-        behind = levels.where("back").select(F.col("search").alias("dst"), "node", "way", F.col("depth").alias("behind"))
+        behind = levels.where("back").select(F.col("search").alias("dst"), "node", F.col("depth").alias("behind"))
         if self.max_hops is not None:
             behind = behind.where(F.col("behind") + depth <= self.max_hops)
         ahead = sized_join(ahead, self.open, ["src"], "inner", self.n_open)
         points = sized_join(ahead, behind, ["dst", "node"], "inner", sum(self.counts[-2:]))
-        points, n = self.write(points.select("src", "dst", "node", "way"), f"met-{depth}")
+        points, n = self.write(points.select("src", "dst", "node", "behind"), f"met-{depth}")
         if n:
             self.met[depth] = points
             left = sized_join(self.open, points.select("src", "dst"), ["src", "dst"], "left_anti", n)
             self.open, self.n_open = self.write(left, f"open-{depth}")
         return bool(n)
 
-    def found(self) -> tuple[DataFrame, int]:
-        """``src, dst, path`` of every pair that was found."""
-        on_way, n = None, 0
-        for depth in range(max(self.met, default=0), -1, -1):
-            rows = self.met.get(depth)
-            if on_way is not None:
-                # One step back, to vertices of the level before. A pair that also met one level before the end is nearer
-                # there, so the shortest way counts, and of these the smallest.
-                steps = self.edges.where("back").select("node", F.col("to").alias("before"))
-                back = sized_join(steps, on_way, ["node"], "inner", n)
+    def nearest(self, points: DataFrame) -> DataFrame:
+        """``src, dst, node, next`` of the meeting points that are on a shortest path: the nearest to the end."""
+        least = points.groupBy("src", "dst").agg(F.min("behind").alias("behind"))
+        return points.join(least, ["src", "dst", "behind"]).select("src", "dst", "node", F.lit(None).cast("bigint").alias("next"))
+
+    def traced(self) -> list[tuple[DataFrame, int]]:
+        """For every forward level ``src, dst, node, next`` of the vertices on shortest paths; no next in meeting points."""
+        levels: list[tuple[DataFrame, int]] = []
+        for depth in range(max(self.met, default=-1), -1, -1):
+            rows = self.nearest(self.met[depth]) if depth in self.met else None
+            if levels:
+                # One step back, to vertices of the level before.
+                on_way, n = levels[-1]
+                steps = self.edges.where("back").select("node", "tos")
+                back = sized_join(steps, on_way.select("src", "dst", "node"), ["node"], "inner", n)
+                back = back.select("src", "dst", "node", F.explode("tos").alias("before"))
+                back = back.groupBy("src", "dst", "before").agg(F.min("node").alias("next"))
                 level = self.level(depth).where("NOT back")
                 level = level.select(F.col("search").alias("src"), F.col("node").alias("before"))
                 back = sized_join(back, level, ["src", "before"], "left_semi", self.counts[depth])
-                way = F.concat(F.array("node"), F.col("way"))
-                back = back.groupBy("src", "dst", F.col("before").alias("node")).agg(shortest(way))
-                back = back.select("src", "dst", "node", "best.way")
+                back = back.select("src", "dst", F.col("before").alias("node"), "next")
                 rows = back if rows is None else rows.unionByName(back)
-            if rows is not None:
-                on_way, n = self.write(rows, f"on-way-{depth}")
-        if on_way is None:
+            levels.append(self.write(rows, f"on-way-{depth}"))
+        return levels[::-1]
+
+    def found(self) -> tuple[DataFrame, int]:
+        """``src, dst, path`` of every pair that was found."""
+        ahead = self.traced()
+        if not ahead:
             return self.spark.createDataFrame([], "src bigint, dst bigint, path array<bigint>"), 0
-        # A pair may meet in its start at several levels.
-        whole = on_way.groupBy("src", "dst").agg(shortest(F.concat(F.array("node"), F.col("way"))))
-        return self.write(whole.select("src", "dst", F.col("best.way").alias("path")), "found")
+        # From next to next, first to the meeting point, then to the end. Levels that a path does not touch leave it as it is.
+        nexts = [(level, n) for level, n in ahead[:-1]]
+        for depth in range(self.depth, 0, -1):
+            level = self.level(depth).where("back").select(F.col("search").alias("dst"), "node", "next")
+            nexts.append((level, self.counts[depth]))
+        paths = ahead[0][0].select("src", "dst", F.array("node").alias("path"))
+        for k, (level, rows) in enumerate(nexts, 1):
+            at = paths.withColumn("node", F.element_at("path", -1))
+            joined = sized_join(at, level, ["src", "dst", "node"] if k < len(ahead) else ["dst", "node"], "left", rows)
+            further = F.when(F.col("next").isNull(), F.col("path")).otherwise(F.concat("path", F.array("next")))
+            paths = joined.select("src", "dst", further.alias("path"))
+            if k % HOPS_AT_ONCE == 0:
+                paths, _ = self.write(paths, f"paths-{k}")
+        return self.write(paths, "found")
 
 
 def shortest_paths(graph: Graph, pairs: DataFrame, max_hops: int | None = None) -> DataFrame:
