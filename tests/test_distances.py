@@ -70,3 +70,11 @@ def test_a_longer_way_of_fewer_edges_and_a_bound(spark):
 def test_no_edges_and_no_requests(spark):
     check(spark, [(1, 0.0, 0.0), (2, 0.0, 0.0)], [(7, 8)], [(1, 1), (1, 2)])
     check(spark, [(1, 0.0, 0.0), (2, 0.0, 0.0)], [(1, 2)], [])
+
+
+def test_labels_hold_numbers_only(spark, monkeypatch):
+    """Labels have a fixed size, whatever the length of the way."""
+    kept, add = set(), distances._Labels.add
+    monkeypatch.setattr(distances._Labels, "add", lambda self, rows, *at: kept.update(t for _, t in rows.dtypes) or add(self, rows, *at))
+    check(spark, [(i, 50.0 + 0.001 * i, 8.0) for i in range(3)], [(0, 1), (1, 2)], [(0, 2)])
+    assert kept == {"bigint"}

@@ -1,13 +1,18 @@
 """Shortest paths by length, for all pairs in one loop.
 
-Every start has a search; a label is the best way of a search to a vertex so far: its length, its edges, its vertices.
-Labels are relaxed in buckets of length. Only labels below the current limit send steps along their edges, again and
-again until no label below it gets better; these are final then, pairs whose end has one are done, and the limit moves on
-to the bucket of the next label that waits. A search without an open pair sends no more steps.
-
-Edges are written once in buckets of the vertex they leave. Labels are only ever added, a table part for every round, in
-buckets of search and vertex; the best of them is found without moving them. So a round moves the labels that are
-relaxed and the steps they make, nothing else. Lengths are whole millimetres, so their sums are exact.
+Every start has a search; a label is the least length of a search to a vertex so far. Labels are relaxed in buckets of
+length. Only labels below the current limit send steps along their edges, again and again until no label below it gets
+better; these are final then, pairs whose end has one are done, and the limit moves on to the bucket of the next label
+that waits. A search without an open pair sends no more steps.
+
+The loop moves and compares numbers only. The paths are found afterwards from the final labels: an edge is on a shortest
+path to a vertex if the labels of its ends differ by its length. Such edges are followed from the end back to the start,
+all of a level at a time; the level that first holds the start has the fewest edges, and of every vertex on it the smallest
+next one is known. From there the path goes from next to next.
+
+Edges are written once, a row for every vertex they leave, in buckets of near vertices. Labels are only ever added, a table
+part for every round, in buckets of search and vertex; the best of them is found without moving them. So a round moves
+the labels that are relaxed and the steps they make, nothing else. Lengths are whole millimetres, so their sums are exact.
 """
 
 from __future__ import annotations
@@ -15,24 +20,21 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..session import discard, materialise_counted, scratch_path
 from .graph import Graph, written, with_edge_length
-from .paths import FRONT_BYTES
+from .paths import FRONT_BYTES, HOPS_AT_ONCE, ROW_BYTES, block_of, meet_edges
 from .skew import hot_keys, n_salts, replicate, sized_join
 
 KEY = ["search", "node"]
+PAIR = ["src", "dst"]
+BY_BLOCK = ["block", "salt"]
 
 # The width of a bucket in mean edge lengths, unless the caller gives one.
 WIDTH = 2
 
 
-def label(length: Column, hops: Column, way: Column) -> Column:
-    """Shorter labels are smaller, then those of fewer edges, then those of smaller vertices from the start on."""
-    return F.struct(length.alias("length"), hops.alias("hops"), way.alias("way"))
-
-
 class _Labels:
     """The tables of one call: ``edges`` and ``labels`` in buckets, and the open pairs."""
 
@@ -41,44 +43,45 @@ class _Labels:
         self.folder = scratch_path(self.spark, "distances")
         self.name = f"wayword_distances_{uuid.uuid4().hex}"
         self.n_buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = pairs.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
-        for end in ("src", "dst"):
+        wanted = pairs.select(*PAIR).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+        for end in PAIR:
             wanted = wanted.join(graph.vertices.select(F.col("id").alias(end)), end, "left_semi")
-        self.open, self.n_open = self.write(wanted.select("src", "dst"), "wanted")
+        self.open, self.n_open = self.write(wanted.select(*PAIR), "wanted")
         self.width = self.write_edges(graph, width_m)
-        self.rounds = self.bytes = 0
+        self.rounds = self.rows = self.steps = 0
         self.closed: list[DataFrame] = []
         starts = self.open.select(F.col("src").alias("search"), F.col("src").alias("node")).distinct()
-        self.add(starts.withColumn("best", label(F.lit(0).cast("long"), F.lit(0), F.array("node"))))
+        self.add(starts.withColumn("length", F.lit(0).cast("long")))
 
     def write(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
         return materialise_counted(df, f"{self.folder}/{name}")
 
     def write_edges(self, graph: Graph, width_m: float | None) -> int:
-        """``node, salt, to, length`` in buckets, the shortest of parallel edges; the bucket width in millimetres."""
+        """``block, salt, node, outs`` in buckets, the shortest of parallel edges; the bucket width in millimetres."""
         measured = with_edge_length(graph).where("src <> dst AND length_m IS NOT NULL")
         length = F.round(F.col("length_m") * 1000).cast("long")
         edges = measured.groupBy(F.col("src").alias("node"), F.col("dst").alias("to")).agg(F.min(length).alias("length"))
         seen = Observation()
-        edges, _ = self.write(edges.observe(seen, F.avg("length").alias("mean")), "edges")
-        self.hot = hot_keys(edges, ["node"])
+        self.edges, _ = self.write(edges.observe(seen, F.avg("length").alias("mean")), "edges")
+        self.hot = hot_keys(self.edges, ["node"])
         salt = F.pmod(F.xxhash64("to"), n_salts(["node"], self.hot)).cast("int")
-        writer = edges.withColumn("salt", salt).repartition(self.n_buckets, "node", "salt").write.format("parquet")
-        writer = writer.bucketBy(self.n_buckets, "node", "salt").sortBy("node", "salt")
+        outs = F.collect_list(F.struct("to", "length")).alias("outs")
+        rows = self.edges.withColumn("salt", salt).groupBy("node", "salt").agg(outs).withColumn("block", block_of("node"))
+        writer = rows.repartition(self.n_buckets, *BY_BLOCK).write.format("parquet")
+        writer = writer.bucketBy(self.n_buckets, *BY_BLOCK).sortBy(*BY_BLOCK)
         writer.option("path", f"{self.folder}/bucketed").saveAsTable(f"{self.name}_edges")
         return max(1, round(1000 * width_m if width_m else WIDTH * (seen.get["mean"] or 0)))
 
     def add(self, labels: DataFrame, limit: int = 0) -> int:
         """Write the labels of a round; how many of them are below the limit."""
         seen = Observation()
-        below = F.count_if(F.col("best.length") < limit).alias("below")
-        size = F.coalesce(F.sum(F.size("best.way") * 8 + 40), F.lit(0)).alias("bytes")
-        counted = labels.select(*KEY, "best").observe(seen, below, size)
+        below = F.count_if(F.col("length") < limit).alias("below")
+        counted = labels.select(*KEY, "length").observe(seen, below, F.count(F.lit(1)).alias("rows"))
         writer = counted.withColumn("round", F.lit(self.rounds)).write.format("parquet").mode("append")
         writer = writer.partitionBy("round").bucketBy(self.n_buckets, *KEY)
         writer.option("path", f"{self.folder}/labels").saveAsTable(f"{self.name}_labels")
         self.rounds += 1
-        self.bytes = seen.get["bytes"]
+        self.rows = seen.get["rows"]
         return seen.get["below"]
 
     def labels(self) -> DataFrame:
@@ -86,20 +89,17 @@ class _Labels:
 
     def best(self) -> DataFrame:
         """The best label of every search and vertex; rows are grouped where they lie."""
-        return self.labels().groupBy(*KEY).agg(F.min("best").alias("best"))
+        return self.labels().groupBy(*KEY).agg(F.min("length").alias("length"))
 
-    def relax(self, front: DataFrame, small: bool, limit: int) -> int:
+    def relax(self, front: DataFrame, n: int, limit: int) -> int:
         """Send steps along the edges of ``front``; how many labels below the limit became better."""
         front = replicate(front, n_salts(["node"], self.hot)).withColumnRenamed("_salt", "salt")
+        front = front.withColumn("block", block_of("node")).withColumnRenamed("length", "so_far")
         edges = self.spark.table(f"{self.name}_edges")
-        met = edges.join(F.broadcast(front) if small else front, ["node", "salt"])
-        further = label(
-            F.col("best.length") + F.col("length"), F.col("best.hops") + 1, F.concat("best.way", F.array("to"))
-        )
-        steps = met.select("search", F.col("to").alias("node"), further.alias("step"))
-        steps = steps.groupBy(*KEY).agg(F.min("step").alias("step"))
-        known = steps.join(self.best(), KEY, "left").where("best IS NULL OR step < best")
-        return self.add(known.select(*KEY, F.col("step").alias("best")), limit)
+        met = meet_edges(edges, front, BY_BLOCK, n * ROW_BYTES <= FRONT_BYTES).select("search", "so_far", F.inline("outs"))
+        steps = met.groupBy("search", F.col("to").alias("node")).agg(F.min(F.col("so_far") + F.col("length")).alias("step"))
+        known = steps.join(self.best(), KEY, "left").where("length IS NULL OR step < length")
+        return self.add(known.select(*KEY, F.col("step").alias("length")), limit)
 
     def still_open(self, labels: DataFrame) -> DataFrame:
         """Labels of searches with an open pair."""
@@ -109,52 +109,83 @@ class _Labels:
         most = None if max_m is None else round(1000 * max_m)
         limit = 0
         while self.n_open:
-            waiting = self.still_open(self.best().where(F.col("best.length") >= limit))
+            waiting = self.still_open(self.best().where(F.col("length") >= limit))
             if most is not None:
-                waiting = waiting.where(F.col("best.length") <= most)
+                waiting = waiting.where(F.col("length") <= most)
             waiting, n = self.write(waiting, f"waiting-{self.rounds}")
             if not n:
                 return
-            first = waiting.agg(F.min("best.length")).first()[0]
+            first = waiting.agg(F.min("length")).first()[0]
             limit = (first // self.width + 1) * self.width
-            front = waiting.where(F.col("best.length") < limit)
-            better = self.relax(front, self.bytes_of(front) <= FRONT_BYTES, limit)
+            better = self.relax(waiting.where(F.col("length") < limit), n, limit)
             while better:
                 last = self.labels().where(F.col("round") == self.rounds - 1).drop("round")
-                last = self.still_open(last.where(F.col("best.length") < limit))
-                better = self.relax(last, self.bytes <= FRONT_BYTES, limit)
+                better = self.relax(self.still_open(last.where(F.col("length") < limit)), self.rows, limit)
             self.settle(limit, most)
 
-    def bytes_of(self, front: DataFrame) -> int:
-        return front.agg(F.coalesce(F.sum(F.size("best.way") * 8 + 40), F.lit(0))).first()[0]
-
     def settle(self, limit: int, most: int | None) -> None:
         """Close the pairs whose end has a final label."""
-        final = self.best().where(F.col("best.length") < limit)
+        final = self.best().where(F.col("length") < limit)
         if most is not None:
-            final = final.where(F.col("best.length") <= most)
-        ends = final.select(F.col("search").alias("src"), F.col("node").alias("dst"), "best")
-        found = sized_join(ends, self.open, ["src", "dst"], "inner", self.n_open)
-        found, n = self.write(found, f"found-{self.rounds}")
+            final = final.where(F.col("length") <= most)
+        ends = final.select(F.col("search").alias("src"), F.col("node").alias("dst"), "length")
+        found = sized_join(ends, self.open, PAIR, "inner", self.n_open)
+        found, n = self.write(found.select(*PAIR, "length"), f"found-{self.rounds}")
         if n:
             self.closed.append(found)
-            left = sized_join(self.open, found.select("src", "dst"), ["src", "dst"], "left_anti", n)
+            left = sized_join(self.open, found.select(*PAIR), PAIR, "left_anti", n)
             self.open, self.n_open = self.write(left, f"open-{self.rounds}")
 
+    def write_best(self) -> DataFrame:
+        """The best labels once more, in the same buckets, to be met by every level of the paths."""
+        writer = self.best().write.format("parquet").bucketBy(self.n_buckets, *KEY).sortBy(*KEY)
+        writer.option("path", f"{self.folder}/best").saveAsTable(f"{self.name}_best")
+        return self.spark.table(f"{self.name}_best").select(
+            F.col("search").alias("src"), F.col("node").alias("before"), F.col("length").alias("rest")
+        )
+
+    def traced(self, found: DataFrame, n: int) -> list[tuple[DataFrame, int]]:
+        """``src, dst, node, next`` of the vertices with so many edges left to the end on a shortest path, for each number."""
+        best, levels = self.write_best(), []
+        ahead = found.where("src <> dst").select(*PAIR, F.col("dst").alias("node"), "length")
+        while n:
+            edges = self.edges.select(F.col("node").alias("before"), F.col("to").alias("node"), F.col("length").alias("edge"))
+            back = sized_join(edges, ahead, ["node"], "inner", n)
+            back = back.select(*PAIR, "node", "before", (F.col("length") - F.col("edge")).alias("rest")).where("rest >= 0")
+            back = back.join(best, ["src", "before", "rest"], "left_semi")
+            back = back.groupBy(*PAIR, F.col("before").alias("node"), F.col("rest").alias("length"))
+            self.steps += 1
+            level, n_level = self.write(back.agg(F.min("node").alias("next")), f"on-way-{self.steps}")
+            levels.append((level.drop("length"), n_level))
+            # A pair whose start is reached is done.
+            done = level.where("node = src").select(*PAIR)
+            ahead = sized_join(level.drop("next"), done, PAIR, "left_anti", n_level)
+            ahead, n = self.write(ahead, f"ahead-{self.steps}")
+        return levels
+
     def found(self) -> tuple[DataFrame, int]:
-        """``src, dst, best`` of the pairs that have a path, and how many vertices their paths have."""
-        parts = [self.spark.createDataFrame([], "src bigint, dst bigint, best struct<length: bigint, hops: int, way: array<bigint>>")]
-        whole = reduce(DataFrame.union, parts + self.closed)
+        """``src, dst, length, path`` of the pairs that have a path, and how many vertices their paths have."""
+        parts = [self.spark.createDataFrame([], "src bigint, dst bigint, length bigint")]
+        found, n = self.write(reduce(DataFrame.union, parts + self.closed), "pairs")
+        paths = found.withColumn("path", F.array("src"))
+        for k, (level, rows) in enumerate(reversed(self.traced(found, n)), 1):
+            joined = sized_join(paths.withColumn("node", F.element_at("path", -1)), level, [*PAIR, "node"], "left", rows)
+            further = F.when(F.col("next").isNull(), F.col("path")).otherwise(F.concat("path", F.array("next")))
+            paths = joined.select(*PAIR, "length", further.alias("path"))
+            if k % HOPS_AT_ONCE == 0:
+                paths, _ = self.write(paths, f"paths-{k}")
         seen = Observation()
-        counted = whole.observe(seen, F.coalesce(F.sum(F.size("best.way")), F.lit(0)).alias("vertices"))
+        counted = paths.observe(seen, F.coalesce(F.sum(F.size("path")), F.lit(0)).alias("vertices"))
         found, _ = self.write(counted, "paths")
         return found, seen.get["vertices"]
 
     def close(self) -> None:
         """Forget the tables and delete all but the found paths."""
-        for name in ("edges", "labels"):
+        for name in ("edges", "labels", "best"):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{name}")
-        for name in ("edges", "bucketed", "labels", *(f"waiting-{i}" for i in range(self.rounds + 1))):
+        waiting = (f"waiting-{i}" for i in range(self.rounds + 1))
+        levels = (f"{name}-{i}" for name in ("on-way", "ahead") for i in range(1, self.steps + 1))
+        for name in ("edges", "bucketed", "labels", "best", *waiting, *levels):
             discard(self.spark, f"{self.folder}/{name}")
 
 
@@ -176,5 +207,5 @@ def shortest_by_length(
     finally:
         labels.close()
     # A path counts as many rows as it has vertices on the average.
-    joined = sized_join(pairs, found, ["src", "dst"], "left", n)
-    return joined.select("pair_id", "src", "dst", (F.col("best.length") / 1000).alias("length_m"), F.col("best.way").alias("path"))
+    joined = sized_join(pairs, found, PAIR, "left", n)
+    return joined.select("pair_id", *PAIR, (F.col("length") / 1000).alias("length_m"), "path")
