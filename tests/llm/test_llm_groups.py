@@ -314,3 +314,48 @@ def test_lines_that_differ_in_an_inserted_word(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["removed"] for r in lines.near_line_dedup(df).collect()}
     assert got == {1: None, 2: [0], 3: [0], 4: None, 5: [0]}
+
+
+def test_lines_that_share_words_only_are_no_pairs(spark, monkeypatch):
+    """Of lines that meet, those whose words exclude the similarity are told apart before they are paired."""
+    rnd = random.Random(21)
+    shared = text_of(rnd, 30)
+    texts = [shared + " " + " ".join(f"own{i}x{k}" for k in range(30)) for i in range(60)]
+    texts += [changed(rnd, text, 1) for text in texts[:20]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = {}
+
+    def counted(self, df, name, before=lines.Lines.counted):
+        table, n = before(self, df, name)
+        counts[name] = n
+        return table, n
+
+    monkeypatch.setattr(lines.Lines, "counted", counted)
+    removed = {r["doc_id"]: r["removed"] for r in lines.near_line_dedup(df).collect()}
+    assert all(removed[i] is None for i in range(60))
+    assert sum(removed[i] == [0] for i in range(60, 80)) >= 19
+    assert counts["pairs-rest"] <= 200, counts
+
+
+@pytest.mark.parametrize("broadcast", [64_000_000, 0])
+def test_crowded_buckets_give_the_same(spark, monkeypatch, broadcast):
+    rows = line_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r["doc_id"]: r["removed"] for r in lines.near_line_dedup(df).collect()}
+    monkeypatch.setattr(lines, "HOT_SAMPLE", 1, raising=False)
+    monkeypatch.setattr(lines, "HOT_MEMBERS", 3, raising=False)
+    monkeypatch.setattr(lines, "BROADCAST_BYTES", broadcast)
+    assert {r["doc_id"]: r["removed"] for r in lines.near_line_dedup(df).collect()} == want
+
+
+def test_parities_exclude_no_similar_line(spark):
+    rnd = random.Random(22)
+    rows = []
+    for n in (1, 5, 12, 40, 200, 700):
+        for edits in {0, 1, n // 10, n // 5}:
+            a = text_of(rnd, n)
+            b = changed(rnd, a, edits)
+            rows.append((a.split(), b.split(), edits))
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>, most int")
+    df = df.select("most", *[lines.parities(lines.codes_of(F.col(c))).alias(c) for c in "ab"])
+    assert df.where(~lines.near_parities("a", "b", F.col("most"))).count() == 0

@@ -25,7 +25,7 @@ which keeps one of them whole at most as often as the row is repeated. Columns t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise, materialise_counted, scratch_path
 from .arrow import no_clash
@@ -54,12 +54,22 @@ TURN_DISTINCT = 40
 # Lines with at least this share of all lines are given their numbers once only; they are ``HOT`` at most.
 HOT = 100_000
 
+# A bucket with so many of the lines whose ``h1`` is divisible by ``HOT_SAMPLE`` is no group of one task.
+HOT_SAMPLE = 64
+HOT_MEMBERS = 16
+
 # Bits of a SimHash.
 SIM_BITS = 60
 
+# Numbers of 64 bits in a line's parities.
+PARITIES = 4
+
 BREAK = "\n"
 BROADCAST_BYTES = 64_000_000
 
+# Bytes that a line takes which is looked for in its document.
+WANTED_BYTES = 96
+
 
 # Whether a text may have such a character: the scripts' own pattern costs ten times as much on texts in other scripts.
 PERHAPS_ALONE = r"[\x{0E00}-\x{1FFF}\x{2E80}-\x{10FFFF}]"
@@ -84,11 +94,32 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), " "), "")
 
 
-def coded(words: Column) -> Column:
+def codes_of(words: Column) -> Column:
+    """A number for every word: 20,480 characters from U+1000 on, none of which is half of a pair."""
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(0x5000)) + 0x1000)
+
+
+def coded(codes: Column) -> Column:
     """A string with one character per word, for an edit distance in words."""
-    # 20,480 characters from U+1000 on, none of which is half of a pair.
-    code = F.transform(words, lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0x5000)) + 0x1000), 4, "0"))
-    return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
+    return F.decode(F.unhex(F.array_join(F.transform(codes, lambda c: F.hex(c)), "")), "UTF-16BE")
+
+
+def parities(codes: Column) -> Column:
+    """``PARITIES`` numbers of 64 bits: whether the words of each of so many classes are odd in number."""
+    def odd(k: int) -> Column:
+        def bit(c: Column) -> Column:
+            here = F.pmod(F.shiftright(c, 6), F.lit(PARITIES)) == k
+            return F.when(here, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))).otherwise(F.lit(0))
+
+        return F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(bit(c)))
+
+    return F.struct(*[odd(k).alias(f"p{k}") for k in range(PARITIES)])
+
+
+def near_parities(a: str, b: str, most: Column) -> Column:
+    """Whether so many edits may lie between two lines: one edit changes two bits at most."""
+    bits = [F.bit_count(F.col(f"{a}.p{k}").bitwiseXOR(F.col(f"{b}.p{k}"))) for k in range(PARITIES)]
+    return sum(bits[1:], bits[0]) <= 2 * most
 
 
 def majority(five: Column) -> Column:
@@ -251,10 +282,14 @@ def block_keys(sims: Column) -> Column:
     return F.array(*keys)
 
 
+def most_edits(similarity: float) -> Column:
+    """The edits that the similarity allows to two lines."""
+    return F.floor(F.greatest("n_words", "n_words2") * F.lit(1 - similarity) + F.lit(1e-9))
+
+
 def possible(similarity: float) -> Column:
     """Whether the lengths of two lines allow the similarity."""
-    longer, shorter = F.greatest("n_words", "n_words2"), F.least("n_words", "n_words2")
-    return longer - shorter <= F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9))
+    return F.greatest("n_words", "n_words2") - F.least("n_words", "n_words2") <= most_edits(similarity)
 
 
 class Lines:
@@ -276,95 +311,122 @@ class Lines:
         return materialise_counted(df, f"{self.folder}/{name}")
 
     def keyed(self) -> DataFrame:
-        """``key, h1, h2`` of all lines; of a line that is there very often only the first row."""
+        """``key, h1`` of all lines; of a line that is there very often only the first row."""
         often = self.lines.where(F.col("n") >= max(2, -(-self.n_rows // HOT))).select("h1", "h2", F.col("row").alias("first"))
         rows = self.rows.where(F.size("keys") > 0).join(F.broadcast(often), ["h1", "h2"], "left")
         rows = rows.where(F.col("first").isNull() | (F.col("first") == F.col("row")))
-        return rows.select("h1", "h2", F.explode("keys").alias("key"))
+        return rows.select("h1", F.explode("keys").alias("key"))
+
+    def crowded(self, keyed: DataFrame) -> DataFrame:
+        """``key`` of the buckets that are too large for one task, as a sample of the lines has it; they are ``HOT`` at most."""
+        some = keyed.where(F.col("h1") % HOT_SAMPLE == 0).groupBy("key").agg(F.count("*").alias("n"))
+        some, _ = self.counted(some.where(F.col("n") >= HOT_MEMBERS), "sampled")
+        least = some.groupBy("n").agg(F.count("*").alias("keys")).orderBy(F.desc("n")).collect()
+        total, bound = 0, HOT_MEMBERS
+        for size, keys in least:
+            total += keys
+            if total > HOT:
+                bound = size + 1
+                break
+        return some.where(F.col("n") >= bound).select("key")
 
     def buckets(self) -> DataFrame:
-        """``key, id, low, high`` of all buckets with several lines; the hubs are those of the least and greatest ``h1``.
+        """``key, id, n_words, low, high`` of all buckets with several lines; the hubs are those of the least and greatest ``h1``.
 
-        Keys are aggregated before they are moved, and most are of one line only; then only the rest meets the lines again.
+        Keys are moved once. Those of a crowded bucket are aggregated first and its members stay where they are.
         """
-        shared = self.keyed().groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-        shared, n_shared = self.counted(shared.where("low < high"), "shared")
-        members = self.keyed().join(by_count(shared, n_shared), "key").distinct()
-        return self.write(members.select("key", F.struct("h1", "h2").alias("id"), "low", "high"), "buckets")
+        keyed = self.keyed()
+        crowded = F.broadcast(self.crowded(keyed))
+        ends = F.min("h1").alias("low"), F.max("h1").alias("high")
+        few = keyed.join(crowded, "key", "left_anti")
+        bucket = Window.partitionBy("key")
+        few = few.select("key", "h1", *[F.min("h1").over(bucket).alias("low"), F.max("h1").over(bucket).alias("high")])
+        many = keyed.join(crowded, "key", "left_semi")
+        many = many.join(F.broadcast(many.groupBy("key").agg(*ends)), "key").select("key", "h1", "low", "high")
+        members = few.where("low < high").distinct().unionByName(many.where("low < high").distinct())
+        known = self.lines.select("h1", F.struct("h1", "h2").alias("id"), "n_words")
+        return self.write(members.join(known, "h1").select("key", "id", "n_words", "low", "high"), "buckets")
 
     def near_hubs(self, buckets: DataFrame) -> DataFrame:
         """Pairs ``a, b`` of members and hubs whose lengths allow the similarity."""
-        met = buckets.select("id", F.explode(F.array("low", "high")).alias("hub")).where("id.h1 <> hub").distinct()
-        known = self.lines.select("h1", F.struct("h1", "h2").alias("id"), "n_words")
-        both = met.join(known.select("id", "n_words"), "id")
-        hub = known.select(F.col("h1").alias("hub"), F.col("id").alias("b"), F.col("n_words").alias("n_words2"))
-        pairs = both.join(hub, "hub").where(possible(self.similarity))
+        met = buckets.select("id", "n_words", F.explode(F.array("low", "high")).alias("hub")).where("id.h1 <> hub").distinct()
+        known = self.lines.select(F.col("h1").alias("hub"), F.struct("h1", "h2").alias("b"), F.col("n_words").alias("n_words2"))
+        pairs = met.join(known, "hub").where(possible(self.similarity))
         # Two lines that are hubs of each other meet once.
         return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
-    def coded_lines(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
-        """``id, line`` of every line of the pairs. Only the documents that hold one are read again."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", "id.h1", "id.h2")
-        wanted = self.rows.join(by_count(ids, 2 * n_pairs), ["h1", "h2"])
+    def coded_lines(self, buckets: DataFrame) -> DataFrame:
+        """``id, line, odd`` of every line of a bucket. A document that holds some is split once."""
+        ids, n_ids = self.counted(buckets.select("id").distinct().select("id", "id.h1", "id.h2"), "ids")
+        wanted = self.rows.join(by_count(ids, n_ids), ["h1", "h2"])
         wanted = wanted.groupBy("id", "doc", "place", "pos").agg(F.count("*").alias("n")).groupBy("id").agg(
             F.min(F.struct("doc", "place", "pos", "n")).alias("at")
         )
-        wanted, n_wanted = self.counted(wanted.select("id", "at.*"), f"wanted-{name}")
+        wanted, n_wanted = self.counted(wanted.select("id", "at.*"), "wanted")
+        by_text = wanted.groupBy("doc", "place").agg(F.collect_list(F.struct("id", "pos", "n")).alias("wanted"))
         texts = self.df.select(
             F.col(self.key_col).alias("doc2"), F.xxhash64(self.text_col).alias("place2"),
             F.col(self.text_col).alias("text"),
         )
-        same = texts["doc2"].eqNullSafe(wanted["doc"]) & (texts["place2"] == wanted["place"])
-        at = texts.join(by_count(wanted, n_wanted), same)
-        line = coded(words_of(F.element_at(lines_of(F.col("text")), F.col("pos") + 1))).alias("line")
+        same = F.col("doc2").eqNullSafe(F.col("doc")) & (F.col("place2") == F.col("place"))
+        at = texts.join(F.broadcast(by_text) if n_wanted * WANTED_BYTES <= BROADCAST_BYTES else by_text, same)
+        found = bound(lines_of(F.col("text")), lambda lines: F.transform("wanted", lambda w: F.struct(
+            w["id"].alias("id"), w["n"].alias("n"), F.element_at(lines, w["pos"] + 1).alias("line")
+        )))
+        at = at.select(F.explode(found).alias("found")).select("found.id", "found.n", "found.line")
+        at = at.select("id", "n", codes_of(words_of(F.col("line"))).alias("codes"))
+        at = at.select("id", "n", coded(F.col("codes")).alias("line"), parities(F.col("codes")).alias("odd"))
         # A row that is there several times gives its lines as often; only these are moved to be made one.
-        lines = at.where("n = 1").select("id", line)
+        lines = at.where("n = 1").drop("n")
         if not wanted.where("n > 1").isEmpty():
-            lines = lines.unionByName(at.where("n > 1").select("id", line).dropDuplicates(["id"]))
-        return self.write(lines, f"coded-{name}")
+            lines = lines.unionByName(at.where("n > 1").drop("n").dropDuplicates(["id"]))
+        return self.write(lines, "coded")
 
-    def verified(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
+    def verified(self, pairs: DataFrame, n_pairs: int, lines: DataFrame, name: str) -> DataFrame:
         """Pairs of lines whose words are similar."""
-        lines = self.coded_lines(pairs, n_pairs, name)
         hubs = lines.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
-        hubs = hubs.select(F.col("id").alias("b"), F.col("line").alias("line2"))
-        size = hubs.agg(F.coalesce(F.sum(F.octet_length("line2") + 64), F.lit(0))).first()[0]
+        hubs = hubs.select(F.col("id").alias("b"), F.col("line").alias("line2"), F.col("odd").alias("odd2"))
+        size = hubs.agg(F.coalesce(F.sum(F.octet_length("line2") + 96), F.lit(0))).first()[0]
         hubs = F.broadcast(hubs) if size <= BROADCAST_BYTES else hubs
         both = lines.withColumnRenamed("id", "a").join(by_count(pairs, n_pairs), "a").join(hubs, "b")
         longest = F.greatest(F.length("line"), F.length("line2"))
         most = F.floor(longest * F.lit(1 - self.similarity) + F.lit(1e-9)).cast("int")
+        both = both.withColumn("most", most).where(near_parities("odd", "odd2", F.col("most")))
         # Beyond the threshold the function gives -1.
-        similar = both.withColumn("most", most).where(F.expr("levenshtein(line, line2, most) >= 0"))
+        similar = both.where(F.expr("levenshtein(line, line2, most) >= 0"))
         return self.write(similar.select("a", "b"), f"verified-{name}")
 
     def groups(self) -> tuple[DataFrame, int]:
         """``id, root`` of all lines that are connected to another."""
         buckets = self.buckets()
         pairs, n_pairs = self.counted(self.near_hubs(buckets), "pairs-hubs")
-        edges = self.verified(pairs, n_pairs, "hubs")
+        lines = self.coded_lines(buckets)
+        edges = self.verified(pairs, n_pairs, lines, "hubs")
         roots, n_roots = self.counted(connected(edges, "a", "b"), "roots-hubs")
 
         # A bucket of two has met; of a larger one, what is not in the group of the first hub meets all others.
-        known = self.lines.select(F.struct("h1", "h2").alias("id"), "n_words")
-        members = buckets.select("key", "id").join(by_count(roots, n_roots), "id", "left")
+        members = buckets.select("key", "id", "n_words").join(by_count(roots, n_roots), "id", "left")
         members = self.write(members.withColumn("root", F.coalesce("root", "id")), "members")
         first = members.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min(F.struct("id", "root")).alias("hub"), F.count("*").alias("size"),
         )
         first, n_first = self.counted(first.where("low <> high and size > 2").select("key", F.col("hub.root").alias("hub")), "apart")
-        open_members = self.write(members.join(by_count(first, n_first), "key").join(known, "id"), "open-members")
+        parted = members.join(by_count(first, n_first), "key").join(lines.select("id", "odd"), "id")
+        open_members = self.write(parted, "open-members")
         others = open_members.select(
             "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("root").alias("root2"),
+            F.col("odd").alias("odd2"),
         )
         rest = open_members.where("root <> hub").join(others, "key").where(
             (F.col("root") != F.col("root2")) & possible(self.similarity)
+            & near_parities("odd", "odd2", most_edits(self.similarity))
         )
         rest = rest.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
         rest, n_rest = self.counted(rest, "pairs-rest")
         if not n_rest:
             return roots, n_roots
-        edges = edges.unionByName(self.verified(rest, n_rest, "rest"))
+        edges = edges.unionByName(self.verified(rest, n_rest, lines, "rest"))
         return self.counted(connected(edges, "a", "b"), "roots-rest")
 
     def removed(self) -> DataFrame:
