@@ -1,3 +1,4 @@
+import glob
 import math
 import os
 import random
@@ -9,7 +10,7 @@ from conftest import column, rows
 from wayword.functions import tags
 from wayword.functions.geo import haversine_m
 from wayword.operators import graph as roads, paths, skew
-from wayword.plans import jobs
+from wayword.plans import jobs, queries, standins
 from wayword.sources import osm, sinks, text as files
 from pyspark.sql import functions as F
 
@@ -255,3 +256,16 @@ def test_pairs_file(spark, tmp_path):
     (tmp_path / "pairs.txt").write_text("12 34\n5\nx 7\n")
     got = [tuple(r)[1:] for r in files.read_pairs(spark, str(tmp_path / "pairs.txt")).orderBy("pair_id").collect()]
     assert got == [(12, 34), (5, None), (None, 7)]
+
+
+def test_map_files_are_small(spark, monkeypatch, tmp_path):
+    """An XML file is read by one task."""
+    monkeypatch.setattr(queries, "MAP_FILE_ELEMENTS", 500, raising=False)
+    tables = "/root/testdata/sf0.001"
+    queries._write_map(spark, tables, str(tmp_path))
+    for name, read, given in (("nodes", osm.read_nodes, standins.map_nodes), ("ways", osm.read_ways, standins.map_ways)):
+        files_of = glob.glob(f"{tmp_path}/{name}/part*")
+        assert sum(read(spark, f).count() for f in files_of) == given(spark, tables).count()
+        assert all(read(spark, f).count() <= 500 for f in files_of)
+    edges = roads.ways_to_edges(osm.read_ways(spark, f"{tmp_path}/ways"))
+    assert rows(edges) == rows(roads.ways_to_edges(standins.map_ways(spark, tables)))

@@ -422,10 +422,15 @@ def shortest_by_length(spark, sf_dir):
     return found.select("pair_id", "src", "dst", F.round("length_m").alias("length_m"))
 
 
+# An XML file is read by one task, so each holds so many elements at most, one in a line.
+MAP_FILE_ELEMENTS = 100_000
+
+
 def _write_map(spark: SparkSession, sf_dir: str, folder: str) -> None:
     for name, tag in (("nodes", "node"), ("ways", "way")):
         elements = given.map_nodes(spark, sf_dir) if tag == "node" else given.map_ways(spark, sf_dir)
-        elements.write.format("xml").options(rootTag="osm", rowTag=tag).save(f"{folder}/{name}")
+        options = {"rootTag": "osm", "rowTag": tag, "indent": "", "maxRecordsPerFile": MAP_FILE_ELEMENTS}
+        elements.write.format("xml").options(**options).save(f"{folder}/{name}")
 
 
 @query
