@@ -13,7 +13,8 @@
    lines with few words in the order of the hashes turned by each of ``TURNS`` bits. Lines are hashed where they are read;
    no text is moved.
 4. Lines that meet are verified: the edit similarity of all their words must reach ``SIMILARITY`` (one minus the edit
-   distance, as a share of the longer line). Before, pairs go whose lengths exclude it.
+   distance, as a share of the longer line). Before, pairs go whose lengths exclude it, or the parities of their words: an
+   edit changes two of ``64 * PARITIES`` bits at most.
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
 Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
