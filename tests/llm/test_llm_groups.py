@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wayword.llm import jaccard, lines
 from wayword.llm.components import connected
+from wayword.session import shared_dir
 
 VOCABULARY = [f"w{i}" for i in range(400)]
 
@@ -359,3 +361,14 @@ def test_parities_exclude_no_similar_line(spark):
     df = spark.createDataFrame(rows, "a array<string>, b array<string>, most int")
     df = df.select("most", *[lines.parities(lines.codes_of(F.col(c))).alias(c) for c in "ab"])
     assert df.where(~lines.near_parities("a", "b", F.col("most"))).count() == 0
+
+
+def test_only_the_removed_places_stay_on_disk(spark):
+    """Tables of single steps are deleted when no later step reads them."""
+    folder = Path(shared_dir(spark)) / "wayword"
+    before = set(folder.glob("*"))
+    df = spark.createDataFrame(line_rows(), "doc_id long, text string")
+    assert lines.near_line_dedup(df).where("removed IS NOT NULL").count() > 0
+    left = [path.name.rsplit("-", 1)[0] for path in set(folder.glob("*")) - before]
+    assert left.count("lines") == 0 and left.count("lines-removed") == 1
+    assert not list(folder.glob("components-*/moves-*"))

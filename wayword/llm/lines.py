@@ -9,16 +9,18 @@
 3. Lines of ``LONG_WORDS`` words or more get samples: ``ORDERS`` SimHashes of 60 bits, each made of five of the line's
    distinct words, those that come first in an order of its own (the circle of word hashes, begun at another mark); their
    bits are cut into ``BLOCKS`` blocks, and SimHashes that differ in fewer bits than there are blocks agree on one
-   (pigeonhole). Then ``SAMPLES`` times ``SAMPLE`` words: of lines with many words after other marks of the circle, of
-   lines with few words in the order of the hashes turned by each of ``TURNS`` bits. Lines are hashed where they are read;
-   no text is moved.
+   (pigeonhole). Then ``RUNS`` runs of ``RUN`` words of the line, each from the word on that follows one more mark of the
+   circle. Lines are hashed where they are read; no text is moved.
 4. Lines that meet are verified: the edit similarity of all their words must reach ``SIMILARITY`` (one minus the edit
    distance, as a share of the longer line). Before, pairs go whose lengths exclude it, or the parities of their words: an
    edit changes two of ``64 * PARITIES`` bits at most.
 5. Of every connected group the first occurrence stays, by document and place; all others go.
 
-Pairs inside a bucket are not all made. Each member meets some hubs of its bucket; then members that are still not
-connected to the first hub's group meet all others of the bucket. Whatever all pairs would connect is connected.
+Pairs inside a bucket are not all made. Each member meets two hubs of its bucket. Members of a large bucket that are still
+not connected to the first hub's group meet a further hub, as long as that halves their number. Then all others that are
+not connected to it meet all members of the bucket. Whatever all pairs would connect is connected.
+
+Tables that no later step reads are deleted, so that disk holds the steps at hand only.
 
 Null texts have no lines. Rows may share a key: they are told apart by their text, and equal rows lose the same lines,
 which keeps one of them whole at most as often as the row is repeated. Columns that are not named are passed on.
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialise, materialise_counted, scratch_path
+from ..session import discard, materialise, materialise_counted, scratch_path
 from .arrow import no_clash
 from .components import by_count, connected
 
@@ -42,22 +44,20 @@ BLOCKS = 2
 FEW_WORDS = 15
 LONG_WORDS = 12
 
-# Further samples: how many, the words in each, and the bits by which the hashes are turned. Lines of fewer words than
-# ``TURN_WORDS`` (or of fewer distinct ones than ``TURN_DISTINCT``) have samples of turned hashes, lines of ``MARK_WORDS``
-# or more samples after marks. A line of ``TURN_WORDS`` words is similar to one of ``MARK_WORDS`` words at the least.
-SAMPLES = 12
-SAMPLE = 4
-TURNS = (16, 32, 48)
-TURN_WORDS = 60
-MARK_WORDS = 48
-TURN_DISTINCT = 40
+# Runs of words in a line's keys: how many, and the words in each.
+RUNS = 8
+RUN = 4
 
 # Lines with at least this share of all lines are given their numbers once only; they are ``HOT`` at most.
 HOT = 100_000
 
-# A bucket with so many of the lines whose ``h1`` is divisible by ``HOT_SAMPLE`` is no group of one task.
+# A bucket with so many of the lines whose ``h1`` is divisible by ``HOT_SAMPLE`` is no group of one task, but of ``PARTS``.
 HOT_SAMPLE = 64
 HOT_MEMBERS = 16
+PARTS = 1024
+
+# Buckets with so many members that are not connected to the first hub meet further hubs.
+OPEN_MEMBERS = 16
 
 # Bits of a SimHash.
 SIM_BITS = 60
@@ -108,11 +108,11 @@ def coded(codes: Column) -> Column:
 def parities(codes: Column) -> Column:
     """``PARITIES`` numbers of 64 bits: whether the words of each of so many classes are odd in number."""
     def odd(k: int) -> Column:
-        def bit(c: Column) -> Column:
-            here = F.pmod(F.shiftright(c, 6), F.lit(PARITIES)) == k
-            return F.when(here, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))).otherwise(F.lit(0))
+        def turn(a: Column, c: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))
+            return F.when(c.bitwiseAND(F.lit((PARITIES - 1) * 64)) == k * 64, a.bitwiseXOR(bit)).otherwise(a)
 
-        return F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(bit(c)))
+        return F.aggregate(codes, F.lit(0).cast("long"), turn)
 
     return F.struct(*[odd(k).alias(f"p{k}") for k in range(PARITIES)])
 
@@ -140,9 +140,8 @@ def marks_of(n: int, of: int, first: int = 0) -> list[int]:
 
 
 SIM_MARKS = marks_of(ORDERS, ORDERS)
-SAMPLE_MARKS = marks_of(SAMPLES, SAMPLES + 1, 1)
-TURN_MARKS = marks_of(SAMPLES // len(TURNS), SAMPLES // len(TURNS))
-ALL_MARKS = sorted(SIM_MARKS + SAMPLE_MARKS)
+RUN_MARKS = marks_of(RUNS, RUNS + 1, 1)
+ALL_MARKS = sorted(SIM_MARKS + RUN_MARKS)
 
 
 def with_marks(circle: Column, marks: list[int]) -> Column:
@@ -161,10 +160,6 @@ def windows(turns: Column, placed: Column, marks: list[int], among: list[int], n
     return [F.slice(turns, start, n) for start in starts]
 
 
-def turned(hashes: Column, turn: int) -> Column:
-    return F.transform(hashes, lambda h: F.shiftleft(h, turn).bitwiseOR(F.shiftrightunsigned(h, 64 - turn)))
-
-
 def bound(value: Column, use) -> Column:
     """``use(value)``, with one evaluation of the value."""
     return F.transform(F.array(value), use)[0]
@@ -185,9 +180,12 @@ def simhashes_of(distinct: Column) -> Column:
     ))
 
 
-def sample_keys(windows: list[Column], order: int) -> Column:
-    """A number for every sample of words."""
-    return F.array(*[F.xxhash64(F.lit(order), F.lit(k), w) for k, w in enumerate(windows)])
+def mark_keys(hashes: Column, turns: Column, placed: Column, marks: list[int], among: list[int]) -> Column:
+    """A number for the run of words that begins with the next word after each mark, or for the line's last words."""
+    last = F.size(hashes) - RUN + 1
+    begins = [F.array_position(hashes, word[0]).cast("int") for word in windows(turns, placed, marks, among, 1)]
+    runs = F.array(*[F.slice(hashes, F.least(begin, last), RUN) for begin in begins])
+    return F.array_distinct(F.transform(runs, lambda run: F.xxhash64(F.lit("mark"), run)))
 
 
 def run_keys(hashes: Column, n: Column) -> Column:
@@ -228,47 +226,35 @@ def deletion_keys(hashes: Column) -> Column:
 def with_keys(df: DataFrame) -> DataFrame:
     """``keys``: the numbers by which a line of ``hashes`` meets others; none where no edit is allowed.
 
-    What several numbers use is a column meanwhile, so that it is made once. Of the four orders, the first is that of the
-    hashes themselves.
+    What several numbers use is a column meanwhile, so that it is made once.
     """
     n, others = F.size("hashes"), [c for c in df.columns]
-    few = (n < TURN_WORDS) | (F.size("_distinct") < TURN_DISTINCT)
-    orders = range(len(TURNS) + 1)
-    marks = [ALL_MARKS] + [TURN_MARKS] * len(TURNS)
-    df = df.select(*others, F.when(n >= LONG_WORDS, F.array_distinct("hashes")).alias("_distinct"))
-    df = df.select(*others, F.sort_array("_distinct").alias("_circle0"), *[
-        F.when(few, F.sort_array(turned(F.col("_distinct"), turn))).alias(f"_circle{k}") for k, turn in enumerate(TURNS, 1)
-    ])
-    df = df.select(
-        *others, *[around(F.col(f"_circle{k}")).alias(f"_around{k}") for k in orders],
-        *[with_marks(F.col(f"_circle{k}"), marks[k]).alias(f"_placed{k}") for k in orders],
-    )
-
-    def at(k: int, some: list[int], size: int) -> list[Column]:
-        return windows(F.col(f"_around{k}"), F.col(f"_placed{k}"), some, marks[k], size)
-
+    df = df.select(*others, F.when(n >= LONG_WORDS, F.sort_array(F.array_distinct("hashes"))).alias("_circle"))
+    df = df.select(*others, around(F.col("_circle")).alias("_around"), with_marks(F.col("_circle"), ALL_MARKS).alias("_placed"))
+    circle = F.col("_around"), F.col("_placed")
     none = F.array().cast("array<bigint>")
     keys = [
         F.when(n.between(4, 9), deletion_keys(F.col("hashes"))),
         F.when(n.between(8, FEW_WORDS - 1), run_keys(F.col("hashes"), n)),
-        F.when(n >= LONG_WORDS, bound(F.transform(F.array(*at(0, SIM_MARKS, 5)), majority), block_keys)),
-        F.when(n >= MARK_WORDS, sample_keys(at(0, SAMPLE_MARKS, SAMPLE), 0)),
-        *[F.when(F.col(f"_placed{k}").isNotNull(), sample_keys(at(k, TURN_MARKS, SAMPLE), k)) for k in orders[1:]],
+        F.when(n >= LONG_WORDS, bound(F.transform(F.array(*windows(*circle, SIM_MARKS, ALL_MARKS, 5)), majority), block_keys)),
+        F.when(n >= LONG_WORDS, mark_keys(F.col("hashes"), *circle, RUN_MARKS, ALL_MARKS)),
     ]
     return df.select(*others, F.concat(*[F.coalesce(some, none) for some in keys]).alias("keys"))
 
 
 def hashed_lines(df: DataFrame, key_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``doc, place, pos, h1, h2, n_words, keys, row`` for every line that is long enough. No shuffle."""
+    """``doc, place, pos, h1, h2, n_words, odd, keys, row`` for every line that is long enough. No shuffle."""
     rows = df.select(
-        F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"),
-        F.transform(lines_of(F.col(text_col)), lambda x: hashes_of(words_of(x))).alias("lines"),
+        F.col(key_col).alias("doc"), F.xxhash64(text_col).alias("place"), lines_of(F.col(text_col)).alias("lines")
+    ).select("doc", "place", F.posexplode("lines").alias("pos", "line"))
+    # Beside a row's number the hashes are made once, and not for the condition again.
+    rows = rows.select(
+        "doc", "place", "pos", hashes_of(words_of(F.col("line"))).alias("hashes"), F.monotonically_increasing_id().alias("row")
     )
-    rows = rows.select("doc", "place", F.posexplode("lines").alias("pos", "hashes"))
     rows = with_keys(rows.where(F.size("hashes") >= max(1, min_words)))
     return rows.select(
         "doc", "place", "pos", F.xxhash64("hashes").alias("h1"), F.xxhash64(F.lit(1), "hashes").alias("h2"),
-        F.size("hashes").alias("n_words"), "keys", F.monotonically_increasing_id().alias("row"),
+        F.size("hashes").alias("n_words"), parities(F.col("hashes")).alias("odd"), "keys", "row",
     )
 
 
@@ -298,12 +284,16 @@ class Lines:
 
     def __init__(self, df: DataFrame, key_col: str, text_col: str, min_words: int, similarity: float):
         self.df, self.key_col, self.text_col, self.similarity = df, key_col, text_col, similarity
-        self.folder = scratch_path(df.sparkSession, "lines")
+        self.spark = df.sparkSession
+        self.folder = scratch_path(self.spark, "lines")
         self.rows, self.n_rows = self.counted(hashed_lines(df, key_col, text_col, min_words), "rows")
+        parts = [f"p{k}" for k in range(PARITIES)]
         lines = self.rows.groupBy("h1", "h2").agg(
-            F.count("*").alias("n"), F.min("n_words").alias("n_words"), F.min("row").alias("row")
+            F.count("*").alias("n"), F.min("n_words").alias("n_words"), F.min("row").alias("row"),
+            *[F.min(f"odd.{p}").alias(p) for p in parts],
         )
-        self.lines = self.write(lines, "distinct")
+        self.lines = self.write(lines.select("h1", "h2", "n", "n_words", "row", F.struct(*parts).alias("odd")), "distinct")
+        self.coded = None
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         return materialise(df, f"{self.folder}/{name}")
@@ -311,16 +301,18 @@ class Lines:
     def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
         return materialise_counted(df, f"{self.folder}/{name}")
 
-    def keyed(self) -> DataFrame:
-        """``key, h1`` of all lines; of a line that is there very often only the first row."""
-        often = self.lines.where(F.col("n") >= max(2, -(-self.n_rows // HOT))).select("h1", "h2", F.col("row").alias("first"))
-        rows = self.rows.where(F.size("keys") > 0).join(F.broadcast(often), ["h1", "h2"], "left")
-        rows = rows.where(F.col("first").isNull() | (F.col("first") == F.col("row")))
-        return rows.select("h1", F.explode("keys").alias("key"))
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads."""
+        for name in names:
+            discard(self.spark, f"{self.folder}/{name}")
 
-    def crowded(self, keyed: DataFrame) -> DataFrame:
-        """``key`` of the buckets that are too large for one task, as a sample of the lines has it; they are ``HOT`` at most."""
-        some = keyed.where(F.col("h1") % HOT_SAMPLE == 0).groupBy("key").agg(F.count("*").alias("n"))
+    def crowded(self) -> DataFrame:
+        """``key, low, high`` of the buckets that are too large for one task, as a sample of the lines has them.
+
+        They are ``HOT`` at most; ``low`` and ``high`` are the least and greatest ``h1`` in the sample.
+        """
+        some = self.rows.where(F.col("h1") % HOT_SAMPLE == 0).select("h1", F.explode("keys").alias("key")).distinct()
+        some = some.groupBy("key").agg(F.count("*").alias("n"), F.min("h1").alias("low"), F.max("h1").alias("high"))
         some, _ = self.counted(some.where(F.col("n") >= HOT_MEMBERS), "sampled")
         least = some.groupBy("n").agg(F.count("*").alias("keys")).orderBy(F.desc("n")).collect()
         total, bound = 0, HOT_MEMBERS
@@ -329,105 +321,157 @@ class Lines:
             if total > HOT:
                 bound = size + 1
                 break
-        return some.where(F.col("n") >= bound).select("key")
+        return some.where(F.col("n") >= bound).select("key", "low", "high")
 
     def buckets(self) -> DataFrame:
-        """``key, id, n_words, low, high`` of all buckets with several lines; the hubs are those of the least and greatest ``h1``.
+        """``key, h1, low, high`` of all buckets with several lines; the hubs are those of the least and greatest ``h1``.
 
-        Keys are moved once. Those of a crowded bucket are aggregated first and its members stay where they are.
+        Keys are moved once. A crowded bucket is moved in parts; its hubs are known before. Of a line that is there very
+        often only the first row takes part.
         """
-        keyed = self.keyed()
-        crowded = F.broadcast(self.crowded(keyed))
-        ends = F.min("h1").alias("low"), F.max("h1").alias("high")
-        few = keyed.join(crowded, "key", "left_anti")
-        bucket = Window.partitionBy("key")
-        few = few.select("key", "h1", *[F.min("h1").over(bucket).alias("low"), F.max("h1").over(bucket).alias("high")])
-        many = keyed.join(crowded, "key", "left_semi")
-        many = many.join(F.broadcast(many.groupBy("key").agg(*ends)), "key").select("key", "h1", "low", "high")
-        members = few.where("low < high").distinct().unionByName(many.where("low < high").distinct())
-        known = self.lines.select("h1", F.struct("h1", "h2").alias("id"), "n_words")
-        return self.write(members.join(known, "h1").select("key", "id", "n_words", "low", "high"), "buckets")
+        often = self.lines.where(F.col("n") >= max(2, -(-self.n_rows // HOT))).select("h1", "h2", F.col("row").alias("first"))
+        rows = self.rows.where(F.size("keys") > 0).join(F.broadcast(often), ["h1", "h2"], "left")
+        rows = rows.where(F.col("first").isNull() | (F.col("first") == F.col("row")))
+        crowded = F.broadcast(self.crowded())
+        keyed = rows.select("h1", F.explode("keys").alias("key")).join(crowded, "key", "left")
+        part = F.when(F.col("low").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("h1"), F.lit(PARTS))).cast("int")
+        keyed = keyed.select("key", "h1", part.alias("part"))
+        ordered = Window.partitionBy("key", "part").orderBy("h1")
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        keyed = keyed.select(
+            "key", "h1", F.lag("h1").over(ordered).alias("before"),
+            F.first("h1").over(whole).alias("first"), F.last("h1").over(whole).alias("last"),
+        )
+        members = keyed.where(F.col("before").isNull() | (F.col("before") != F.col("h1"))).join(crowded, "key", "left")
+        members = members.select("key", "h1", F.coalesce("low", "first").alias("low"), F.coalesce("high", "last").alias("high"))
+        return self.write(members.where("low < high"), "buckets")
+
+    def described(self, pairs: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` of lines that may be similar by their lengths and words, of pairs ``h1, other``."""
+        known = self.lines.select("h1", F.struct("h1", "h2").alias("a"), "n_words", "odd")
+        others = self.lines.select(
+            F.col("h1").alias("other"), F.struct("h1", "h2").alias("b"), F.col("n_words").alias("n_words2"), F.col("odd").alias("odd2")
+        )
+        both = pairs.repartition("h1").distinct().join(known, "h1").join(others, "other")
+        both = both.where(possible(self.similarity) & near_parities("odd", "odd2", most_edits(self.similarity)))
+        # Two lines that are hubs of each other meet once.
+        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def near_hubs(self, buckets: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` of members and hubs whose lengths allow the similarity."""
-        met = buckets.select("id", "n_words", F.explode(F.array("low", "high")).alias("hub")).where("id.h1 <> hub").distinct()
-        known = self.lines.select(F.col("h1").alias("hub"), F.struct("h1", "h2").alias("b"), F.col("n_words").alias("n_words2"))
-        pairs = met.join(known, "hub").where(possible(self.similarity))
-        # Two lines that are hubs of each other meet once.
-        return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-
-    def coded_lines(self, buckets: DataFrame) -> DataFrame:
-        """``id, line, odd`` of every line of a bucket. A document that holds some is split once."""
-        ids, n_ids = self.counted(buckets.select("id").distinct().select("id", "id.h1", "id.h2"), "ids")
-        wanted = self.rows.join(by_count(ids, n_ids), ["h1", "h2"])
-        wanted = wanted.groupBy("id", "doc", "place", "pos").agg(F.count("*").alias("n")).groupBy("id").agg(
-            F.min(F.struct("doc", "place", "pos", "n")).alias("at")
-        )
-        wanted, n_wanted = self.counted(wanted.select("id", "at.*"), "wanted")
-        by_text = wanted.groupBy("doc", "place").agg(F.collect_list(F.struct("id", "pos", "n")).alias("wanted"))
+        """Pairs ``a, b`` of members and hubs that may be similar. The last hub has met the first one as its member."""
+        met = buckets.where("h1 <> high").select("h1", F.explode(F.array("low", "high")).alias("other"))
+        return self.described(met.where("h1 <> other"))
+
+    def code(self, pairs: DataFrame, name: str) -> None:
+        """Add to ``coded``, ``id`` and ``line``, the lines of ``pairs`` that it lacks. A document that holds some is split once."""
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        if self.coded is not None:
+            ids = ids.join(self.coded.select("id"), "id", "left_anti")
+        ids, n_ids = self.counted(ids.select("id.h1", "id.h2"), f"ids-{name}")
+        if not n_ids and self.coded is not None:
+            return
+        ids = self.lines.select("h1", "h2", "row").join(by_count(ids, n_ids), ["h1", "h2"])
+        ids = self.write(ids.select("row", F.struct("h1", "h2").alias("id")), f"numbers-{name}")
+        wanted = self.write(self.rows.select("row", "doc", "place", "pos").join(by_count(ids, n_ids), "row"), f"wanted-{name}")
+        by_text = wanted.groupBy("doc", "place").agg(F.collect_list(F.struct("id", "pos")).alias("wanted"))
         texts = self.df.select(
             F.col(self.key_col).alias("doc2"), F.xxhash64(self.text_col).alias("place2"),
             F.col(self.text_col).alias("text"),
         )
         same = F.col("doc2").eqNullSafe(F.col("doc")) & (F.col("place2") == F.col("place"))
-        at = texts.join(F.broadcast(by_text) if n_wanted * WANTED_BYTES <= BROADCAST_BYTES else by_text, same)
+        at = texts.join(F.broadcast(by_text) if n_ids * WANTED_BYTES <= BROADCAST_BYTES else by_text, same)
         found = bound(lines_of(F.col("text")), lambda lines: F.transform("wanted", lambda w: F.struct(
-            w["id"].alias("id"), w["n"].alias("n"), F.element_at(lines, w["pos"] + 1).alias("line")
+            w["id"].alias("id"), F.element_at(lines, w["pos"] + 1).alias("line")
         )))
-        at = at.select(F.explode(found).alias("found")).select("found.id", "found.n", "found.line")
-        at = at.select("id", "n", codes_of(words_of(F.col("line"))).alias("codes"))
-        at = at.select("id", "n", coded(F.col("codes")).alias("line"), parities(F.col("codes")).alias("odd"))
-        # A row that is there several times gives its lines as often; only these are moved to be made one.
-        lines = at.where("n = 1").drop("n")
-        if not wanted.where("n > 1").isEmpty():
-            lines = lines.unionByName(at.where("n > 1").drop("n").dropDuplicates(["id"]))
-        return self.write(lines, "coded")
-
-    def verified(self, pairs: DataFrame, n_pairs: int, lines: DataFrame, name: str) -> DataFrame:
+        at = at.select(F.explode(found).alias("found")).select("found.id", "found.line")
+        at = at.select("id", coded(codes_of(words_of(F.col("line")))).alias("line"))
+        lines, n_lines = self.counted(at, f"coded-{name}")
+        if n_lines > n_ids:
+            # A row that is there several times gives its lines as often.
+            lines = self.write(lines.dropDuplicates(["id"]), f"coded-once-{name}")
+        self.coded = lines if self.coded is None else self.coded.unionByName(lines)
+        self.drop(f"ids-{name}", f"numbers-{name}", f"wanted-{name}")
+
+    def verified(self, pairs: DataFrame, n_pairs: int, name: str) -> DataFrame:
         """Pairs of lines whose words are similar."""
+        self.code(pairs, name)
+        lines = self.coded
         hubs = lines.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
-        hubs = hubs.select(F.col("id").alias("b"), F.col("line").alias("line2"), F.col("odd").alias("odd2"))
-        size = hubs.agg(F.coalesce(F.sum(F.octet_length("line2") + 96), F.lit(0))).first()[0]
+        hubs = hubs.select(F.col("id").alias("b"), F.col("line").alias("line2"))
+        size = hubs.agg(F.coalesce(F.sum(F.octet_length("line2") + 64), F.lit(0))).first()[0]
         hubs = F.broadcast(hubs) if size <= BROADCAST_BYTES else hubs
         both = lines.withColumnRenamed("id", "a").join(by_count(pairs, n_pairs), "a").join(hubs, "b")
         longest = F.greatest(F.length("line"), F.length("line2"))
         most = F.floor(longest * F.lit(1 - self.similarity) + F.lit(1e-9)).cast("int")
-        both = both.withColumn("most", most).where(near_parities("odd", "odd2", F.col("most")))
         # Beyond the threshold the function gives -1.
-        similar = both.where(F.expr("levenshtein(line, line2, most) >= 0"))
+        similar = both.withColumn("most", most).where(F.expr("levenshtein(line, line2, most) >= 0"))
         return self.write(similar.select("a", "b"), f"verified-{name}")
 
+    def open_members(self, inner: DataFrame, roots: DataFrame, n_roots: int, name: str) -> tuple[DataFrame, int]:
+        """``key, h1, root, hub`` of the ``inner`` members of buckets where some are in another group than the first hub."""
+        def label(line: str, root: str) -> DataFrame:
+            return by_count(roots.select(F.col("id.h1").alias(line), F.col("root.h1").alias(root)), n_roots)
+
+        members = inner.join(label("h1", "root"), "h1", "left").join(label("low", "hub"), "low", "left")
+        members = members.select("key", "h1", F.coalesce("root", "h1").alias("root"), F.coalesce("hub", "low").alias("hub"))
+        members = self.write(members, f"members-{name}")
+        apart = members.groupBy("key").agg(
+            F.min("root").alias("least"), F.max("root").alias("most"),
+            F.sum((F.col("root") != F.col("hub")).cast("long")).alias("n_open"),
+        )
+        apart, n = self.counted(apart.where("least <> most").select("key", "n_open"), f"apart-{name}")
+        return members.join(by_count(apart, n), "key"), n
+
     def groups(self) -> tuple[DataFrame, int]:
         """``id, root`` of all lines that are connected to another."""
         buckets = self.buckets()
+        self.rows = self.write(self.rows.select("doc", "place", "pos", "h1", "h2", "row"), "places")
+        self.drop("rows", "sampled")
         pairs, n_pairs = self.counted(self.near_hubs(buckets), "pairs-hubs")
-        lines = self.coded_lines(buckets)
-        edges = self.verified(pairs, n_pairs, lines, "hubs")
+        edges = self.verified(pairs, n_pairs, "hubs")
         roots, n_roots = self.counted(connected(edges, "a", "b"), "roots-hubs")
 
-        # A bucket of two has met; of a larger one, what is not in the group of the first hub meets all others.
-        members = buckets.select("key", "id", "n_words").join(by_count(roots, n_roots), "id", "left")
-        members = self.write(members.withColumn("root", F.coalesce("root", "id")), "members")
-        first = members.groupBy("key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min(F.struct("id", "root")).alias("hub"), F.count("*").alias("size"),
-        )
-        first, n_first = self.counted(first.where("low <> high and size > 2").select("key", F.col("hub.root").alias("hub")), "apart")
-        parted = members.join(by_count(first, n_first), "key").join(lines.select("id", "odd"), "id")
-        open_members = self.write(parted, "open-members")
+        # Both hubs have met all others; what is not compared yet are two members that are no hubs.
+        inner = self.write(buckets.where("h1 <> low AND h1 <> high").select("key", "h1", "low"), "inner")
+        self.drop("buckets")
+        turn, n_before = 0, None
+        while True:
+            members, n_apart = self.open_members(inner, roots, n_roots, str(turn))
+            if not n_apart:
+                return roots, n_roots
+            large = members.where((F.col("n_open") >= OPEN_MEMBERS) & (F.col("root") != F.col("hub")))
+            by_turn = F.min_by("h1", F.xxhash64(F.col("h1"), F.lit(turn))).alias("other")
+            hubs, n_hubs = self.counted(large.groupBy("key").agg(by_turn, F.count("*").alias("n")), f"hubs-{turn}")
+            n_open = hubs.agg(F.sum("n")).first()[0]
+            # A further hub is worth its scan as long as the last one halved what is open.
+            if not n_hubs or n_before is not None and n_open > n_before / 2:
+                break
+            n_before = n_open
+            near = members.join(by_count(hubs.drop("n"), n_hubs), "key").where("h1 <> other").select("h1", "other")
+            near, n_near = self.counted(self.described(near).join(pairs, ["a", "b"], "left_anti"), f"pairs-{turn}")
+            found = self.verified(near, n_near, str(turn)) if n_near else None
+            if found is None or found.isEmpty():
+                break
+            pairs, edges = pairs.unionByName(near), edges.unionByName(found)
+            roots, n_roots = self.counted(connected(edges, "a", "b"), f"roots-{turn}")
+            turn += 1
+
+        known = self.lines.select("h1", F.struct("h1", "h2").alias("id"), "n_words", "odd")
+        open_members = self.write(members.select("key", "h1", "root", "hub").join(known, "h1"), "open-members")
         others = open_members.select(
             "key", F.col("id").alias("b"), F.col("n_words").alias("n_words2"), F.col("root").alias("root2"),
             F.col("odd").alias("odd2"),
         )
+        # Two members that are both apart from the hub meet once.
         rest = open_members.where("root <> hub").join(others, "key").where(
-            (F.col("root") != F.col("root2")) & possible(self.similarity)
-            & near_parities("odd", "odd2", most_edits(self.similarity))
+            (F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("hub")) | (F.col("id") < F.col("b")))
+            & possible(self.similarity) & near_parities("odd", "odd2", most_edits(self.similarity))
         )
         rest = rest.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
         rest, n_rest = self.counted(rest, "pairs-rest")
         if not n_rest:
             return roots, n_roots
-        edges = edges.unionByName(self.verified(rest, n_rest, lines, "rest"))
+        edges = edges.unionByName(self.verified(rest, n_rest, "rest"))
         return self.counted(connected(edges, "a", "b"), "roots-rest")
 
     def removed(self) -> DataFrame:
@@ -446,7 +490,9 @@ class Lines:
         head = F.col("head")
         stays = F.col("doc").eqNullSafe(head["doc"]) & (F.col("place") == head["place"]) & (F.col("pos") == head["pos"])
         gone = rows.where(~stays).groupBy("doc", "place").agg(F.collect_set("pos").alias("removed"))
-        return self.write(gone, "removed")
+        gone = materialise(gone, scratch_path(self.spark, "lines-removed"))
+        discard(self.spark, self.folder)
+        return gone
 
 
 def near_line_dedup(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
