@@ -1,192 +1,262 @@
 """Shortest paths by length, for all pairs in one loop.
 
-Every start has a search; a label is the least length of a search to a vertex so far. Labels are relaxed in buckets of
-length. Only labels below the current limit send steps along their edges, again and again until no label below it gets
-better; these are final then, pairs whose end has one are done, and the limit moves on to the bucket of the next label
-that waits. A search without an open pair sends no more steps.
-
-The loop moves and compares numbers only. The paths are found afterwards from the final labels: an edge is on a shortest
-path to a vertex if the labels of its ends differ by its length. Such edges are followed from the end back to the start,
-all of a level at a time; the level that first holds the start has the fewest edges, and of every vertex on it the smallest
-next one is known. From there the path goes from next to next.
-
-Edges are written once, a row for every vertex they leave, in buckets of near vertices. Labels are only ever added, a table
-part for every round, in buckets of search and vertex; the best of them is found without moving them. So a round moves
-the labels that are relaxed and the steps they make, nothing else. Lengths are whole millimetres, so their sums are exact.
+Every end has a search, which goes backward from it; a label is the least length from a vertex to the end, then the fewest
+edges of that length, then the smallest next vertex. The graph is cut into blocks of near vertices with so many edges.
+A search is settled within a block at a time, by Dijkstra's algorithm (``reach``), and moves on with the labels of the
+edges that leave the block; a block is visited again when one of its labels gets better. So a round is a step from block
+to block and not from vertex to vertex. It moves the labels at borders, and the edges of the blocks that have any.
+
+Searches go as far as the current limit, in rounds until no label gets better; labels below the limit are final then and
+pairs whose start has one are done. The limit grows by a factor, and only searches go on that have an open pair and were
+cut. A search that has its starts in the block of its end needs no limit: it runs until it has them, and no farther.
+
+Labels at borders are kept, those within a block are not. A start that is found comes with the vertices up to the border
+of its block. The rest of a path that leaves it is found by settling the next block again, now from final labels.
+
+Vertices are dealt to blocks by their ids and by their places, and that of the two is taken which cuts fewer edges. The
+edges of hubs are parted, and so are the searches of a block that has very many. Lengths are whole millimetres, so their
+sums are exact.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..session import discard, materialise_counted, scratch_path
+from . import skew
 from .graph import Graph, written, with_edge_length
-from .paths import FRONT_BYTES, HOPS_AT_ONCE, ROW_BYTES, block_of, meet_edges
+from .paths import FRONT_BYTES, ROW_BYTES
+from .reach import CUT, EDGE, FOUND, OUT, SCHEMA, explorer
 from .skew import hot_keys, n_salts, replicate, sized_join
 
 KEY = ["search", "node"]
 PAIR = ["src", "dst"]
-BY_BLOCK = ["block", "salt"]
+UNIT = ["search", "block"]
+GROUP = ["block", "salt", "part"]
 
-# The width of a bucket in mean edge lengths, unless the caller gives one.
+# What a label is compared by, and what else it holds: where it enters, where it comes from.
+LABEL = ["length", "hops", "next", "block", "parts", "via"]
+
+# The first limit in mean edge lengths, unless the caller gives one, and what it grows by.
 WIDTH = 2
+GROWTH = 4
+
+# A block has about so many edges, which are in the memory of a task.
+BLOCK_EDGES = 25_000
+
+
+def cell(lat: Column, lon: Column) -> Column:
+    """The place in a grid of 65,536 times as many cells, along a curve on which near cells are mostly near."""
+
+    def spread(degrees: Column, half: int) -> Column:
+        step = F.floor((degrees + half) / (2 * half) * 65_536).cast("long")
+        bits = F.greatest(F.lit(0), F.least(F.lit(65_535), step)).cast("long")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return bits
+
+    return spread(lon, 180).bitwiseOR(F.shiftleft(spread(lat, 90), 1))
 
 
 class _Labels:
-    """The tables of one call: ``edges`` and ``labels`` in buckets, and the open pairs."""
+    """The tables of one call: the blocks with their edges, the labels at borders, and the open pairs."""
 
     def __init__(self, graph: Graph, pairs: DataFrame, width_m: float | None):
         self.spark = pairs.sparkSession
         self.folder = scratch_path(self.spark, "distances")
         self.name = f"wayword_distances_{uuid.uuid4().hex}"
         self.n_buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.made: list[str] = []
+        self.rounds = self.rows = self.sweeps = 0
+        self.first = self.write_edges(graph, width_m)
         wanted = pairs.select(*PAIR).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
         for end in PAIR:
-            wanted = wanted.join(graph.vertices.select(F.col("id").alias(end)), end, "left_semi")
-        self.open, self.n_open = self.write(wanted.select(*PAIR), "wanted")
-        self.width = self.write_edges(graph, width_m)
-        self.rounds = self.rows = self.steps = 0
+            home = self.homes.select(F.col("id").alias(end), F.col("block").alias(f"{end}_block"))
+            wanted = sized_join(wanted, home, [end], "inner", self.n_homes)
+        self.open, self.n_open = self.write(wanted, "wanted")
         self.closed: list[DataFrame] = []
-        starts = self.open.select(F.col("src").alias("search"), F.col("src").alias("node")).distinct()
-        self.add(starts.withColumn("length", F.lit(0).cast("long")))
+        starts = self.open.select(F.col("dst").alias("search"), F.col("dst").alias("node"), F.col("dst_block").alias("block"))
+        nothing = F.lit(None).cast("long")
+        starts = starts.distinct().withColumn("parts", n_salts(["node"], self.hot).cast("long"))
+        zero = F.lit(0).cast("long")
+        self.add(starts.withColumns({"length": zero, "hops": zero, "next": nothing, "via": nothing, "most": nothing}))
 
     def write(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        self.made.append(name)
         return materialise_counted(df, f"{self.folder}/{name}")
 
+    def write_homes(self, vertices: DataFrame, n_edges: int) -> DataFrame:
+        """``id, by_id, by_place``: the block of every vertex, of as many in both orders."""
+        places = vertices.where("id IS NOT NULL").groupBy("id").agg(F.min(cell(F.col("lat"), F.col("lon"))).alias("place"))
+        places, self.n_homes = self.write(places, "places")
+        self.n_blocks = max(1, math.ceil(max(n_edges, self.n_homes) / BLOCK_EDGES))
+        block = F.spark_partition_id().cast("long")
+        by_id = places.repartitionByRange(self.n_blocks, "id").select("id", "place", block.alias("by_id"))
+        by_id, _ = self.write(by_id, "by-id")
+        by_place = by_id.repartitionByRange(self.n_blocks, "place", "id").select("id", "by_id", block.alias("by_place"))
+        return self.write(by_place, "homes")[0]
+
     def write_edges(self, graph: Graph, width_m: float | None) -> int:
-        """``block, salt, node, outs`` in buckets, the shortest of parallel edges; the bucket width in millimetres."""
-        measured = with_edge_length(graph).where("src <> dst AND length_m IS NOT NULL")
+        """The blocks with the shortest of parallel edges by the vertex they lead to; the first limit in millimetres."""
+        roads = graph.edges.select(*PAIR).where("src <> dst").distinct()
+        measured = with_edge_length(Graph(graph.vertices, roads)).where("length_m IS NOT NULL")
         length = F.round(F.col("length_m") * 1000).cast("long")
-        edges = measured.groupBy(F.col("src").alias("node"), F.col("dst").alias("to")).agg(F.min(length).alias("length"))
+        edges = measured.groupBy(*PAIR).agg(F.min(length).alias("length"))
         seen = Observation()
-        self.edges, _ = self.write(edges.observe(seen, F.avg("length").alias("mean")), "edges")
-        self.hot = hot_keys(self.edges, ["node"])
-        salt = F.pmod(F.xxhash64("to"), n_salts(["node"], self.hot)).cast("int")
-        outs = F.collect_list(F.struct("to", "length")).alias("outs")
-        rows = self.edges.withColumn("salt", salt).groupBy("node", "salt").agg(outs).withColumn("block", block_of("node"))
-        writer = rows.repartition(self.n_buckets, *BY_BLOCK).write.format("parquet")
-        writer = writer.bucketBy(self.n_buckets, *BY_BLOCK).sortBy(*BY_BLOCK)
-        writer.option("path", f"{self.folder}/bucketed").saveAsTable(f"{self.name}_edges")
+        edges, n = self.write(edges.observe(seen, F.avg("length").alias("mean")), "edges")
+        homes = self.write_homes(graph.vertices, n)
+        for end in PAIR:
+            home = homes.select(F.col("id").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("by_id", "by_place")))
+            edges = sized_join(edges, home, [end], "inner", self.n_homes)
+        cuts = Observation()
+        cut = (F.count_if(F.col(f"src_{c}") != F.col(f"dst_{c}")).alias(c) for c in ("by_id", "by_place"))
+        edges, _ = self.write(edges.observe(cuts, *cut), "edges-at-home")
+        order = min(("by_id", "by_place"), key=lambda c: cuts.get[c])
+        self.homes = homes.select("id", F.col(order).alias("block"))
+        self.hot = hot_keys(edges, ["dst"])
+        salt = F.pmod(F.xxhash64("src"), n_salts(["dst"], self.hot)).cast("long").alias("salt")
+        edges = edges.select(
+            F.col(f"dst_{order}").alias("block"), salt, F.col("dst").alias("node"), F.col("src").alias("to"), "length",
+            F.col(f"src_{order}").alias("to_block"), n_salts(["src"], self.hot).cast("long").alias("to_parts"),
+        )
+        lists = F.collect_list(F.struct(*EDGE)).alias("ways")
+        blocks = edges.groupBy("block", "salt").agg(lists).select("block", "salt", *(F.col(f"ways.{c}") for c in EDGE))
+        self.blocks, self.n_parts = self.write(blocks, "blocks")
         return max(1, round(1000 * width_m if width_m else WIDTH * (seen.get["mean"] or 0)))
 
-    def add(self, labels: DataFrame, limit: int = 0) -> int:
-        """Write the labels of a round; how many of them are below the limit."""
+    def add(self, labels: DataFrame) -> int:
+        """Write the labels of a round; how many there are."""
         seen = Observation()
-        below = F.count_if(F.col("length") < limit).alias("below")
-        counted = labels.select(*KEY, "length").observe(seen, below, F.count(F.lit(1)).alias("rows"))
+        counted = labels.select(*KEY, *LABEL, "most").observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = counted.withColumn("round", F.lit(self.rounds)).write.format("parquet").mode("append")
         writer = writer.partitionBy("round").bucketBy(self.n_buckets, *KEY)
         writer.option("path", f"{self.folder}/labels").saveAsTable(f"{self.name}_labels")
         self.rounds += 1
         self.rows = seen.get["rows"]
-        return seen.get["below"]
+        return self.rows
 
     def labels(self) -> DataFrame:
         return self.spark.table(f"{self.name}_labels")
 
     def best(self) -> DataFrame:
         """The best label of every search and vertex; rows are grouped where they lie."""
-        return self.labels().groupBy(*KEY).agg(F.min("length").alias("length"))
-
-    def relax(self, front: DataFrame, n: int, limit: int) -> int:
-        """Send steps along the edges of ``front``; how many labels below the limit became better."""
-        front = replicate(front, n_salts(["node"], self.hot)).withColumnRenamed("_salt", "salt")
-        front = front.withColumn("block", block_of("node")).withColumnRenamed("length", "so_far")
-        edges = self.spark.table(f"{self.name}_edges")
-        met = meet_edges(edges, front, BY_BLOCK, n * ROW_BYTES <= FRONT_BYTES).select("search", "so_far", F.inline("outs"))
-        steps = met.groupBy("search", F.col("to").alias("node")).agg(F.min(F.col("so_far") + F.col("length")).alias("step"))
-        known = steps.join(self.best(), KEY, "left").where("length IS NULL OR step < length")
-        return self.add(known.select(*KEY, F.col("step").alias("length")), limit)
-
-    def still_open(self, labels: DataFrame) -> DataFrame:
-        """Labels of searches with an open pair."""
-        return sized_join(labels, self.open.select(F.col("src").alias("search")), ["search"], "left_semi", self.n_open)
+        best = self.labels().groupBy(*KEY).agg(F.min(F.struct(*LABEL)).alias("label"), F.min("most").alias("most"))
+        return best.select(*KEY, "label.*", "most")
+
+    def of_units(self, rows: DataFrame, units: DataFrame, n: int) -> DataFrame:
+        """Rows of so many units with the columns of these. Few units are broadcast."""
+        return rows.join(F.broadcast(units) if n * ROW_BYTES <= FRONT_BYTES else units, UNIT)
+
+    def sweep(
+        self, units: DataFrame, n: int, targets: DataFrame, limit: int | None, cap: int | float = math.inf
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Settle searches in blocks, and how many rows of each kind there are; see ``reach``.
+
+        ``units`` has ``search, block, open``, at most ``n`` of them, ``targets`` ``search, block, node``. Without a limit
+        only the targets count.
+        """
+        self.sweeps += 1
+        doors = replicate(self.of_units(self.best(), units, n), F.col("parts")).withColumnRenamed("_salt", "salt")
+        asked = self.of_units(targets, units, n).withColumn("salt", F.lit(0).cast("long"))
+        front = doors.unionByName(asked, allowMissingColumns=True)
+        front, rows = self.write(front, f"front-{self.sweeps}")
+        parts = n_salts(["block"], hot_keys(front, ["block"]) if rows > skew.HOT_ROWS else {})
+        front = front.withColumn("part", F.pmod(F.xxhash64("search"), parts).cast("long"))
+        blocks = replicate(self.blocks, parts).withColumn("part", F.col("_salt").cast("long")).drop("_salt")
+        blocks = sized_join(blocks, front.select(*GROUP).distinct(), GROUP, "left_semi", min(n, self.n_parts))
+        # What takes time are the searches, so groups are dealt to tasks by their number and not by bytes.
+        dealt = max(self.n_buckets, self.n_parts)
+        both = (df.repartition(dealt, *GROUP).groupBy(*GROUP) for df in (front, blocks))
+        swept = next(both).cogroup(next(both)).applyInArrow(explorer(limit, cap, self.rounds == 1), SCHEMA)
+        seen = Observation()
+        found, outs, cuts = (F.col("kind") == kind for kind in (FOUND, OUT, CUT))
+        swept = swept.observe(
+            seen, F.count_if(found).alias("found"), F.count_if(outs).alias("outs"), F.count_if(cuts).alias("cuts"),
+            F.count_if(found & F.col("next").isNotNull()).alias("further"), F.min(F.when(cuts, F.col("length"))).alias("cut"),
+            F.coalesce(F.sum(F.size("piece")), F.lit(0)).alias("vertices"),
+        )
+        return self.write(swept, f"swept-{self.sweeps}")[0], seen.get
+
+    def better(self, swept: DataFrame) -> DataFrame:
+        """The labels at borders that are better than those known."""
+        label = F.struct(*LABEL)
+        steps = swept.where(F.col("kind") == OUT).groupBy(*KEY).agg(F.min(label).alias("step"), F.min("most").alias("most"))
+        known = self.labels().groupBy(*KEY).agg(F.min(label).alias("label"))
+        better = steps.join(known, KEY, "left").where("label IS NULL OR step < label")
+        return better.select(*KEY, "step.*", "most")
+
+    def of_open(self, units: DataFrame) -> DataFrame:
+        """``search, block, open`` of the searches that have so many open pairs, if any."""
+        searches = self.open.groupBy(F.col("dst").alias("search")).agg(F.count(F.lit(1)).alias("open"))
+        return sized_join(units.select(*UNIT).distinct(), searches, ["search"], "inner", self.n_open)
 
     def run(self, max_m: float | None) -> None:
-        most = None if max_m is None else round(1000 * max_m)
-        limit = 0
+        cap = math.inf if max_m is None else round(1000 * max_m)
+        limit, units, most = min(self.first, cap), self.labels(), self.rows
         while self.n_open:
-            waiting = self.still_open(self.best().where(F.col("length") >= limit))
-            if most is not None:
-                waiting = waiting.where(F.col("length") <= most)
-            waiting, n = self.write(waiting, f"waiting-{self.rounds}")
-            if not n:
+            swept: list[DataFrame] = []
+            cut, found, cuts = math.inf, 0, 0
+            while True:
+                starts = self.open.select(F.col("dst").alias("search"), F.col("src_block").alias("block"), F.col("src").alias("node"))
+                rows, n = self.sweep(self.of_open(units), most, starts, limit, cap)
+                swept.append(rows)
+                found, cuts = found + n["found"], cuts + n["cuts"]
+                cut = min(cut, n["cut"] or math.inf)
+                if not n["outs"] or not self.add(self.better(rows)):
+                    break
+                units, most = self.labels().where(F.col("round") == self.rounds - 1), self.rows
+            self.settle(swept, found)
+            if cut == math.inf or limit == cap:
                 return
-            first = waiting.agg(F.min("length")).first()[0]
-            limit = (first // self.width + 1) * self.width
-            better = self.relax(waiting.where(F.col("length") < limit), n, limit)
-            while better:
-                last = self.labels().where(F.col("round") == self.rounds - 1).drop("round")
-                better = self.relax(self.still_open(last.where(F.col("length") < limit)), self.rows, limit)
-            self.settle(limit, most)
-
-    def settle(self, limit: int, most: int | None) -> None:
-        """Close the pairs whose end has a final label."""
-        final = self.best().where(F.col("length") < limit)
-        if most is not None:
-            final = final.where(F.col("length") <= most)
-        ends = final.select(F.col("search").alias("src"), F.col("node").alias("dst"), "length")
-        found = sized_join(ends, self.open, PAIR, "inner", self.n_open)
-        found, n = self.write(found.select(*PAIR, "length"), f"found-{self.rounds}")
-        if n:
-            self.closed.append(found)
-            left = sized_join(self.open, found.select(*PAIR), PAIR, "left_anti", n)
-            self.open, self.n_open = self.write(left, f"open-{self.rounds}")
-
-    def write_best(self) -> DataFrame:
-        """The best labels once more, in the same buckets, to be met by every level of the paths."""
-        writer = self.best().write.format("parquet").bucketBy(self.n_buckets, *KEY).sortBy(*KEY)
-        writer.option("path", f"{self.folder}/best").saveAsTable(f"{self.name}_best")
-        return self.spark.table(f"{self.name}_best").select(
-            F.col("search").alias("src"), F.col("node").alias("before"), F.col("length").alias("rest")
-        )
+            units = reduce(DataFrame.union, (rows.where(F.col("kind") == CUT).select(*UNIT) for rows in swept))
+            limit, most = min(cap, max(GROWTH * limit, cut)), cuts
 
-    def traced(self, found: DataFrame, n: int) -> list[tuple[DataFrame, int]]:
-        """``src, dst, node, next`` of the vertices with so many edges left to the end on a shortest path, for each number."""
-        best, levels = self.write_best(), []
-        ahead = found.where("src <> dst").select(*PAIR, F.col("dst").alias("node"), "length")
-        while n:
-            edges = self.edges.select(F.col("node").alias("before"), F.col("to").alias("node"), F.col("length").alias("edge"))
-            back = sized_join(edges, ahead, ["node"], "inner", n)
-            back = back.select(*PAIR, "node", "before", (F.col("length") - F.col("edge")).alias("rest")).where("rest >= 0")
-            back = back.join(best, ["src", "before", "rest"], "left_semi")
-            back = back.groupBy(*PAIR, F.col("before").alias("node"), F.col("rest").alias("length"))
-            self.steps += 1
-            level, n_level = self.write(back.agg(F.min("node").alias("next")), f"on-way-{self.steps}")
-            levels.append((level.drop("length"), n_level))
-            # A pair whose start is reached is done.
-            done = level.where("node = src").select(*PAIR)
-            ahead = sized_join(level.drop("next"), done, PAIR, "left_anti", n_level)
-            ahead, n = self.write(ahead, f"ahead-{self.steps}")
-        return levels
+    def settle(self, swept: list[DataFrame], n: int) -> None:
+        """Close the pairs whose start has a final label: that of the last time its block was settled."""
+        if not n:
+            return
+        found = reduce(DataFrame.union, (
+            rows.where(F.col("kind") == FOUND).select("search", "node", F.struct(F.lit(k).alias("k"), "length", "next", "via", "piece").alias("way"))
+            for k, rows in enumerate(swept)
+        ))
+        found = found.groupBy(F.col("search").alias("dst"), F.col("node").alias("src")).agg(F.max("way").alias("way"))
+        way = (F.col(f"way.{c}") for c in ("length", "next", "via", "piece"))
+        found, n = self.write(found.select(*PAIR, *way), f"found-{len(self.closed)}")
+        self.closed.append(found)
+        left = sized_join(self.open, found.select(*PAIR), PAIR, "left_anti", n)
+        self.open, self.n_open = self.write(left, f"open-{len(self.closed)}")
 
     def found(self) -> tuple[DataFrame, int]:
         """``src, dst, length, path`` of the pairs that have a path, and how many vertices their paths have."""
-        parts = [self.spark.createDataFrame([], "src bigint, dst bigint, length bigint")]
-        found, n = self.write(reduce(DataFrame.union, parts + self.closed), "pairs")
-        paths = found.withColumn("path", F.array("src"))
-        for k, (level, rows) in enumerate(reversed(self.traced(found, n)), 1):
-            joined = sized_join(paths.withColumn("node", F.element_at("path", -1)), level, [*PAIR, "node"], "left", rows)
-            further = F.when(F.col("next").isNull(), F.col("path")).otherwise(F.concat("path", F.array("next")))
-            paths = joined.select(*PAIR, "length", further.alias("path"))
-            if k % HOPS_AT_ONCE == 0:
-                paths, _ = self.write(paths, f"paths-{k}")
-        seen = Observation()
-        counted = paths.observe(seen, F.coalesce(F.sum(F.size("path")), F.lit(0)).alias("vertices"))
-        found, _ = self.write(counted, "paths")
-        return found, seen.get["vertices"]
+        none = self.spark.createDataFrame([], "src bigint, dst bigint, length bigint, next bigint, via bigint, piece array<bigint>")
+        paths, seen = reduce(DataFrame.union, self.closed, none).withColumnRenamed("piece", "path"), Observation()
+        while True:
+            further, vertices = F.count("next").alias("further"), F.coalesce(F.sum(F.size("path")), F.lit(0)).alias("vertices")
+            paths, _ = self.write(paths.observe(seen, further, vertices), f"paths-{self.sweeps}")
+            left = seen.get["further"]
+            if not left:
+                return paths.select(*PAIR, "length", "path"), seen.get["vertices"]
+            # Paths that left a block go on in the next one, up to its border.
+            at = paths.where("next IS NOT NULL").select(F.col("dst").alias("search"), F.col("via").alias("block"), F.col("next").alias("node"))
+            at = at.distinct()
+            pieces, n = self.sweep(at.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("open")), left, at, None)
+            pieces = pieces.select(
+                F.col("search").alias("dst"), F.col("node").alias("next"), F.col("next").alias("then"), F.col("via").alias("to"), "piece"
+            )
+            joined = sized_join(paths, pieces, ["dst", "next"], "left", n["vertices"])
+            path = F.when(F.col("piece").isNull(), F.col("path")).otherwise(F.concat("path", "piece")).alias("path")
+            paths, seen = joined.select(*PAIR, "length", F.col("then").alias("next"), F.col("to").alias("via"), path), Observation()
 
     def close(self) -> None:
         """Forget the tables and delete all but the found paths."""
-        for name in ("edges", "labels", "best"):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{name}")
-        waiting = (f"waiting-{i}" for i in range(self.rounds + 1))
-        levels = (f"{name}-{i}" for name in ("on-way", "ahead") for i in range(1, self.steps + 1))
-        for name in ("edges", "bucketed", "labels", "best", *waiting, *levels):
-            discard(self.spark, f"{self.folder}/{name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_labels")
+        for name in ("labels", *self.made):
+            if name != f"paths-{self.sweeps}":
+                discard(self.spark, f"{self.folder}/{name}")
 
 
 def shortest_by_length(
